@@ -5,12 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors nearest to every hundredth one, by integer inner product."""
+    from .topk import top_k
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10, scale=1024)
+
+
+ORACLE_1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids of all documents, written and read back: start, number and checksum of each document's."""
+    from .tokenout import fresh_folder, read_tokens, write_tokens
+    from .tokens import token_file
+
+    out = fresh_folder(spark, "op2-tokens")
+    write_tokens(_table(spark, sf_dir, "documents"), out, token_file("byte_bpe_50k.json"), end_id=2)
+    return read_tokens(spark, out, digest=True).withColumnRenamed("ids", "ids_crc32")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    from .packing import pack_documents
+    from .tokens import token_file
+
+    return pack_documents(_table(spark, sf_dir, "documents"), token_file("word_bpe_49k.json"), end_id=0, capacity=2048)
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links at a Jaccard similarity of 0.85 or more over five-word shingles."""
     from .neardup import near_duplicates
@@ -18,7 +63,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.85, width=5).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+QUERIES: dict[str, Query] = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op2_token_ids": op2_token_ids,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1}
