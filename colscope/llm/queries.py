@@ -94,6 +94,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), token_file("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: counts and digest of the base spans, and all spans."""
+    from .secretscan import scan_secrets, span_list
+
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links at a Jaccard similarity of 0.85 or more over five-word shingles."""
     from .neardup import near_duplicates
@@ -106,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_ids": op2_token_ids,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_secret_scans": op6_secret_scans,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
 ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3}
