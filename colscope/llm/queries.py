@@ -111,6 +111,15 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.85, width=5).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    from .langid import held_out, identify_languages, train
+
+    docs = _table(spark, sf_dir, "documents")
+    found = identify_languages(docs.select("doc_id", "text"), train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_token_ids": op2_token_ids,
@@ -118,5 +127,6 @@ QUERIES: dict[str, Query] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3}
