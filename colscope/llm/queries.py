@@ -111,6 +111,17 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.85, width=5).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from three quarters of the labels."""
+    from .langid import held_out
+    from .quality import score_quality, train
+
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"), metadata=("n_chars",))
+    found = score_quality(docs.select("doc_id", "text", "n_chars"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     from .langid import held_out, identify_languages, train
@@ -127,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3}
