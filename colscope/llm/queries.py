@@ -122,6 +122,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold, copied or edited: a row for each such document and item."""
+    from .decontam import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     from .langid import held_out, identify_languages, train
@@ -139,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op6_secret_scans": op6_secret_scans,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3}
