@@ -86,6 +86,13 @@ FROM t GROUP BY conv_id
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the thirteen-word passages of documents before them."""
+    from .substring import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=13, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     from .packing import pack_documents
@@ -142,6 +149,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_token_ids": op2_token_ids,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,

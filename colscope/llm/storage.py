@@ -1,0 +1,31 @@
+"""Intermediate tables in the shared folder: kept by path, so that they can be dropped as soon as no step needs them."""
+
+from __future__ import annotations
+
+import gc
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .common import shared_dir
+
+
+class Kept:
+    """A written table. ``df`` reads it; ``drop`` deletes its files."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark = df.sparkSession
+        self.path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        schema = df.schema
+        df.write.option("compression", "zstd").parquet(self.path)
+        self.df = self.spark.read.schema(schema).parquet(self.path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
