@@ -232,9 +232,9 @@ def _groups(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return groups.profile_groups(counts(spark, sf_dir, name))
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", * FROM ({oracle.uses(t, 'SELECT "col_name", length, class, first_use FROM u')})" for t in ("orders", "customer", "part")))
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, * FROM ({oracle.uses(t, 'SELECT "col_name", length, class, first_use FROM u')})" for t in ("orders", "customer", "part")))
 def column_uses_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [_groups(spark, sf_dir, t).select(F.lit(t).alias("table"), "col_name", "length", "class", "first_use") for t in ("orders", "customer", "part")]
+    parts = [_groups(spark, sf_dir, t).select(F.lit(t).alias("table_name"), "col_name", "length", "class", "first_use") for t in ("orders", "customer", "part")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
