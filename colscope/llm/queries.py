@@ -93,6 +93,21 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), window=13, digest=True).withColumnRenamed("kept", "kept_sha256")
 
 
+ORACLE_4 = r"""
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM t WHERE len(ws) >= 13),
+w AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS s FROM p),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM w JOIN f USING (s) WHERE doc_id > least),
+g AS (SELECT doc_id, list(j) AS js FROM c GROUP BY doc_id),
+k AS (SELECT t.doc_id, ws, coalesce(js, []) AS js FROM t LEFT JOIN g ON t.doc_id = g.doc_id),
+u AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, ws FROM k WHERE len(ws) > 0),
+r AS (SELECT u.doc_id, string_agg(ws[u.j], ' ' ORDER BY u.j) AS kept FROM u LEFT JOIN c ON u.doc_id = c.doc_id AND u.j = c.j WHERE c.j IS NULL GROUP BY u.doc_id)
+SELECT k.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(js) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM k LEFT JOIN r ON k.doc_id = r.doc_id
+"""
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     from .packing import pack_documents
@@ -118,6 +133,19 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.85, width=5).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+ORACLE_7 = r"""
+WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM t WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_ FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM b JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * both_ >= 85 * (p.n + q.n - both_)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM t UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, t.doc_id = m.component_id AS kept
+FROM t JOIN m ON t.doc_id = m.doc_id LEFT JOIN n ON t.doc_id = n.doc_id
+"""
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learned from three quarters of the labels."""
     from .langid import held_out
@@ -157,4 +185,4 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3}
+ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3, "op4_substring_dedup": ORACLE_4, "op7_minhash_near_dedup": ORACLE_7}
