@@ -207,3 +207,48 @@ def canonical(c: Column, use: Column, order: Column) -> Column:
     clock = F.date_format(F.timestamp_seconds(seconds), "HH:mm:ss")
     out = F.when(use == "Date", F.date_format(by_order(parse_date_strict), "yyyy-MM-dd")).when(use == "DateTime", F.date_format(by_order(parse_datetime_strict), "yyyy-MM-dd HH:mm:ss")).when(use == "Time", clock)
     return F.coalesce(out, c)
+
+
+def parse_flexible(c: Column, order: str | None = None, base_1904: bool = False, config: ProfileConfig = DEFAULT) -> Column:
+    """A timestamp from text in any known way; numbers count as serial dates, times since 1970 or parts of a day.
+
+    After a number come ``order`` if one is given, ISO, compact, year first, day first, month first, then a time alone, which is on
+    1970-01-01. Anything else is null: there is no engine's own parsing as a last resort.
+    """
+    from .numbers import plain_double
+
+    s = F.trim(c)
+    n = F.when(s.rlike(r"^[\s0-9.,+-]+$"), plain_double(s))
+    since = lambda seconds: F.timestamp_seconds(seconds).cast("timestamp_ntz")
+    number = let(n, lambda x: F.when((x > 20_000) & (x < 80_000), serial_timestamp(x, base_1904)).when((x > 1e11) & (x < 1e14), since(x / 1000)).when((x > 1e9) & (x < 1e11), since(x)).when((x >= 0) & (x < 1), since(F.round(x * 86_400_000) / 1000)))
+    year_first = F.when(s.rlike(r"^[0-9]{4}[/.-]"), parse_ordered(s, "YMD", config))
+    whole_year = s.rlike(r"^[0-9]{1,2}[/.-][0-9]{1,2}[/.-][0-9]{4}($|[ T])")
+    named = s.rlike(r"^[0-9]{1,2}-[A-Za-z]{3,}-[0-9]{2,4}")
+    branches = [number, *([parse_ordered(s, order, config)] if order else []), parse_datetime_strict(s, "YMD", config), F.when(s.rlike("^[0-9]{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")).cast("timestamp_ntz")), year_first]
+    branches += [F.when(whole_year | named, parse_ordered(s, "DMY", config)), F.when(whole_year & ~s.contains("."), parse_ordered(s, "MDY", config)), since(seconds_of_day(s))]
+    return F.coalesce(*branches)
+
+
+def type_family(kind: Column) -> Column:
+    """Date, Time or DateTime for an SQL type's name or abbreviation, with or without the mark of a key; else null."""
+    k = F.regexp_replace(F.upper(kind), "^K(?=DT|DA|TM|TI)", "")
+    return F.when(k.rlike(r"^(DT|DATETIME(\([0-9]+\))?|TIMESTAMP(\([0-9]+\))?)$"), "DateTime").when(k.isin("DA", "DATE"), "Date").when(k.isin("TM", "TIME"), "Time")
+
+
+# Parts of headers that hint at dates and times, in lower case.
+DATE_HINTS = ("date", "fecha", "fech", "fch", "fec")
+TIME_HINTS = ("time", "hora", "hr")
+DATETIME_HINTS = ("datetime", "timestamp", "fecha hora", "fecha/hora", "time stamp")
+
+
+def header_hints(header: Column) -> tuple[Column, Column, Column]:
+    """Whether a header looks like one of a date, of a time, of both."""
+    low = F.lower(F.coalesce(header, F.lit("")))
+    return tuple(F.exists(F.array(*[F.lit(x) for x in hints]), lambda x: F.contains(low, x)) for hints in (DATE_HINTS, TIME_HINTS, DATETIME_HINTS))
+
+
+def format_pattern(key: str) -> str:
+    """A known format's key as a pattern for Spark's own date functions."""
+    if key == "ISO-8601":
+        return "yyyy-MM-dd'T'HH:mm[:ss][.SSS][XXX]"
+    return key.replace("YYYY", "yyyy").replace("YY", "yy").replace("DD", "dd").replace(" AM/PM", " a")

@@ -102,3 +102,11 @@ def normalized_number(raw: Column, mode: Column, decimal: Column, thousands: Col
         return let(number, lambda n: F.when(n.rlike(r"^[0-9]+(\.[0-9]+)?$"), F.when(is_negative(s0) & ~n.isin("0", "0.0"), F.concat(F.lit("-"), n)).otherwise(n)))
 
     return let(sanitized(raw), signed)
+
+
+def plain_double(c: Column) -> Column:
+    """A text as a double where a comma may be the decimal sign: with both signs points group, with a comma alone it is the decimal sign."""
+    s = F.trim(c)
+    both = s.contains(".") & s.contains(",")
+    text = F.when(both, F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).when(s.contains(","), F.replace(s, F.lit(","), F.lit("."))).otherwise(F.regexp_replace(s, r"([0-9])\s+(?=[0-9])", "$1"))
+    return text.try_cast("double")

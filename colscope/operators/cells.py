@@ -61,3 +61,11 @@ def compressed_ranges(df: DataFrame, keys: list[str], number: str) -> DataFrame:
     text = F.when(F.col("a") == F.col("b"), F.col("a").cast("string")).otherwise(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string")))
     ordered = F.array_sort(F.collect_list(F.struct("a", text.alias("t"))))
     return parts.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), ",").alias("ranges"))
+
+
+def value_positions(df: DataFrame, row_key: list[str]) -> DataFrame:
+    """(col_name, value, row): where each text that isn't empty occurs; ``row_key`` names the columns that tell rows apart."""
+    text = text_table(df)
+    key = F.concat_ws("\u0001", *[F.col(f"`{c}`") for c in row_key])
+    parts = F.array(*[F.struct(F.lit(c).alias("col_name"), trimmed(F.col(f"`{c}`")).alias("value")) for c in df.columns])
+    return text.select(key.alias("row"), F.explode(parts).alias("c")).select("c.col_name", "c.value", "row").where("value <> ''")

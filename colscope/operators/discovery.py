@@ -81,3 +81,15 @@ def segments_kept(segments: DataFrame, vc: DataFrame) -> DataFrame:
     """(key, value) segments of a file name, less those that a column of the same name says in every row."""
     constant = vc.groupBy("col_name").agg(F.count("*").alias("n"), F.min("value").alias("value")).where("n = 1").select(F.lower("col_name").alias("k"), F.col("value").alias("v"))
     return segments.join(constant, (F.lower("key") == F.col("k")) & (F.col("value") == F.col("v")), "left_anti")
+
+
+def list_files(spark, path: str) -> DataFrame:
+    """(path, size) of all files below a folder, their contents unread."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("size"))
+
+
+def status(files: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
+    """(state, n_files) of spreadsheets: pending or done."""
+    sheets = by_pattern(files.where(extension(F.col("path")) == ".xlsx"), config).select(base_name(F.col("path")).alias("base")).distinct()
+    waiting = pending(files, config=config).select("base", F.lit("pending").alias("state"))
+    return sheets.join(waiting, "base", "left").groupBy(F.coalesce("state", F.lit("done")).alias("state")).agg(F.count("*").alias("n_files"))
