@@ -1,15 +1,25 @@
-"""Token ids of whole texts, made in Arrow batches with a tokenizers file whose path is a parameter."""
+"""Token ids of whole texts, made in Arrow batches with a tokenizers file whose path is a parameter.
+
+Texts repeat their words, so each task cuts texts into segments that the tokenizer would cut apart as well, encodes segments
+it hasn't seen with the tokenizers library, and puts the ids of all segments together. How texts may be cut depends on the
+tokenizer: before a space that begins a word (byte-level), or at white space (where that is dropped). With any other
+tokenizer, and for texts where the cut isn't sure, whole texts are encoded.
+"""
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-from .common import chunks
+from .common import ROLL, Words, chunks
+
+#: Segments that a task remembers; beyond, it starts anew.
+REMEMBERED = 2_000_000
 
 
 @functools.cache
@@ -23,17 +33,117 @@ def tokenizer(path: str):
     return found
 
 
+@functools.cache
+def cut_of(path: str) -> str:
+    """``space``, ``word`` or ``whole``: where a tokenizer's texts may be cut."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, normalizer = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    if pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and normalizer is None:
+        return "space"
+    parts = pre.get("pretokenizers", [])
+    if parts and parts[0].get("type") == "Split" and parts[0].get("behavior") == "Removed" and parts[0].get("invert") and r"[^\s" in parts[0].get("pattern", {}).get("Regex", "") and spec["model"].get("type") == "BPE":
+        return "word"
+    return "whole"
+
+
+class Memory:
+    """The ids of segments, by hash."""
+
+    def __init__(self):
+        self.hash, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def add(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        total = int(size.sum())
+        if self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), total), np.uint32)])
+        self.pool[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        at = self.used + np.cumsum(size) - size
+        self.used += total
+        order = np.argsort(both := np.concatenate([self.hash, hashes]), kind="stable")
+        self.hash, self.at, self.size = both[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 where it is new."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1, np.int64)
+        k = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return np.where(self.hash[k] == hashes, k, -1)
+
+
+_MEMORY: dict[str, Memory] = {}
+
+
+def _segments(data: np.ndarray, offsets: np.ndarray, cut: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text) of the segments in order."""
+    w = Words(data, offsets)
+    if cut == "word":
+        return w.start, w.end, w.doc
+    # With spaces: a word has the space right before it; what white space is left between is one piece, but its last
+    # character stands alone if a word follows it at once.
+    before = np.concatenate([[0], w.end[:-1]]) if len(w.start) else w.end
+    new = np.concatenate([[True], w.doc[1:] != w.doc[:-1]]) if len(w.doc) else np.zeros(0, bool)
+    before = np.where(new, offsets[w.doc], before)
+    spaced = (w.start > before) & (data[np.maximum(w.start - 1, 0)] == 32)
+    lead = w.start - spaced
+    alone = ~spaced & (lead > before)
+    run_end = lead - alone
+    run = run_end > before
+    last = np.full(len(offsets) - 1, -1, np.int64)
+    last[w.doc] = w.end  # the last word's end of each text
+    tail_start = np.where(last >= 0, last, offsets[:-1])
+    tail = tail_start < offsets[1:]
+    start = np.concatenate([lead, before[run], run_end[alone], tail_start[tail]])
+    end = np.concatenate([w.end, run_end[run], lead[alone], offsets[1:][tail]])
+    doc = np.concatenate([w.doc, w.doc[run], w.doc[alone], np.flatnonzero(tail)])
+    order = np.argsort(start, kind="stable")
+    return start[order], end[order], doc[order]
+
+
+def _other_spaces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which texts may have white space beyond ASCII."""
+    a, b = data[:-1], data[1:]
+    hit = ((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0xE1) & (b == 0x9A)) | ((a == 0xE2) & ((b == 0x80) | (b == 0x81))) | ((a == 0xE3) & (b == 0x80))
+    found = np.zeros(len(offsets) - 1, bool)
+    found[np.searchsorted(offsets, np.flatnonzero(hit), side="right") - 1] = True
+    return found
+
+
 def encoded(column: pa.Array | pa.ChunkedArray, path: str, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, ids of all texts of a run of rows, offsets of each text's ids). Null is empty; each text ends with ``end_id``."""
-    tok = tokenizer(path)
-    for a, b, data, offsets in chunks(column, 1_000_000):
-        raw = data.tobytes()
-        cut = offsets.tolist()
-        got = [e.ids for e in tok.encode_batch_fast([raw[i:j].decode() for i, j in zip(cut[:-1], cut[1:], strict=True)], add_special_tokens=False)]
-        offs = np.concatenate([[0], np.cumsum([len(x) + 1 for x in got])])
+    tok, cut = tokenizer(path), cut_of(path)
+    for a, b, data, offsets in chunks(column, 4_000_000):
+        if path not in _MEMORY or len(_MEMORY[path].hash) > REMEMBERED:
+            _MEMORY[path] = Memory()
+        memory = _MEMORY[path]
+        if cut == "whole":
+            full = np.flatnonzero(np.diff(offsets))
+            start, end, doc = offsets[:-1][full], offsets[1:][full], full
+        else:
+            start, end, doc = _segments(data, offsets, cut)
+            if cut == "space" and (odd := _other_spaces(data, offsets)).any():
+                keep = ~odd[doc]
+                whole = np.flatnonzero(odd)
+                start, end, doc = np.concatenate([start[keep], offsets[:-1][whole]]), np.concatenate([end[keep], offsets[1:][whole]]), np.concatenate([doc[keep], whole])
+                order = np.argsort(start, kind="stable")
+                start, end, doc = start[order], end[order], doc[order]
+        name, first, of = np.unique(ROLL.spans(ROLL.prefix(ROLL.byte[data]), start, end), return_index=True, return_inverse=True)
+        fresh = np.flatnonzero(memory.find(name) < 0)
+        if len(fresh):
+            raw = data.tobytes()
+            texts = [raw[i:j].decode() for i, j in zip(start[first[fresh]].tolist(), end[first[fresh]].tolist(), strict=True)]
+            memory.add(name[fresh], [e.ids for i in range(0, len(texts), 10_000) for e in tok.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)])
+        place = memory.find(name)[of.ravel()]
+        size = memory.size[place]
+        counts = np.bincount(doc, size, b - a).astype(np.int64)
+        offs = np.concatenate([[0], np.cumsum(counts + 1)])
         ids = np.empty(offs[-1], np.uint32)
-        for x, i, j in zip(got, offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-            ids[i : j - 1] = x
+        # Where each segment's ids go: after all before it, and the end ids of the texts before.
+        shift = np.cumsum(size) - size
+        source = np.arange(size.sum()) + np.repeat(memory.at[place] - shift, size)
+        ids[np.arange(size.sum()) + np.repeat(doc, size)] = memory.pool[source]
         ids[offs[1:] - 1] = end_id
         yield a, ids, offs
 
