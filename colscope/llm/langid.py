@@ -188,8 +188,12 @@ def train(docs: DataFrame, sample_rows: int = 2000) -> Model:
     rows = docs.where(may_learn(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
     names = [r["lang"] for r in rows.select("lang").distinct().limit(sample_rows + 1).collect()]
     share = max(1, sample_rows // max(1, len(names)))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= share).select("doc_id").distinct()
+    # First within parts of a language, so that a common one is ranked by many tasks; then those few by language.
+    chosen = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(64)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = chosen.withColumn("n", F.row_number().over(first)).where(F.col("n") <= share).drop("n")
+    chosen = chosen.select("doc_id").distinct()
     # ``chosen`` has at most ``sample_rows`` rows (one for each language, if there are more), so it may be broadcast.
     sample = rows.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
