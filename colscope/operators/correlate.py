@@ -29,7 +29,7 @@ def value_rows(df: DataFrame, columns: list[str], row_key: list[str]) -> DataFra
 def strict_pairs(values: DataFrame, left: list[str] | None = None, right: list[str] | None = None) -> DataFrame:
     """(x_column, x_value, y_column, y_value, n_rows): values of two columns with the same rows, the column with the lesser name
     as x where both may be either. ``left`` and ``right`` limit the columns of x and y."""
-    side = lambda p, only: (values if only is None else values.where(F.col("col_name").isin(*only))).select(*[F.col(c).alias(f"{p}_{c}") for c in ("col_name", "value", "n_rows", "a", "b")])
+    side = lambda p, only: (values if only is None else values.where(F.col("col_name").isin(*only))).select(*[F.col(c).alias(f"{p}_{'column' if c == 'col_name' else c}") for c in ("col_name", "value", "n_rows", "a", "b")])
     x, y = side("x", left), side("y", right)
     pairs = x.join(y, (F.col("x_n_rows") == F.col("y_n_rows")) & (F.col("x_a") == F.col("y_a")) & (F.col("x_b") == F.col("y_b")))
     twice = left is None or right is None or bool(set(left) & set(right))
@@ -56,7 +56,7 @@ def correlations(values: DataFrame, uses: DataFrame) -> DataFrame:
     has = lambda name: F.exists("uses", lambda u: u.endswith("Code") if name == "code" else u == name)
     marked = uses.select("col_name", has("code").alias("code"), has("StandardText").alias("standard"), has("FreeText").alias("free"))
     rows = values.join(F.broadcast(marked), "col_name")  # as many rows as the table has columns
-    side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in ("col_name", "value", "n_rows", "a", "b", "code", "standard", "free")])
+    side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{'column' if c == 'col_name' else c}") for c in ("col_name", "value", "n_rows", "a", "b", "code", "standard", "free")])
     joined = side("x").where("x_code").join(side("y"), (F.col("x_n_rows") == F.col("y_n_rows")) & (F.col("x_a") == F.col("y_a")) & (F.col("x_b") == F.col("y_b")) & (F.col("x_column") != F.col("y_column")))
     other = F.when(F.col("y_code"), F.when(F.col("x_column") < F.col("y_column"), "code_code")).when(F.col("y_standard"), "code_standard").when(F.col("y_free"), "code_free")
     named = joined.withColumn("pairing", other).where("pairing is not null")
