@@ -315,7 +315,7 @@ def key_pair_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def key_search_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     found, cut = keys.find_key(df, groups.profile_groups(cells.value_counts(df)))
-    return spark.createDataFrame([(",".join(found), cut)], "key_columns string, cut boolean")
+    return spark.createDataFrame([(",".join(sorted(found)), cut)], "key_columns string, cut boolean")
 
 
 @query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST((SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)) AS BIGINT) AS n_distinct_rows FROM lineitem")
