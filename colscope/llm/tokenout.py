@@ -48,7 +48,7 @@ def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
     if n == 1:
         lengths[used] = 1
         return lengths
-    longest = max(longest, (n - 1).bit_length() + 1)
+    longest = max(longest, (n - 1).bit_length())
     order = used[np.argsort(counts[used], kind="stable")]
     leaves = counts[order].astype(np.float64)
     levels, current = [], leaves
