@@ -19,7 +19,7 @@ import pyarrow as pa
 from .common import ROLL, Words, chunks
 
 #: Segments that a task remembers; beyond, it starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 
 
 @functools.cache
@@ -114,7 +114,7 @@ def _other_spaces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def encoded(column: pa.Array | pa.ChunkedArray, path: str, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, ids of all texts of a run of rows, offsets of each text's ids). Null is empty; each text ends with ``end_id``."""
     tok, cut = tokenizer(path), cut_of(path)
-    for a, b, data, offsets in chunks(column, 4_000_000):
+    for a, b, data, offsets in chunks(column, 1_000_000):
         if path not in _MEMORY or len(_MEMORY[path].hash) > REMEMBERED:
             _MEMORY[path] = Memory()
         memory = _MEMORY[path]
@@ -134,7 +134,7 @@ def encoded(column: pa.Array | pa.ChunkedArray, path: str, end_id: int) -> Itera
         if len(fresh):
             raw = data.tobytes()
             texts = [raw[i:j].decode() for i, j in zip(start[first[fresh]].tolist(), end[first[fresh]].tolist(), strict=True)]
-            memory.add(name[fresh], [e.ids for i in range(0, len(texts), 10_000) for e in tok.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)])
+            memory.add(name[fresh], [e.ids for i in range(0, len(texts), 2_000) for e in tok.encode_batch_fast(texts[i : i + 2_000], add_special_tokens=False)])
         place = memory.find(name)[of.ravel()]
         size = memory.size[place]
         counts = np.bincount(doc, size, b - a).astype(np.int64)
