@@ -361,3 +361,39 @@ def test_leaks_against_brute_force(spark):
     left = [x.doc_id for x in drop_leaks(df, bench).collect()]
     assert sorted(x for x in left if x is not None) == sorted(d for d, _ in docs if d is not None and not any(k[0] == d for k in want)) and None not in left
     assert find_leaks(df.limit(0), bench).count() == 0 and find_leaks(df, bench.limit(0)).count() == 0
+
+
+def test_edited_and_partial_leaks_against_brute_force(spark):
+    """One edited copy of each item, some beside verbatim ones; half copies; a word inserted after every two; one and two words."""
+    from colscope.llm.decontam import drop_leaks, find_leaks
+
+    r = random.Random(9)
+    words = [f"v{i}" for i in range(2000)]
+    items = [(i, [r.choice(words) for _ in range(r.randint(8, 40))]) for i in range(80)] + [(80, ["solo"]), (81, ["duo", "trio"])]
+    docs = []
+    for i, w in items[:80]:
+        if i % 4 == 3:
+            leak = w[: (len(w) + 1) // 2] if i % 8 == 3 else [y for k, x in enumerate(w) for y in ([x, f"z{k}"] if k % 2 else [x])]
+        else:
+            share, leak = r.choice([0.15, 0.2, 0.25]), []
+            for x in w:
+                kind = r.choice("rdi") if r.random() < share else "k"
+                leak += {"k": [x], "r": [r.choice(words)], "d": [], "i": [x, r.choice(words)]}[kind]
+        for copy in [leak] + [w] * (3 if i % 5 == 0 else 0):
+            docs.append([r.choice(words) for _ in range(30)] + copy + [r.choice(words) for _ in range(30)])
+    docs += [["a", "b", "solo", "c"], ["a", "duo", "trio", "c", "d"], ["a", "duo", "b", "trio", "c"], ["solo"]]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+
+    def align(a, b):
+        h, best = [0] * (len(b) + 1), 0
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b, 1):
+                row.append(max(0, h[j - 1] + (1 if x == y else -1), h[j] - 1, row[j - 1] - 1))
+            h, best = row, max(best, *row)
+        return best
+
+    want = {(d, i): s for d, w in enumerate(docs) for i, x in items if (s := align(x, w)) >= max(0.5 * len(x), min(6, len(x)))}
+    assert {(x.doc_id, x.item_id): x.score for x in find_leaks(df, bench).collect()} == want and len(want) > 100
+    assert {x.doc_id for x in drop_leaks(df, bench).collect()} == set(range(len(docs))) - {d for d, _ in want}
