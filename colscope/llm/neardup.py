@@ -5,10 +5,13 @@
 2. Representatives that share a band form candidate clusters (alternating large-star and small-star on band stars).
    A cluster of up to ``unit`` texts is one unit of work, so each of its sets is shipped once. In larger clusters the
    band buckets are the units; a bucket above ``unit`` is split by pairs of bands, and what is still larger is cut
-   into blocks, each pair of blocks being a unit. No pair of a bucket is left out, and no task gets more than two blocks.
+   into blocks, each pair of blocks being a unit, so that no task gets more than two blocks.
 3. In a unit, signatures rule out pairs (six standard deviations below the threshold), full sets confirm the rest, and
    only a spanning forest of the confirmed links leaves the unit.
 4. Connected components of the links, again by alternating large-star and small-star.
+5. Splitting by pairs of bands leaves pairs out. So a bucket above ``unit`` whose texts are not of one component yet is cut
+   into blocks, and those pairs of blocks that hold more than its largest component are units of a second pass. Texts of one
+   component need no check, so every pair of every bucket is compared or known to be connected.
 
 A pair at the threshold is missed by all bands with a probability below 1e-7; the number of bands follows from the
 threshold.
@@ -100,8 +103,8 @@ def _signer(width: int, bands: int):
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
 
 
-def confirmed_links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], signatures: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the members of a unit.
+def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], signatures: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among the members of a unit, beyond what equal ``parts`` connect.
 
     ``sides`` is 0 for members that are compared with all, else 1 and 2 for blocks compared with each other only.
     Pairs already connected need no check: the forest has the same components.
@@ -114,7 +117,7 @@ def confirmed_links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray],
     mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
     k = signatures.shape[1]
     floor = k * (percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / k))
-    root = np.arange(n)
+    root = np.unique(parts, return_inverse=True)[1]
     found = []
     for i in range(n - 1):
         other = np.arange(i + 1, n)
@@ -146,14 +149,27 @@ def _linker(width: int, percent: int):
         for first, ones, _ in shingle_sets(table.column("text"), width):
             sets[first : first + len(ones)] = ones
         signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        links = confirmed_links(table.column("doc_id").to_numpy(), table.column("side").to_numpy(), sets, signatures, percent)
+        links = confirmed_links(table.column("doc_id").to_numpy(), table.column("side").to_numpy(), table.column("part").to_numpy(), sets, signatures, percent)
         return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
 
-def _units(reps: DataFrame, unit: int) -> DataFrame:
-    """(unit, side, doc_id): what is compared together. See the module's docstring, step 2."""
+def _block_pairs(rows: DataFrame, count: str) -> DataFrame:
+    """(unit, side, doc_id): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
+    rows = rows.select("doc_id", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
+    return rows.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "doc_id")
+
+
+def _one_of_each(members: DataFrame) -> DataFrame:
+    """(key): one of the keys with the same members. A sum of hashes names the membership."""
+    named = members.groupBy("key").agg(F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("b"))
+    return named.groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
+
+
+def _units(reps: DataFrame, unit: int) -> tuple[DataFrame, DataFrame]:
+    """(unit, side, doc_id): what is compared together, and (key, doc_id): the buckets above ``unit`` of large clusters, of which
+    some pairs are left out. See the module's docstring, step 2."""
     slot = reps.select("doc_id", F.posexplode("bands").alias("band", "value"))
     keyed = slot.select("doc_id", F.col("band"), F.xxhash64("band", "value").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1")
@@ -164,8 +180,7 @@ def _units(reps: DataFrame, unit: int) -> DataFrame:
     heavy = cluster.join(large, "component", "left_semi").select(F.col("node").alias("doc_id"))
     pieces = inside.join(heavy, "doc_id", "left_semi").select("key", "doc_id", "n", "band")
     fits = pieces.where(F.col("n") <= unit).select("key", "doc_id")
-    # Above the limit: the same bucket seen with one of three other bands as well. A pair at the threshold shares some
-    # fourteen bands, hence nearly certainly two that lie close together.
+    # Above the limit: the same bucket seen with one of three other bands as well. That finds nearly all links at less cost.
     wide = pieces.where(F.col("n") > unit).join(reps.select("doc_id", "bands"), "doc_id")
     total = F.size("bands")
     deeper = wide.select("doc_id", F.explode(F.array(*[F.xxhash64("key", F.lit(d), F.get("bands", (F.col("band") + d) % total)) for d in (1, 2, 3)])).alias("key"))
@@ -173,13 +188,27 @@ def _units(reps: DataFrame, unit: int) -> DataFrame:
     deeper = materialize(deeper.join(counted, "key"), "neardup-deeper")
     blocks = F.ceil(F.col("n") / (unit // 2)).cast("int")
     split = deeper.where(F.col("n") > unit).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("blocks")).cast("int"))
-    split = split.select("doc_id", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    split = split.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "doc_id")
-    small = fits.unionByName(deeper.where(F.col("n") <= unit).select("key", "doc_id")).select(F.col("key").alias("unit"), F.lit(0).alias("side"), "doc_id")
-    # Bands often gather the same texts; such buckets are one unit. A sum of hashes names the membership.
-    named = small.groupBy("unit").agg(F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("b"))
-    chosen = named.groupBy("a", "b").agg(F.min("unit").alias("unit")).select("unit")
-    return whole.unionByName(small.join(chosen, "unit", "left_semi")).unionByName(split)
+    split = _block_pairs(split, "blocks")
+    small = fits.unionByName(deeper.where(F.col("n") <= unit).select("key", "doc_id"))
+    # Bands often gather the same texts; such buckets are one unit.
+    small = small.join(_one_of_each(small), "key", "left_semi").select(F.col("key").alias("unit"), F.lit(0).alias("side"), "doc_id")
+    return whole.unionByName(small).unionByName(split), wide.select("key", "doc_id")
+
+
+def _left_units(wide: DataFrame, reached: DataFrame, unit: int) -> DataFrame:
+    """(unit, side, doc_id, part): what large buckets still have to compare. See the module's docstring, step 5.
+
+    A bucket's largest component is cut into blocks of its own, which are compared with those of the rest only.
+    """
+    members = wide.distinct().join(reached, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("part"))
+    sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")).where("n > n_main")
+    members = materialize(members.join(most, "key"), "neardup-left")
+    blocks = lambda n: F.ceil(n / (unit // 2)).cast("int")
+    members = members.join(_one_of_each(members), "key", "left_semi").withColumns({"rest": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "hash": F.xxhash64("doc_id", F.lit(5))})
+    inner = F.col("part") == F.col("main")
+    members = members.withColumns({"block": F.when(inner, F.col("rest") + F.pmod("hash", "mains")).otherwise(F.pmod("hash", "rest")).cast("int"), "against": F.when(inner, F.col("rest")).otherwise(F.col("rest") + F.col("mains"))})
+    return _block_pairs(members, "against").join(members.select("doc_id", "part").distinct(), "doc_id")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, unit: int = 512) -> DataFrame:
@@ -201,14 +230,24 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
     classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
     reps = classes.join(full.select("doc_id", "set_a", "set_b", "n_shingles", "bands", "signature"), (F.col("class_id") == F.col("doc_id")) & full.set_a.eqNullSafe(classes.set_a) & full.set_b.eqNullSafe(classes.set_b)).select("doc_id", classes.set_a, classes.set_b, "bands", "signature").dropDuplicates(["doc_id", "set_a", "set_b"])
     reps = materialize(reps.select("doc_id", "bands", "signature"), "neardup-reps")
-    units = materialize(_units(reps, unit), "neardup-units")
-    wanted = units.select("doc_id").distinct().join(reps.select("doc_id", "signature"), "doc_id").dropDuplicates(["doc_id"])
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-    texts = materialize(texts, "neardup-texts")
-    work = units.join(texts, "doc_id").select("unit", "side", "doc_id", "text", "signature")
-    links = work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long")
-    same = full.join(classes.where("copies > 1"), ["set_a", "set_b", "n_shingles"]).select(F.col("doc_id").alias("u"), F.col("class_id").alias("v")).where("u <> v")
+    units, wide = _units(reps, unit)
+    units, wide = materialize(units.withColumn("part", F.col("doc_id")), "neardup-units"), materialize(wide, "neardup-wide")
+
+    def links_of(units: DataFrame) -> DataFrame:
+        wanted = units.select("doc_id").distinct().join(reps.select("doc_id", "signature"), "doc_id").dropDuplicates(["doc_id"])
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+        texts = materialize(texts, "neardup-texts")
+        work = units.join(texts, "doc_id").select("unit", "side", "doc_id", "part", "text", "signature")
+        return work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long")
+
+    links = materialize(links_of(units), "neardup-linked")
     reached = components(links, "neardup-links")
+    if wide.limit(1).count():
+        left = materialize(_left_units(wide, reached, unit), "neardup-left-units")
+        if left.limit(1).count():
+            links = materialize(links.unionByName(links_of(left)), "neardup-linked")
+            reached = components(links, "neardup-left-links")
+    same = full.join(classes.where("copies > 1"), ["set_a", "set_b", "n_shingles"]).select(F.col("doc_id").alias("u"), F.col("class_id").alias("v")).where("u <> v")
     # A class is a star around its representative, whose component the links give: copies need no round of their own.
     # Only a doc_id with several texts can belong to several classes; then the classes are linked as well.
     repeated = full.groupBy("doc_id").agg(F.count_distinct("set_a", "set_b").alias("n")).where("n > 1").select("doc_id")

@@ -275,6 +275,24 @@ def test_near_duplicates_against_brute_force(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_within_large_buckets(spark):
+    """A text whose bands in common with near copies all lie far apart, in buckets above the unit: its links are kept."""
+    from colscope.llm.neardup import near_duplicates
+
+    r = random.Random(22)
+    word = lambda: f"x{r.randint(0, 10**6)}"
+    base, texts = [word() for _ in range(60)], []
+    for _ in range(8):
+        w = list(base)
+        w[r.choice([0, -1])] = word()
+        texts.append(w)
+    texts.append(base[:42] + [word() for _ in range(18)])
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    assert all(any(100 * len(x & y) >= 50 * len(x | y) for y in sets if y is not x) for x in sets)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    assert {x.component_id for x in near_duplicates(df, 0.5, unit=4).collect()} == {0}
+
+
 # ---------------------------------------------------------------- 8 and 10: classifiers
 
 
