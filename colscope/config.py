@@ -32,7 +32,6 @@ CODE_USES = ("NumericCode", "TextCode", "AlphaNumericCode", "CodeWithoutSpaces")
 class ProfileConfig:
     varchar_sizes: tuple[int, ...] = (5, 20, 50, 100, 150, 250)
     number_samples: int = 2000
-    date_samples: int = 1000
     prefer_order: str = "DMY"
     two_digit_pivot: int = 50
     first_year: int = 1990

@@ -36,11 +36,15 @@ def _tail(s: Column, symbol: str) -> Column:
     return F.length(F.regexp_extract(F.substring_index(s, symbol, -1), r"^([0-9]*)", 1))
 
 
+def number_like(cells: DataFrame) -> DataFrame:
+    """The cells that look like numbers."""
+    return cells.where(F.col("value").rlike("[0-9]") & ~F.col("value").rlike("[A-Za-z]") & F.col("value").rlike(NUMBER_CHARACTERS))
+
+
 def number_samples(cells: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
     """The first cells (col_name, value; in order of ord) of each column that look like numbers."""
-    fit = cells.where(F.col("value").rlike("[0-9]") & ~F.col("value").rlike("[A-Za-z]") & F.col("value").rlike(NUMBER_CHARACTERS))
     first = Window.partitionBy("col_name").orderBy("ord")
-    return fit.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= config.number_samples).drop("_n")
+    return number_like(cells).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= config.number_samples).drop("_n")
 
 
 def number_plans(samples: DataFrame) -> DataFrame:

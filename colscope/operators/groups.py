@@ -7,24 +7,22 @@ from pyspark.sql import functions as F
 
 from ..config import BOOLEAN_PAIRS, DATETIME_USES, DEFAULT, NUMERIC_USES, ProfileConfig
 from ..functions.dates import ORDERS, chosen_format, chosen_order, format_mask, order_confidence, order_counts, order_fits, parse_date_strict, parse_datetime_strict, parse_ordered, parse_time_strict
-from ..functions.numbers import normalized_number, number_plans, number_samples
+from ..functions.numbers import normalized_number, number_like, number_plans
 from ..functions.text import char_class
 
 GROUP = ("col_name", "length", "class")
 
 
 def date_orders(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
-    """(col_name, date_order, confidence): of the first texts (in order of value) with a separator or a month's name."""
+    """(col_name, date_order, confidence): of all texts with a separator or a month's name."""
     may = vc.where(F.col("value").rlike("[/.-]|[A-Za-z]{3}") & F.col("value").rlike("[0-9]"))
-    first = Window.partitionBy("col_name").orderBy("value")
-    some = may.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= config.date_samples)
-    counted = some.withColumns(order_fits(F.col("value"), config)).groupBy("col_name").agg(*order_counts()).withColumn("date_order", chosen_order(F.lit(config.prefer_order)))
+    counted = may.withColumns(order_fits(F.col("value"), config)).groupBy("col_name").agg(*order_counts()).withColumn("date_order", chosen_order(F.lit(config.prefer_order)))
     return counted.select("col_name", "date_order", order_confidence(F.col("date_order")).alias("confidence"))
 
 
 def plans_of(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
-    """The number plan of each column, from its distinct values in order of value."""
-    return number_plans(number_samples(vc.select("col_name", "value", F.col("value").alias("ord")), config))
+    """The number plan of each column, from all its distinct values that look like numbers."""
+    return number_plans(number_like(vc.select("col_name", "value")))
 
 
 def marked_values(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:

@@ -163,3 +163,15 @@ def test_listing(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x" * size)
     files = list_files(spark, str(tmp_path))
     assert files.count() == 4 and {r.state: r.n_files for r in status(files).collect()} == {"done": 1, "pending": 1}
+
+
+def test_order_and_plan_from_all_values(spark):
+    """The least texts of a column alone would mislead: days up to 10 only, fractions of three digits only."""
+    from colscope.operators.groups import date_orders, plans_of
+
+    when = F.timestamp_seconds(F.lit(1_577_836_800) + F.col("id") * 6001)
+    dates = spark.range(36600).select(F.lit("d").alias("col_name"), F.date_format(when, "MM/dd/yyyy HH:mm:ss").alias("value"))
+    assert date_orders(dates).first().date_order == "MDY"
+    numbers = spark.createDataFrame([("n", f"{i // 1000}.{i % 1000:03d}") for i in range(2000)] + [("n", "10.5")], "col_name string, value string")
+    plan = plans_of(numbers).first()
+    assert (plan["mode"], plan["decimal"]) == ("decimal_present", ".")
