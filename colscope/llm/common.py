@@ -6,6 +6,8 @@ and no Python object is made for each word.
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 import zipfile
@@ -37,21 +39,52 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a fresh local one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder that the driver and all executors see: spark.checkpoint.dir. Where it is unset, a fresh local one, but only if
+    the driver is the only machine; else that is an error, as executors would each write to their own disk."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or getattr(sc, "_colscope_shared", None)
     if not found:
-        found = getattr(spark.sparkContext, "_colscope_shared", None)
-        if not found:
-            found = spark.sparkContext._colscope_shared = "file://" + tempfile.mkdtemp(prefix="colscope-shared-")
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = sc._colscope_shared = "file://" + tempfile.mkdtemp(prefix="colscope-shared-")
     return found.rstrip("/")
 
 
+class Kept:
+    """A table written to the shared folder: lineage ends there, and lost executors take nothing along. ``df`` reads it; ``drop``
+    deletes its files as soon as no step needs them, and what is left goes when the application ends."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark = df.sparkSession
+        self.path = fresh_folder(self.spark, name)
+        schema = df.schema
+        df.write.option("compression", "zstd").parquet(self.path)
+        self.df = self.spark.read.schema(schema).parquet(self.path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    found = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path.getParent())
+    fs.deleteOnExit(path)
+    return found
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there, and lost executors take nothing along."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` as a kept table that stays until the application ends."""
+    return Kept(df, name).df
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def text_bytes(df: DataFrame, column: str = "text") -> int:
@@ -78,38 +111,86 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Roller:
-    """Hashes of all spans of a sequence from prefix sums of ``value * base**position`` modulo 2**64."""
+_R = np.random.default_rng(11)
+_ODD = _R.integers(0, 2**63, 64, dtype=U64) * U64(2) + U64(1)
+_SEED_SUM, _SEED_CHAIN, _LENGTH = _R.integers(0, 2**63, 3, dtype=U64) * U64(2) + U64(1)
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
-    def __init__(self, seed: int):
-        r = np.random.default_rng(seed)
-        self.base = int(r.integers(1, 2**62)) * 4 + 3
-        self.inverse = pow(self.base, -1, 2**64)
-        self.byte = r.integers(0, 2**64, 256, dtype=U64)
-        self.length = U64(int(r.integers(1, 2**63)) * 2 + 1)
-        self._up = self._down = np.ones(1, U64)
 
-    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._up) < n:
-            size = max(n, 2 * len(self._up))
-            up, down = np.full(size, U64(self.base)), np.full(size, U64(self.inverse))
-            up[0] = down[0] = 1
-            self._up, self._down = np.cumprod(up), np.cumprod(down)
-        return self._up[:n], self._down[:n]
+def _blocks(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as an integer, zeros beyond the end; a view, so only what is looked up is read."""
+    return np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
 
-    def prefix(self, values: np.ndarray) -> np.ndarray:
-        out = np.empty(len(values) + 1, U64)
-        out[0] = 0
-        np.cumsum(values * self.powers(len(values))[0], out=out[1:])
-        return out
 
-    def spans(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        down = self.powers(len(prefix))[1]
-        return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(U64) * self.length)
+def same_spans(one: np.ndarray, start: np.ndarray, other: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the spans of ``size`` bytes from ``start`` in ``one`` and from ``at`` in ``other`` (views by ``_blocks``) are equal."""
+    same = np.ones(len(size), bool)
+    rows, nth = np.flatnonzero(size), 0
+    while len(rows):
+        low = _LOW[np.minimum(size[rows] - 8 * nth, 8)]
+        same[rows] &= (one[start[rows] + 8 * nth] & low) == (other[at[rows] + 8 * nth] & low)
+        nth += 1
+        rows = rows[same[rows] & (size[rows] > 8 * nth)]
+    return same
+
+
+def span_sums(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of spans of bytes: blocks of eight bytes are mixed with their number in the span, and summed."""
+    at, size = _blocks(data), end - start
+    many = np.maximum((size + 7) >> 3, 1)
+    if not len(many):
+        return np.zeros(0, U64)
+    if many.max() == 1:
+        total = mix((at[start] & _LOW[size]) + _SEED_SUM)
+    else:
+        first = np.cumsum(many) - many
+        nth = np.arange(int(many.sum())) - np.repeat(first, many)
+        left = np.repeat(size, many) - 8 * nth
+        value = at[np.repeat(start, many) + 8 * nth] & _LOW[np.minimum(left, 8)]
+        total = np.add.reduceat(mix(value + _SEED_SUM + mix(nth.astype(U64) * _MULT)), first)
+    return mix(total + size.astype(U64) * _LENGTH)
+
+
+def span_chains(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of another family: each block is mixed into the hash of those before."""
+    at, size = _blocks(data), end - start
+    out = mix(size.astype(U64) + _SEED_CHAIN)
+    many = (size + 7) >> 3
+    order = np.argsort(-many, kind="stable")
+    ranked = -many[order]
+    for nth in range(int(many.max(initial=0))):
+        rows = order[: np.searchsorted(ranked, -nth)] if nth else np.flatnonzero(many)
+        value = at[start[rows] + 8 * nth] & _LOW[np.minimum(size[rows] - 8 * nth, 8)]
+        out[rows] = mix(out[rows] * _MULT + (value ^ _SEED_CHAIN))
+    return out
+
+
+def run_sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of runs of values (64 at most): each times the odd number of its place, summed."""
+    size = end - start
+    total = size.astype(U64) * _LENGTH
+    for nth in range(int(size.max(initial=0))):
+        if nth < size.min():
+            total += values[start + nth] * _ODD[nth]
+        else:
+            rows = np.flatnonzero(size > nth)
+            total[rows] += values[start[rows] + nth] * _ODD[nth]
+    return mix(total)
+
+
+def run_chains(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of another family: each value is mixed into the hash of those before."""
+    size = end - start
+    out = mix(size.astype(U64) + _SEED_CHAIN)
+    for nth in range(int(size.max(initial=0))):
+        if nth < size.min():
+            out = mix(out * _MULT + values[start + nth])
+        else:
+            rows = np.flatnonzero(size > nth)
+            out[rows] = mix(out[rows] * _MULT + values[start[rows] + nth])
+    return out
 
 
-ROLL = Roller(11)
-ROLL2 = Roller(12)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -142,8 +223,11 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
 
-    def hashes(self, roll: Roller = ROLL) -> np.ndarray:
-        return roll.spans(roll.prefix(roll.byte[self.data]), self.start, self.end)
+    def sums(self) -> np.ndarray:
+        return span_sums(self.data, self.start, self.end)
+
+    def chains(self) -> np.ndarray:
+        return span_chains(self.data, self.start, self.end)
 
 
 def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,33 +267,32 @@ def int_column(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 # ---------------------------------------------------------------- components
 
 
-def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
+def _settled(edges: DataFrame) -> bool:
+    """Whether every component is a star: no node has two others above it, or one above and one below."""
+    sides = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return sides.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").limit(1).count() == 0
+
+
+def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> Kept:
     """(node, component) of an undirected graph given as rows (u, v); component is the smallest node reachable.
 
-    Alternates large-star and small-star. Each round reads a written table, takes minima with partial
-    aggregation and joins them back, so that the neighbours of one node are never gathered in a task.
+    Alternates large-star and small-star until every component is a star. Each round reads a written table, takes minima with
+    partial aggregation and joins them back, so that the neighbours of one node are never gathered in a task.
     Nulls in u or v are dropped, as are loops. Nodes without an edge do not appear.
     """
-    spark = edges.sparkSession
-    empty = spark.createDataFrame([], "u long, v long")
-    now = materialize(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-edges")
-
-    def summary(df: DataFrame):
-        return df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-
-    seen = summary(now)
-    if not seen["n"]:
-        return empty.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    now = Kept(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-edges")
     for k in range(max_rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        lows = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lows, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        now = materialize(small, f"{name}-round{k}")
-        last, seen = seen, summary(now)
-        if seen == last:
+        if _settled(now.df):
             break
+        both = now.df.unionByName(now.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = Kept(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), f"{name}-large{k}")
+        now.drop()
+        lows = large.df.groupBy("u").agg(F.min("v").alias("m"))
+        now = Kept(large.df.join(lows, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct(), f"{name}-small{k}")
+        large.drop()
     else:
         raise RuntimeError("components did not settle")
-    return now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    found = Kept(now.df.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.df.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), name)
+    now.drop()
+    return found

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROLL, U64, Words, chunks, ship
+from .common import U64, Words, chunks, run_sums, ship
 
 #: Words of a seed (the bounds above are for two); the least similarity; the least score of items that are longer than it.
 SEED, SIMILAR, LEAST = 2, 0.5, 6
@@ -41,7 +41,7 @@ _WORD[65:91] = np.arange(97, 123)
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, number of each text's first word)."""
     w = Words(_WORD[data], offsets)
-    return w.hashes(ROLL), w.first
+    return w.sums(), w.first
 
 
 def grams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +50,7 @@ def grams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.
     many = np.maximum(count - n + 1, np.minimum(count, 1))
     doc = np.repeat(np.arange(len(count)), many)
     start = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + first[:-1][doc]
-    return ROLL.spans(ROLL.prefix(words), start, np.minimum(start + n, first[1:][doc])), start
+    return run_sums(words, start, np.minimum(start + n, first[1:][doc])), start
 
 
 class Items:
@@ -79,7 +79,7 @@ class Items:
         gram, start = grams(words, first, SEED)
         if self.single:
             one = np.arange(len(words))
-            gram, start = np.concatenate([gram, ROLL.spans(ROLL.prefix(words), one, one + 1)]), np.concatenate([start, one])
+            gram, start = np.concatenate([gram, run_sums(words, one, one + 1)]), np.concatenate([start, one])
         if not len(self.keys):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.minimum(np.searchsorted(self.keys, gram), len(self.keys) - 1)

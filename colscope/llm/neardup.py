@@ -1,17 +1,18 @@
 """MinHash near-duplicate detection with exact confirmation and connected components.
 
 1. One pass turns each text into its set of word shingles: ``bands * 5`` minima of universal hashes (multiply-shift)
-   over the set, banded by fives, and a 128-bit name of the whole set. Equal sets collapse to one representative.
+   over the set, banded by fives, and a 128-bit name of the whole set, half of it from hashes of another family. Equal sets
+   collapse to one representative.
 2. Representatives that share a band form candidate clusters (alternating large-star and small-star on band stars).
    A cluster of up to ``unit`` texts is one unit of work, so each of its sets is shipped once. In larger clusters the
-   band buckets are the units; a bucket above ``unit`` is split by pairs of bands, and what is still larger is cut
+   band buckets are the units; a bucket above ``unit`` is first split by pairs of bands, and what is still larger is cut
    into blocks, each pair of blocks being a unit, so that no task gets more than two blocks.
-3. In a unit, signatures rule out pairs (six standard deviations below the threshold), full sets confirm the rest, and
-   only a spanning forest of the confirmed links leaves the unit.
+3. In a unit, signatures rule out pairs (six standard deviations below the threshold), full sets confirm the rest (by both
+   families of hashes), and only a spanning forest of the confirmed links leaves the unit.
 4. Connected components of the links, again by alternating large-star and small-star.
-5. Splitting by pairs of bands leaves pairs out. So a bucket above ``unit`` whose texts are not of one component yet is cut
-   into blocks, and those pairs of blocks that hold more than its largest component are units of a second pass. Texts of one
-   component need no check, so every pair of every bucket is compared or known to be connected.
+5. Splitting by pairs of bands leaves pairs out for a while. So a bucket above ``unit`` whose texts are not of one component
+   yet is cut into blocks, and those pairs of blocks that hold more than its largest component are units of a second pass.
+   Texts of one component need no check, so in the end every pair of every bucket is compared or known to be connected.
 
 A pair at the threshold is missed by all bands with a probability below 1e-7; the number of bands follows from the
 threshold.
@@ -27,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
-from .common import ROLL, ROLL2, U64, Words, chunks, components, materialize, mix, ship
+from .common import _ODD, U64, Kept, Words, chunks, components, mix, release, run_chains, run_sums, ship
 
 ROWS = 5
 MISS = 1e-7
@@ -44,20 +44,19 @@ def universal(k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingle_sets(column, width: int) -> Iterator[tuple[int, list[np.ndarray], list[np.ndarray]]]:
-    """(first row, sorted distinct shingle hashes of each text, a second hash of each) for runs of rows.
+    """(first row, sorted distinct shingle hashes of each text, hashes of another family in the same order) for runs of rows.
 
     Words are lower-cased in A-Z only. A text with fewer words than ``width`` has its whole sequence as one shingle,
     one without words has none.
     """
     for a, b, data, offsets in chunks(column):
         w = Words(data, offsets, lower=True)
-        pre, pre2 = (r.prefix(w.hashes(r)) for r in (ROLL, ROLL2))
         count = np.diff(w.first)
         many = np.maximum(count - width + 1, np.minimum(count, 1))
         doc = np.repeat(np.arange(b - a), many)
         start = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + w.first[:-1][doc]
         end = np.minimum(start + width, w.first[1:][doc])
-        one, two = ROLL.spans(pre, start, end), ROLL2.spans(pre2, start, end)
+        one, two = run_sums(w.sums(), start, end), run_chains(w.chains(), start, end)
         order = np.lexsort((one, doc))
         one, two, doc = one[order], two[order], doc[order]
         keep = np.ones(len(one), bool)
@@ -77,37 +76,38 @@ def minima(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return best
 
 
+SIGNED = "doc_id long, h long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
+
+
 def _signer(width: int, bands: int):
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
+    name = lambda x: int(mix(x).sum(dtype=U64).astype(np.int64))
 
     def run(batches):
         a, b = universal(bands * ROWS)
-        factor = ROLL2.powers(ROWS)[0]
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("h").to_pylist()
             for first, ones, twos in shingle_sets(batch.column("text"), width):
                 out = []
-                for k, (x, y) in enumerate(zip(ones, twos, strict=True)):
+                for k, (x, y) in enumerate(zip(ones, twos, strict=True), first):
                     if not len(x):
-                        out.append((0, ids[first + k], 0, 0, 0, None, None))
+                        out.append((ids[k], hashes[k], 0, 0, 0, None, None))
                         continue
                     least = minima(x, a, b)
-                    band = mix((least.reshape(bands, ROWS) * factor).sum(axis=1, dtype=U64))
-                    out.append((0, ids[first + k], len(x), int(mix(x).sum(dtype=U64).astype(np.int64)), int(mix(y).sum(dtype=U64).astype(np.int64)), band.astype(np.int64).tolist(), (least >> U64(56)).astype(np.uint8).tobytes()))
+                    band = mix((least.reshape(bands, ROWS) * _ODD[:ROWS]).sum(axis=1, dtype=U64))
+                    out.append((ids[k], hashes[k], len(x), name(x), name(y), band.astype(np.int64).tolist(), (least >> U64(56)).astype(np.uint8).tobytes()))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)][1:], schema=pa.schema(list(schema)[1:]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
-SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
-
-
-def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], signatures: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], others: list[np.ndarray], signatures: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members of a unit, beyond what equal ``parts`` connect.
 
-    ``sides`` is 0 for members that are compared with all, else 1 and 2 for blocks compared with each other only.
-    Pairs already connected need no check: the forest has the same components.
+    ``sides`` is 0 for members that are compared with all, else 1 and 2 for blocks compared with each other only. ``others`` are
+    the sets by another family of hashes, which has to agree. Pairs already connected need no check: the forest has the same
+    components.
     """
     n = len(ids)
     size = np.array([len(s) for s in sets])
@@ -118,6 +118,7 @@ def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets:
     k = signatures.shape[1]
     floor = k * (percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / k))
     root = np.unique(parts, return_inverse=True)[1]
+    enough = lambda both, i, j: 100 * both >= percent * (size[i] + size[j] - both)
     found = []
     for i in range(n - 1):
         other = np.arange(i + 1, n)
@@ -131,11 +132,9 @@ def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets:
             continue
         mark[flat[cut[i] : cut[i + 1]]] = True
         for j in other:
-            if root[j] != root[i]:
-                both = int(mark[flat[cut[j] : cut[j + 1]]].sum())
-                if 100 * both >= percent * (size[i] + size[j] - both):
-                    found.append((int(ids[i]), int(ids[j])))
-                    root[root == root[j]] = root[i]
+            if root[j] != root[i] and enough(int(mark[flat[cut[j] : cut[j + 1]]].sum()), i, j) and enough(len(np.intersect1d(others[i], others[j])), i, j):
+                found.append((int(ids[i]), int(ids[j])))
+                root[root == root[j]] = root[i]
         mark[flat[cut[i] : cut[i + 1]]] = False
     return found
 
@@ -145,70 +144,74 @@ def _linker(width: int, percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
-        sets = [None] * table.num_rows
-        for first, ones, _ in shingle_sets(table.column("text"), width):
-            sets[first : first + len(ones)] = ones
+        sets, others = [None] * table.num_rows, [None] * table.num_rows
+        for first, ones, twos in shingle_sets(table.column("text"), width):
+            sets[first : first + len(ones)], others[first : first + len(ones)] = ones, twos
         signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        links = confirmed_links(table.column("doc_id").to_numpy(), table.column("side").to_numpy(), table.column("part").to_numpy(), sets, signatures, percent)
+        links = confirmed_links(table.column("doc_id").to_numpy(), table.column("side").to_numpy(), table.column("part").to_numpy(), sets, others, signatures, percent)
         return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
 
 def _block_pairs(rows: DataFrame, count: str) -> DataFrame:
-    """(unit, side, doc_id): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
-    rows = rows.select("doc_id", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
-    return rows.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "doc_id")
+    """(unit, side, doc_id, h): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
+    rows = rows.select("doc_id", "h", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
+    return rows.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "doc_id", "h")
 
 
 def _one_of_each(members: DataFrame) -> DataFrame:
     """(key): one of the keys with the same members. A sum of hashes names the membership."""
-    named = members.groupBy("key").agg(F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("b"))
+    named = members.groupBy("key").agg(F.sum(F.xxhash64("doc_id", "h").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("doc_id", "h", F.lit(1)).cast("decimal(38,0)")).alias("b"))
     return named.groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
 
 
-def _units(reps: DataFrame, unit: int) -> tuple[DataFrame, DataFrame]:
-    """(unit, side, doc_id): what is compared together, and (key, doc_id): the buckets above ``unit`` of large clusters, of which
-    some pairs are left out. See the module's docstring, step 2."""
-    slot = reps.select("doc_id", F.posexplode("bands").alias("band", "value"))
-    keyed = slot.select("doc_id", F.col("band"), F.xxhash64("band", "value").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1")
-    inside = materialize(keyed.join(sizes, "key"), "neardup-buckets")
-    cluster = materialize(components(inside.select(F.col("doc_id").alias("u"), F.col("low").alias("v")), "neardup-clusters"), "neardup-cluster-of")
-    large = cluster.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > unit).select("component")
-    whole = cluster.join(large, "component", "left_anti").select(F.xxhash64(F.lit("c"), "component").alias("unit"), F.lit(0).alias("side"), F.col("node").alias("doc_id"))
-    heavy = cluster.join(large, "component", "left_semi").select(F.col("node").alias("doc_id"))
-    pieces = inside.join(heavy, "doc_id", "left_semi").select("key", "doc_id", "n", "band")
-    fits = pieces.where(F.col("n") <= unit).select("key", "doc_id")
+def _units(reps: DataFrame, unit: int) -> tuple[Kept, Kept]:
+    """(unit, side, doc_id, h): what is compared together, and (key, doc_id, h): the buckets above ``unit`` of large clusters, of
+    which some pairs are left for the second pass. See the module's docstring, steps 2 and 5."""
+    keyed = reps.select("doc_id", "h", F.posexplode("bands").alias("band", "value")).select("doc_id", "h", "band", F.xxhash64("band", "value").alias("key"))
+    sizes = Kept(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1"), "neardup-sizes")
+    inside = Kept(keyed.join(sizes.df, "key"), "neardup-buckets")
+    sizes.drop()
+    cluster = components(inside.df.select(F.col("doc_id").alias("u"), F.col("low").alias("v")), "neardup-clusters")
+    # A text that shares a bucket with its own doc_id only has no neighbour, and so is in no cluster.
+    large = cluster.df.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > unit).select("component")
+    whole = cluster.df.join(large, "component", "left_anti").select(F.xxhash64(F.lit("c"), "component").alias("unit"), F.lit(0).alias("side"), F.col("node").alias("doc_id")).join(reps.select("doc_id", "h"), "doc_id").select("unit", "side", "doc_id", "h")
+    heavy = cluster.df.join(large, "component", "left_semi").select(F.col("node").alias("doc_id"))
+    pieces = inside.df.join(heavy, "doc_id", "left_semi").select("key", "doc_id", "h", "n", "band")
+    fits = pieces.where(F.col("n") <= unit).select("key", "doc_id", "h")
     # Above the limit: the same bucket seen with one of three other bands as well. That finds nearly all links at less cost.
-    wide = pieces.where(F.col("n") > unit).join(reps.select("doc_id", "bands"), "doc_id")
+    wide = Kept(pieces.where(F.col("n") > unit).join(reps.select("doc_id", "h", "bands"), ["doc_id", "h"]), "neardup-wide")
     total = F.size("bands")
-    deeper = wide.select("doc_id", F.explode(F.array(*[F.xxhash64("key", F.lit(d), F.get("bands", (F.col("band") + d) % total)) for d in (1, 2, 3)])).alias("key"))
-    counted = deeper.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    deeper = materialize(deeper.join(counted, "key"), "neardup-deeper")
+    deeper = wide.df.select("doc_id", "h", F.explode(F.array(*[F.xxhash64("key", F.lit(d), F.get("bands", (F.col("band") + d) % total)) for d in (1, 2, 3)])).alias("key"))
+    counted = Kept(deeper.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "neardup-counted")
+    held = Kept(deeper.join(counted.df, "key"), "neardup-deeper")
+    counted.drop()
     blocks = F.ceil(F.col("n") / (unit // 2)).cast("int")
-    split = deeper.where(F.col("n") > unit).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("blocks")).cast("int"))
-    split = _block_pairs(split, "blocks")
-    small = fits.unionByName(deeper.where(F.col("n") <= unit).select("key", "doc_id"))
+    split = held.df.where(F.col("n") > unit).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id", "h", F.lit(5)), F.col("blocks")).cast("int"))
+    small = fits.unionByName(held.df.where(F.col("n") <= unit).select("key", "doc_id", "h"))
     # Bands often gather the same texts; such buckets are one unit.
-    small = small.join(_one_of_each(small), "key", "left_semi").select(F.col("key").alias("unit"), F.lit(0).alias("side"), "doc_id")
-    return whole.unionByName(small).unionByName(split), wide.select("key", "doc_id")
+    small = small.join(_one_of_each(small), "key", "left_semi").select(F.col("key").alias("unit"), F.lit(0).alias("side"), "doc_id", "h")
+    units = Kept(whole.unionByName(small).unionByName(_block_pairs(split, "blocks")).withColumn("part", F.col("doc_id")), "neardup-units")
+    for x in (inside, cluster, held):
+        x.drop()
+    return units, wide
 
 
 def _left_units(wide: DataFrame, reached: DataFrame, unit: int) -> DataFrame:
-    """(unit, side, doc_id, part): what large buckets still have to compare. See the module's docstring, step 5.
+    """(unit, side, doc_id, h, part): what large buckets still have to compare. See the module's docstring, step 5.
 
     A bucket's largest component is cut into blocks of its own, which are compared with those of the rest only.
     """
-    members = wide.distinct().join(reached, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("part"))
+    members = wide.select("key", "doc_id", "h").distinct().join(reached, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", "h", F.coalesce("component", "doc_id").alias("part"))
     sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     most = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")).where("n > n_main")
-    members = materialize(members.join(most, "key"), "neardup-left")
+    members = members.join(most, "key")
     blocks = lambda n: F.ceil(n / (unit // 2)).cast("int")
-    members = members.join(_one_of_each(members), "key", "left_semi").withColumns({"rest": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "hash": F.xxhash64("doc_id", F.lit(5))})
+    members = members.join(_one_of_each(members), "key", "left_semi").withColumns({"rest": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "hash": F.xxhash64("doc_id", "h", F.lit(5))})
     inner = F.col("part") == F.col("main")
     members = members.withColumns({"block": F.when(inner, F.col("rest") + F.pmod("hash", "mains")).otherwise(F.pmod("hash", "rest")).cast("int"), "against": F.when(inner, F.col("rest")).otherwise(F.col("rest") + F.col("mains"))})
-    return _block_pairs(members, "against").join(members.select("doc_id", "part").distinct(), "doc_id")
+    return _block_pairs(members, "against").join(members.select("doc_id", "h", "part").distinct(), ["doc_id", "h"])
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, unit: int = 512) -> DataFrame:
@@ -222,41 +225,54 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
     class_id, component_id null and kept true, and links nothing. Rows that repeat a doc_id each keep their row; a doc_id
     whose rows hold different texts joins what any of them joins. Other columns are not read. An empty table gives none.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     percent = round(threshold * 100)
     bands = bands_for(percent / 100)
-    signed = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signer(width, bands), SIGNED), "neardup-signed")
-    full = signed.where("doc_id is not null and n_shingles > 0")
-    classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
-    reps = classes.join(full.select("doc_id", "set_a", "set_b", "n_shingles", "bands", "signature"), (F.col("class_id") == F.col("doc_id")) & full.set_a.eqNullSafe(classes.set_a) & full.set_b.eqNullSafe(classes.set_b)).select("doc_id", classes.set_a, classes.set_b, "bands", "signature").dropDuplicates(["doc_id", "set_a", "set_b"])
-    reps = materialize(reps.select("doc_id", "bands", "signature"), "neardup-reps")
-    units, wide = _units(reps, unit)
-    units, wide = materialize(units.withColumn("part", F.col("doc_id")), "neardup-units"), materialize(wide, "neardup-wide")
-
-    def links_of(units: DataFrame) -> DataFrame:
-        wanted = units.select("doc_id").distinct().join(reps.select("doc_id", "signature"), "doc_id").dropDuplicates(["doc_id"])
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-        texts = materialize(texts, "neardup-texts")
-        work = units.join(texts, "doc_id").select("unit", "side", "doc_id", "part", "text", "signature")
-        return work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long")
-
-    links = materialize(links_of(units), "neardup-linked")
-    reached = components(links, "neardup-links")
-    if wide.limit(1).count():
-        left = materialize(_left_units(wide, reached, unit), "neardup-left-units")
-        if left.limit(1).count():
-            links = materialize(links.unionByName(links_of(left)), "neardup-linked")
-            reached = components(links, "neardup-left-links")
-    same = full.join(classes.where("copies > 1"), ["set_a", "set_b", "n_shingles"]).select(F.col("doc_id").alias("u"), F.col("class_id").alias("v")).where("u <> v")
+    # h tells texts of one doc_id apart.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text", F.lit(3)).alias("h"))
+    signed = Kept(rows.select("doc_id", "h", "text").mapInArrow(_signer(width, bands), SIGNED), "neardup-signed")
+    full = signed.df.where("doc_id is not null and n_shingles > 0")
+    names = ["set_a", "set_b", "n_shingles"]
+    # Written before it is joined, so that a set that many texts share can be split among tasks.
+    classes = Kept(full.groupBy(*names).agg(F.min(F.struct("doc_id", "h")).alias("f"), F.count("*").alias("copies")).select(*names, F.col("f.doc_id").alias("class_id"), F.col("f.h").alias("class_h"), "copies"), "neardup-classes")
+    firsts = classes.df.select(F.col("class_id").alias("doc_id"), F.col("class_h").alias("h"))
+    reps = Kept(full.join(firsts, ["doc_id", "h"]).select("doc_id", "h", "bands", "signature").dropDuplicates(["doc_id", "h"]), "neardup-reps")
+    units, wide = _units(reps.df, unit)
+    release(spark)
+
+    def links_of(units: DataFrame) -> Kept:
+        wanted = units.select("doc_id", "h").distinct().join(reps.df.select("doc_id", "h", "signature"), ["doc_id", "h"])
+        texts = Kept(rows.join(wanted, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]), "neardup-texts")
+        work = units.join(texts.df, ["doc_id", "h"]).select("unit", "side", "doc_id", "part", "text", "signature")
+        found = Kept(work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long"), "neardup-linked")
+        texts.drop()
+        release(spark)
+        return found
+
+    links = [links_of(units.df)]
+    reached = components(links[0].df, "neardup-links")
+    if wide.df.limit(1).count():
+        left = Kept(_left_units(wide.df, reached.df, unit), "neardup-left-units")
+        if left.df.limit(1).count():
+            links.append(links_of(left.df))
+            reached.drop()
+            reached = components(links[0].df.unionByName(links[1].df), "neardup-left-links")
+        left.drop()
     # A class is a star around its representative, whose component the links give: copies need no round of their own.
     # Only a doc_id with several texts can belong to several classes; then the classes are linked as well.
-    repeated = full.groupBy("doc_id").agg(F.count_distinct("set_a", "set_b").alias("n")).where("n > 1").select("doc_id")
+    repeated = full.select("doc_id", "h").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if repeated.limit(1).count():
-        reached = components(links.unionByName(same), "neardup-all-links")
-    result = signed.join(classes.select("set_a", "set_b", F.col("n_shingles").alias("n"), "class_id"), (signed.set_a == classes.set_a) & (signed.set_b == classes.set_b) & (signed.n_shingles == F.col("n")), "left").select(signed.doc_id, signed.n_shingles, F.when(signed.doc_id.isNotNull() & (signed.n_shingles > 0), F.col("class_id")).otherwise(signed.doc_id).alias("class_id"))
-    result = result.join(reached, result.class_id == reached.node, "left")
-    component = F.coalesce("component", "class_id")
-    return result.select("doc_id", "n_shingles", "class_id", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
-
-
-__all__ = ["bands_for", "near_duplicates", "shingle_sets", "common"]
+        same = full.select("doc_id", *names).join(classes.df.select(*names, "class_id"), names).select(F.col("doc_id").alias("u"), F.col("class_id").alias("v")).where("u <> v")
+        reached.drop()
+        for x in links:
+            same = same.unionByName(x.df)
+        reached = components(same, "neardup-all-links")
+    own = F.coalesce("component", "class_id", "doc_id")
+    result = signed.df.select("doc_id", *names).join(classes.df.select(*names, "class_id"), names, "left")
+    result = result.withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))).join(reached.df, F.col("class_id") == F.col("node"), "left")
+    result = Kept(result.select("doc_id", "n_shingles", "class_id", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")), "neardup-result")
+    for x in (signed, classes, reps, units, wide, reached, *links):
+        x.drop()
+    release(spark)
+    return result.df

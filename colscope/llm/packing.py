@@ -9,14 +9,13 @@ number b on"), so neither its time nor its memory grows with the number of piece
 2. Smaller pieces, in descending length, go where the least gap remains that holds them (best fit); a new bin is opened
    when there is none.
 
-Spark then numbers the pieces within each length (salted, so that a common length is dealt to many tasks), and a piece's
-length and number give its bin and place in the plan.
+Spark then numbers the pieces within each length (in groups of a bounded size, so that a common length is dealt to many
+tasks), and a piece's length and number give its bin and place in the plan.
 """
 
 from __future__ import annotations
 
 import bisect
-import uuid
 import zlib
 
 import numpy as np
@@ -24,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, ship
+from .common import Kept, ship
 from .tokens import encoded
 
-#: Each length's pieces are numbered in so many groups.
-SALTS = 64
+#: A length's pieces are numbered in groups of about so many.
+GROUP = 200_000
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("salt", pa.int32())])
 
 
@@ -107,30 +106,29 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches):
+        done = 0
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
             for a, ids, offs in encoded(batch.column("text"), path, end_id):
                 raw = memoryview(ids.astype("<u4").tobytes())
                 rows = [(docs[a + k], p, i, min(capacity, n - i), zlib.crc32(raw[4 * (o + i) : 4 * (o + min(i + capacity, n))])) for k, (o, n) in enumerate(zip(offs[:-1].tolist(), np.diff(offs).tolist(), strict=True)) for p, i in enumerate(range(0, n, capacity))]
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PIECES, strict=False)]
-                salt = pa.array([((hash(r[0]) ^ r[1] * 7919) * 0x9E3779B97F4A7C15 >> 32) % SALTS for r in rows], pa.int32())
+                salt = pa.array((np.arange(done, done + len(rows)) % 2**31).astype(np.int32))
+                done += len(rows)
                 yield pa.RecordBatch.from_arrays([*columns, salt], schema=PIECES)
 
     return run
 
 
-def _placer(steps: np.ndarray, base: dict[tuple[int, int], int], capacity: int):
-    """base: pieces of a length in the salts before."""
+def _placer(steps: np.ndarray, first_group: np.ndarray, before: np.ndarray):
+    """first_group: of each length, among the groups of all; before: pieces of its length in the groups before each."""
     steps = steps[np.lexsort((steps[:, 1], steps[:, 0]))]
     key = steps[:, 0] * (2**44) + steps[:, 1]
-    before = np.zeros((capacity + 1) * SALTS, np.int64)
-    for (length, salt), n in base.items():
-        before[length * SALTS + salt] = n
 
     def run(batches):
         for b in batches:
             length, salt, number = (np.asarray(b.column(c)).astype(np.int64) for c in ("length", "salt", "number"))
-            number = number + before[length * SALTS + salt]
+            number = number + before[first_group[length] + salt]
             s = steps[np.searchsorted(key, length * (2**44) + number, side="right") - 1]
             nth = number - s[:, 1]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")], pa.array(s[:, 4] + nth // s[:, 3]), pa.array(s[:, 5] + nth % s[:, 3] * length)], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
@@ -141,7 +139,7 @@ def _placer(steps: np.ndarray, base: dict[tuple[int, int], int], capacity: int):
 OUT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is the ids of its text, then ``end_id``; those above ``capacity`` are cut into pieces of that length, the
@@ -150,15 +148,23 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capaci
     A null or empty text is one piece of ``end_id`` alone. Very long texts have many pieces. Rows that repeat a doc_id, or
     have none, are documents of their own. Reads doc_id and text only. An empty table gives no rows.
     """
-    ship(docs.sparkSession)
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer_path, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, salt int")
-    pieces = materialize(found, f"packing-{uuid.uuid4().hex[:8]}")
-    counted = pieces.groupBy("length", "salt").count().toPandas()
-    counts: dict[int, int] = {}
-    base: dict[tuple[int, int], int] = {}
-    for length, salt, n in sorted(counted.itertuples(index=False, name=None)):
-        base[length, salt] = counts.get(length, 0)
-        counts[length] = counts.get(length, 0) + n
+    spark = docs.sparkSession
+    ship(spark)
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, salt int")
+    pieces = Kept(found, "packing-pieces").df
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
+    groups = np.zeros(capacity + 1, np.int64)
+    for length, n in counts.items():
+        groups[length] = -(-n // GROUP)
+    first_group = np.cumsum(groups) - groups
+    many = spark.createDataFrame(pa.table({"length": np.arange(capacity + 1), "groups": groups}))
+    pieces = pieces.join(F.broadcast(many), "length").withColumn("salt", F.pmod("salt", F.col("groups").cast("int")))
+    # A row for each group of GROUP pieces, so some thousands for a billion pieces.
+    sizes = np.zeros(int(groups.sum()), np.int64)
+    for r in pieces.groupBy("length", "salt").agg(F.count("*").alias("n")).collect():
+        sizes[first_group[r["length"]] + r["salt"]] = r["n"]
+    total = np.cumsum(sizes) - sizes
+    before = total - np.repeat(total[np.minimum(first_group, max(len(total) - 1, 0))] if len(total) else np.zeros(capacity + 1, np.int64), groups)
     steps = np.array(plan(counts, capacity), np.int64).reshape(-1, 6)
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    return pieces.withColumn("number", F.row_number().over(within).cast("long") - 1).mapInArrow(_placer(steps, base, capacity), OUT)
+    return pieces.withColumn("number", F.row_number().over(within).cast("long") - 1).mapInArrow(_placer(steps, first_group, before), OUT)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ROLL, U64, Words, chunks, ship
+from .common import U64, Words, chunks, ship, span_sums
 from .langid import may_learn
 
 #: Buckets of hashed words, factors of each feature.
@@ -46,7 +46,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(text of each word feature, its bucket, its value, statistics of each text)."""
     n = len(offsets) - 1
     w = Words(data, offsets, lower=True)
-    named_words = w.hashes(ROLL)
+    named_words = w.sums()
     bucket = (named_words >> U64(49)).astype(np.int64)
     pair, count = np.unique(w.doc * BUCKETS + bucket, return_counts=True)
     doc, bucket = pair // BUCKETS, pair % BUCKETS
@@ -64,7 +64,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     line_doc = np.searchsorted(offsets, starts, side="right") - 1
     ends = np.append(starts[1:], len(data))
     lines = np.bincount(line_doc, minlength=n).astype(float)
-    named = ROLL.spans(ROLL.prefix(ROLL.byte[data]), starts, ends) if len(starts) else np.zeros(0, U64)
+    named = span_sums(data, starts, ends)
     order = np.lexsort((named, line_doc))
     first = np.ones(len(order), bool)
     if len(order):
@@ -160,11 +160,15 @@ def _metadata(batch: pa.RecordBatch, names: tuple[str, ...], a: int, n: int) ->
 def train(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_chars",), sample_rows: int = 4000) -> Model | None:
     """A machine of at most ``sample_rows`` labelled rows: those that ``may_learn`` allows, with the least hash of doc_id.
 
-    Null labels don't count; of several labels of a doc_id the least does. None if no label is left.
+    Null labels don't count; of several labels of a doc_id the least does, and of several rows that with the least hash of its
+    text. None if no label is left.
     """
+    ship(docs.sparkSession)
     wanted = labels.where(may_learn(F.col("doc_id")) & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("double").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # ``wanted`` has at most ``sample_rows`` rows, so it may be broadcast.
-    sample = docs.select("doc_id", "text", *metadata).join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
+    sample = docs.select("doc_id", "text", *metadata).join(F.broadcast(wanted), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text"), *[F.col(c).cast("double").alias(c) for c in metadata]))
+    sample = sample.groupBy("doc_id", "label").agg(one.alias("one")).select("doc_id", "label", "one.text", *[f"one.{c}" for c in metadata])
 
     def run(batches):
         for batch in batches:

@@ -40,11 +40,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids of all documents, written and read back: start, number and checksum of each document's."""
-    from .tokenout import fresh_folder, read_tokens, write_tokens
-    from .tokens import token_file
+    from .common import fresh_folder
+    from .tokenout import read_tokens, write_tokens
 
     out = fresh_folder(spark, "op2-tokens")
-    write_tokens(_table(spark, sf_dir, "documents"), out, token_file("byte_bpe_50k.json"), end_id=2)
+    write_tokens(_table(spark, sf_dir, "documents"), out, "byte_bpe_50k.json", end_id=2)
     return read_tokens(spark, out, digest=True).withColumnRenamed("ids", "ids_crc32")
 
 
@@ -111,9 +111,8 @@ FROM k LEFT JOIN r ON k.doc_id = r.doc_id
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     from .packing import pack_documents
-    from .tokens import token_file
 
-    return pack_documents(_table(spark, sf_dir, "documents"), token_file("word_bpe_49k.json"), end_id=0, capacity=2048)
+    return pack_documents(_table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=0, capacity=2048)
 
 
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

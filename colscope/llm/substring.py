@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROLL, ROLL2, U64, Words, chunks, int_column, mix, ship
-from .storage import Kept, release
+from .common import U64, Kept, Words, chunks, int_column, mix, release, run_chains, run_sums, ship
 
 #: Rounds of recompression: symbols of two rounds stand for four words at most, apart from runs.
 ROUNDS = 2
@@ -118,7 +117,7 @@ class Groups:
         count = np.diff(first)
         doc = np.repeat(np.arange(len(count)), count)
         at = np.flatnonzero(np.arange(n) + window <= first[1:][doc])
-        self.pre, self.pre2 = ROLL.prefix(words), ROLL2.prefix(words)
+        self.words = words
         levels = [Symbols(words, np.arange(n), np.arange(n) + 1, doc)]
         for k in range(rounds):
             levels.append(levels[-1].following(first, k))
@@ -141,14 +140,14 @@ class Groups:
         self.high = at[np.append(begin[1:], len(at)) - 1] if len(begin) else self.low
         self.doc = doc[self.low]
         left, right, name = left[begin], right[begin], name[begin]
-        self.key = mix(ROLL.spans(self.pre, left, right) ^ name).astype(np.int64)
-        self.around = mix(ROLL2.spans(self.pre2, self.low, self.high + window) + (left - self.low).astype(U64)).astype(np.int64)
+        self.key = mix(run_sums(words, left, right) ^ name).astype(np.int64)
+        self.around = mix(run_chains(words, self.low, self.high + window) + (left - self.low).astype(U64)).astype(np.int64)
 
 
 def _groups(column, window: int) -> Iterator[tuple[int, np.ndarray, Groups]]:
     for a, _, data, offsets in chunks(column, 1_000_000):
         w = Words(data, offsets)
-        yield a, w.first, Groups(w.hashes(ROLL), w.first, window)
+        yield a, w.first, Groups(w.sums(), w.first, window)
 
 
 # ---------------------------------------------------------------- tasks
@@ -194,7 +193,7 @@ def _may_hold(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[(place >> U64(3)).astype(np.int64)] >> (place & U64(7)).astype(np.uint8)) & 1 == 1
 
 
-PLACED = "key long, doc_id long, sig int, low long, high long, windows array<long>"
+PLACED = "key long, doc_id long, sig long, low long, high long, windows array<long>"
 
 
 def _placed(window: int, shared, varied):
@@ -207,7 +206,7 @@ def _placed(window: int, shared, varied):
                 low, high = g.low[rows], g.high[rows]
                 size = np.where(_may_hold(varied.value, g.key[rows]), high - low + 1, 0)
                 at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-                hashes = ROLL2.spans(g.pre2, at, at + window).astype(np.int64)
+                hashes = run_chains(g.words, at, at + window).astype(np.int64)
                 windows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(hashes))
                 doc, base = a + g.doc[rows], first[g.doc[rows]]
                 yield pa.RecordBatch.from_arrays([pa.array(g.key[rows]), pa.array(ids[doc]), pa.array(sigs[doc]), pa.array(low - base), pa.array(high - base), windows], names=["key", "doc_id", "sig", "low", "high", "windows"])
@@ -267,19 +266,20 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> Kept:
     release(spark)
     n = shared.df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("varied").cast("long")), F.lit(0)).alias("v")).first()
     all_keys, varied = _filter(shared.df, n["n"]), _filter(shared.df.where("varied"), n["v"])
-    placed = rows.withColumn("sig", F.hash("text")).mapInArrow(_placed(window, all_keys, varied), PLACED)
+    placed = rows.withColumn("sig", F.xxhash64("text", F.lit(4))).mapInArrow(_placed(window, all_keys, varied), PLACED)
     joined = Kept(placed.join(shared.df, "key").where("varied or doc_id > least").select("key", "doc_id", "sig", "low", "high", "varied", F.when(F.col("varied"), F.col("windows")).alias("windows")), "substring-joined")
     all_keys.unpersist()
     varied.unpersist()
     release(spark)
     single = joined.df.where("not varied").select("doc_id", "sig", "low", "high")
     each = joined.df.where("varied").select("key", "doc_id", "sig", "low", F.posexplode("windows").alias("i", "w"))
-    firsts = each.groupBy("key", "w").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("key", "w", "least")
-    one_by_one = each.join(firsts, ["key", "w"]).where("doc_id > least").select("doc_id", "sig", (F.col("low") + F.col("i")).alias("low"), (F.col("low") + F.col("i")).alias("high"))
-    ranges = single.unionByName(one_by_one).groupBy("doc_id", "sig").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    # Written before it is joined, so that a window that many texts share can be split among tasks.
+    firsts = Kept(each.groupBy("key", "w").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("key", "w", "least"), "substring-firsts")
+    one_by_one = each.join(firsts.df, ["key", "w"]).where("doc_id > least").select("doc_id", "sig", (F.col("low") + F.col("i")).alias("low"), (F.col("low") + F.col("i")).alias("high"))
+    ranges = single.unionByName(one_by_one).groupBy("doc_id", "sig").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     out = Kept(ranges, "substring-ranges")
-    shared.drop()
-    joined.drop()
+    for x in (shared, joined, firsts):
+        x.drop()
     release(spark)
     return out
 
@@ -296,7 +296,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, digest: bool = False) -> D
     Very long texts are handled whole. Other columns are not read. An empty table gives no rows.
     """
     ranges = repeated_windows(docs, window)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("sig", F.hash("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("sig", F.xxhash64("text", F.lit(4)))
     both = texts.join(ranges.df, ["doc_id", "sig"], "left").select("doc_id", "text", "ranges")
     out = both.mapInArrow(_kept(window, not digest), "doc_id long, n_words long, n_removed long, kept binary")
     return out.withColumn("kept", F.col("kept").cast("string"))

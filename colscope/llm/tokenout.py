@@ -1,8 +1,9 @@
 """Token ids in a compact file format: canonical, length-limited Huffman codes of ids from global counts.
 
 Writing: 1. texts become ids, kept as a table in the shared folder; 2. Spark counts all ids, the driver makes the code
-lengths (package-merge over the vocabulary, whose size does not grow with the corpus); 3. documents are dealt by doc_id
-into ranges of some millions of ids, and each range is packed into blocks in ascending doc_id order.
+lengths (package-merge over the vocabulary, whose size does not grow with the corpus); 3. documents are sorted into ranges
+of doc_id of some millions of ids, and each range is packed into blocks in that order while it is read, so that no more than
+a block is in memory.
 
 The format: a Parquet table ``blocks`` with a row for each block and a table ``code`` with (id, length); canonical codes
 follow from the lengths. A block holds whole documents, each starting at a byte border. ``checkpoints`` has the bit offset
@@ -14,16 +15,14 @@ Reading: blocks are decoded in any order and by any task.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, ship, shared_dir
+from .common import U64, Kept, ship
 from .tokens import encoded
 
 #: Ids between two checkpoints, ids of a range, ids of a block (a longer document makes a larger one).
@@ -31,7 +30,7 @@ SEGMENT, RANGE, BLOCK = 256, 4_000_000, 262_144
 #: Longest code in bits, unless the vocabulary needs more.
 LONGEST = 18
 
-IDS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
+IDS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
 BLOCKS = pa.schema([("range", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("checkpoints", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
@@ -144,7 +143,8 @@ def _tokens(path: str, end_id: int):
                 raw = pa.py_buffer(ids.astype(np.uint16 if ids.max(initial=0) < 65536 else np.uint32).tobytes())
                 width = len(raw) // max(len(ids), 1)
                 kept = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((offs * width).astype(np.int64).tobytes()), raw]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([doc.slice(a, n), pa.array(np.diff(offs)), kept], schema=IDS)
+                crc = pa.array([zlib.crc32(x) for x in kept.to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([doc.slice(a, n), pa.array(np.diff(offs)), crc, kept], schema=IDS)
 
     return run
 
@@ -167,24 +167,29 @@ def _count(batches):
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
 
-def _range_packer(lengths: np.ndarray, block: int):
+def _packer(lengths: np.ndarray, block: int):
+    """Sorted rows of a range become blocks."""
     codes = canonical(lengths)
 
-    def run(table: pa.Table) -> pa.Table:
-        n = np.asarray(table.column("n").combine_chunks())
-        order = np.asarray(pc.sort_indices(table.select(["doc_id", "n", "ids"]), sort_keys=[("doc_id", "ascending"), ("n", "ascending"), ("ids", "ascending")], null_placement="at_start"))
-        group, rows, begin, out = 0, [], 0, []
-        cuts = np.concatenate([[0], np.cumsum(n[order])])
-        while begin < len(order):
-            end = max(begin + 1, int(np.searchsorted(cuts, cuts[begin] + block, side="right")) - 1)
-            part = table.take(pa.array(order[begin:end]))
-            size = n[order[begin:end]]
-            ids = _joined(part.column("n").combine_chunks(), part.column("ids").combine_chunks())
-            first = np.concatenate([[0], np.cumsum(size)])
-            payload, at, _ = pack(ids, np.repeat(np.arange(len(size)), size), first, codes, lengths)
-            out.append((table.column("range")[0].as_py(), group, int(cuts[begin]), part.column("doc_id").to_pylist(), size.tolist(), at[segments(size)[0]].tolist(), payload.tobytes()))
-            group, begin = group + 1, end
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), BLOCKS, strict=True)] if out else [pa.array([], f.type) for f in BLOCKS], schema=BLOCKS)
+    def packed(part: int, group: int, done: int, held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        size = np.array([n for _, n, _ in held], np.int64)
+        ids = np.concatenate([_wide(raw, n) for _, n, raw in held]).astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(size)])
+        payload, at, _ = pack(ids, np.repeat(np.arange(len(size)), size), first, codes, lengths)
+        row = (part, group, done, [d for d, _, _ in held], size.tolist(), at[segments(size)[0]].tolist(), payload.tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, BLOCKS, strict=True)], schema=BLOCKS)
+
+    def run(batches):
+        group, done, total, held, part = 0, 0, 0, [], 0
+        for batch in batches:
+            for part, doc, n, raw in zip(*(batch.column(c).to_pylist() for c in ("range", "doc_id", "n", "ids")), strict=True):
+                if held and total + n > block:
+                    yield packed(part, group, done, held)
+                    group, done, total, held = group + 1, done + total, 0, []
+                held.append((doc, n, raw))
+                total += n
+        if held:
+            yield packed(part, group, done, held)
 
     return run
 
@@ -198,36 +203,29 @@ def segments(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[doc] + nth * SEGMENT, np.minimum(sizes[doc] - nth * SEGMENT, SEGMENT)
 
 
-def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, range_ids: int = RANGE, block: int = BLOCK, longest: int = LONGEST) -> None:
+def write_tokens(docs: DataFrame, out: str, tokenizer: str, end_id: int, range_ids: int = RANGE, block: int = BLOCK, longest: int = LONGEST) -> None:
     """Write the ids of all texts below ``out`` (a folder of the shared storage) in ascending doc_id order.
 
     Reads doc_id and text. A null text is an empty one, of just ``end_id``. A null doc_id comes first; rows that repeat
-    a doc_id each stay, in order of length, then ids. Very long texts stay whole. An empty table gives empty tables.
+    a doc_id each stay, in order of length, then checksum. Very long texts stay whole. An empty table gives empty tables.
     """
     spark = docs.sparkSession
     ship(spark)
-    kept = f"{out}/ids"
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokens(tokenizer_path, end_id), "doc_id long, n long, ids binary").write.option("compression", "zstd").parquet(kept)
-    ids = spark.read.schema("doc_id long, n long, ids binary").parquet(kept)
-    counted = ids.select("n", "ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)
-    counts[counted["id"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    kept = Kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokens(tokenizer, end_id), "doc_id long, n long, crc long, ids binary"), "token-ids")
+    counted = kept.df.select("n", "ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    number, times = (np.asarray(counted.column(c)).astype(np.int64) for c in ("id", "n"))
+    counts = np.zeros(int(number.max(initial=0)) + 1, np.int64)
+    counts[number] = times
     lengths = code_lengths(counts, longest)
     used = np.flatnonzero(lengths)
     spark.createDataFrame(pa.table({"id": used, "length": lengths[used]})).coalesce(1).write.parquet(f"{out}/code")
     ranges = max(1, -(-int(counts.sum()) // range_ids))
-    borders = sorted(set(ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 1 / (8 * ranges)))) if ranges > 1 else []
-    edges = np.array(borders, np.int64)
-
-    def deal(batches):
-        for batch in batches:
-            doc = batch.column("doc_id")
-            at = np.searchsorted(edges, np.asarray(doc.fill_null(-(2**63))).astype(np.int64), side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(at), doc, batch.column("n"), batch.column("ids")], names=["range", "doc_id", "n", "ids"])
-
-    dealt = ids.mapInArrow(deal, "range int, doc_id long, n long, ids binary")
-    blocks = dealt.groupBy("range").applyInArrow(_range_packer(lengths, block), "range int, block int, first long, doc_ids array<long>, n_tokens array<long>, checkpoints array<long>, payload binary")
+    # The last key parts rows that are equal in all, however many there are.
+    order = ["doc_id", "n", "crc", "row"]
+    dealt = kept.df.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
+    blocks = dealt.select("range", "doc_id", "n", "ids").mapInArrow(_packer(lengths, block), "range int, block int, first long, doc_ids array<long>, n_tokens array<long>, checkpoints array<long>, payload binary")
     blocks.write.option("compression", "zstd").parquet(f"{out}/blocks")
+    kept.drop()
 
 
 # ---------------------------------------------------------------- reading
@@ -257,9 +255,10 @@ def read_tokens(spark: SparkSession, out: str, digest: bool = False) -> DataFram
     """(doc_id, start, n_tokens, ids) of a written folder: ids are 32-bit little-endian numbers, or with ``digest`` their
     unsigned crc32. ``start`` counts the ids of all documents before."""
     ship(spark)
-    code = spark.read.schema("id long, length long").parquet(f"{out}/code").toPandas()
-    lengths = np.zeros(int(code["id"].max()) + 1 if len(code) else 1, np.int64)
-    lengths[code["id"].to_numpy(np.int64)] = code["length"].to_numpy(np.int64)
+    code = spark.read.schema("id long, length long").parquet(f"{out}/code").toArrow()
+    number, length = (np.asarray(code.column(c)).astype(np.int64) for c in ("id", "length"))
+    lengths = np.zeros(int(number.max(initial=0)) + 1, np.int64)
+    lengths[number] = length
     blocks = spark.read.parquet(f"{out}/blocks")
     docs = blocks.mapInArrow(_decoder(lengths, digest), f"range int, doc_id long, first long, n_tokens long, ids {'long' if digest else 'binary'}")
     # A range has some millions of ids; the sums over 1024 ranges, then over all such, stay small.
@@ -269,6 +268,3 @@ def read_tokens(spark: SparkSession, out: str, digest: bool = False) -> DataFram
     starts = sums.withColumn("inside", F.sum("n").over(Window.partitionBy("high").orderBy("range")) - F.col("n")).join(highs, "high").select("range", (F.col("inside") + F.col("before_high")).alias("before"))
     return docs.join(starts, "range").select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids")
 
-
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -1,14 +1,18 @@
 """Token ids of whole texts, made in Arrow batches with a tokenizers file whose path is a parameter.
 
 Texts repeat their words, so each task cuts texts into segments that the tokenizer would cut apart as well, encodes segments
-it hasn't seen with the tokenizers library, and puts the ids of all segments together. How texts may be cut depends on the
-tokenizer: before a space that begins a word (byte-level), or at white space (where that is dropped). With any other
-tokenizer, and for texts where the cut isn't sure, whole texts are encoded.
+it hasn't seen with the tokenizers library, and puts the ids of all segments together. Segments are looked up by a hash, and
+compared byte by byte with what is remembered under it; those that only share a hash are encoded by themselves. How texts may be cut depends on the tokenizer: before a
+space that begins a word (byte-level), or at white space (where that is dropped). With any other tokenizer, and for texts
+where the cut isn't sure, whole texts are encoded.
+
+A tokenizer is named by its file: a path, or the name of a public vocabulary file, which each task resolves for itself.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 from collections.abc import Iterator
@@ -16,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .common import ROLL, Words, chunks
+from .common import Words, _blocks, chunks, same_spans, span_sums
 
-#: Segments that a task remembers; beyond, it starts anew.
-REMEMBERED = 1_000_000
+#: Segments that a task remembers, and bytes of their names; beyond either, it starts anew.
+REMEMBERED, NAMES = 1_000_000, 16_000_000
 
 
 @functools.cache
@@ -28,7 +32,7 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
+    found = Tokenizer.from_file(token_file(path))
     found.encode_special_tokens = True
     return found
 
@@ -36,7 +40,7 @@ def tokenizer(path: str):
 @functools.cache
 def cut_of(path: str) -> str:
     """``space``, ``word`` or ``whole``: where a tokenizer's texts may be cut."""
-    with open(path, encoding="utf-8") as f:
+    with open(token_file(path), encoding="utf-8") as f:
         spec = json.load(f)
     pre, normalizer = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
     if pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and normalizer is None:
@@ -47,30 +51,86 @@ def cut_of(path: str) -> str:
     return "whole"
 
 
+class _Pool:
+    """A growing array."""
+
+    def __init__(self, kind: type):
+        self.data, self.used = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> int:
+        """Where ``values`` are; eight places more are kept free behind."""
+        at, self.used = self.used, self.used + len(values)
+        if self.used + 8 > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros(max(len(self.data) // 2, len(values) + 8), self.data.dtype)])
+        self.data[at : self.used] = values
+        return at
+
+
 class Memory:
-    """The ids of segments, by hash."""
+    """The ids of segments. Hashes are in sorted parts, merged as they grow, each with the numbers of its segments."""
 
     def __init__(self):
-        self.hash, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def add(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(size.sum())
-        if self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), total), np.uint32)])
-        self.pool[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-        at = self.used + np.cumsum(size) - size
-        self.used += total
-        order = np.argsort(both := np.concatenate([self.hash, hashes]), kind="stable")
-        self.hash, self.at, self.size = both[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Place of each hash, -1 where it is new."""
-        if not len(self.hash):
-            return np.full(len(hashes), -1, np.int64)
-        k = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        return np.where(self.hash[k] == hashes, k, -1)
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.at, self.size, self.name_at, self.name_size = (_Pool(np.int64) for _ in range(4))
+        self.ids, self.names = _Pool(np.uint32), _Pool(np.uint8)
+
+    def trimmed(self) -> Memory:
+        """This memory, or an empty one where it has grown beyond its limits."""
+        return self if self.at.used <= REMEMBERED and self.names.used <= NAMES else Memory()
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of the segment of each hash, -1 where it is new."""
+        found = np.full(len(hashes), -1, np.int64)
+        for known, number in self.parts:
+            k = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            found = np.where(known[k] == hashes, number[k], found)
+        return found
+
+    def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, tok) -> np.ndarray:
+        """Numbers of segments after encoding them."""
+        base, raw = self.at.used, data.tobytes()
+        for i in range(0, len(start), 2_000):
+            segments = [raw[a:b] for a, b in zip(start[i : i + 2_000].tolist(), end[i : i + 2_000].tolist(), strict=True)]
+            ids = [e.ids for e in tok.encode_batch_fast([x.decode() for x in segments], add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.at.add(self.ids.add(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))) + np.cumsum(size) - size)
+            self.size.add(size)
+            size = end[i : i + 2_000] - start[i : i + 2_000]
+            self.name_at.add(self.names.add(np.frombuffer(b"".join(segments), np.uint8)) + np.cumsum(size) - size)
+            self.name_size.add(size)
+        return np.arange(base, self.at.used)
+
+    def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, tok) -> np.ndarray:
+        """The number of each segment; new ones are encoded."""
+        name, first, of = np.unique(span_sums(data, start, end), return_index=True, return_inverse=True)
+        of = of.ravel()
+        number = self._find(name)
+        known = np.flatnonzero(number >= 0)
+        blocks, size = _blocks(data), end - start
+        kept = np.ndarray(len(self.names.data) - 7, "<u8", self.names.data, strides=(1,))
+        same = self.name_size.data[number[known]] == size[first[known]]
+        known, clash = known[same], known[~same]
+        same = same_spans(blocks, start[first[known]], kept, self.name_at.data[number[known]], size[first[known]])
+        number[clash] = number[known[~same]] = -2
+        fresh = np.flatnonzero(number == -1)
+        if len(fresh):
+            number[fresh] = self._encode(data, start[first[fresh]], end[first[fresh]], tok)
+            part = name[fresh], number[fresh]
+            while self.parts and len(self.parts[-1][0]) < 4 * len(part[0]):
+                other = self.parts.pop()
+                order = np.argsort(both := np.concatenate([other[0], part[0]]), kind="stable")
+                part = both[order], np.concatenate([other[1], part[1]])[order]
+            self.parts.append(part)
+        out = number[of]
+        rows = np.flatnonzero((start != start[first[of]]) & (out >= 0))
+        same = size[rows] == size[first[of[rows]]]
+        out[rows[~same]] = -2
+        rows = rows[same]
+        out[rows[~same_spans(blocks, start[rows], blocks, start[first[of[rows]]], size[rows])]] = -2
+        alone = np.flatnonzero(out == -2)
+        if len(alone):
+            out[alone] = self._encode(data, start[alone], end[alone], tok)
+        return out
 
 
 _MEMORY: dict[str, Memory] = {}
@@ -115,9 +175,7 @@ def encoded(column: pa.Array | pa.ChunkedArray, path: str, end_id: int) -> Itera
     """(first row, ids of all texts of a run of rows, offsets of each text's ids). Null is empty; each text ends with ``end_id``."""
     tok, cut = tokenizer(path), cut_of(path)
     for a, b, data, offsets in chunks(column, 1_000_000):
-        if path not in _MEMORY or len(_MEMORY[path].hash) > REMEMBERED:
-            _MEMORY[path] = Memory()
-        memory = _MEMORY[path]
+        memory = _MEMORY[path] = _MEMORY[path].trimmed() if path in _MEMORY else Memory()
         if cut == "whole":
             full = np.flatnonzero(np.diff(offsets))
             start, end, doc = offsets[:-1][full], offsets[1:][full], full
@@ -129,27 +187,23 @@ def encoded(column: pa.Array | pa.ChunkedArray, path: str, end_id: int) -> Itera
                 start, end, doc = np.concatenate([start[keep], offsets[:-1][whole]]), np.concatenate([end[keep], offsets[1:][whole]]), np.concatenate([doc[keep], whole])
                 order = np.argsort(start, kind="stable")
                 start, end, doc = start[order], end[order], doc[order]
-        name, first, of = np.unique(ROLL.spans(ROLL.prefix(ROLL.byte[data]), start, end), return_index=True, return_inverse=True)
-        fresh = np.flatnonzero(memory.find(name) < 0)
-        if len(fresh):
-            raw = data.tobytes()
-            texts = [raw[i:j].decode() for i, j in zip(start[first[fresh]].tolist(), end[first[fresh]].tolist(), strict=True)]
-            memory.add(name[fresh], [e.ids for i in range(0, len(texts), 2_000) for e in tok.encode_batch_fast(texts[i : i + 2_000], add_special_tokens=False)])
-        place = memory.find(name)[of.ravel()]
-        size = memory.size[place]
+        number = memory.numbers(data, start, end, tok)
+        size = memory.size.data[number]
         counts = np.bincount(doc, size, b - a).astype(np.int64)
         offs = np.concatenate([[0], np.cumsum(counts + 1)])
         ids = np.empty(offs[-1], np.uint32)
         # Where each segment's ids go: after all before it, and the end ids of the texts before.
         shift = np.cumsum(size) - size
-        source = np.arange(size.sum()) + np.repeat(memory.at[place] - shift, size)
-        ids[np.arange(size.sum()) + np.repeat(doc, size)] = memory.pool[source]
+        source = np.arange(size.sum()) + np.repeat(memory.at.data[number] - shift, size)
+        ids[np.arange(size.sum()) + np.repeat(doc, size)] = memory.ids.data[source]
         ids[offs[1:] - 1] = end_id
         yield a, ids, offs
 
 
 def token_file(name: str) -> str:
-    """Where the public vocabulary file lies."""
+    """The path of a tokenizer's file: ``name`` itself if it is a path, else where the public vocabulary file of that name lies."""
+    if "/" in name:
+        return name
     import public_tokenizers
 
     return public_tokenizers.path(name)
