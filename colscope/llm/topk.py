@@ -16,20 +16,20 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-#: Candidates and queries of one block.
-CANDIDATES, QUERIES = 8192, 256
-#: Scaled components of this size or more could make a score exceed a long.
-LARGEST = 2**27
+#: Candidates and queries of one block: a candidate is sent once for each 4096 queries, a query once for each 8192 candidates.
+CANDIDATES, QUERIES = 8192, 4096
+#: A score beyond a long counts as the nearest long.
+LEAST, MOST = -(2**63), 2**63 - 1
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def scaled(vectors: DataFrame, scale: int) -> DataFrame:
     """(vec_id, terms, weights): positions and values of floor(scale * x) that aren't zero, x taken as double."""
     x = F.transform(F.col("embedding").cast("array<double>"), lambda v: F.floor(F.lit(float(scale)) * v))
-    fine = F.forall(F.col("embedding").cast("array<double>"), lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < LARGEST / scale))
+    fine = F.forall(F.col("embedding").cast("array<double>"), lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("w"))
-    terms = F.filter(F.transform("w", lambda v, i: F.struct(i.cast("int").alias("t"), v.cast("int").alias("w"))), lambda s: s["w"] != 0)
+    terms = F.filter(F.transform("w", lambda v, i: F.struct(i.cast("int").alias("t"), v.cast("long").alias("w"))), lambda s: s["w"] != 0)
     return rows.select("vec_id", terms.alias("e")).select("vec_id", F.col("e.t").alias("terms"), F.col("e.w").alias("weights"))
 
 
@@ -41,10 +41,10 @@ def _ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), lengths), np.asarray(column.flatten(), np.int64)
 
 
-def accumulate(row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_rows: int, q_term: np.ndarray, q_weight: np.ndarray, postings: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The dense score array of one query: each of its terms adds its weighted postings."""
-    scores = np.zeros(n_rows, np.int64)
-    for t, w in zip(q_term.tolist(), q_weight.tolist(), strict=True):
+def accumulate(n_rows: int, q_term: np.ndarray, q_weight: np.ndarray, postings: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The dense score array of one query: each of its terms adds its weighted postings. Longs wrap around; see ``bounded``."""
+    scores = np.zeros(n_rows, q_weight.dtype)
+    for t, w in zip(q_term.tolist(), q_weight, strict=True):
         if t not in postings:
             continue
         at, weights = postings[t]
@@ -55,6 +55,20 @@ def accumulate(row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_rows: in
     return scores
 
 
+def bounded(scores: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, q_term: np.ndarray, q_weight: np.ndarray) -> np.ndarray:
+    """Scores that may have wrapped around, set right: one that fits a long is exact even so, any other becomes the nearest long."""
+    of = dict(zip(q_term.tolist(), q_weight.tolist(), strict=True))
+    mine = np.array([of.get(t, 0) for t in term.tolist()], object)
+    near = mine.astype(float) * weight
+    total, size = np.bincount(row, near, len(scores)), np.bincount(row, np.abs(near), len(scores))
+    doubt = size * 1e-9 + 1
+    out = np.where(total - doubt > MOST, MOST, np.where(total + doubt < LEAST, LEAST, scores))
+    for i in np.flatnonzero((np.abs(total) + doubt >= 2.0**63) & (out == scores)):
+        own = row == i
+        out[i] = min(MOST, max(LEAST, int((mine[own] * weight[own].astype(object)).sum())))
+    return out
+
+
 def select(scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best: higher score first, then smaller id. Partition selection, then a sort of the few left."""
     at = np.flatnonzero(allowed)
@@ -66,7 +80,7 @@ def select(scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) ->
         if len(ties) > need:
             ties = ties[np.argpartition(ids[ties], need - 1)[:need]]
         at = np.concatenate([above, ties])
-    return at[np.lexsort((ids[at], -scores[at]))]
+    return at[np.lexsort((ids[at], ~scores[at]))]
 
 
 def _search(k: int):
@@ -80,11 +94,15 @@ def _search(k: int):
             row, term, weight = row[order], term[order], weight[order]
             cuts = np.flatnonzero(np.diff(term)) + 1
             postings = {int(t[0]): (r, w) for t, r, w in zip(np.split(term, cuts), np.split(row, cuts), np.split(weight, cuts), strict=True) if len(t)}
+            most, terms = float(np.abs(weight.astype(float)).max(initial=0)), np.bincount(row, minlength=len(ids)).max(initial=0)
             q_row, q_term = _ragged(queries.column("terms"))
             q_weight = _ragged(queries.column("weights"))[1]
             cut = np.searchsorted(q_row, np.arange(queries.num_rows + 1))
             for i, q in enumerate(queries.column("vec_id").to_pylist()):
-                scores = accumulate(row, term, weight, len(ids), q_term[cut[i] : cut[i + 1]], q_weight[cut[i] : cut[i + 1]], postings)
+                own = slice(cut[i], cut[i + 1])
+                scores = accumulate(len(ids), q_term[own], q_weight[own], postings)
+                if most * float(np.abs(q_weight[own].astype(float)).max(initial=0)) * terms >= 2.0**62:
+                    scores = bounded(scores, row, term, weight, q_term[own], q_weight[own])
                 best = select(scores, ids, ids != q, k)
                 out.append((np.full(len(best), q), ids[best], scores[best]))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
@@ -98,9 +116,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, scale: int = 1
 
     Both tables have vec_id and embedding; components become floor(scale * x). A query's candidates are all rows with
     another vec_id than its own; with fewer than ``k`` of them, all are returned. Vectors may differ in length: missing
-    components count as zero. Left out of both sides: null vec_ids, null vectors, vectors with a null or non-finite component,
-    and those with a component of 2**27 / scale or more, whose scores might not fit a long. A vector of zeros takes part
-    with scores of 0. Equal query rows are one query; different vectors under one
+    components count as zero. Left out of both sides: null vec_ids, null vectors, vectors with a null or non-finite component.
+    Scaled components and scores beyond a long count as the nearest long. A vector of zeros takes part with scores of 0. Equal query rows are one query; different vectors under one
     query_id share one ranking; as candidates each row counts. Other columns are not read. Empty tables give no rows.
     """
     ship(candidates.sparkSession)
