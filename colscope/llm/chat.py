@@ -2,7 +2,8 @@
 
 A layout is a declarative mapping: the nested field paths it needs and may use, and how its fields become canonical turns
 (conv_id, turn, role, text). The fingerprint of a table (or of a JSON record) is the hash of those of its paths that any
-layout knows, so that further columns don't matter; a lookup of the hash selects the layout.
+layout knows, so that further columns don't matter; a lookup of the hash selects the layout. Known paths that no layout
+combines are those of several layouts at once: then the first layout in order that has all it needs is selected.
 
 The template writes a turn as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts a backslash becomes ``\\b``, ``<|``
 becomes ``<\\p`` and, in roles, a line feed ``\\l``; so ``<|`` occurs in a formatted conversation only where the template put
@@ -104,7 +105,7 @@ REGISTRY = _registry()
 
 
 def layout_of(schema: T.StructType) -> Layout:
-    """The layout of a table. Of columns whose paths no layout combines, those of the first layout that has all it needs count."""
+    """The layout of a table."""
     paths = {*_paths(schema)}
     if found := REGISTRY.get(fingerprint(paths)):
         return found
@@ -139,25 +140,27 @@ def to_turns(df: DataFrame) -> DataFrame:
 def json_to_turns(records: DataFrame, column: str = "payload") -> DataFrame:
     """(conv_id, turn, role, text, layout) of JSON records of any mixture of layouts (not turn rows).
 
-    Each record's paths (its keys, and those of the first element of each list) are hashed, and the hash selects the
-    mapping. A null, unreadable or unknown record gives one row with layout null and turn null.
+    Each record's paths (its keys, and those of all elements of its lists) are hashed, and the hash selects the mapping, by the
+    rule that holds for tables. A null role or text, or one that an element of a list doesn't have, is empty. A null,
+    unreadable or unknown record gives one row with layout null and turn null; one without turns a row with turn null.
     """
     text = F.col(column)
-    keys = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    keys = F.coalesce(F.json_object_keys(text), none)
     lists = sorted({p.split("[")[0] for p in _KNOWN if "[" in p})
 
     def inside(a: str) -> Column:
-        found = F.json_object_keys(F.get_json_object(text, f"$.{a}[0]"))
-        return F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda k: F.concat(F.lit(f"{a}[]."), k))
+        elements = F.coalesce(F.from_json(F.get_json_object(text, f"$.{a}"), "array<string>"), none)
+        found = F.flatten(F.transform(elements, lambda e: F.coalesce(F.json_object_keys(e), none)))
+        return F.transform(found, lambda k: F.concat(F.lit(f"{a}[]."), k))
 
     nested = F.concat(*[inside(a) for a in lists])
     known = F.filter(F.array_distinct(F.concat(keys, nested)), lambda p: p.isin(*sorted(_KNOWN)))
-    marked = records.withColumn("_print", F.sha2(F.array_join(F.array_sort(known), "\n"), 256))
+    marked = records.withColumn("_paths", known).withColumn("_print", F.sha2(F.array_join(F.array_sort("_paths"), "\n"), 256))
     kinds = {x.name: x for x in LAYOUTS if not x.rows}
-    name = F.lit(None).cast("string")
-    for h, x in REGISTRY.items():
-        if not x.rows:
-            name = F.when(F.col("_print") == h, F.lit(x.name)).otherwise(name)
+    by_print = F.create_map(*[F.lit(v) for h, x in REGISTRY.items() if not x.rows for v in (h, x.name)])
+    has_all = [F.when(F.size(F.array_except(F.array(*map(F.lit, x.needs)), F.col("_paths"))) == 0, F.lit(x.name)) for x in kinds.values()]
+    name = F.coalesce(F.try_element_at(by_print, F.col("_print")), *has_all)
 
     def mapped(x: Layout) -> Column:
         fields = []
