@@ -50,6 +50,16 @@ def test_top_k_against_brute_force(spark):
         assert got[q] == sorted(dot.items(), key=lambda x: (-x[1], x[0]))[:7]
     assert set(got) == {i for i in fine if i % 10 == 0}
     assert top_k(df.limit(0), df.limit(0)).count() == 0
+    # Large components: scores that fit a long are exact, others the nearest long; repeated rows are one query.
+    rows = [(0, [200000.0, 1.0]), (0, [200000.0, 1.0]), (1, [2.0**40, -(2.0**40)]), (2, [2.0**40, 2.0**40]), (3, [3.0, 2.0]), (4, [-(2.0**60), 0.0]), (5, [1e300, 1e300]), (6, [2.0**31, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for x in top_k(df, df, k=20, candidate_block=3, query_block=2).orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x.vec_id, x.score))
+    bounded = lambda n: max(-(2**63), min(2**63 - 1, n))
+    whole = [(i, [bounded(int(np.floor(1024 * c))) for c in v]) for i, v in rows]
+    for q, w in whole:
+        assert got[q] == sorted(((i, bounded(sum(a * b for a, b in zip(w, v)))) for i, v in whole if i != q), key=lambda x: (-x[1], x[0]))
 
 
 # ---------------------------------------------------------------- 2 and 5: tokens
@@ -85,7 +95,8 @@ def test_huffman_codes_round_trip():
 
 
 def test_token_files(spark):
-    from colscope.llm.tokenout import fresh_folder, read_tokens, write_tokens
+    from colscope.llm.common import fresh_folder
+    from colscope.llm.tokenout import read_tokens, write_tokens
     from colscope.llm.tokens import token_file, tokenizer
 
     df, rows = odd_documents(spark)
@@ -176,6 +187,23 @@ def test_layouts(spark):
     records = [{"prompt": "p", "response": "r", "more": 1}, {"conversations": [{"from": "human", "value": "v"}]}, {"zzz": 1}]
     got = json_to_turns(spark.createDataFrame([(json.dumps(x),) for x in records] + [(None,), ("{",)], "payload string")).collect()
     assert collections.Counter(x.layout for x in got) == {"prompt": 2, "from and value": 1, None: 3}
+    # Fields of several layouts at once, elements that differ, lists that are null: no record is lost.
+    long = "word " * 50_000
+    odd = [
+        ({"messages": [{"role": "user", "tool_calls": 1}, {"role": "assistant", "content": "b"}], "id": 3}, "messages", [("user", ""), ("assistant", "b")]),
+        ({"messages": [{"role": "user", "content": "m"}], "prompt": "p"}, "messages", [("user", "m")]),
+        ({"prompt": "p", "response": "r", "output": "o"}, "prompt", [("user", "p"), ("assistant", "r")]),
+        ({"messages": None, "prompt": "p", "completion": long}, "prompt and completion", [("user", "p"), ("assistant", long)]),
+        ({"conversations": [], "question": "q", "answer": "a", "context": "c"}, "question", [("system", "c"), ("user", "q"), ("assistant", "a")]),
+        ({"messages": []}, None, []),
+    ]
+    df = spark.createDataFrame([(json.dumps(x | {"conv_id": i}), "t") for i, (x, _, _) in enumerate(odd)] * 2, "payload string, text string")
+    got = collections.defaultdict(list)
+    for x in json_to_turns(df).orderBy("conv_id", "turn").collect():
+        got[x.conv_id, x.layout] += [(x.role, x.text)] if x.turn is not None else []
+    assert got == {(i, name): [t for t in turns for _ in range(2)] for i, (_, name, turns) in enumerate(odd)}
+    both = spark.createDataFrame([("p", "r", "o")], "prompt string, response string, output string")
+    assert [x.text for x in to_turns(both).orderBy("turn").collect()] == ["p", "r"]
     with pytest.raises(ValueError):
         to_turns(spark.createDataFrame([(1,)], "zzz int"))
 
@@ -275,6 +303,18 @@ def test_near_duplicates_against_brute_force(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_doc_id_with_several_texts(spark):
+    """Each text of a doc_id has links of its own, short ones too; repeated rows and long texts count once and whole."""
+    from colscope.llm.neardup import near_duplicates
+
+    r = random.Random(8)
+    prose = lambda n: " ".join(f"z{r.randint(0, 10**6)}" for _ in range(n))
+    a, b, long = prose(200), prose(200), prose(30_000)
+    rows = [(9, a), (9, b), (9, "short text"), (2, f"{a} more"), (3, f"{b} more"), (4, "Short text"), (5, long), (6, f"{long} more"), (5, long), (7, prose(200))]
+    got = collections.Counter((x.doc_id, x.component_id, x.kept) for x in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 0.85).collect())
+    assert got == {(9, 2, False): 3, (2, 2, True): 1, (3, 2, False): 1, (4, 2, False): 1, (5, 5, True): 2, (6, 5, False): 1, (7, 7, True): 1}
+
+
 def test_links_within_large_buckets(spark):
     """A text whose bands in common with near copies all lie far apart, in buckets above the unit: its links are kept."""
     from colscope.llm.neardup import near_duplicates
@@ -415,3 +455,56 @@ def test_edited_and_partial_leaks_against_brute_force(spark):
     want = {(d, i): s for d, w in enumerate(docs) for i, x in items if (s := align(x, w)) >= max(0.5 * len(x), min(6, len(x)))}
     assert {(x.doc_id, x.item_id): x.score for x in find_leaks(df, bench).collect()} == want and len(want) > 100
     assert {x.doc_id for x in drop_leaks(df, bench).collect()} == set(range(len(docs))) - {d for d, _ in want}
+
+
+# ---------------------------------------------------------------- texts on which sums of powers collide
+
+
+def thue_morse():
+    """Two texts that polynomial hashes modulo a power of two can't tell apart, whatever the base."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_of_both_families():
+    from colscope.llm.common import run_chains, run_sums, span_chains, span_sums
+
+    one, two = thue_morse()
+    data = np.frombuffer((one + two + one[:9] + one[:17]).encode(), np.uint8)
+    start, end = np.array([0, 2048, 4096, 4105, 5]), np.array([2048, 4096, 4105, 4122, 5])
+    for f in (span_sums, span_chains):
+        got = f(data, start, end)
+        assert len(set(got.tolist())) == 5 and (got[[3]] == f(data, np.array([0]), np.array([17]))).all()
+    values = np.random.default_rng(0).integers(0, 2**64, 40, dtype=np.uint64)
+    for f in (run_sums, run_chains):
+        assert f(np.concatenate([values, values]), np.array([0, 40, 3]), np.array([5, 45, 8]))[:2].tolist() == [f(values, np.array([0]), np.array([5]))[0]] * 2
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_segments_with_one_hash(name, monkeypatch):
+    """With every hash the same, ids are still those of the tokenizer."""
+    from colscope.llm import tokens
+
+    one, two = thue_morse()
+    for forced in (False, True):
+        if forced:
+            monkeypatch.setattr(tokens, "span_sums", lambda data, start, end: np.full(len(start), 7, np.uint64))
+        tokens._MEMORY.clear()
+        texts = [one, two, "an apple and an orange", "an orange and", None, f"{two} {one}"]
+        for _ in range(2):
+            for a, ids, offs in tokens.encoded(pa.array(texts), name, 7):
+                for k in range(len(offs) - 1):
+                    assert ids[offs[k] : offs[k + 1]].tolist() == [*tokens.tokenizer(name).encode(texts[a + k] or "", add_special_tokens=False).ids, 7]
+    tokens._MEMORY.clear()
+
+
+def test_colliding_texts_are_not_linked(spark):
+    from colscope.llm.neardup import near_duplicates
+    from colscope.llm.substring import remove_repeats
+
+    one, two = thue_morse()
+    assert {(x.doc_id, x.component_id) for x in near_duplicates(spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string"), 0.85).collect()} == {(1, 1), (2, 2)}
+    tail = " ".join(f"w{i}" for i in range(12))
+    assert {x.n_removed for x in remove_repeats(spark.createDataFrame([(1, f"{one} {tail}"), (2, f"{two} {tail}")], "doc_id long, text string")).collect()} == {0}
