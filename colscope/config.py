@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Pairs of texts that make a boolean group, lower-cased. A group of one value is boolean only if it is x.
 BOOLEAN_PAIRS = (("1", "0"), ("1", ""), ("yes", "no"), ("y", "n"), ("true", "false"), ("t", "f"), ("si", "no"), ("s", "n"), ("verdadero", "falso"), ("v", "f"), ("x", ""))
@@ -23,6 +23,12 @@ USE_ABBREVIATION = {
 TYPE_ABBREVIATION = {"INT": "IN", "BIGINT": "BI", "TINYINT(1)": "TI", "CHAR(1)": "CH", "DECIMAL(38,10)": "DE", "DATETIME": "DT", "DATE": "DA", "TIME": "TM", "TIMESTAMP": "TS"}
 META_TYPE_ABBREVIATION = {k: v for k, v in TYPE_ABBREVIATION.items() if k not in ("DATE", "TIME", "TIMESTAMP")}
 
+# Parts of the names of files that are profiled, case counting.
+FILE_PATTERNS = (
+    "MB51", "MB5B", "ME5A", "S_P99_41000062", "ME2L", "ZMMR_SQVI_BUS_RAPIDA", "ZMMREPO", "MRO_IO", "KOB1", "CJI3", "KSB1", "ZFIR_STATSLOAD", "CN41N", "ZRPT_PS_PROJECT", "IW49N",
+    "LEK2DAT_FORECAST", "LEK2DAT_STRUCTURE_EE", "LEK2DAT_STRUCTURE_CC", "LEK2DAT_STRUCTURE_CCEE", "LEK2DAT_STRUCTURE_ACC", "PRESU", "PATRI",
+)
+
 NUMERIC_USES = ("DecimalValue", "IntegerValue", "NumericCode")
 DATETIME_USES = ("DateTime", "Date", "Time")
 CODE_USES = ("NumericCode", "TextCode", "AlphaNumericCode", "CodeWithoutSpaces")
@@ -47,11 +53,15 @@ class ProfileConfig:
     top_values: int = 10
     key_width: int = 5
     blocked_key_uses: tuple[str, ...] = ("ZerosOnly", "Empty", "DecimalValue")
-    #: Combinations of a key search at most; beyond, the result says that the search was cut short.
-    key_candidates: int = 200_000
+    #: Combinations of a key search at most, if a limit is wanted; beyond, the result says that the search was cut short.
+    key_candidates: int | None = None
     small_files: int = 5
     large_file_mb: float = 20
-    file_patterns: tuple[str, ...] = field(default=())
+    most_failures: int = 3
+    small_seconds: int = 120
+    large_seconds: int = 600
+    #: Only files whose name has one of these are profiled; all if there is none.
+    file_patterns: tuple[str, ...] = FILE_PATTERNS
 
 
 DEFAULT = ProfileConfig()

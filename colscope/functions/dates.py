@@ -29,31 +29,48 @@ class Format:
     pattern: str
 
 
-def _formats() -> tuple[Format, ...]:
-    """The known formats, made from their parts. Numbers of one or two digits, but for dates with dashes that begin with the year."""
-    two, year, short, name = "[0-9]{1,2}", "[0-9]{4}", "[0-9]{2}", "[A-Za-z]{3,}"
-    dates = [("YYYY-MM-DD", "YMD", f"{year}-{short}-{short}"), ("YYYY/MM/DD", "YMD", f"{year}/{two}/{two}"), ("YYYY.MM.DD", "YMD", rf"{year}\.{two}\.{two}"), ("YYYYMMDD", "YMD", "[0-9]{8}")]
-    for order, a, b in (("DMY", "DD", "MM"), ("MDY", "MM", "DD")):
-        dates += [(f"{a}{s}{b}{s}YYYY", order, rf"{two}{e}{two}{e}{year}") for s, e in (("/", "/"), ("-", "-"), (".", r"\."))]
-        dates += [(f"{a}{s}{b}{s}YY", order, f"{two}{s}{two}{s}{short}") for s in "/-"]
-        if order == "DMY":
-            dates += [("DD-MMM-YYYY", order, f"{two}-{name}-{year}"), ("DD-MMM-YY", order, f"{two}-{name}-{short}")]
-    out = [Format(k, "Date", o, f"^{p}$") for k, o, p in dates]
-    clock = f"{two}:{short}"
-    out += [Format("HH:mm", "Time", None, f"^{clock}$"), Format("HH:mm:ss", "Time", None, f"^{clock}:{short}$")]
-    out += [Format("hh:mm AM/PM", "Time", None, rf"(?i)^{clock}\s*{_AMPM}$"), Format("hh:mm:ss AM/PM", "Time", None, rf"(?i)^{clock}:{short}\s*{_AMPM}$")]
-    timed = ("YYYY-MM-DD", "YYYY/MM/DD", "DD/MM/YYYY", "DD-MM-YYYY", "DD-MMM-YYYY", "MM/DD/YYYY", "MM-DD-YYYY")
-    by_key = {k: (o, p) for k, o, p in dates}
-    for key in timed:
-        order, p = by_key[key]
-        out += [Format(f"{key} HH:mm", "DateTime", order, f"^{p}[ T]{clock}$"), Format(f"{key} HH:mm:ss", "DateTime", order, f"^{p}[ T]{clock}:{short}$")]
-        if key == "YYYY/MM/DD":
-            out += [Format("YYYYMMDD HHmm", "DateTime", "YMD", "^[0-9]{8}[ T][0-9]{4}$"), Format("YYYYMMDD HHmmss", "DateTime", "YMD", "^[0-9]{8}[ T][0-9]{6}$")]
-            out += [Format("YYYYMMDDHHmm", "DateTime", "YMD", "^[0-9]{12}$"), Format("YYYYMMDDHHmmss", "DateTime", "YMD", "^[0-9]{14}$"), Format("ISO-8601", "DateTime", "YMD", _ISO)]
-    return tuple(out)
-
-
-FORMATS = _formats()
+# The known formats.
+FORMATS = (
+    Format("YYYY-MM-DD", "Date", "YMD", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    Format("YYYY/MM/DD", "Date", "YMD", r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$"),
+    Format("YYYY.MM.DD", "Date", "YMD", r"^[0-9]{4}\.[0-9]{1,2}\.[0-9]{1,2}$"),
+    Format("YYYYMMDD", "Date", "YMD", r"^[0-9]{8}$"),
+    Format("DD/MM/YYYY", "Date", "DMY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"),
+    Format("DD-MM-YYYY", "Date", "DMY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"),
+    Format("DD.MM.YYYY", "Date", "DMY", r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}$"),
+    Format("DD/MM/YY", "Date", "DMY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"),
+    Format("DD-MM-YY", "Date", "DMY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"),
+    Format("DD-MMM-YYYY", "Date", "DMY", r"^[0-9]{1,2}-[A-Za-z]{3,}-[0-9]{4}$"),
+    Format("DD-MMM-YY", "Date", "DMY", r"^[0-9]{1,2}-[A-Za-z]{3,}-[0-9]{2}$"),
+    Format("MM/DD/YYYY", "Date", "MDY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"),
+    Format("MM-DD-YYYY", "Date", "MDY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"),
+    Format("MM.DD.YYYY", "Date", "MDY", r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}$"),
+    Format("MM/DD/YY", "Date", "MDY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"),
+    Format("MM-DD-YY", "Date", "MDY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"),
+    Format("HH:mm", "Time", None, r"^[0-9]{1,2}:[0-9]{2}$"),
+    Format("HH:mm:ss", "Time", None, r"^[0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+    Format("hh:mm AM/PM", "Time", None, r"(?i)^[0-9]{1,2}:[0-9]{2}\s*(?:AM|PM|A\.?M\.?|P\.?M\.?)$"),
+    Format("hh:mm:ss AM/PM", "Time", None, r"(?i)^[0-9]{1,2}:[0-9]{2}:[0-9]{2}\s*(?:AM|PM|A\.?M\.?|P\.?M\.?)$"),
+    Format("YYYY-MM-DD HH:mm", "DateTime", "YMD", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{1,2}:[0-9]{2}$"),
+    Format("YYYY-MM-DD HH:mm:ss", "DateTime", "YMD", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+    Format("YYYY/MM/DD HH:mm", "DateTime", "YMD", r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{2}$"),
+    Format("YYYY/MM/DD HH:mm:ss", "DateTime", "YMD", r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+    Format("YYYYMMDD HHmm", "DateTime", "YMD", r"^[0-9]{8}[ T][0-9]{4}$"),
+    Format("YYYYMMDD HHmmss", "DateTime", "YMD", r"^[0-9]{8}[ T][0-9]{6}$"),
+    Format("YYYYMMDDHHmm", "DateTime", "YMD", r"^[0-9]{12}$"),
+    Format("YYYYMMDDHHmmss", "DateTime", "YMD", r"^[0-9]{14}$"),
+    Format("ISO-8601", "DateTime", "YMD", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(?::[0-9]{2})?(?:\.[0-9]+)?(?:Z|[+-][0-9]{2}:[0-9]{2})?$"),
+    Format("DD/MM/YYYY HH:mm", "DateTime", "DMY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}$"),
+    Format("DD/MM/YYYY HH:mm:ss", "DateTime", "DMY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+    Format("DD-MM-YYYY HH:mm", "DateTime", "DMY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}$"),
+    Format("DD-MM-YYYY HH:mm:ss", "DateTime", "DMY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+    Format("DD-MMM-YYYY HH:mm", "DateTime", "DMY", r"^[0-9]{1,2}-[A-Za-z]{3,}-[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}$"),
+    Format("DD-MMM-YYYY HH:mm:ss", "DateTime", "DMY", r"^[0-9]{1,2}-[A-Za-z]{3,}-[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+    Format("MM/DD/YYYY HH:mm", "DateTime", "MDY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}$"),
+    Format("MM/DD/YYYY HH:mm:ss", "DateTime", "MDY", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+    Format("MM-DD-YYYY HH:mm", "DateTime", "MDY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}$"),
+    Format("MM-DD-YYYY HH:mm:ss", "DateTime", "MDY", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}$"),
+)
 #: Which format is taken of several that fit: seconds first, then the longer key, then the order above.
 RANKED = sorted(range(len(FORMATS)), key=lambda i: (not (":ss" in FORMATS[i].key or "HHmmss" in FORMATS[i].key), -len(FORMATS[i].key), i))
 
@@ -67,9 +84,11 @@ def _int(c: Column) -> Column:
     return c.try_cast("int")
 
 
+_MONTH_MAP = f"map({', '.join(f"'{k}', {v}" for k, v in MONTHS.items())})"
+
+
 def month_number(c: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
-    return F.try_element_at(table, F.upper(F.substring(c, 1, 3)))
+    return F.try_element_at(F.expr(_MONTH_MAP), F.upper(F.substring(c, 1, 3)))
 
 
 def full_year(y: Column, config: ProfileConfig = DEFAULT) -> Column:
@@ -126,14 +145,52 @@ def orders_that_fit(c: Column, config: ProfileConfig = DEFAULT) -> dict[str, Col
     }
 
 
-def order_fits(value: Column, config: ProfileConfig = DEFAULT) -> dict[str, Column]:
-    """Columns for ``order_counts``, to be added before: which orders a text with a separator fits."""
-    s = F.trim(value)
-    return {f"_fits_{k}": F.when(s.rlike("[0-9].*[/.-]|[A-Za-z].*[/.-]"), v).otherwise(F.lit(False)) for k, v in orders_that_fit(value, config).items()}
+#: Every text that any format, order or parser below takes begins like this.
+MAY_BE_DATED = r"^(?:[0-9]{1,4}|[A-Za-z]{3,})[/.-](?:[0-9]{1,2}|[A-Za-z]{3,})[/.-][0-9]{1,4}|^[0-9]{8}(?:[ T]?[0-9]{4,6}|\s*[0-9]{4,6})?$|^[0-9]{1,2}:[0-9]{2}"
+
+
+def _sql(text: str) -> str:
+    """A string literal of SQL."""
+    return "r'" + text.replace("'", "\\'") + "'" if "'" not in text else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def with_date_marks(rows: DataFrame, value: str = "value", config: ProfileConfig = DEFAULT) -> DataFrame:
+    """``rows`` and, for each text: mask, the known formats it matches; time_ok; and for each order ordered_, date_ and datetime_, whether
+    the parsers of those names take it, and _fits_, whether it counts for that order.
+
+    The text is taken apart once, in steps of SQL, and only if it may be dated at all.
+    """
+    x, s = f"`{value}`", "_s"
+    part = lambda k: f"regexp_extract(_s, {_sql(_ORDERED)}, {k})"
+    full = lambda y: f"(CASE WHEN {y} BETWEEN 0 AND 99 THEN {y} + CASE WHEN {y} >= {config.two_digit_pivot} THEN 1900 ELSE 2000 END ELSE {y} END)"
+    real = lambda y, m, d: f"({full(y)} BETWEEN {config.first_year} AND {config.last_year} AND {m} BETWEEN 1 AND 12 AND {d} BETWEEN 1 AND 31 AND try_make_timestamp_ntz({full(y)}, {m}, {d}, 0, 0, CAST(0 AS DECIMAL(16, 6))) IS NOT NULL)"
+    mark = rf"(?i)\s*({_AMPM})\s*$"
+    rows = rows.withColumn(s, F.expr(f"CASE WHEN trim({x}) RLIKE {_sql(MAY_BE_DATED)} THEN trim({x}) END"))
+    rows = rows.withColumns({"_ordered": F.expr(f"coalesce(_s RLIKE {_sql(_ORDERED)}, false)"), "_clock": F.expr(f"coalesce(_s RLIKE '[0-9]{{1,2}}:[0-9]{{2}}', false)")})
+    rows = rows.withColumns({f"_p{k}": F.expr(f"CASE WHEN _ordered THEN {part(k)} END") for k in (1, 2, 3)} | {"_t": F.expr(f"CASE WHEN _ordered THEN {part(4)} WHEN NOT _s RLIKE '[/.-]' THEN _s END")})
+    rows = rows.withColumns({f"_y{k}": F.expr(f"try_cast(_p{k} AS INT)") for k in (1, 2, 3)} | {"_core": F.expr(f"CASE WHEN _t <> '' THEN trim(regexp_replace(trim(_t), {_sql(mark)}, '')) END"), "_mark": F.expr(f"upper(regexp_extract(_t, {_sql(mark)}, 1))")})
+    rows = rows.withColumns({f"_n{k}": F.expr(f"coalesce(try_element_at({_MONTH_MAP}, upper(substring(_p{k}, 1, 3))), _y{k})") for k in (1, 2, 3)} | {f"_c{k}": F.expr(f"try_cast(regexp_extract(_core, {_sql(f'^{_TIME}$')}, {k}) AS INT)") for k in (1, 2, 3)})
+    hour = "(CASE WHEN _mark = '' THEN _c1 ELSE _c1 % 12 + CASE WHEN _c1 > 12 THEN 100 ELSE 0 END END)"
+    rows = rows.withColumn("_timed", F.expr(f"coalesce(_c2 BETWEEN 0 AND 59 AND coalesce(_c3, 0) BETWEEN 0 AND 59 AND {hour} BETWEEN 0 AND 23 OR (_mark = '' AND _c1 = 24 AND _c2 = 0 AND coalesce(_c3, 0) = 0), false)"))
+    compact = [f"try_cast(regexp_extract(_s, {_sql(_COMPACT)}, {k}) AS INT)" for k in range(1, 7)]
+    packed = f"(_s RLIKE {_sql(_COMPACT)} AND {compact[0]} BETWEEN {config.first_year} AND {config.last_year} AND try_make_timestamp_ntz({', '.join(compact[:5])}, CAST(coalesce({compact[5]}, 0) AS DECIMAL(16, 6))) IS NOT NULL)"
+    iso = f"(_s RLIKE {_sql(_ISO)} AND year(CASE WHEN _s RLIKE '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$' THEN CAST(try_cast(_s AS TIMESTAMP) AS TIMESTAMP_NTZ) ELSE try_cast(_s AS TIMESTAMP_NTZ) END) BETWEEN {config.first_year} AND {config.last_year})"
+    first, second, year = (f"_s RLIKE '{r}'" for r in ("^[A-Za-z]{3,}[/.-][0-9]{1,2}[/.-][0-9]{1,4}", "^[0-9]{1,4}[/.-][A-Za-z]{3,}[/.-][0-9]{1,4}", "^[0-9]{1,4}[/.-][A-Za-z]{3,}[/.-][0-9]{1,2}"))
+    rows = rows.withColumns({"_fixed": F.expr(f"coalesce({packed}, false) OR coalesce({iso}, false)"), "_named": F.expr(f"CASE WHEN {first} THEN 1 WHEN _s RLIKE '^[0-9]{{1,2}}[/.-][A-Za-z]{{3,}}[/.-][0-9]{{1,4}}' THEN 2 WHEN {year} THEN 3 ELSE 0 END"), "_compact": F.expr("coalesce(_s RLIKE r'^[0-9]{8}\\s*[0-9]{4,6}$', false)")})
+    place = {"DMY": (3, 2, 1), "MDY": (3, 1, 2), "YMD": (1, 2, 3)}
+    ordered = {o: f"coalesce(_ordered AND (_t = '' OR _timed) AND {real(f'_y{y}', f'_n{m}', f'_n{d}')}, false)" for o, (y, m, d) in place.items()}
+    fits = {o: f"coalesce(_ordered AND {real(f'_y{y}', f'_y{m}', f'_y{d}')}, false)" for o, (y, m, d) in place.items()}
+    named = {"MDY": "WHEN _named = 1 THEN true WHEN _named > 1 THEN false", "DMY": "WHEN _named IN (1, 3) THEN false WHEN _named = 2 THEN true", "YMD": "WHEN _named IN (1, 2) THEN false WHEN _named = 3 THEN true"}
+    rows = rows.withColumns({f"ordered_{o}": F.expr(c) for o, c in ordered.items()} | {f"_fits_{o}": F.expr(f"CASE {named[o]} ELSE {c} END") for o, c in fits.items()})
+    bits = " + ".join(f"CASE WHEN _s RLIKE {_sql(f.pattern)} THEN {1 << i}L ELSE 0L END" for i, f in enumerate(FORMATS))
+    marks = {"mask": F.expr(f"CASE WHEN _s IS NULL THEN 0L ELSE {bits} END"), "time_ok": F.expr("coalesce(NOT _ordered AND _timed, false)")}
+    marks |= {f"date_{o}": F.expr(f"ordered_{o} AND NOT _clock") for o in ORDERS} | {f"datetime_{o}": F.expr(f"(_clock OR _compact) AND (ordered_{o} OR _fixed)") for o in ORDERS}
+    rows = rows.withColumns(marks)
+    return rows.drop("_s", "_ordered", "_clock", "_t", "_core", "_mark", "_timed", "_fixed", "_named", "_compact", *[f"{a}{k}" for a in ("_p", "_y", "_n", "_c") for k in (1, 2, 3)])
 
 
 def order_counts() -> list[Column]:
-    """Aggregates over ``order_fits``: seen, and for each order how many fit, and how many fit no other."""
+    """Aggregates over the ``_fits_`` columns: seen, and for each order how many fit, and how many fit no other."""
     fit = {k: F.col(f"_fits_{k}") for k in ORDERS}
     only = sum((v.cast("int") for v in fit.values()), F.lit(0)) == 1
     return [F.count("*").alias("seen"), *[F.count_if(fit[k]).alias(f"fit_{k}") for k in ORDERS], *[F.count_if(fit[k] & only).alias(f"dec_{k}") for k in ORDERS]]
@@ -168,7 +225,8 @@ def format_mask(c: Column) -> Column:
 
 def chosen_format(mask: Column, order: Column) -> Column:
     """struct(bit, key, kind, order) of the format taken of those in ``mask`` that agree with the inferred ``order``; null if none."""
-    ranked = F.array(*[F.struct(F.lit(1 << i).cast("long").alias("bit"), F.lit(FORMATS[i].key).alias("key"), F.lit(FORMATS[i].kind).alias("kind"), F.lit(FORMATS[i].order).cast("string").alias("order")) for i in RANKED])
+    text = lambda v: "CAST(NULL AS STRING)" if v is None else f"'{v}'"
+    ranked = F.expr(f"array({', '.join(f"named_struct('bit', {1 << i}L, 'key', {text(FORMATS[i].key)}, 'kind', {text(FORMATS[i].kind)}, 'order', {text(FORMATS[i].order)})" for i in RANKED)})")
     agree = {o: sum(1 << i for i, f in enumerate(FORMATS) if f.order in (None, o)) for o in ORDERS}
     allowed = F.lit((1 << len(FORMATS)) - 1).cast("long")
     for o, bits in agree.items():

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ProfileConfig
-from .text import let
 
 # What a sample may consist of besides digits and separators.
 NUMBER_CHARACTERS = r"^[0-9.,()\s $€£¥%+-]+$"
@@ -78,34 +77,35 @@ def number_plans(samples: DataFrame) -> DataFrame:
     return stats.select("col_name", F.when(decimal.isNull(), "thousands_only").otherwise("decimal_present").alias("mode"), decimal.cast("string").alias("decimal"), thousands.alias("thousands"), reason.alias("reason"))
 
 
-def normalized_number(raw: Column, mode: Column, decimal: Column, thousands: Column, whole: bool = False) -> Column:
-    """A number as plain digits with a point, by a column's plan; null where it isn't one. ``whole`` cuts the fraction off."""
-    digits = lambda t: F.regexp_replace(t, "[.,]", "")
+def with_numbers(rows: DataFrame, value: str = "value") -> DataFrame:
+    """``rows`` (with mode, decimal, thousands: a column's plan) and norm_dec, norm_int: the text as plain digits with a point, and
+    with the fraction cut off; null where it isn't a number.
 
-    def split(s: Column, point: Column) -> Column:
-        tail = F.when(point == ".", F.substring_index(s, ".", -1)).when(point == ",", F.substring_index(s, ",", -1))
-        has = F.coalesce(F.contains(s, point), F.lit(False))
-        head = digits(F.when(has, F.substring(s, F.lit(1), F.length(s) - F.length(tail) - 1)).otherwise(s))
-        return F.concat(F.when(head == "", "0").otherwise(head), F.when(has & (digits(tail) != ""), F.concat(F.lit("."), digits(tail))).otherwise(""))
-
-    def padded(s: Column, symbol: str) -> Column:
-        """A last group that is cut short is filled up, if its separator occurs twice or more."""
-        fill = thousands.contains(symbol) & (_count(s, symbol) >= 2) & _tail(s, symbol).between(1, 2)
-        return F.when(fill, F.rpad(s, F.length(s) + 3 - _tail(s, symbol), "0")).otherwise(s)
-
-    def plain(s: Column) -> Column:
-        both = s.contains(".") & s.contains(",")
-        last = F.when(F.instr(F.reverse(s), ".") < F.instr(F.reverse(s), ","), ".").otherwise(",")
-        grouped = digits(let(padded(s, "."), lambda t: padded(t, ",")))
-        return F.when((mode == "thousands_only") & ~both, grouped).when(mode == "thousands_only", split(s, last)).otherwise(split(s, decimal))
-
-    def signed(s0: Column) -> Column:
-        number = let(unsigned(s0), plain)
-        if whole:
-            number = F.regexp_replace(number, r"\..*$", "")
-        return let(number, lambda n: F.when(n.rlike(r"^[0-9]+(\.[0-9]+)?$"), F.when(is_negative(s0) & ~n.isin("0", "0.0"), F.concat(F.lit("-"), n)).otherwise(n)))
-
-    return let(sanitized(raw), signed)
+    A last group of digits that is cut short is filled up, if its separator occurs twice or more.
+    """
+    count = lambda s, symbol: f"(length({s}) - length(replace({s}, '{symbol}', '')))"
+    tail = lambda s, symbol: f"length(regexp_extract(substring_index({s}, '{symbol}', -1), '^([0-9]*)', 1))"
+    padded = lambda s, symbol: f"CASE WHEN contains(thousands, '{symbol}') AND {count(s, symbol)} >= 2 AND {tail(s, symbol)} BETWEEN 1 AND 2 THEN rpad({s}, length({s}) + 3 - {tail(s, symbol)}, '0') ELSE {s} END"
+    digits = lambda s: f"regexp_replace({s}, '[.,]', '')"
+    finished = lambda n: f"CASE WHEN {n} RLIKE '^[0-9]+([.][0-9]+)?$' THEN CASE WHEN _negative AND {n} NOT IN ('0', '0.0') THEN concat('-', {n}) ELSE {n} END END"
+    rows = rows.withColumn("_kept", sanitized(F.col(f"`{value}`")))
+    rows = rows.withColumns({"_negative": is_negative(F.col("_kept")), "_u": unsigned(F.col("_kept"))})
+    rows = rows.withColumns({"_both": F.expr("contains(_u, '.') AND contains(_u, ',')"), "_full": F.expr(padded("_u", "."))})
+    rows = rows.withColumns({"_full": F.expr(padded("_full", ",")), "_point": F.expr("CASE WHEN mode = 'decimal_present' THEN decimal WHEN instr(reverse(_u), '.') < instr(reverse(_u), ',') THEN '.' ELSE ',' END")})
+    rows = rows.withColumn("_tail", F.expr("CASE WHEN contains(_u, _point) THEN substring_index(_u, _point, -1) END"))
+    rows = rows.withColumn("_head", F.expr(digits("CASE WHEN _tail IS NULL THEN _u ELSE substring(_u, 1, length(_u) - length(_tail) - 1) END")))
+    split = f"concat(CASE WHEN _head = '' THEN '0' ELSE _head END, CASE WHEN {digits('_tail')} <> '' THEN concat('.', {digits('_tail')}) ELSE '' END)"
+    rows = rows.withColumn("_number", F.expr(f"CASE WHEN mode = 'thousands_only' AND NOT _both THEN {digits('_full')} ELSE {split} END"))
+    rows = rows.withColumn("_whole", F.expr("regexp_replace(_number, '[.].*$', '')"))
+    out = rows.withColumns({"norm_dec": F.expr(finished("_number")), "norm_int": F.expr(finished("_whole"))})
+    return out.drop("_kept", "_negative", "_u", "_both", "_full", "_point", "_tail", "_head", "_number", "_whole")
+
+
+def single_numbers(values: DataFrame) -> DataFrame:
+    """(value, norm_dec, norm_int, reason) of the different texts of ``value``, each by the plan that it alone gives."""
+    own = values.select("value").distinct().withColumn("col_name", F.col("value"))
+    planned = own.join(number_plans(number_like(own)), "col_name", "left").withColumns({"mode": F.coalesce("mode", F.lit("thousands_only")), "thousands": F.coalesce("thousands", F.lit(".,")), "reason": F.coalesce("reason", F.lit("no_sep_in_samples"))})
+    return with_numbers(planned).select("value", "norm_dec", "norm_int", "reason")
 
 
 def plain_double(c: Column) -> Column:

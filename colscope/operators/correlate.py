@@ -64,6 +64,30 @@ def correlations(values: DataFrame, uses: DataFrame) -> DataFrame:
     return named.withColumn("k", F.explode(F.filter(kinds, lambda k: k.isNotNull()))).select(F.concat_ws("_", "pairing", "k").alias("kind"), "x_column", "x_value", "y_column", "y_value", F.col("x_n_rows").alias("n_rows"))
 
 
+def column_chains(values: DataFrame) -> DataFrame:
+    """``correlation_chains`` of all strict pairs, without making the pairs: values with the same rows give sets of columns, and the
+    different sets, as few as the header allows, give pairs of columns."""
+    sets = values.groupBy("n_rows", "a", "b").agg(F.array_sort(F.collect_set("col_name")).alias("c")).where(F.size("c") > 1).select("c").distinct()
+    pairs = sets.select(F.posexplode("c").alias("i", "x_column"), "c").select("x_column", F.explode(F.slice("c", F.col("i") + 2, F.size("c"))).alias("y_column")).distinct()
+    return correlation_chains(pairs)
+
+
+def verified_pairs(pairs: DataFrame, df: DataFrame, row_key: list[str]) -> DataFrame:
+    """The strict pairs whose values share as many rows as each of them has, counted on the rows themselves."""
+    cells_ = text_table(df)
+    key = F.struct(*[F.col(f"`{c}`") for c in row_key])
+    parts = F.array(*[F.struct(F.lit(c).alias("c"), F.trim(F.col(f"`{c}`")).alias("v")) for c in df.columns])
+    cells_ = cells_.select(key.alias("row"), F.explode(parts).alias("e")).select("row", "e.c", "e.v")
+    x = pairs.join(cells_, (F.col("x_column") == F.col("c")) & (F.col("x_value") == F.col("v"))).drop("c", "v")
+    both = x.join(cells_.withColumnRenamed("row", "other"), (F.col("y_column") == F.col("c")) & (F.col("y_value") == F.col("v")) & (F.col("row") == F.col("other")))
+    return both.groupBy(*pairs.columns).agg(F.count("*").alias("shared")).where("shared = n_rows").select(*pairs.columns)
+
+
+def nested_pairs(pairs: DataFrame) -> DataFrame:
+    """(x_column, x_value, others): the pairs of each x as a sorted list of (y_column, y_value, n_rows)."""
+    return pairs.groupBy("x_column", "x_value").agg(F.array_sort(F.collect_list(F.struct("y_column", "y_value", "n_rows"))).alias("others"))
+
+
 def correlation_chains(pairs: DataFrame) -> DataFrame:
     """(col_name, correlation_chain): the columns that a column's values go with, sorted, joined by >."""
     return pairs.groupBy(F.col("x_column").alias("col_name")).agg(F.array_join(F.array_sort(F.collect_set("y_column")), ">").alias("correlation_chain"))

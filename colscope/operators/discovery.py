@@ -47,10 +47,15 @@ def pending(files: DataFrame, processed: DataFrame | None = None, config: Profil
     return left.select("path", "size", "base").orderBy(F.desc("size"), "path")
 
 
+def half_done(files: DataFrame) -> DataFrame:
+    """(base) of profiles without a slim document."""
+    return existing(files, ".knfo").join(existing(files, ".meta"), "base", "left_anti")
+
+
 def orphans(files: DataFrame) -> DataFrame:
     """(base) of profiles with neither a slim document nor a spreadsheet."""
     sheets = files.where(extension(F.col("path")) == ".xlsx").select(base_name(F.col("path")).alias("base")).distinct()
-    return existing(files, ".knfo").join(existing(files, ".meta"), "base", "left_anti").join(sheets, "base", "left_anti")
+    return half_done(files).join(sheets, "base", "left_anti")
 
 
 def admission(files: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
@@ -63,9 +68,18 @@ def admission(files: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
     return rows.select("context", "path", "size_mb", "large", batch.cast("long").alias("batch"))
 
 
-def retry_ledger(attempts: DataFrame, most: int = 3) -> DataFrame:
-    """(path, failures, skip) from (path, ok): failures since the last success aren't told apart, as attempts have no order."""
-    return attempts.groupBy("path").agg(F.count_if(~F.col("ok")).alias("failures"), F.bool_or("ok").alias("done")).select("path", "failures", ((F.col("failures") >= most) & ~F.col("done")).alias("skip"))
+def retry_ledger(attempts: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
+    """(path, failures, skip) from (path, at, ok, seconds, size_mb): failures since the last success, in order of ``at``.
+
+    An attempt that took longer than its file's size allows has failed. Attempts at one time count as one success if any is.
+    """
+    limit = F.when(F.col("size_mb") >= config.large_file_mb, config.large_seconds).otherwise(config.small_seconds)
+    fine = F.coalesce(F.col("ok") & (F.col("seconds") <= limit), F.lit(False))
+    by_time = attempts.groupBy("path", "at").agg(F.bool_or(fine).alias("fine"), F.count_if(~fine).alias("n"))
+    last = by_time.groupBy("path").agg(F.max(F.when(F.col("fine"), F.col("at"))).alias("last"))
+    failed = (~F.col("fine")) & (F.col("last").isNull() | (F.col("at") > F.col("last")))
+    sums = by_time.join(last, "path").groupBy("path").agg(F.coalesce(F.sum(F.when(failed, F.col("n"))), F.lit(0)).alias("failures"))
+    return sums.select("path", "failures", (F.col("failures") >= config.most_failures).alias("skip"))
 
 
 def monitored_files(spark, path: str) -> DataFrame:

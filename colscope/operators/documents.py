@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import header_name
-from .naming import short_keys, signature
+from .naming import numbered_headers, short_keys, signature
 
 
 def short_hash(text: str, length: int = 8) -> str:
@@ -54,7 +54,7 @@ def slim_document(profile: dict[str, Any], registry: dict[str, str] | None = Non
     return {
         "tcode": meta.get("tcode", ""), "keyColumns": keys, "segmentFields": meta.get("segmentFields", {}), "segmentFieldsNorm": {header_name(k): v for k, v in meta.get("segmentFields", {}).items()},
         "dtStructCode": meta.get("dtStructCode", ""), "signature": signature(typed, keys), "shortSignature": short, "dataRepo": short_hash(short),
-        "repKeyByColumn": short_keys(list(columns), registry), "normHdrByColumn": {c: header_name(c.split("::")[0]) for c in columns},
+        "repKeyByColumn": short_keys(list(columns), registry), "normHdrByColumn": numbered_headers(list(columns)),
         "columnsByDataType": {k: sorted(v) for k, v in sorted(by_type.items())}, "totalRows": meta.get("totalRows"), "rowsWithData": meta.get("rowsWithData"), "totalColumns": len(columns),
         "columns": {c: {k: v for k, v in x.items() if k not in ("lengthGroups", "ungroupable")} for c, x in columns.items()},
     }
@@ -72,6 +72,21 @@ def read_document(spark: SparkSession, path: str) -> dict[str, Any] | None:
     return json.loads(text) if len(text.strip()) > 2 else None
 
 
+def write_slim(spark: SparkSession, profile: dict[str, Any], base: str, folder: str, registry: dict[str, str] | None = None) -> str:
+    """The slim document of a profile, written where its repository's name says: ``meta/<dataRepo>/<base>.meta`` below ``folder``."""
+    slim = slim_document(profile, registry)
+    path = f"{folder}/meta/{slim['dataRepo']}/{base}.meta"
+    write_document(spark, slim, path)
+    return path
+
+
+def slim_missing(spark: SparkSession, folder: str, bases: list[str]) -> list[str]:
+    """Write the slim documents of profiles ``<folder>/<base>.knfo`` that have none; where they are. ``bases`` comes from
+    ``discovery.half_done``, so it is as long as what is left to do."""
+    found = ((b, read_document(spark, f"{folder}/{b}.knfo")) for b in bases)
+    return [write_slim(spark, doc, b, folder) for b, doc in found if doc]
+
+
 def load_registry(spark: SparkSession, path: str, code: str) -> dict[str, str]:
     """Short keys of a code's aliases from a registry table (code, alias, key)."""
     return {r["alias"]: r["key"] for r in spark.read.parquet(path).where(F.col("code") == code).collect()}

@@ -6,18 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BOOLEAN_PAIRS, DATETIME_USES, DEFAULT, NUMERIC_USES, ProfileConfig
-from ..functions.dates import ORDERS, chosen_format, chosen_order, format_mask, order_confidence, order_counts, order_fits, parse_date_strict, parse_datetime_strict, parse_ordered, parse_time_strict
-from ..functions.numbers import normalized_number, number_like, number_plans
+from ..functions.dates import ORDERS, chosen_format, chosen_order, order_confidence, order_counts, parse_date_strict, parse_datetime_strict, parse_time_strict, with_date_marks
+from ..functions.numbers import number_like, number_plans, with_numbers
 from ..functions.text import char_class
 
 GROUP = ("col_name", "length", "class")
 
 
+#: What ``with_date_marks`` adds.
+MARKS = ("mask", "time_ok", *[f"{k}_{o}" for k in ("ordered", "date", "datetime", "_fits") for o in ORDERS])
+
+
+def _orders(marked: DataFrame, config: ProfileConfig) -> DataFrame:
+    may = marked.where(F.col("value").rlike("[/.-]|[A-Za-z]{3}") & F.col("value").rlike("[0-9]"))
+    counted = may.groupBy("col_name").agg(*order_counts()).withColumn("date_order", chosen_order(F.lit(config.prefer_order)))
+    return counted.select("col_name", "date_order", order_confidence(F.col("date_order")).alias("confidence"))
+
+
 def date_orders(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
     """(col_name, date_order, confidence): of all texts with a separator or a month's name."""
-    may = vc.where(F.col("value").rlike("[/.-]|[A-Za-z]{3}") & F.col("value").rlike("[0-9]"))
-    counted = may.withColumns(order_fits(F.col("value"), config)).groupBy("col_name").agg(*order_counts()).withColumn("date_order", chosen_order(F.lit(config.prefer_order)))
-    return counted.select("col_name", "date_order", order_confidence(F.col("date_order")).alias("confidence"))
+    return _orders(with_date_marks(vc, config=config), config)
 
 
 def plans_of(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
@@ -26,17 +34,14 @@ def plans_of(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
 
 
 def marked_values(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
-    """``vc`` with length, class, norm_dec, norm_int and date_order. A column has one plan and one order, so both tables are as
-    small as the header."""
+    """``vc`` with length, class, norm_dec, norm_int, date_order and the marks of dates. A column has one plan and one order, so both
+    tables are as small as the header."""
+    dated = with_date_marks(vc, config=config)
     plans = F.broadcast(plans_of(vc, config))
-    orders = F.broadcast(date_orders(vc, config))
-    rows = vc.join(plans, "col_name", "left").join(orders, "col_name", "left")
-    plan = [F.coalesce("mode", F.lit("thousands_only")), F.col("decimal"), F.coalesce("thousands", F.lit(".,"))]
-    return rows.select(
-        "ord", "col_name", "value", "n_rows", "date_order",
-        F.length("value").cast("long").alias("length"), char_class(F.col("value")).alias("class"),
-        normalized_number(F.col("value"), *plan).alias("norm_dec"), normalized_number(F.col("value"), *plan, whole=True).alias("norm_int"),
-    )
+    orders = F.broadcast(_orders(dated, config))
+    rows = dated.join(plans, "col_name", "left").join(orders, "col_name", "left")
+    rows = with_numbers(rows.withColumns({"mode": F.coalesce("mode", F.lit("thousands_only")), "thousands": F.coalesce("thousands", F.lit(".,"))}))
+    return rows.select("ord", "col_name", "value", "n_rows", "mode", "date_order", *MARKS, F.length("value").cast("long").alias("length"), char_class(F.col("value")).alias("class"), "norm_dec", "norm_int")
 
 
 def length_groups(vc: DataFrame) -> DataFrame:
@@ -59,10 +64,7 @@ def group_flags(marked: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame
     letters = v.rlike("[A-Za-z]")
     full = v != ""
     no_fraction = dec.isNotNull() & ~_fraction(dec)
-    fits = {f"date_{o}": parse_date_strict(v, o).isNotNull() for o in ORDERS} | {f"datetime_{o}": parse_datetime_strict(v, o, config).isNotNull() for o in ORDERS}
-    # Only texts with a digit can be dates or times: the rest is spared the parsing.
-    digit = v.rlike("[0-9]")
-    parsed = marked.withColumns({k: F.when(digit, x).otherwise(F.lit(False)) for k, x in fits.items()} | {"time_ok": F.when(digit, parse_time_strict(v).isNotNull()).otherwise(F.lit(False)), "mask": F.when(digit, format_mask(v)).otherwise(F.lit(0).cast("long"))} | order_fits(v, config))
+    fits = [f"{k}_{o}" for k in ("date", "datetime") for o in ORDERS]
     aggregates = [
         F.count("*").alias("n_values"), F.sum("n_rows").alias("n_rows"), F.first("ord").alias("ord"), F.first("date_order").alias("column_order"),
         F.bool_and(v.rlike("^-?[0-9]+$")).alias("numeric_only"), F.bool_or(v.startswith("-")).alias("some_sign"),
@@ -78,7 +80,7 @@ def group_flags(marked: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame
         F.bit_and("mask").alias("mask"), *[F.bool_and(k).alias(k) for k in ("time_ok", *fits)],
         *order_counts(),
     ]
-    return parsed.groupBy(*GROUP).agg(*aggregates)
+    return marked.groupBy(*GROUP).agg(*aggregates)
 
 
 def with_use(flags: DataFrame, config: ProfileConfig = DEFAULT, live: bool = False) -> DataFrame:
@@ -127,7 +129,7 @@ def numeric_evidence(marked: DataFrame, config: ProfileConfig = DEFAULT) -> Data
     full = marked.where(F.col("value") != "")
     is_date = F.lit(False)
     for o in ORDERS:
-        is_date = F.when(F.col("date_order") == o, parse_ordered(F.col("value"), o, config).isNotNull()).otherwise(is_date)
+        is_date = F.when(F.col("date_order") == o, F.col(f"ordered_{o}")).otherwise(is_date)
     n = F.sum("n_rows")
     rows = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n_rows"))), F.lit(0))
     return full.groupBy("col_name").agg(
@@ -185,8 +187,30 @@ def outlier_groups(ranges: DataFrame, config: ProfileConfig = DEFAULT) -> DataFr
 
 
 def normalization_failures(marked: DataFrame) -> DataFrame:
-    """(col_name, value, n_rows): values with a digit and no letter that aren't numbers by their column's plan."""
-    return marked.where(F.col("value").rlike("[0-9]") & ~F.col("value").rlike("[A-Za-z]") & F.col("norm_dec").isNull()).select("col_name", "value", "n_rows")
+    """(col_name, value, n_rows, reason): values of digits and separators, without a letter, that aren't numbers by their column's
+    plan. The reason names the way in which they were read."""
+    kept = F.regexp_replace("value", "[^0-9.,]", "")
+    both = kept.contains(".") & kept.contains(",")
+    reason = F.when(F.col("mode") == "decimal_present", "number_parse_failed_decimal_present").when(both, "number_parse_failed_decimal_fallback").otherwise("number_parse_failed_thousands_only")
+    return marked.where((kept != "") & ~F.col("value").rlike("[A-Za-z]") & F.col("norm_dec").isNull()).select("col_name", "value", "n_rows", reason.alias("reason"))
+
+
+def mixed_kinds(marked: DataFrame, by: tuple[str, ...] = ("col_name",)) -> DataFrame:
+    """(*by, kind): Date, Time or DateTime of values that needn't share a format, from ``marked_values``; null if some value is none.
+
+    Dates and date-times together are dates if all times are the same and a full hour, else date-times; so is any other mixture.
+    """
+    order = F.coalesce("date_order", F.lit("DMY"))
+    pick = lambda name: F.when(order == "MDY", F.col(f"{name}_MDY")).when(order == "YMD", F.col(f"{name}_YMD")).otherwise(F.col(f"{name}_DMY"))
+    kind = F.when(pick("datetime"), "DateTime").when(pick("date"), "Date").when(F.col("time_ok"), "Time")
+    time = F.lit(None).cast("timestamp_ntz")
+    for o in ORDERS:
+        time = F.when(order == o, parse_datetime_strict(F.col("value"), o)).otherwise(time)
+    rows = marked.where("value <> ''").withColumn("kind", kind).withColumn("clock", F.when(F.col("kind") == "DateTime", F.date_format(time, "HH:mm:ss")))
+    sums = rows.groupBy(*by).agg(F.bool_and(F.col("kind").isNotNull()).alias("all"), F.collect_set("kind").alias("kinds"), F.min("clock").alias("low"), F.max("clock").alias("high"))
+    has = lambda k: F.array_contains("kinds", k)
+    full_hour = (F.col("low") == F.col("high")) & F.col("low").endswith(":00:00")
+    return sums.select(*by, F.when(~F.col("all"), F.lit(None)).when(F.size("kinds") == 1, F.get("kinds", F.lit(0))).when(has("Date") & has("DateTime") & full_hour, "Date").otherwise("DateTime").alias("kind"))
 
 
 def date_mismatches(vc: DataFrame, columns: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:

@@ -51,7 +51,7 @@ def key_collisions(df: DataFrame, columns: list[str], limit: int = 10) -> DataFr
 
 
 def find_key(df: DataFrame, groups: DataFrame, config: ProfileConfig = DEFAULT, batch: int = 8) -> tuple[list[str], bool]:
-    """(columns of the key, whether the search was cut short); no column if no combination of up to ``key_width`` is unique.
+    """(columns of the key, whether ``key_candidates`` cut the search short); no column if no combination of up to ``key_width`` is unique.
 
     Columns come by level of how many cells are filled, then code before number, boolean, date and others, then by
     position; single columns before pairs, and so on. Equal rows count once. A combination whose columns have too few
@@ -68,8 +68,7 @@ def find_key(df: DataFrame, groups: DataFrame, config: ProfileConfig = DEFAULT,
     distinct = {c: stats[f"d{i}"] for i, c in enumerate(names)}
     names = [c for c in names if filled[c] > 0]
     category = {c: 0 if uses[c][1].endswith("Code") else _CATEGORY.get(uses[c][1], 4) for c in names}
-    seen: set[tuple[str, ...]] = set()
-    tried = 0
+    tried, done = 0, None
     waiting: list[tuple[str, ...]] = []
 
     def first_unique() -> tuple[str, ...] | None:
@@ -82,14 +81,17 @@ def find_key(df: DataFrame, groups: DataFrame, config: ProfileConfig = DEFAULT,
         pool = sorted((c for c in names if filled[c] >= level), key=lambda c: (category[c], uses[c][0]))
         for width in range(1, min(config.key_width, len(pool)) + 1):
             for c in itertools.combinations(pool, width):
+                # Combinations of fuller columns only were tested at a level before.
+                if done is not None and min(filled[x] for x in c) >= done:
+                    continue
                 tried += 1
-                if tried > config.key_candidates:
+                if config.key_candidates is not None and tried > config.key_candidates:
                     return list(first_unique() or ()), True
                 # Rows whose fullest column is filled count, unless all cells are '' or 0: too few combinations can't be unique.
-                if c in seen or math.prod(distinct[x] for x in c) < max(filled[x] - zeros[x] for x in c):
+                if math.prod(distinct[x] for x in c) < max(filled[x] - zeros[x] for x in c):
                     continue
-                seen.add(c)
                 waiting.append(c)
                 if len(waiting) >= batch and (hit := first_unique()):
                     return list(hit), False
+        done = level
     return list(first_unique() or ()), False

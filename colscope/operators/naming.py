@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from base64 import b64encode
 
@@ -41,18 +42,32 @@ def lettered_headers(headers: list[str]) -> list[str]:
 
 
 def normalized_headers(headers: DataFrame) -> DataFrame:
-    """(ord, header, normalized) from (ord, header): as identifiers, with ``#n`` in order of appearance where several are alike."""
-    base = header_name_column(F.regexp_replace("header", "::[A-Z]+$", ""))
+    """(ord, header, normalized) from (ord, header): as identifiers, with ``#n`` where several are alike, in order of the columns'
+    letters (``::AB``), those without letters last in order of appearance."""
+    base = header_name_column(F.regexp_replace("header", "::[A-Za-z]+$", ""))
     base = F.when(base == "", F.concat(F.lit("col_"), (F.col("ord") + 1).cast("string"))).otherwise(base)
     rows = headers.withColumn("base", base)
     same = Window.partitionBy("base")
-    n = F.row_number().over(same.orderBy("ord"))
+    letters = F.regexp_extract("header", "::([A-Za-z]+)$", 1)
+    at = F.aggregate(F.split(letters, ""), F.lit(0).cast("long"), lambda n, ch: F.when(ch == "", n).otherwise(n * 26 + F.ascii(ch) - 64))
+    n = F.row_number().over(same.orderBy(letters == "", at, "ord"))
     return rows.select("ord", "header", F.when(F.count("*").over(same) > 1, F.concat_ws("#", "base", n.cast("string"))).otherwise(F.col("base")).alias("normalized"))
 
 
+def numbered_headers(headers: list[str]) -> dict[str, str]:
+    """``normalized_headers`` for the headers of a document."""
+    place: dict[str, tuple[float, int]] = {}
+    alike: dict[str, list[str]] = {}
+    for i, h in enumerate(headers):
+        name, _, letters = h.rpartition("::") if re.search("::[A-Za-z]+$", h) else (h, "", "")
+        place[h] = (sum(26**k * (ord(ch) - 64) for k, ch in enumerate(reversed(letters))) or math.inf, i)
+        alike.setdefault(header_name(name) or "col_x", []).append(h)
+    return {h: base if len(own) == 1 else f"{base}#{n}" for base, own in alike.items() for n, h in enumerate(sorted(own, key=place.get), 1)}
+
+
 def strip_suffix(names: DataFrame) -> DataFrame:
     """(ord, name, stripped): without a ``_$xx`` suffix, unless that name is taken by another column."""
-    base = F.regexp_replace("name", r"_\$[A-Za-z0-9]+$", "")
+    base = F.regexp_replace("name", r"_\$[A-Za-z]{1,3}$", "")
     rows = names.withColumn("base", base)
     taken = F.row_number().over(Window.partitionBy("base").orderBy(F.col("name") != F.col("base"), "ord"))
     return rows.select("ord", "name", F.when(taken == 1, F.col("base")).otherwise(F.col("name")).alias("stripped"))
@@ -71,6 +86,15 @@ def short_key(name: str, letters_only: bool = True) -> str:
     return out[:6].ljust(6, "x")
 
 
+def short_key_column(name: Column) -> Column:
+    """``short_key`` for a column of names."""
+    words = F.filter(F.split(header_name_column(name), "_+"), lambda w: w != "")
+    letters = F.transform(words, lambda w: F.regexp_replace(w, "[^a-z]", ""))
+    k = F.size(words)
+    share = F.transform(letters, lambda w, i: F.substring(w, F.lit(1), F.floor(F.lit(6) / F.greatest(k, F.lit(1))).cast("int") + F.when(i < F.lit(6) % F.greatest(k, F.lit(1)), 1).otherwise(0)))
+    return F.rpad(F.substring(F.concat(F.array_join(share, ""), F.array_join(letters, "")), 1, 6), 6, "x")
+
+
 def short_keys(names: list[str], registry: dict[str, str] | None = None) -> dict[str, str]:
     """A different key for each name. Keys in ``registry`` are taken again; a clash tries letters with digits, then stretches
     of a hash, then other last characters."""

@@ -2,42 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
-from ..operators import cells, columns, correlate, discovery, groups, keys, naming
+from ..operators import cells, columns, correlate, discovery, groups, keys
 from ..streaming import events as file_events
-from . import oracle
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def counts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return cells.value_counts(table(spark, sf_dir, name))
-
-
-def long(name: str):
-    return F.col(name).cast("long").alias(name)
+from . import details, oracle
+from .registry import ORACLE, QUERIES, counts, query, table
+from .registry import profiled_columns as _columns
 
+__all__ = ["ORACLE", "QUERIES", "details"]
 
 # ---------------------------------------------------------------- scans and text
 
@@ -52,9 +27,9 @@ def value_counts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts(spark, sf_dir, "orders").select("col_name", "value", "n_rows")
 
 
-@query(f"SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(count(*) FILTER (WHERE coalesce(lang, '') <> '' OR coalesce(source, '') <> '') AS BIGINT) AS rows_with_data FROM documents")
+@query(f"SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(count(*) FILTER (WHERE {' OR '.join(f"{oracle.cell('documents', c)} <> ''" for c in oracle.TABLES['documents'])}) AS BIGINT) AS rows_with_data FROM documents")
 def row_counts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells.row_counts(table(spark, sf_dir, "documents").select("lang", "source"))
+    return cells.row_counts(table(spark, sf_dir, "documents"))
 
 
 @query(f"WITH vc AS ({oracle.value_counts('orders')}) SELECT col_name, length(value) AS length, {oracle.CLASS} AS class, CAST(count(*) AS BIGINT) AS n_values, bool_and(regexp_matches(value, '^-?[0-9]+$')) AS numeric_only, bool_and(regexp_matches(value, '^-?[0-9]+$')) AND bool_or(starts_with(value, '-')) AS from_sign FROM vc GROUP BY ALL")
@@ -62,9 +37,9 @@ def length_groups_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.length_groups(counts(spark, sf_dir, "orders"))
 
 
-@query(f"WITH vc AS ({oracle.value_counts('documents', ('lang', 'source'))}) SELECT col_name, {oracle.CLASS} AS class, CAST(count(*) AS BIGINT) AS n_values, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM vc GROUP BY ALL")
+@query(f"WITH vc AS ({oracle.value_counts('documents')}) SELECT col_name, {oracle.CLASS} AS class, CAST(count(*) AS BIGINT) AS n_values, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM vc GROUP BY ALL")
 def char_class_counts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vc = cells.value_counts(table(spark, sf_dir, "documents").select("lang", "source"))
+    vc = counts(spark, sf_dir, "documents")
     return vc.groupBy("col_name", text.char_class(F.col("value")).alias("class")).agg(F.count("*").alias("n_values"), F.sum("n_rows").alias("n_rows"))
 
 
@@ -100,20 +75,11 @@ def hash_fingerprints_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", text.b64_hash(F.col("c_name"), 8).alias("hash8"), text.b64_hash(F.col("c_name"), 10).alias("hash10"))
 
 
-HEADERS = ["Código  Año.", "Item::C", "Item::D", "Movement Type", "posting_row", "", "Precio (USD)", "Descripción del Ítem..", "item"]
-NORMALIZED = ["codigo_ano", "item#1", "item#2", "movement_type", "posting_row", "col_6", "precio_usd", "descripcion_del_item", "item#3"]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{h}', '{n}')" for i, (h, n) in enumerate(zip(HEADERS, NORMALIZED, strict=True))) + ") AS t(ord, header, normalized)")
-def normalized_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return naming.normalized_headers(spark.createDataFrame(list(enumerate(HEADERS)), "ord int, header string"))
-
-
 @query("""
-WITH x AS (SELECT DISTINCT o_orderpriority AS p, o_orderkey AS x FROM orders WHERE o_orderkey <= 400),
+WITH x AS (SELECT DISTINCT o_orderpriority AS p, o_orderkey AS x FROM orders),
 g AS (SELECT p, x, x - row_number() OVER (PARTITION BY p ORDER BY x) AS g FROM x),
 r AS (SELECT p, g, min(x) AS a, max(x) AS b FROM g GROUP BY p, g)
-SELECT p AS o_orderpriority, string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE a || '-' || b END, ',' ORDER BY a) AS ranges FROM r GROUP BY p""".replace(" WHERE o_orderkey <= 400", ""))
+SELECT p AS o_orderpriority, string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE a || '-' || b END, ',' ORDER BY a) AS ranges FROM r GROUP BY p""")
 def compress_ranges_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.compressed_ranges(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderkey")
 
@@ -150,7 +116,7 @@ def number_plan_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{oracle.PRICED} SELECT p_partkey, col_name, CASE WHEN col_name = 'whole' THEN CAST(cents AS VARCHAR) WHEN col_name = 'signed' AND p_partkey % 2 = 0 THEN '-' || plain ELSE plain END AS number FROM priced")
 def number_normalize_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _priced(spark, sf_dir).join(F.broadcast(_price_plans(spark, sf_dir)), "col_name")  # one plan for each of four columns
-    return rows.select("p_partkey", "col_name", numbers.normalized_number(F.col("value"), F.col("mode"), F.col("decimal"), F.col("thousands")).alias("number"))
+    return numbers.with_numbers(rows).select("p_partkey", "col_name", F.col("norm_dec").alias("number"))
 
 
 # ---------------------------------------------------------------- dates
@@ -168,16 +134,30 @@ def _rendered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rendered(spark, sf_dir).groupBy("col_name", "value").agg(F.count("*").alias("n_rows")).withColumn("ord", F.lit(0))
 
 
-@query("SELECT * FROM (VALUES ('dmy', 'DMY'), ('mdy', 'MDY'), ('ymd', 'YMD'), ('stamp', 'YMD')) AS t(col_name, date_order)")
+_RENDERED = "r AS (SELECT unnest(['dmy', 'mdy', 'ymd', 'stamp']) AS col_name, unnest([strftime(o_orderdate, '%d/%m/%Y'), strftime(o_orderdate, '%m-%d-%Y'), strftime(o_orderdate, '%Y.%m.%d'), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')]) AS value FROM orders)"
+
+
+@query(f"""
+WITH {_RENDERED},
+p AS (SELECT DISTINCT col_name, value, regexp_split_to_array(substr(value, 1, 10), '[^0-9]') AS x FROM r),
+f AS (SELECT col_name, o, coalesce(CASE o WHEN 'DMY' THEN TRY_CAST(x[3] || '-' || lpad(x[2], 2, '0') || '-' || lpad(x[1], 2, '0') AS DATE) WHEN 'MDY' THEN TRY_CAST(x[3] || '-' || lpad(x[1], 2, '0') || '-' || lpad(x[2], 2, '0') AS DATE)
+  ELSE TRY_CAST(x[1] || '-' || lpad(x[2], 2, '0') || '-' || lpad(x[3], 2, '0') AS DATE) END IS NOT NULL AND length(x[CASE o WHEN 'YMD' THEN 1 ELSE 3 END]) = 4, false) AS fit, value FROM p, (VALUES ('DMY'), ('MDY'), ('YMD')) AS t(o)),
+n AS (SELECT *, count(*) FILTER (WHERE fit) OVER (PARTITION BY col_name, value) AS fits FROM f),
+c AS (SELECT col_name, o, count(*) FILTER (WHERE fit AND fits = 1) AS dec, count(*) FILTER (WHERE fit) AS all_ FROM n GROUP BY ALL),
+k AS (SELECT *, rank() OVER (PARTITION BY col_name ORDER BY dec DESC, all_ DESC) AS k FROM c WHERE all_ > 0)
+SELECT col_name, CASE WHEN count(*) = 1 THEN min(o) ELSE 'DMY' END AS date_order FROM k WHERE k = 1 GROUP BY 1""")
 def date_order_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.date_orders(_rendered_counts(spark, sf_dir)).where("date_order is not null").select("col_name", "date_order")
 
 
-@query("SELECT * FROM (VALUES ('dmy', 'DD/MM/YYYY', 'Date'), ('mdy', 'MM-DD-YYYY', 'Date'), ('ymd', 'YYYY.MM.DD', 'Date'), ('stamp', 'YYYY-MM-DD HH:mm:ss', 'DateTime'), ('clock', 'HH:mm', 'Time'), ('compact', 'YYYYMMDD', 'Date')) AS t(col_name, key, kind)")
+@query(r"""
+WITH r AS (SELECT unnest(['dmy', 'mdy', 'ymd', 'stamp', 'clock', 'compact']) AS col_name, unnest([strftime(o_orderdate, '%d/%m/%Y'), strftime(o_orderdate, '%m-%d-%Y'), strftime(o_orderdate, '%Y.%m.%d'), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), strftime(o_orderdate, '%H:%M'), strftime(o_orderdate, '%Y%m%d')]) AS value FROM orders),
+b AS (SELECT col_name, count(*) AS n, bool_and(regexp_matches(value, '^\d{1,2}/\d{1,2}/\d{4}$')) AS slashed, max(TRY_CAST(split_part(value, '/', 1) AS INT)) AS first_slash, bool_and(regexp_matches(value, '^\d{1,2}-\d{1,2}-\d{4}$')) AS dashed, max(TRY_CAST(split_part(value, '-', 1) AS INT)) AS first_dash, max(TRY_CAST(split_part(value, '-', 2) AS INT)) AS second_dash,
+  bool_and(regexp_matches(value, '^\d{4}\.\d{1,2}\.\d{1,2}$')) AS dotted, bool_and(regexp_matches(value, '^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$')) AS stamped, bool_and(regexp_matches(value, '^\d{1,2}:\d{2}$')) AS clocked, bool_and(regexp_matches(value, '^\d{8}$')) AS packed FROM r GROUP BY 1)
+SELECT col_name, CASE WHEN slashed THEN CASE WHEN first_slash > 12 THEN 'DD/MM/YYYY' ELSE '?' END WHEN dashed THEN CASE WHEN first_dash <= 12 AND second_dash > 12 THEN 'MM-DD-YYYY' ELSE 'DD-MM-YYYY' END WHEN dotted THEN 'YYYY.MM.DD' WHEN stamped THEN 'YYYY-MM-DD HH:mm:ss' WHEN clocked THEN 'HH:mm' WHEN packed THEN 'YYYYMMDD' END AS key,
+  CASE WHEN stamped THEN 'DateTime' WHEN clocked THEN 'Time' ELSE 'Date' END AS kind FROM b""".replace("\\\\", "\\"))
 def uniform_format_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = F.col("value")
-    marked = _rendered_counts(spark, sf_dir).withColumns({"mask": dates.format_mask(v)} | dates.order_fits(v))
-    found = marked.groupBy("col_name").agg(F.bit_and("mask").alias("mask"), *dates.order_counts())
+    found = dates.with_date_marks(_rendered_counts(spark, sf_dir)).groupBy("col_name").agg(F.bit_and("mask").alias("mask"), *dates.order_counts())
     found = found.withColumn("order", dates.chosen_order(F.lit("DMY")))
     return found.withColumn("form", dates.chosen_format(F.col("mask"), F.col("order"))).select("col_name", "form.key", "form.kind")
 
@@ -209,7 +189,10 @@ def excel_serial_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", serial.cast("long").alias("serial"), F.date_format(dates.serial_timestamp(serial + 0.5), "yyyy-MM-dd HH:mm:ss").alias("noon"))
 
 
-@query("SELECT * FROM (VALUES ('days', 'Date'), ('fractions', 'Time'), ('keys', NULL)) AS t(col_name, hint)")
+@query("""
+WITH p AS (SELECT unnest(['days', 'fractions', 'keys']) AS col_name, unnest([CAST(date_diff('day', DATE '1899-12-30', CAST(o_orderdate AS DATE)) AS VARCHAR), '0.' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0'), 'k' || o_orderkey]) AS value FROM orders),
+x AS (SELECT col_name, CASE WHEN regexp_matches(value, '^[0-9]+([.][0-9]+)?$') THEN TRY_CAST(value AS DOUBLE) END AS x FROM p)
+SELECT col_name, CASE WHEN avg(CASE WHEN x > 20000 AND x < 80000 THEN 1 ELSE 0 END) >= 0.8 THEN 'Date' WHEN avg(CASE WHEN x >= 0 AND x < 1 THEN 1 ELSE 0 END) >= 0.8 THEN 'Time' END AS hint FROM x GROUP BY 1""")
 def serial_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date")).cast("string")
     parts = F.array(F.struct(F.lit("days").alias("col_name"), days.alias("value")), F.struct(F.lit("fractions").alias("col_name"), F.concat(F.lit("0."), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0")).alias("value")), F.struct(F.lit("keys").alias("col_name"), F.concat(F.lit("k"), F.col("o_orderkey").cast("string")).alias("value")))
@@ -254,13 +237,6 @@ def outlier_groups_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.outlier_groups(groups.group_ranges(marked, found), ProfileConfig(outlier_range=10_000))
 
 
-def _columns(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return columns.profile_columns(_groups(spark, sf_dir, name))
-
-
-ORDER_TYPES = (("o_orderkey", "INT"), ("o_custkey", "INT"), ("o_orderstatus", "VARCHAR(5)"), ("o_totalprice", "DECIMAL(38,10)"), ("o_orderdate", "DATETIME"), ("o_orderpriority", "VARCHAR(20)"))
-
-
 @query(oracle.columns("orders", "SELECT col_name, data_type FROM d"))
 def sql_types_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(spark, sf_dir, "orders").select("col_name", "data_type")
@@ -281,20 +257,6 @@ def columns_by_datatype(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.columns_by_type(_columns(spark, sf_dir, "orders"))
 
 
-@query(None)
-def differences_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vc = counts(spark, sf_dir, "part")
-    return columns.differences(columns.profile_columns(groups.profile_groups(vc)), cells.top_values(vc)).select("col_name", "differences", "b64url_code")
-
-
-@query(None)
-def profile_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .profile import profile
-
-    p = profile(table(spark, sf_dir, "customer"), "X-MB51#1@+plant=AB1.xlsx")
-    return p.columns.select("col_name", "data_type", "full_content_type", F.lit(",".join(p.meta["keyColumns"])).alias("key"), F.lit(p.meta["dtStructCode"]).alias("dt_struct_code"))
-
-
 # ---------------------------------------------------------------- keys and correlations
 
 
@@ -311,9 +273,12 @@ def key_pair_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.uniqueness(cells.text_table(table(spark, sf_dir, "lineitem")), list(PAIRS))
 
 
-@query("SELECT 'conv_id,turn' AS key_columns, false AS cut")
+@query("""
+WITH c AS (SELECT DISTINCT * FROM conversations),
+s AS (SELECT count(*) AS n, count(DISTINCT conv_id) AS a, count(DISTINCT turn) AS b, count(DISTINCT role) AS c, count(DISTINCT trim(text)) AS d, count(DISTINCT (conv_id, turn)) AS ab FROM c)
+SELECT CASE WHEN a = n THEN 'conv_id' WHEN b = n THEN 'turn' WHEN c = n THEN 'role' WHEN d = n THEN 'text' WHEN ab = n THEN 'conv_id,turn' END AS key_columns, false AS cut FROM s""")
 def key_search_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    df = table(spark, sf_dir, "conversations")
     found, cut = keys.find_key(df, groups.profile_groups(cells.value_counts(df)))
     return spark.createDataFrame([(",".join(sorted(found)), cut)], "key_columns string, cut boolean")
 
@@ -342,26 +307,33 @@ def contained_corr_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle.correlated("customer", CORRELATED, "SELECT x_column AS col_name, string_agg(DISTINCT y_column, '>' ORDER BY y_column) AS correlation_chain FROM p GROUP BY 1"))
 def correlation_chain_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return correlate.correlation_chains(_pairs(spark, sf_dir))
+    return correlate.column_chains(correlate.value_rows(table(spark, sf_dir, "customer"), list(CORRELATED), ["c_custkey"]))
 
 
 # ---------------------------------------------------------------- discovery and events
 
-FILES = [("in/X-MB51#1.xlsx", 900), ("in/X-ME5A.xlsx", 30_000_000), ("in/X-KOB1.xlsx", 5_000_000), ("in/x-mb51#1.knfo", 400), ("in/X-MB51#1.meta", 90), ("in/X-KOB1.knfo", 700), ("in/X-KOB1.meta", 2), ("in/OLD.knfo", 55), ("in/GONE.knfo", 0)]
+_FILES = """f AS (SELECT 'in/' || CASE WHEN p_partkey % 2 = 0 THEN 'X-MB51#' ELSE 'x-kob1#' END || (p_partkey // 3) || CASE p_partkey % 3 WHEN 0 THEN '.xlsx' WHEN 1 THEN '.KNFO' ELSE '.meta' END AS path, CAST(CASE WHEN p_partkey % 7 = 0 THEN 2 ELSE p_size * 1000 END AS BIGINT) AS size FROM part
+  UNION ALL SELECT 'in/X-MB51#' || p_partkey || '.xlsx', CAST(p_size AS BIGINT) FROM part WHERE p_partkey % 5 = 0),
+b AS (SELECT *, lower(regexp_replace(split_part(path, '/', 2), '[.][A-Za-z0-9]+$', '')) AS base, lower(regexp_extract(path, '([.][A-Za-z0-9]+)$', 1)) AS ext FROM f)"""
 
 
-def _files(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FILES, "path string, size long")
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spreadsheets and documents of some names, by the numbers of parts; some documents are empty."""
+    p = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    stem = F.concat(F.lit("in/"), F.when(key % 2 == 0, "X-MB51#").otherwise("x-kob1#"), F.floor(key / 3).cast("string"), F.when(key % 3 == 0, ".xlsx").when(key % 3 == 1, ".KNFO").otherwise(".meta"))
+    files = p.select(stem.alias("path"), F.when(key % 7 == 0, 2).otherwise(F.col("p_size") * 1000).cast("long").alias("size"))
+    return files.unionByName(p.where(key % 5 == 0).select(F.concat(F.lit("in/X-MB51#"), key.cast("string"), F.lit(".xlsx")).alias("path"), F.col("p_size").cast("long").alias("size")))
 
 
-@query("SELECT * FROM (VALUES ('in/X-ME5A.xlsx', CAST(30000000 AS BIGINT), 'x-me5a'), ('in/X-KOB1.xlsx', CAST(5000000 AS BIGINT), 'x-kob1')) AS t(path, size, base)")
+@query(f"WITH {_FILES} SELECT path, size, base FROM b WHERE ext = '.xlsx' AND contains(path, 'MB51') AND NOT (EXISTS (SELECT 1 FROM b k WHERE k.base = b.base AND k.ext = '.knfo' AND k.size > 2) AND EXISTS (SELECT 1 FROM b m WHERE m.base = b.base AND m.ext = '.meta' AND m.size > 2))")
 def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discovery.pending(_files(spark))
+    return discovery.pending(_files(spark, sf_dir))
 
 
-@query("SELECT 'old' AS base")
+@query(f"WITH {_FILES} SELECT DISTINCT base FROM b WHERE ext = '.knfo' AND size > 2 AND NOT EXISTS (SELECT 1 FROM b m WHERE m.base = b.base AND m.ext = '.meta' AND m.size > 2) AND NOT EXISTS (SELECT 1 FROM b x WHERE x.base = b.base AND x.ext = '.xlsx')")
 def orphan_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discovery.orphans(_files(spark))
+    return discovery.orphans(_files(spark, sf_dir))
 
 
 @query("""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.discovery import extension
 
@@ -31,10 +34,100 @@ def relevant(events: DataFrame) -> DataFrame:
     return events.where(F.when(F.col("action") == "deleted", F.col("extension").isin(*DOCUMENTS)).otherwise(sheet))
 
 
-def batched(events: DataFrame, time: str = "ts", seconds: int = 5) -> DataFrame:
-    """(batch_start, path): the different paths of each period of some seconds. On a stream, late events count up to a minute."""
-    rows = events.withWatermark(time, "1 minute") if events.isStreaming else events
-    return rows.groupBy(F.window(time, f"{seconds} seconds").alias("w"), "path").agg(F.count("*").alias("n_events")).select(F.col("w.start").alias("batch_start"), "path", "n_events")
+def batched(events: DataFrame, time: str = "ts", seconds: int = 5, slide: int | None = None, late: str = "1 minute") -> DataFrame:
+    """(batch_start, path, n_events): the different paths of each period of some seconds; periods begin every ``slide`` seconds.
+    On a stream, events count until they are later than ``late``."""
+    rows = events.withWatermark(time, late) if events.isStreaming else events
+    return rows.groupBy(F.window(time, f"{seconds} seconds", f"{slide or seconds} seconds").alias("w"), "path").agg(F.count("*").alias("n_events")).select(F.col("w.start").alias("batch_start"), "path", "n_events")
+
+
+def _windows(keys: list[str], time: str, seconds: float):
+    """Rows sorted by key and time: the first of a key opens a window, and the first after its end the next."""
+
+    def run(batches):
+        now, end = None, None
+        for batch in batches:
+            stamps = batch[time].to_numpy()
+            opened = []
+            for key, at in zip(zip(*(batch[k].tolist() for k in keys), strict=True) if keys else itertools.repeat(()), stamps, strict=False):
+                if key != now or at >= end:
+                    now, begin = key, at
+                    end = at + np.timedelta64(int(seconds * 1_000_000), "us")
+                opened.append(begin)
+            yield batch.assign(batch_start=np.array(opened, stamps.dtype) if opened else stamps)
+
+    return run
+
+
+def debounced(events: DataFrame, keys: list[str], time: str = "ts", seconds: float = 5) -> DataFrame:
+    """(*keys, batch_start, path, n_events): an event opens a window of some seconds, later ones join it until it ends, and the
+    next event opens another. Paths count once for each window. ``keys`` name the listeners that have windows of their own.
+
+    Rows are sorted by Spark and read one after another, so no listener's events are gathered in memory. Events without a time
+    are left out.
+    """
+    rows = events.where(F.col(time).isNotNull()).select(*keys, F.col(time).cast("timestamp_ntz").alias(time), "path")
+    rows = (rows.repartition(*keys) if keys else rows.coalesce(1)).sortWithinPartitions(*keys, time)
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch_start", T.TimestampNTZType())])
+    return rows.mapInPandas(_windows(keys, time, seconds), schema).groupBy(*keys, "batch_start", "path").agg(F.count("*").alias("n_events"))
+
+
+def debounced_stream(events: DataFrame, key: str, time: str = "ts", seconds: float = 5, late: str = "1 minute") -> DataFrame:
+    """(key, batch_start, paths) of a stream: a window is given out when the watermark has passed its end. Its state is its
+    start and its different paths. Events later than ``late`` are left out."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    step = pd.Timedelta(seconds=seconds)
+
+    def run(found: tuple, frames, state: GroupState):
+        waiting = list(zip(*state.get, strict=True)) if state.exists else []
+        if not state.hasTimedOut:
+            for frame in frames:
+                waiting += zip(frame[time].tolist(), frame["path"].tolist(), strict=True)
+        # Events are kept until their window is over, as earlier ones may still come before the watermark.
+        waiting.sort()
+        border, out = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms"), []
+        while waiting and waiting[0][0] + step <= border:
+            inside = [x for x in waiting if x[0] < waiting[0][0] + step]
+            out.append((found[0], waiting[0][0], sorted({p for _, p in inside})))
+            waiting = waiting[len(inside) :]
+        if waiting:
+            state.update(tuple(map(list, zip(*waiting, strict=True))))
+            state.setTimeoutTimestamp(max(int((waiting[0][0] + step).timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=[key, "batch_start", "paths"])
+
+    kind = events.schema[key].dataType.simpleString()
+    rows = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(key)
+    return rows.applyInPandasWithState(run, f"`{key}` {kind}, batch_start timestamp, paths array<string>", "times array<timestamp>, paths array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+class Statistics(StreamingQueryListener):
+    """What a listener has done: batches with rows, rows, failures, and when the last batch was."""
+
+    def __init__(self):
+        self.batches, self.rows, self.errors, self.last = 0, 0, 0, None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.numInputRows:
+            self.batches, self.rows, self.last = self.batches + 1, self.rows + event.progress.numInputRows, event.progress.timestamp
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.errors += event.exception is not None
+
+
+def flush(query: StreamingQuery) -> None:
+    """Act on all that has come so far, then stop."""
+    query.processAllAvailable()
+    query.stop()
 
 
 def counts_by_extension(events: DataFrame) -> DataFrame:

@@ -60,12 +60,15 @@ def test_nullish_and_headers(spark):
     ],
 )
 def test_numbers(spark, values, plan, first):
-    from colscope.functions.numbers import normalized_number, number_plans, number_samples
+    from colscope.functions.numbers import number_plans, number_samples, single_numbers, with_numbers
 
     cells = spark.createDataFrame([("x", v, i) for i, v in enumerate(values)], "col_name string, value string, ord int")
     p = number_plans(number_samples(cells)).first()
     assert (p.mode, p.decimal, p.reason) == plan
-    assert column(spark, values[:1], lambda c: normalized_number(c, F.lit(p.mode), F.lit(p.decimal), F.lit(p.thousands))) == [first]
+    rows = texts(spark, values[:1]).withColumns({"mode": F.lit(p.mode), "decimal": F.lit(p.decimal).cast("string"), "thousands": F.lit(p.thousands)})
+    assert with_numbers(rows).first().norm_dec == first
+    if len(values) == 1:
+        assert single_numbers(texts(spark, values)).first().norm_dec == first
 
 
 def test_dates(spark):
@@ -80,6 +83,31 @@ def test_dates(spark):
     assert len(FORMATS) == 39
 
 
+def test_marks_of_dates_agree_with_the_parsers(spark):
+    """What is taken apart once for all orders, against each parser by itself, on texts with every kind of flaw."""
+    import random
+
+    from colscope.functions import dates
+
+    r = random.Random(3)
+    number = lambda: r.choice([str(r.randint(0, 40)), f"{r.randint(0, 40):02d}", str(r.randint(1980, 2160)), f"{r.randint(0, 99):02d}", r.choice(["ENE", "jan", "Xyz", "Sept"])])
+    clock = lambda: r.choice([f"{r.randint(0, 25)}:{r.randint(0, 61):02d}", f"{r.randint(0, 25):02d}:{r.randint(0, 61):02d}:{r.randint(0, 61):02d}"]) + r.choice(["", " AM", "PM", " p.m.", "x"])
+    values = {"", "abc", "12.50", "1,234.5", "-5", "a-b-c", " 2024-01-02 "}
+    for _ in range(700):
+        a = r.choice("/.-")
+        values.add(number() + a + number() + r.choice([a, a, "/"]) + number() + r.choice(["", " ", "T"]) + r.choice(["", clock()]) + r.choice(["", "", "Z", "+02:00"]))
+        values |= {clock(), "".join(r.choice("0123456789") for _ in range(r.choice([7, 8, 12, 14]))), f"{r.randint(1985, 2030)}{r.randint(1, 13):02d}{r.randint(1, 31):02d}{r.choice(['', ' ', 'T'])}{r.randint(0, 24):02d}{r.randint(0, 60):02d}"}
+        values.add(f"{r.randint(1985, 2030)}-{r.randint(1, 13):02d}-{r.randint(1, 31):02d}T{r.randint(0, 24):02d}:{r.randint(0, 60):02d}{r.choice(['', ':30', ':30.5'])}{r.choice(['', 'Z', '+01:00'])}")
+    v = F.col("value")
+    plain = {"mask": dates.format_mask(v), "time_ok": dates.parse_time_strict(v).isNotNull()}
+    for o in dates.ORDERS:
+        plain |= {f"ordered_{o}": dates.parse_ordered(v, o).isNotNull(), f"date_{o}": dates.parse_date_strict(v, o).isNotNull(), f"datetime_{o}": dates.parse_datetime_strict(v, o).isNotNull(), f"_fits_{o}": F.coalesce(dates.orders_that_fit(v)[o], F.lit(False))}
+    df = spark.createDataFrame([(x,) for x in values], "value string")
+    both = dates.with_date_marks(df).select("value", *[F.struct(F.col(k).alias("a"), x.alias("b")).alias(k) for k, x in plain.items()])
+    for x in both.collect():
+        assert {k: x[k].a for k in plain} == {k: x[k].b for k in plain}, x.value
+
+
 def test_uses(spark):
     found = uses(
         spark, dmy=["13/02/2024", "01/02/2024"], mdy=["02/13/2024", "02/01/2024"], iso=["2024-02-13", "2024-03-01"], compact=["20240213", "20240301"], compact14=["20240213101500", "20240301101500"], time=["10:15", "24:00"],
@@ -107,28 +135,48 @@ def test_keys_and_documents(spark, tmp_path):
     assert rows == 6 and sum(r.n_values for r in p.groups.where("col_name = 'a'").collect()) == 3
 
 
-def write_xlsx(path, rows):
-    cells = lambda n, row: "".join(f'<c r="{chr(65 + i)}{n}" t="inlineStr"><is><t>{v}</t></is></c>' for i, v in enumerate(row) if v != "")
+def write_xlsx(path, rows, styles=None, base1904=False):
+    """Texts are inline strings; (style, number) is a number cell of that style."""
+    body = lambda ref, v: f'<c r="{ref}" s="{v[0]}"><v>{v[1]}</v></c>' if isinstance(v, tuple) else f'<c r="{ref}" t="inlineStr"><is><t>{v}</t></is></c>'
+    cells = lambda n, row: "".join(body(f"{chr(65 + i)}{n}", v) for i, v in enumerate(row) if v != "")
     sheet = "<worksheet xmlns='m'><sheetData>" + "".join(f'<row r="{n}">{cells(n, r)}</row>' for n, r in enumerate(rows, 1) if any(r)) + "</sheetData></worksheet>"
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     with zipfile.ZipFile(path, "w") as z:
-        z.writestr("xl/workbook.xml", f"<workbook xmlns='m' xmlns:r='{rel}'><sheets><sheet name='S' sheetId='1' r:id='r1'/></sheets></workbook>")
+        z.writestr("xl/workbook.xml", f"<workbook xmlns='m' xmlns:r='{rel}'>{'<workbookPr date1904="1"/>' if base1904 else ''}<sheets><sheet name='S' sheetId='1' r:id='r1'/></sheets></workbook>")
         z.writestr("xl/_rels/workbook.xml.rels", "<Relationships><Relationship Id='r1' Target='worksheets/sheet1.xml'/></Relationships>")
         z.writestr("xl/worksheets/sheet1.xml", sheet)
+        if styles:
+            own = "".join(f"<numFmt numFmtId='{170 + i}' formatCode='{c}'/>" for i, c in enumerate(styles) if isinstance(c, str))
+            z.writestr("xl/styles.xml", f"<styleSheet xmlns='m'><numFmts>{own}</numFmts><cellXfs>{''.join(f'<xf numFmtId="{170 + i if isinstance(c, str) else c}"/>' for i, c in enumerate(styles))}</cellXfs></styleSheet>")
 
 
 def test_spreadsheets(spark, tmp_path):
     from colscope.sources.xlsx import XlsxSource, unify_decimal
 
-    write_xlsx(tmp_path / "a.xlsx", [["name", "name", ""], ["x", " y ", "z"], ["", "", ""], ["1", "", "2"]])
+    write_xlsx(tmp_path / "a.xlsx", [["name", "name", ""], ["x", " y ", "z"], ["", "", ""], ["1", "", "2", "wide"]])
     spark.dataSource.register(XlsxSource)
     df = spark.read.format("xlsx").load(str(tmp_path / "a.xlsx"))
-    assert df.columns == ["_row", "name", "name#2"] and [tuple(r) for r in df.orderBy("_row").collect()] == [(2, "x", "y"), (4, "1", "")]
+    assert df.columns == ["_row", "name", "name#2", "col_3", "col_4"] and [tuple(r) for r in df.orderBy("_row").collect()] == [(2, "x", "y", "z", ""), (4, "1", "", "2", "wide")]
     kept = spark.read.format("xlsx").option("dropBlank", "false").option("headerStyle", "letter").load(str(tmp_path))
-    assert kept.columns == ["_row", "name::A", "name::B"] and kept.count() == 3
+    assert kept.columns == ["_row", "name::A", "name::B", "col_3::C", "col_4::D"] and kept.count() == 3
     assert column(spark, ["1,5", "1,2,3", "1.5", "a,1"], unify_decimal) == ["1.5", "1.2,3", "1.5", "a,1"]
 
 
+def test_spreadsheets_of_several_layouts(spark, tmp_path):
+    """No cell of any file is left out, dates are texts, decimals are rewritten on demand, and any store's path will do."""
+    from colscope.sources.xlsx import XlsxSource, read_workbooks
+
+    write_xlsx(tmp_path / "a.xlsx", [["when", "n", "t"], [(1, 45000), (0, "1.50"), (2, 0.5)], [(3, 45000.25), "1,5", "2,3 m"]], styles=[0, 14, 21, 'yyyy"d"\\-mm', '"day" 0.00'])
+    write_xlsx(tmp_path / "b.xlsx", [["n", "more", ""], ["7", "x", "y"]])
+    spark.dataSource.register(XlsxSource)
+    rows = [tuple(r) for r in spark.read.format("xlsx").option("unifyDecimal", "true").load(str(tmp_path)).orderBy("when", "n").collect()]
+    assert rows == [(2, "", "7", "", {"more": "x", "col_3": "y"}), (2, "2023-03-15T00:00:00.000Z", "1.5", "1899-12-30T12:00:00.000Z", {}), (3, "2023-03-15T06:00:00.000Z", "1.5", "2,3 m", {})]
+    found = {(r.path.rpartition("/")[2], r.row): r.cells for r in read_workbooks(spark, f"file://{tmp_path}").collect()}
+    assert found == {("a.xlsx", 2): {"when": "2023-03-15T00:00:00.000Z", "n": "1.5", "t": "1899-12-30T12:00:00.000Z"}, ("a.xlsx", 3): {"when": "2023-03-15T06:00:00.000Z", "n": "1,5", "t": "2,3 m"}, ("b.xlsx", 2): {"n": "7", "more": "x", "col_3": "y"}}
+    write_xlsx(tmp_path / "c.xlsx", [["d"], [(1, 1)]], styles=[0, 14, "0"], base1904=True)
+    assert spark.read.format("xlsx").load(str(tmp_path / "c.xlsx")).first().d == "1904-01-02T00:00:00.000Z"
+
+
 def test_event_stream(spark, tmp_path):
     import json
 
@@ -157,12 +205,13 @@ def test_flexible_dates(spark):
 
 
 def test_listing(spark, tmp_path):
+    from colscope.config import ProfileConfig
     from colscope.operators.discovery import list_files, status
 
     for name, size in (("a.xlsx", 9), ("b.xlsx", 9), ("a.knfo", 9), ("a.meta", 9)):
         (tmp_path / name).write_bytes(b"x" * size)
     files = list_files(spark, str(tmp_path))
-    assert files.count() == 4 and {r.state: r.n_files for r in status(files).collect()} == {"done": 1, "pending": 1}
+    assert files.count() == 4 and {r.state: r.n_files for r in status(files, ProfileConfig(file_patterns=())).collect()} == {"done": 1, "pending": 1}
 
 
 def test_order_and_plan_from_all_values(spark):
