@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, chunks, ship
+from .common import U64, Kept, chunks, ship
 
 #: Hash buckets of n-grams; the sizes of n-grams in bytes; texts that are handled at once.
 BUCKETS, GRAMS, ROWS = 4096, (2, 3, 4), 256
@@ -109,16 +109,16 @@ def feature_rows(column):
 
 def svm(x: np.ndarray, y: np.ndarray, c: float = 50.0, rounds: int = 150) -> np.ndarray:
     """Weights (the last is the bias) of a linear machine with squared hinge loss, classes weighted alike; y is -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * c
-    step = 1 / (1 + 2 * 2 * c)  # rows have squared length 2 at most
-    w = ahead = np.zeros(x.shape[1])
+    y = y.astype(np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32) * np.float32(c)
+    step = np.float32(1 / (1 + 2 * 2 * c))  # rows have squared length 2 at most, the bias included
+    w = ahead = np.zeros(x.shape[1] + 1, np.float32)
     for k in range(rounds):
-        gap = np.maximum(0, 1 - y * (x @ ahead))
-        nxt = ahead - step * (ahead - 2 * ((weight * gap * y) @ x))
-        ahead = nxt + k / (k + 3) * (nxt - w)
+        pull = weight * np.maximum(0, 1 - y * (x @ ahead[:-1] + ahead[-1])) * y
+        nxt = ahead - step * (ahead - 2 * np.append(pull @ x, pull.sum()))
+        ahead = nxt + np.float32(k / (k + 3)) * (nxt - w)
         w = nxt
-    return w
+    return w.astype(float)
 
 
 @dataclass
@@ -180,34 +180,57 @@ def predict(m: Model, x: np.ndarray) -> tuple[list[str], np.ndarray]:
 # ---------------------------------------------------------------- Spark
 
 
-def train(docs: DataFrame, sample_rows: int = 2000) -> Model:
-    """A model of a sample of ``docs`` (doc_id, text, lang): at most ``sample_rows`` rows, shared out alike among the languages.
-
-    Only rows that ``may_learn`` allows, with text and lang, are used; of each language those with the least hash of doc_id.
-    """
-    rows = docs.where(may_learn(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
-    names = [r["lang"] for r in rows.select("lang").distinct().limit(sample_rows + 1).collect()]
-    share = max(1, sample_rows // max(1, len(names)))
-    # First within parts of a language, so that a common one is ranked by many tasks; then those few by language.
-    chosen = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(64)).alias("part"))
-    for keys in (["lang", "part"], ["lang"]):
-        first = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
-        chosen = chosen.withColumn("n", F.row_number().over(first)).where(F.col("n") <= share).drop("n")
-    chosen = chosen.select("doc_id").distinct()
-    # ``chosen`` has at most ``sample_rows`` rows (one for each language, if there are more), so it may be broadcast.
-    sample = rows.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+def _sample(docs: DataFrame, sample_rows: int) -> pa.Table:
+    """(lang, bucket, value) of the features of the rows to learn from."""
+    rows = docs.where(may_learn(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    # As many languages as there are rows to take, the most frequent ones.
+    known = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample_rows).collect()}
+    if not known:
+        return pa.table({"lang": pa.array([], pa.string()), "bucket": pa.array([], pa.binary()), "value": pa.array([], pa.binary())})
+    share = max(1, sample_rows // len(known))
+    # Only hashes below a border may be among the least ``share``; so the ranking gets about 4 * share rows of a language,
+    # however common it is. Should repeated rows leave too few, the border is raised.
+    border = {k: min(1.0, (4 * share + 64) / n) for k, n in known.items()}
 
     def run(batches):
         for batch in batches:
             langs = batch.column("lang")
             for a, x, letters in feature_rows(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([langs.slice(a, len(x)), pa.array(letters), pa.array([v.astype(np.float32).tobytes() for v in x], pa.binary())], names=["lang", "letters", "x"])
+                used = [np.flatnonzero(v) for v in x]
+                columns = [langs.slice(a, len(x)), pa.array([i.astype(np.uint16).tobytes() for i in used], pa.binary()), pa.array([v[i].astype(np.float32).tobytes() for v, i in zip(x, used, strict=True)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "value"]).filter(pa.array(letters))
+
+    while True:
+        borders = docs.sparkSession.createDataFrame(pa.table({"lang": list(border), "border": list(border.values())}))  # at most sample_rows rows
+        low = rows.join(F.broadcast(borders), "lang").where(F.shiftrightunsigned("h", 11) / 2.0**53 <= F.col("border"))
+        low = low.groupBy("doc_id", "lang", "h").agg(F.first("text").alias("text"))
+        first = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 11), "doc_id", "h")
+        least = Kept(low.withColumn("n", F.row_number().over(first)).where(F.col("n") <= share).select("lang", "text"), "language-sample")
+        got = {r["lang"]: r["n"] for r in least.df.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        if not (short := [k for k, v in border.items() if v < 1 and got.get(k, 0) < share]):
+            break
+        least.drop()
+        border |= {k: min(1.0, 16 * border[k]) for k in short}
+    found = least.df.mapInArrow(run, "lang string, bucket binary, value binary").toArrow()
+    least.drop()
+    return found
+
 
-    got = sample.mapInArrow(run, "lang string, letters boolean, x binary").where("letters").toArrow()
+def train(docs: DataFrame, sample_rows: int = 2000) -> Model:
+    """A model of a sample of ``docs`` (doc_id, text, lang): at most ``sample_rows`` rows, shared out alike among the languages.
+
+    Only rows that ``may_learn`` allows, with text and lang, are used; of each language those with the least hash of doc_id and
+    text. Equal rows count once; rows of one doc_id with different texts each count.
+    """
+    ship(docs.sparkSession)
+    got = _sample(docs, sample_rows)
     if not got.num_rows:
         return Model()
-    pairs = sorted(zip(got.column("lang").to_pylist(), got.column("x").to_pylist(), strict=True))  # the same sums each time
-    x = np.frombuffer(b"".join(p[1] for p in pairs), np.float32).reshape(len(pairs), BUCKETS).astype(float)
+    pairs = sorted(zip(*(got.column(c).to_pylist() for c in ("lang", "bucket", "value")), strict=True))  # the same sums each time
+    del got
+    x = np.zeros((len(pairs), BUCKETS), np.float32)
+    for row, (_, bucket, value) in zip(x, pairs, strict=True):
+        row[np.frombuffer(bucket, np.uint16)] = np.frombuffer(value, np.float32)
     return fit(x, [p[0] for p in pairs])
 
 
