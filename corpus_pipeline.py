@@ -11,13 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colscope.llm.common import materialize
+from colscope.llm.common import Kept, release
 from colscope.llm.decontam import drop_leaks
 from colscope.llm.langid import UNDETERMINED, identify_languages, train
 from colscope.llm.neardup import near_duplicates
 from colscope.llm.packing import pack_documents
 from colscope.llm.secretscan import redact_secrets
-from colscope.llm.tokens import token_file
 
 #: Least similarity of near-duplicates, over shingles of so many words.
 SIMILAR, SHINGLE = 0.8, 5
@@ -48,7 +47,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of what is left into sequences of 2048 tokens."""
-    return pack_documents(docs, token_file("word_bpe_49k.json"), end_id=0, capacity=2048)
+    return pack_documents(docs, "word_bpe_49k.json", end_id=0, capacity=2048)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -64,7 +63,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The pieces of what all stages keep of the documents table.
+
+    Rows with null or empty texts have no language and go in the first stage; every other null is kept as it is. Repeated rows
+    stay together, texts of any length are handled whole, and further columns pass until the last stage. An empty table
+    gives no rows.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = Kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = kept.df
+        if before:
+            before.drop()
+        before = kept
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
