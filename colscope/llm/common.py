@@ -286,11 +286,11 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
             break
         both = now.df.unionByName(now.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = Kept(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), f"{name}-large{k}")
-        now.drop()
-        lows = large.df.groupBy("u").agg(F.min("v").alias("m"))
-        now = Kept(large.df.join(lows, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct(), f"{name}-small{k}")
-        large.drop()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        lows = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lows, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+        last, now = now, Kept(small, f"{name}-round{k}")
+        last.drop()
     else:
         raise RuntimeError("components did not settle")
     found = Kept(now.df.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.df.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), name)
