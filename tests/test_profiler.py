@@ -193,6 +193,75 @@ def test_event_stream(spark, tmp_path):
     assert got == ["a/X.xlsx", "b.meta"]
 
 
+def test_windows_of_a_stream(spark, tmp_path):
+    """The first event of a listener opens a window, later ones join it, and late ones are put in order; statistics follow."""
+    import datetime
+
+    from colscope.streaming.events import Statistics, debounced_stream, flush
+
+    at = lambda s: datetime.datetime(2024, 1, 1, 12) + datetime.timedelta(seconds=s)
+    parts = [[(1, at(0), "a"), (1, at(4), "b"), (2, at(1), "a")], [(1, at(3), "a"), (1, at(5.5), "c"), (1, at(9), "d")], [(1, at(200), "z"), (2, at(200), "z")], [(1, at(400), "y"), (2, at(400), "y")]]
+    stats = Statistics()
+    spark.streams.addListener(stats)
+    try:
+        for i, rows in enumerate(parts):
+            spark.createDataFrame(rows, "listener long, ts timestamp, path string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            if i == 0:
+                source = spark.readStream.schema("listener long, ts timestamp, path string").parquet(str(tmp_path / "in"))
+                query = debounced_stream(source, "listener", late="10 seconds").writeStream.format("memory").queryName("windows").option("checkpointLocation", str(tmp_path / "check")).start()
+            query.processAllAvailable()
+        flush(query)
+    finally:
+        spark.streams.removeListener(stats)
+    found = {(r.listener, r.batch_start, tuple(r.paths)) for r in spark.table("windows").collect()}
+    assert {(1, at(0), ("a", "b")), (1, at(5.5), ("c", "d")), (2, at(1), ("a",)), (1, at(200), ("z",)), (2, at(200), ("z",))} <= found
+
+
+def test_slim_documents_of_profiles(spark, tmp_path):
+    from colscope.operators.discovery import half_done
+    from colscope.operators.documents import load_registry, read_document, save_registry, slim_missing, write_document
+    from colscope.operators.naming import numbered_headers, short_keys
+
+    assert numbered_headers(["Item::D", "Item::C", "Código  Año.", "item", "::B"]) == {"Item::D": "item#2", "Item::C": "item#1", "Código  Año.": "codigo_ano", "item": "item#3", "::B": "col_x"}
+    profile = {"__meta__": {"keyColumns": ["a::A"], "totalRows": 2, "tcode": "T"}, "columns": {"a::A": {"data_type": "INT"}, "a::B": {"data_type": "VARCHAR(20)"}, "none": {}}}
+    write_document(spark, profile, str(tmp_path / "x.knfo"))
+    files = spark.createDataFrame([(f"{tmp_path}/x.knfo", 90), (f"{tmp_path}/y.knfo", 90), (f"{tmp_path}/y.meta", 90)], "path string, size long")
+    left = [r.base for r in half_done(files).collect()]
+    assert left == ["x"]
+    [path] = slim_missing(spark, str(tmp_path), left)
+    slim = read_document(spark, path)
+    assert path.endswith(f"/meta/{slim['dataRepo']}/x.meta") and slim["normHdrByColumn"] == {"a::A": "a#1", "a::B": "a#2"} and slim["totalColumns"] == 2
+    keys = short_keys(["a::A", "a::B"])
+    save_registry(spark, str(tmp_path / "registry"), "T", keys)
+    save_registry(spark, str(tmp_path / "registry"), "U", {"b": "bbxxxx"})
+    assert load_registry(spark, str(tmp_path / "registry"), "T") == keys and short_keys(["new", "a::B"], keys)["a::B"] == keys["a::B"]
+
+
+def test_monitored_files_and_runs(spark, tmp_path):
+    import json
+
+    from colscope.config import ProfileConfig
+    from colscope.operators.discovery import monitored_files
+    from colscope.plans.profile import run_pending, track
+
+    path = tmp_path / "monitor.json"
+    path.write_text(json.dumps({"in/a.xlsx": {"nombre": "a", "extension": ".xlsx", "tamaño": 7}, "in/b.txt": {"nombre": "b", "extension": ".txt", "tamaño": 1}}), encoding="utf-8")
+    assert {(r.path, r.name, r.size) for r in monitored_files(spark, str(path)).collect()} == {("in/a.xlsx", "a", 7), ("in/b.txt", "b", 1)}
+    path.write_text("[]")
+    assert monitored_files(spark, str(path)).count() == 0
+    files = spark.createDataFrame([("a.xlsx", 9), ("b.xlsx", 8), ("b.knfo", 9)], "path string, size long")
+    tried = []
+
+    def act(p):
+        tried.append(p)
+        if p == "b.xlsx":
+            raise ValueError("broken")
+
+    out = run_pending(files, act, config=ProfileConfig(file_patterns=()))
+    assert out == {"a.xlsx": "done", "b.xlsx": "failed 3: broken"} and tried == ["a.xlsx"] + ["b.xlsx"] * 3
+    assert track(files, "x/B.xlsx") == {"profile": True, "meta": False}
+
+
 def test_flexible_dates(spark):
     from colscope.functions.dates import format_pattern, header_hints, parse_flexible, type_family
 
