@@ -15,6 +15,9 @@ Positions are code points. A text's matches and the pieces between them come fro
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,21 @@ KINDS = (("assign", ASSIGN, True), ("access", ACCESS, True), ("hex", HEX, True),
 COMPLEMENTS = {"ident": ("assign", "hex", "key40"), "key40": ("access", "ident", "endpoint"), "endpoint": ("assign", "hex", "key40")}
 
 
+def _may_match(text: Column, number: int) -> Column:
+    """Whether a text has what the pattern can't do without (a sign, a prefix, a long run), and then the pattern itself. The first is
+    quick to tell, and most texts lack it."""
+    kind, pattern, _ = KINDS[number]
+    if kind in ("assign", "ident"):
+        quick = text.contains("=") | text.contains(":")
+    elif kind == "access":
+        quick = text.contains("AKIA")
+    elif kind == "endpoint":
+        quick = text.contains(":")
+    else:
+        quick = text.rlike("[A-Za-z0-9+/]{24}")
+    return quick & text.rlike(pattern)
+
+
 def _whole_matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
 
@@ -58,7 +76,7 @@ def _steps(text: Column, number: int, pattern: str) -> Column:
             counts = m.rlike("[0-9]") & m.rlike("[A-Z]") & m.rlike("[a-z]")
         return F.struct(F.lit(number).cast("int").alias("kind"), i.cast("int").alias("nth"), F.get(gaps, i).alias("gap"), F.length(m).alias("size"), counts.alias("counts"))
 
-    return F.when(text.rlike(pattern), F.transform(matches, step))
+    return F.when(_may_match(text, number), F.transform(matches, step))
 
 
 def found_spans(docs: DataFrame, row: Column | None = None) -> DataFrame:
@@ -114,9 +132,11 @@ def redact_secrets(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     A text without spans (or null) is unchanged. Rows are not merged, whatever they repeat.
     """
     columns = docs.columns
-    may = F.coalesce(F.col("text"), F.lit("")).rlike("|".join(f"(?:{p})" for _, p, _ in KINDS))
-    # Few texts match at all: those are numbered and kept, so that their spans can be joined back to them.
-    marked = materialize(docs.where(may).select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_all")), "secrets-marked")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    may = functools.reduce(operator.or_, [_may_match(text, k) for k in range(len(KINDS))])
+    # All texts are numbered and kept, with what was found out about them: patterns cost more than writing.
+    every = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), may.alias("_may"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_all")), "secrets-marked")
+    marked = every.where("_may")
     spans = found_spans(marked.select("_row", F.col("_all.doc_id").alias("doc_id"), F.col("_all.text").alias("text")), F.col("_row"))
     spans = spans.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.when(F.col("reported"), F.struct("start", "end")))).alias("s"))
     grouped = marked.join(spans, "_row")
@@ -128,4 +148,4 @@ def redact_secrets(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     pieces = F.transform("w.clear", lambda c: F.concat(F.substring(text, c["a"].cast("int") + 1, (c["b"] - c["a"]).cast("int")), F.lit(mark)))
     tail = F.substring(text, F.col("w.at").cast("int") + 1, F.length(text))
     redacted = F.concat(F.array_join(pieces, ""), tail)
-    return docs.where(~may).unionByName(cut.select(*[redacted.alias("text") if c == "text" else F.col(f"_all.`{c}`").alias(c) for c in columns]))
+    return every.where("not _may").select("_all.*").unionByName(cut.select(*[redacted.alias("text") if c == "text" else F.col(f"_all.`{c}`").alias(c) for c in columns]))
