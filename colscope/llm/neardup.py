@@ -5,14 +5,14 @@
    collapse to one representative.
 2. Representatives that share a band form candidate clusters (alternating large-star and small-star on band stars).
    A cluster of up to ``unit`` texts is one unit of work, so each of its sets is shipped once. In larger clusters the
-   band buckets are the units; a bucket above ``unit`` is first split by pairs of bands, and what is still larger is cut
-   into blocks, each pair of blocks being a unit, so that no task gets more than two blocks.
+   band buckets are the units. A bucket above ``unit`` is first dealt into blocks, each with the bucket's least text; a text
+   takes part in two such buckets at most here, as that finds nearly all links, and the rest comes in step 5.
 3. In a unit, signatures rule out pairs (six standard deviations below the threshold), full sets confirm the rest (by both
    families of hashes), and only a spanning forest of the confirmed links leaves the unit.
 4. Connected components of the links, again by alternating large-star and small-star.
-5. Splitting by pairs of bands leaves pairs out for a while. So a bucket above ``unit`` whose texts are not of one component
-   yet is cut into blocks, and those pairs of blocks that hold more than its largest component are units of a second pass.
-   Texts of one component need no check, so in the end every pair of every bucket is compared or known to be connected.
+5. A bucket above ``unit`` whose texts are not of one component yet is cut into blocks, and those pairs of blocks that hold
+   more than its largest component are units of a second pass. Texts of one component need no check, so in the end every
+   pair of every bucket is compared or known to be connected.
 
 A pair at the threshold is missed by all bands with a probability below 1e-7; the number of bands follows from the
 threshold.
@@ -143,75 +143,68 @@ def _linker(width: int, percent: int):
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
+        table = table.sort_by("rid")
         sets, others = [None] * table.num_rows, [None] * table.num_rows
         for first, ones, twos in shingle_sets(table.column("text"), width):
             sets[first : first + len(ones)], others[first : first + len(ones)] = ones, twos
         signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        links = confirmed_links(table.column("doc_id").to_numpy(), table.column("side").to_numpy(), table.column("part").to_numpy(), sets, others, signatures, percent)
+        links = confirmed_links(table.column("rid").to_numpy(), table.column("side").to_numpy(), table.column("part").to_numpy(), sets, others, signatures, percent)
         return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
 
 def _block_pairs(rows: DataFrame, count: str) -> DataFrame:
-    """(unit, side, doc_id, h): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
-    rows = rows.select("doc_id", "h", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
-    return rows.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "doc_id", "h")
+    """(unit, side, rid): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
+    rows = rows.select("rid", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
+    return rows.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "rid")
 
 
 def _one_of_each(members: DataFrame) -> DataFrame:
     """(key): one of the keys with the same members. A sum of hashes names the membership."""
-    named = members.groupBy("key").agg(F.sum(F.xxhash64("doc_id", "h").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("doc_id", "h", F.lit(1)).cast("decimal(38,0)")).alias("b"))
+    named = members.groupBy("key").agg(F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("rid", F.lit(1)).cast("decimal(38,0)")).alias("b"))
     return named.groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
 
 
 def _units(reps: DataFrame, unit: int) -> tuple[Kept, Kept]:
-    """(unit, side, doc_id, h): what is compared together, and (key, doc_id, h): the buckets above ``unit`` of large clusters, of
-    which some pairs are left for the second pass. See the module's docstring, steps 2 and 5."""
-    keyed = reps.select("doc_id", "h", F.posexplode("bands").alias("band", "value")).select("doc_id", "h", "band", F.xxhash64("band", "value").alias("key"))
-    sizes = Kept(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1"), "neardup-sizes")
+    """(unit, side, rid, part): what is compared together, and (key, rid): the buckets above ``unit`` of large clusters, of which
+    some pairs are left for the second pass. See the module's docstring, steps 2 and 5."""
+    keyed = reps.select("rid", F.posexplode("bands").alias("band", "value")).select("rid", F.xxhash64("band", "value").alias("key"))
+    sizes = Kept(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("low")).where("n > 1"), "neardup-sizes")
     inside = Kept(keyed.join(sizes.df, "key"), "neardup-buckets")
     sizes.drop()
-    cluster = components(inside.df.select(F.col("doc_id").alias("u"), F.col("low").alias("v")), "neardup-clusters")
-    # A text that shares a bucket with its own doc_id only has no neighbour, and so is in no cluster.
+    cluster = components(inside.df.select(F.col("rid").alias("u"), F.col("low").alias("v")), "neardup-clusters")
     large = cluster.df.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > unit).select("component")
-    whole = cluster.df.join(large, "component", "left_anti").select(F.xxhash64(F.lit("c"), "component").alias("unit"), F.lit(0).alias("side"), F.col("node").alias("doc_id")).join(reps.select("doc_id", "h"), "doc_id").select("unit", "side", "doc_id", "h")
-    heavy = cluster.df.join(large, "component", "left_semi").select(F.col("node").alias("doc_id"))
-    pieces = inside.df.join(heavy, "doc_id", "left_semi").select("key", "doc_id", "h", "n", "band")
-    fits = pieces.where(F.col("n") <= unit).select("key", "doc_id", "h")
-    # Above the limit: the same bucket seen with one of three other bands as well. That finds nearly all links at less cost.
-    wide = Kept(pieces.where(F.col("n") > unit).join(reps.select("doc_id", "h", "bands"), ["doc_id", "h"]), "neardup-wide")
-    total = F.size("bands")
-    deeper = wide.df.select("doc_id", "h", F.explode(F.array(*[F.xxhash64("key", F.lit(d), F.get("bands", (F.col("band") + d) % total)) for d in (1, 2, 3)])).alias("key"))
-    counted = Kept(deeper.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "neardup-counted")
-    held = Kept(deeper.join(counted.df, "key"), "neardup-deeper")
-    counted.drop()
-    blocks = F.ceil(F.col("n") / (unit // 2)).cast("int")
-    split = held.df.where(F.col("n") > unit).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id", "h", F.lit(5)), F.col("blocks")).cast("int"))
-    small = fits.unionByName(held.df.where(F.col("n") <= unit).select("key", "doc_id", "h"))
+    whole = cluster.df.join(large, "component", "left_anti").select(F.xxhash64(F.lit("c"), "component").alias("unit"), F.col("node").alias("rid"))
+    heavy = cluster.df.join(large, "component", "left_semi").select(F.col("node").alias("rid"))
+    pieces = inside.df.join(heavy, "rid", "left_semi")
+    wide = Kept(pieces.where(F.col("n") > unit), "neardup-wide")
+    # Two buckets of a text, the same ones as far as it shares them with others.
+    two = wide.df.groupBy("rid").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("key").alias("order"), "key", "n", "low"))), 1, 2).alias("two"))
+    two = two.select("rid", F.explode("two").alias("b")).select("rid", "b.low", F.xxhash64("b.key", F.pmod(F.xxhash64("rid", F.lit(5)), F.ceil(F.col("b.n") / (unit // 2)))).alias("key"))
+    small = pieces.where(F.col("n") <= unit).select("key", "rid").unionByName(two.select("key", "rid")).unionByName(two.select("key", F.col("low").alias("rid")).distinct())
     # Bands often gather the same texts; such buckets are one unit.
-    small = small.join(_one_of_each(small), "key", "left_semi").select(F.col("key").alias("unit"), F.lit(0).alias("side"), "doc_id", "h")
-    units = Kept(whole.unionByName(small).unionByName(_block_pairs(split, "blocks")).withColumn("part", F.col("doc_id")), "neardup-units")
-    for x in (inside, cluster, held):
+    small = small.join(_one_of_each(small), "key", "left_semi").select(F.col("key").alias("unit"), "rid").distinct()
+    units = Kept(whole.unionByName(small).select("unit", F.lit(0).alias("side"), "rid", F.col("rid").alias("part")), "neardup-units")
+    for x in (inside, cluster):
         x.drop()
     return units, wide
 
 
 def _left_units(wide: DataFrame, reached: DataFrame, unit: int) -> DataFrame:
-    """(unit, side, doc_id, h, part): what large buckets still have to compare. See the module's docstring, step 5.
+    """(unit, side, rid, part): what large buckets still have to compare. See the module's docstring, step 5.
 
     A bucket's largest component is cut into blocks of its own, which are compared with those of the rest only.
     """
-    members = wide.select("key", "doc_id", "h").distinct().join(reached, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", "h", F.coalesce("component", "doc_id").alias("part"))
+    members = wide.select("key", "rid").join(reached, F.col("rid") == F.col("node"), "left").select("key", "rid", F.coalesce("component", "rid").alias("part"))
     sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     most = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")).where("n > n_main")
     members = members.join(most, "key")
     blocks = lambda n: F.ceil(n / (unit // 2)).cast("int")
-    members = members.join(_one_of_each(members), "key", "left_semi").withColumns({"rest": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "hash": F.xxhash64("doc_id", "h", F.lit(5))})
+    members = members.join(_one_of_each(members), "key", "left_semi").withColumns({"rest": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "hash": F.xxhash64("rid", F.lit(5))})
     inner = F.col("part") == F.col("main")
     members = members.withColumns({"block": F.when(inner, F.col("rest") + F.pmod("hash", "mains")).otherwise(F.pmod("hash", "rest")).cast("int"), "against": F.when(inner, F.col("rest")).otherwise(F.col("rest") + F.col("mains"))})
-    return _block_pairs(members, "against").join(members.select("doc_id", "h", "part").distinct(), ["doc_id", "h"])
+    return _block_pairs(members, "against").join(members.select("rid", "part").distinct(), "rid")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, unit: int = 512) -> DataFrame:
@@ -236,17 +229,18 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
     names = ["set_a", "set_b", "n_shingles"]
     # Written before it is joined, so that a set that many texts share can be split among tasks.
     classes = Kept(full.groupBy(*names).agg(F.min(F.struct("doc_id", "h")).alias("f"), F.count("*").alias("copies")).select(*names, F.col("f.doc_id").alias("class_id"), F.col("f.h").alias("class_h"), "copies"), "neardup-classes")
+    # A text is named by its doc_id, unless some doc_id has several texts.
+    several = full.select("doc_id", "h").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
+    rid = F.xxhash64("doc_id", "h") if several else F.col("doc_id")
     firsts = classes.df.select(F.col("class_id").alias("doc_id"), F.col("class_h").alias("h"))
-    reps = Kept(full.join(firsts, ["doc_id", "h"]).select("doc_id", "h", "bands", "signature").dropDuplicates(["doc_id", "h"]), "neardup-reps")
+    reps = Kept(full.join(firsts, ["doc_id", "h"]).select(rid.alias("rid"), "doc_id", "h", "bands", "signature").dropDuplicates(["doc_id", "h"]), "neardup-reps")
     units, wide = _units(reps.df, unit)
     release(spark)
+    texts = rows.where("doc_id is not null").groupBy("doc_id", "h").agg(F.first("text").alias("text"))
 
     def links_of(units: DataFrame) -> Kept:
-        wanted = units.select("doc_id", "h").distinct().join(reps.df.select("doc_id", "h", "signature"), ["doc_id", "h"])
-        texts = Kept(rows.join(wanted, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]), "neardup-texts")
-        work = units.join(texts.df, ["doc_id", "h"]).select("unit", "side", "doc_id", "part", "text", "signature")
+        work = units.join(reps.df.select("rid", "doc_id", "h", "signature"), "rid").join(texts, ["doc_id", "h"]).select("unit", "side", "rid", "part", "text", "signature")
         found = Kept(work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long"), "neardup-linked")
-        texts.drop()
         release(spark)
         return found
 
@@ -261,13 +255,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
         left.drop()
     # A class is a star around its representative, whose component the links give: copies need no round of their own.
     # Only a doc_id with several texts can belong to several classes; then the classes are linked as well.
-    repeated = full.select("doc_id", "h").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if repeated.limit(1).count():
-        same = full.select("doc_id", *names).join(classes.df.select(*names, "class_id"), names).select(F.col("doc_id").alias("u"), F.col("class_id").alias("v")).where("u <> v")
-        reached.drop()
+    if several:
+        edges = full.select("doc_id", *names).join(classes.df.select(*names, "class_id"), names).select(F.col("doc_id").alias("u"), F.col("class_id").alias("v"))
+        named = lambda end: reps.df.select(F.col("rid").alias(end), F.col("doc_id").alias(f"{end}_doc"))
         for x in links:
-            same = same.unionByName(x.df)
-        reached = components(same, "neardup-all-links")
+            edges = edges.unionByName(x.df.join(named("u"), "u").join(named("v"), "v").select(F.col("u_doc").alias("u"), F.col("v_doc").alias("v")))
+        reached.drop()
+        reached = components(edges, "neardup-all-links")
     own = F.coalesce("component", "class_id", "doc_id")
     result = signed.df.select("doc_id", *names).join(classes.df.select(*names, "class_id"), names, "left")
     result = result.withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))).join(reached.df, F.col("class_id") == F.col("node"), "left")
