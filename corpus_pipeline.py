@@ -24,8 +24,10 @@ SIMILAR, SHINGLE = 0.8, 5
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without a language (null, empty, or without a letter) go."""
-    found = identify_languages(docs, train(docs))
-    return found.where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
+    longest = max(map(len, docs.columns))
+    names = "lang_pred".ljust(longest + 1, "_"), "score".ljust(longest + 1, "_")  # unlike any column of docs
+    found = identify_languages(docs, train(docs), names=names)
+    return found.where(F.col(names[0]) != UNDETERMINED).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
