@@ -234,8 +234,8 @@ def train(docs: DataFrame, sample_rows: int = 2000) -> Model:
     return fit(x, [p[0] for p in pairs])
 
 
-def identify_languages(docs: DataFrame, model: Model | None = None, sample_rows: int = 2000) -> DataFrame:
-    """All columns of ``docs`` that aren't named like new ones, and lang_pred, score, for each row.
+def identify_languages(docs: DataFrame, model: Model | None = None, sample_rows: int = 2000, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of ``docs`` that aren't named like new ones, and lang_pred, score (or other ``names``), for each row.
 
     lang_pred is one of the languages learned, or ``und`` (score 0) where the text is null or empty or has no letter, or where
     nothing could be learned. Whole texts count, however long. Rows that repeat a doc_id or have none are predicted alike.
@@ -244,16 +244,16 @@ def identify_languages(docs: DataFrame, model: Model | None = None, sample_rows:
     """
     ship(docs.sparkSession)
     model = model or train(docs, sample_rows)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in names]
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = T.StructType([*source.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*source.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def run(batches):
         for batch in batches:
             for a, x, letters in feature_rows(batch.column("text")):
-                names, score = predict(model, x)
+                found, score = predict(model, x)
                 part = batch.slice(a, len(x))
-                names = [v if ok else UNDETERMINED for v, ok in zip(names, letters.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(np.where(letters, score, 0.0))], names=[*part.schema.names, "lang_pred", "score"])
+                found = [v if ok else UNDETERMINED for v, ok in zip(found, letters.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(np.where(letters, score, 0.0))], names=[*part.schema.names, *names])
 
     return source.mapInArrow(run, schema)
