@@ -267,6 +267,28 @@ def test_secrets(spark):
     assert scan_secrets(df.limit(0)).count() == 0 and redact_secrets(df.limit(0)).count() == 0
 
 
+def test_linked_secrets_against_brute_force(spark):
+    """Weak spans among random fillers: every pair of parts is looked at."""
+    from colscope.llm.secretscan import ASSIGN_VALUE, COMPLEMENTS, KINDS, SCOPE, scan_secrets
+
+    r = random.Random(12)
+    letters = "abcXYZ019"
+    parts = [lambda: "user=bob12", lambda: 'client_id: "x.y"', lambda: "password: hunter22", lambda: "token=abc", lambda: "AKIA" + "Z9" * 8, lambda: "0123abcd" * 3, lambda: "".join(r.choice(letters) for _ in range(40)), lambda: "https://db.example.com/x", lambda: "cache.host.io:6379", lambda: "a:b", lambda: "word " * r.randint(1, 60)]
+    texts = [" ".join(r.choice(parts)() for _ in range(r.randint(0, 14))) for _ in range(150)] + ["filler " * 40_000 + "password=longenough user=alice9", None, ""]
+    want = {}
+    for i, t in enumerate(texts):
+        spans = []
+        for k, (kind, pattern, strong) in enumerate(KINDS):
+            for m in re.finditer(pattern, t or "", re.ASCII):
+                fine = len(re.fullmatch(r"""[A-Za-z_]+["']?\x20*[:=]\x20*["']?(.*)""", m[0])[1]) >= ASSIGN_VALUE if kind == "assign" else bool(re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])) if kind == "key40" else True
+                spans += [(m.start(), k, m.end(), kind, strong)] if fine else []
+        near = lambda s, c: (c[0] <= s[0] and s[0] - c[2] <= SCOPE) or (c[0] >= s[0] and c[0] - s[2] <= SCOPE)
+        want[i] = [(s[0], s[2], s[3]) for s in sorted(spans) if s[4] or any(c[3] in COMPLEMENTS[s[3]] and near(s, c) for c in spans)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: [(s.start, s.end, s.kind) for s in x.spans] for x in scan_secrets(df).collect()}
+    assert got == want and sum(s[2] in COMPLEMENTS for v in want.values() for s in v) > 100
+
+
 # ---------------------------------------------------------------- 7: near-duplicates
 
 
@@ -348,6 +370,11 @@ def test_quality_on_held_out_documents(spark):
     df, texts = odd_documents(spark)
     got = score_quality(df, model).collect()
     assert len(got) == len(texts) and all(0 <= x.score <= 1 for x in got)
+    # Repeated rows and doc_ids with several texts: the same model whatever their order; equal texts score alike.
+    twice = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" more"))))
+    one, two = train(twice, labels), train(twice.orderBy(F.desc("text")), labels)
+    assert one.bias == two.bias and (one.weight == two.weight).all()
+    assert got[3].score == [x.score for x in got if x.text == got[3].text][-1]
     assert train(docs, labels.limit(0)) is None and {x.score for x in score_quality(df, None).collect()} == {0.5}
     assert score_quality(empty(spark), model).count() == 0
 
@@ -375,6 +402,10 @@ def test_language_on_held_out_documents(spark):
     got = {x.doc_id: x for x in identify_languages(df, model).collect()}
     assert [got[i].lang_pred for i in (1, 2, 3, 4)] == ["und"] * 4 and got[None].lang_pred == rows[0].lang_pred and got[5].lang_pred != "und"
     assert identify_languages(df.limit(0), model).count() == 0
+    # Repeated rows count once, one language may hold nearly all rows, and very long texts are read whole.
+    common = docs.unionByName(docs.where("lang = 'en'")).unionByName(docs.where("lang = 'en'").limit(1).crossJoin(spark.range(3000)).select(*docs.columns))
+    again = identify_languages(docs.withColumn("text", F.concat(F.lit("12 " * 100_000), "text")).limit(40), train(common)).collect()
+    assert np.mean([x.lang == x.lang_pred for x in again]) >= 0.9
     assert {x.lang_pred for x in identify_languages(docs.limit(5), train(docs.limit(0))).collect()} == {"und"}
 
 
@@ -418,6 +449,10 @@ def test_leaks_against_brute_force(spark):
     assert {k: v.score for k, v in got.items()} == want and len(want) > 20
     left = [x.doc_id for x in drop_leaks(df, bench).collect()]
     assert sorted(x for x in left if x is not None) == sorted(d for d, _ in docs if d is not None and not any(k[0] == d for k in want)) and None not in left
+    # Very long and repeated documents, items with equal texts.
+    long = spark.createDataFrame([(7, "pad " * 200_000 + items[3][1] + " pad" * 1000, 1)] * 2, df.schema)
+    doubled = bench.unionByName(spark.createDataFrame([(77, items[3][1], 1)], bench.schema))
+    assert sorted((x.doc_id, x.item_id) for x in find_leaks(long, doubled).collect()) == [(7, 3), (7, 3), (7, 77), (7, 77)]
     assert find_leaks(df.limit(0), bench).count() == 0 and find_leaks(df, bench.limit(0)).count() == 0
 
 

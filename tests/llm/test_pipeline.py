@@ -41,3 +41,22 @@ def test_pipeline(spark):
     for x in seen["packing"].collect():
         total[x.sequence_id] += x.length
     assert max(total.values()) <= 2048
+
+
+def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert cp.run(spark, str(tmp_path)).count() == 0
+    rows = [(1, "the cat sat on the mat and the dog lay by the door", "en", None, None), (1, "the cat sat on the mat and the dog lay by the door", "en", None, None), (None, "an unnamed text of some words about the weather in town", "en", "s", 3), (3, None, None, None, None), (4, "", "en", "s", 0), (5, "eine lange zeile " * 20_000, "de", "s", 9)]
+    names = "doc_id long, text string, lang string, source string, n_chars long, score double, h long, rid long, _row long, lang_pred string"
+    df = spark.createDataFrame([(*x, 0.5, 1, 2, 3, "zz") for x in rows], names)
+    now = df
+    for _, stage in cp.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == df.columns
+    assert sorted((x.doc_id or 0, x.h, x.lang_pred) for x in now.collect()) == [(0, 1, "zz"), (1, 1, "zz"), (1, 1, "zz"), (5, 1, "zz")]
+    assert {x.doc_id for x in cp.STAGES[-1][1](spark, now, str(tmp_path)).collect()} == {None, 1, 5}
