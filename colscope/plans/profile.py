@@ -19,6 +19,7 @@ class Profile:
     groups: DataFrame
     columns: DataFrame
     ranges: DataFrame
+    column_ranges: DataFrame
     top: DataFrame
     outliers: DataFrame
     correlations: DataFrame
@@ -28,7 +29,7 @@ class Profile:
     meta: dict[str, Any]
 
     def document(self) -> dict[str, Any]:
-        full = self.columns.join(self.differences, "col_name", "left").join(self.chains, "col_name", "left")
+        full = self.columns.join(self.differences, "col_name", "left").join(self.chains, "col_name", "left").join(self.column_ranges, "col_name", "left")
         return documents.profile_document(self.meta, full, self.groups, self.top)
 
 
@@ -65,7 +66,7 @@ def profile(df: DataFrame, file_name: str = "", config: ProfileConfig = DEFAULT,
         "dateOrderByColumn": {r["col_name"]: {"order": r["date_order"], "confidence": r["confidence"]} for r in groups.date_orders(vc, config).collect()},
         "columnsByDataType": {r["data_type"]: r["columns"].split(",") for r in columns.columns_by_type(cols).collect()},
     }
-    return Profile(vc, found, cols, ranges, top, groups.outlier_groups(ranges, config), pairs, chains, columns.differences(cols, top, chains), groups.date_mismatches(vc, cols, config), meta)
+    return Profile(vc, found, cols, ranges, groups.column_ranges(ranges, found), top, groups.outlier_groups(ranges, config), pairs, chains, columns.differences(cols, top, chains), groups.date_mismatches(vc, cols, config), meta)
 
 
 def run_pending(files: DataFrame, act: Callable[[str], None], attempts: int = 3, config: ProfileConfig = DEFAULT) -> dict[str, str]:

@@ -127,6 +127,8 @@ def test_keys_and_documents(spark, tmp_path):
     assert p.meta["keyColumns"] == ["a", "b"] and p.meta["tcode"] == "MB51" and p.meta["segmentFields"] == {"plant": "AB1"}
     assert p.meta["totalRows"] == p.meta["rowsWithData"] == 6
     full = p.document()
+    ranged = profile(spark.range(10, 40).selectExpr("cast(id as string) as n", "cast(date_add(date'2024-01-01', cast(id as int)) as string) as d")).document()["columns"]
+    assert (int(ranged["n"]["min_number"]), int(ranged["n"]["max_number"])) == (10, 39) and str(ranged["d"]["min_time"]).startswith("2024-01-11") and "min_number" not in ranged["d"]
     slim = slim_document(full)
     assert slim["signature"].startswith("4>PK$a$") and len(set(slim["repKeyByColumn"].values())) == 4
     write_document(spark, slim, str(tmp_path / "x.meta"))
