@@ -172,6 +172,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collocations of two to five words of each language, by the score of their weakest cut."""
+    from .phrases import mine_phrases
+
+    return mine_phrases(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000, cover=100)
+
+
+ORACLE_11 = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, count(*) AS m, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM t GROUP BY lang, p),
+n AS (SELECT lang, CAST(sum(m * len(ws)) AS HUGEINT) AS n FROM w GROUP BY lang),
+i AS (SELECT lang, m, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+o AS (SELECT lang, m, ws, i, unnest(range(1, least(5, len(ws) - i + 1) + 1)) AS k FROM i),
+g AS (SELECT lang, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS g, k, CAST(sum(m) AS HUGEINT) AS f FROM o GROUP BY lang, g, k HAVING sum(m) >= 100),
+c AS (SELECT lang, g, k, f, unnest(range(1, k)) AS j, string_split(g, ' ') AS ws FROM g WHERE k > 1),
+s AS (SELECT c.lang, c.g, c.k, c.f AS a, c.j, x.f AS l, y.f AS r, n.n, 1000 * c.f * n.n // (x.f * y.f) AS score FROM c JOIN n ON n.lang = c.lang
+  JOIN g x ON x.lang = c.lang AND x.g = array_to_string(list_slice(c.ws, 1, c.j), ' ') JOIN g y ON y.lang = c.lang AND y.g = array_to_string(list_slice(c.ws, c.j + 1, c.k), ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+z AS (SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM b q WHERE q.lang = b.lang AND q.k > b.k AND q.a >= b.a AND contains(' ' || q.g || ' ', ' ' || b.g || ' '))),
+e AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM z)
+SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM e WHERE rank <= 2000
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_token_ids": op2_token_ids,
@@ -183,5 +207,6 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_phrase_mining": op11_phrase_mining,
 }
-ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3, "op4_substring_dedup": ORACLE_4, "op7_minhash_near_dedup": ORACLE_7}
+ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3, "op4_substring_dedup": ORACLE_4, "op7_minhash_near_dedup": ORACLE_7, "op11_phrase_mining": ORACLE_11}
