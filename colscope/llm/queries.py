@@ -196,6 +196,13 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a,
 """
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart in all documents, the form that each rare one stands for, and where forms lead."""
+    from .variants import group_variants
+
+    return group_variants(_table(spark, sf_dir, "documents"), shortest=6, least=5, factor=5, spoil=199)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_token_ids": op2_token_ids,
@@ -208,5 +215,6 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
     "op11_phrase_mining": op11_phrase_mining,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3, "op4_substring_dedup": ORACLE_4, "op7_minhash_near_dedup": ORACLE_7, "op11_phrase_mining": ORACLE_11}
