@@ -203,6 +203,25 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(_table(spark, sf_dir, "documents"), shortest=6, least=5, factor=5, spoil=199)
 
 
+ORACLE_13 = r"""
+WITH RECURSIVE ct AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) x(i)),
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+d AS (SELECT doc_id, w, count(*) AS m, string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, '') AS cs FROM r WHERE length(w) >= 6 GROUP BY doc_id, w),
+b AS (SELECT doc_id, w, m, list_concat([4294967295], flatten(list_transform(cs, lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(c) - 64 AS BIGINT)] END))) AS bs FROM d),
+h AS (SELECT w, m, xor(list_reduce(bs, lambda s, x: xor(s >> 8, t[xor(s & 255, x) + 1])), 4294967295) AS h FROM b, ct),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, m FROM h),
+u AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM v WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+k AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM u),
+g AS (SELECT word, n, substr(word, 1, i) || '*' || substr(word, i + 2) AS replaced, substr(word, 1, i) || substr(word, i + 2) AS shorter FROM k),
+e AS (SELECT a.word AS a, b.word AS b FROM g a JOIN g b ON a.replaced = b.replaced AND a.word <> b.word
+  UNION SELECT g.word, u.word FROM g JOIN u ON g.shorter = u.word UNION SELECT u.word, g.word FROM g JOIN u ON g.shorter = u.word),
+f AS (SELECT a AS word, count(*) AS n_near, min({'m': -u.n, 'w': e.b}) AS best FROM e JOIN u ON e.b = u.word GROUP BY a),
+o AS (SELECT u.word, u.n, CASE WHEN -best.m >= 5 * u.n THEN best.w END AS form, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN -best.m >= 5 * u.n THEN CAST(-best.m AS BIGINT) END AS form_n FROM u LEFT JOIN f ON f.word = u.word),
+p AS (SELECT word, word AS at_, form AS nxt FROM o UNION ALL SELECT p.word, p.nxt, o.form FROM p JOIN o ON o.word = p.nxt)
+SELECT o.word, o.n, o.form, p.at_ AS root, o.n_near, o.form_n FROM o JOIN p ON p.word = o.word AND p.nxt IS NULL
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_token_ids": op2_token_ids,
@@ -217,4 +236,4 @@ QUERIES: dict[str, Query] = {
     "op11_phrase_mining": op11_phrase_mining,
     "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3, "op4_substring_dedup": ORACLE_4, "op7_minhash_near_dedup": ORACLE_7, "op11_phrase_mining": ORACLE_11}
+ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3, "op4_substring_dedup": ORACLE_4, "op7_minhash_near_dedup": ORACLE_7, "op11_phrase_mining": ORACLE_11, "op13_spelling_variants": ORACLE_13}
