@@ -196,6 +196,15 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a,
 """
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under a mixture of hashed contexts, and under counts of words, learned from four fifths of them."""
+    from .contextmix import in_fold, score_texts
+
+    held_out = in_fold(F.col("doc_id"), 5, 1)
+    found = score_texts(_table(spark, sf_dir, "documents"), learns=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words one edit apart in all documents, the form that each rare one stands for, and where forms lead."""
     from .variants import group_variants
@@ -234,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {"op1_exact_top_k": ORACLE_1, "op3_chat_formatting": ORACLE_3, "op4_substring_dedup": ORACLE_4, "op7_minhash_near_dedup": ORACLE_7, "op11_phrase_mining": ORACLE_11, "op13_spelling_variants": ORACLE_13}
