@@ -31,6 +31,8 @@ _ENDS = np.zeros(256, bool)
 _ENDS[[*b".,;:!?", 10, 11, 12, 13]] = True
 #: Bytes of pieces that are named together; more is fewer rows to shuffle, and more memory.
 NAMED_BYTES = 6_000_000
+#: Rows of sums that a task holds back to add them up.
+HELD_ROWS = 2_500_000
 #: Memory of one bucket's counts before DuckDB spills.
 BUCKET_MEMORY = "256MB"
 
@@ -42,9 +44,8 @@ def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _summed(table: pa.Table, by: list[str], schema: pa.Schema) -> pa.RecordBatch:
-    out = table.group_by(by).aggregate([("n", "sum")]).rename_columns([*by, "n"]).select(schema.names).cast(schema)
-    return out.combine_chunks().to_batches()[0] if out.num_rows else pa.RecordBatch.from_pylist([], schema=schema)
+def _summed(table: pa.Table, by: list[str], schema: pa.Schema) -> pa.Table:
+    return table.group_by(by).aggregate([("n", "sum")]).rename_columns([*by, "n"]).select(schema.names).cast(schema)
 
 
 def split_pieces(column) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
@@ -78,7 +79,7 @@ def _pieces(batches):
     for batch in batches:
         langs = batch.column("lang")
         for a, row, pieces in split_pieces(batch.column("text")):
-            yield _summed(pa.table({"lang": langs.take(pa.array(a + row)), "piece": pieces, "n": np.ones(len(row), np.int64)}), ["lang", "piece"], PIECES)
+            yield from _summed(pa.table({"lang": langs.take(pa.array(a + row)), "piece": pieces, "n": np.ones(len(row), np.int64)}), ["lang", "piece"], PIECES).to_batches()
 
 
 def _lang_hash(langs: list[str]) -> np.ndarray:
@@ -108,8 +109,27 @@ def _gathered(batches, size: int) -> Iterator[pa.Table]:
 
 def _grams(orders: tuple[int, ...], known: int, bits):
     """Weighted grams of the given orders in a task's pieces; those of more than ``known`` words only where all their runs of
-    ``known`` words are in the filter."""
+    ``known`` words are in the filter. Sums of successive chunks are added up before they leave."""
+    chunk = _chunk_grams(orders, known, bits)
 
+    def run(batches):
+        held, rows = [], 0
+        for out in chunk(batches):
+            held.append(out)
+            rows += out.num_rows
+            if rows > HELD_ROWS:
+                held = [_summed(pa.concat_tables(held), ["lang", "gram"], GRAMS)]
+                if held[0].num_rows > HELD_ROWS // 2:
+                    yield from held[0].to_batches()
+                    held = []
+                rows = sum(t.num_rows for t in held)
+        if held:
+            yield from (_summed(pa.concat_tables(held), ["lang", "gram"], GRAMS) if len(held) > 1 else held[0]).to_batches(100_000)
+
+    return run
+
+
+def _chunk_grams(orders: tuple[int, ...], known: int, bits):
     def run(batches):
         for table in _gathered(batches, NAMED_BYTES):
             coded = table.column("lang").combine_chunks().dictionary_encode()
@@ -156,7 +176,7 @@ def _grams(orders: tuple[int, ...], known: int, bits):
                     ends = np.concatenate([[0], np.cumsum(length)])
                     text = data[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], length)]
                     out = pa.table({"lang": langs.take(pa.array(lang_of[w.doc[seen]])), "gram": _strings(text, ends), "n": count})
-                    yield from out.cast(GRAMS).to_batches()
+                    yield out.cast(GRAMS)
 
     return run
 
