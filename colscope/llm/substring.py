@@ -112,12 +112,13 @@ def _choose(symbols: Symbols, at: np.ndarray, n_words: int, window: int) -> np.n
 class Groups:
     """Groups of windows: text, key, around, and the windows' first and last start (numbers of words)."""
 
-    def __init__(self, words: np.ndarray, first: np.ndarray, window: int, rounds: int = ROUNDS):
+    def __init__(self, words: np.ndarray, others: np.ndarray, first: np.ndarray, window: int, rounds: int = ROUNDS):
+        """``words`` name symbols and keys; ``others``, hashes of the same words of another family, tell windows apart."""
         n = len(words)
         count = np.diff(first)
         doc = np.repeat(np.arange(len(count)), count)
         at = np.flatnonzero(np.arange(n) + window <= first[1:][doc])
-        self.words = words
+        self.words = others
         levels = [Symbols(words, np.arange(n), np.arange(n) + 1, doc)]
         for k in range(rounds):
             levels.append(levels[-1].following(first, k))
@@ -141,13 +142,13 @@ class Groups:
         self.doc = doc[self.low]
         left, right, name = left[begin], right[begin], name[begin]
         self.key = mix(run_sums(words, left, right) ^ name).astype(np.int64)
-        self.around = mix(run_chains(words, self.low, self.high + window) + (left - self.low).astype(U64)).astype(np.int64)
+        self.around = mix(run_chains(others, self.low, self.high + window) + (left - self.low).astype(U64)).astype(np.int64)
 
 
 def _groups(column, window: int) -> Iterator[tuple[int, np.ndarray, Groups]]:
     for a, _, data, offsets in chunks(column, 1_000_000):
         w = Words(data, offsets)
-        yield a, w.first, Groups(w.sums(), w.first, window)
+        yield a, w.first, Groups(w.sums(), w.chains(), w.first, window)
 
 
 # ---------------------------------------------------------------- tasks
