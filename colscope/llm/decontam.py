@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Words, chunks, run_sums, ship
+from .common import U64, Kept, Words, chunks, mix, run_sums, ship
 
 #: Words of a seed (the bounds above are for two); the least similarity; the least score of items that are longer than it.
 SEED, SIMILAR, LEAST = 2, 0.5, 6
@@ -32,6 +32,7 @@ SEED, SIMILAR, LEAST = 2, 0.5, 6
 BLOCK_GRAMS = 1_000_000
 HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.int64()), ("similarity", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
 
+_OTHER = U64(0x2545F4914F6CDD1D)
 _WORD = np.full(256, 32, np.uint8)
 for _a, _b in ((48, 57), (97, 122), (128, 255)):
     _WORD[_a : _b + 1] = np.arange(_a, _b + 1)
@@ -39,9 +40,9 @@ _WORD[65:91] = np.arange(97, 123)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, number of each text's first word)."""
+    """(hash of each word, by both families, number of each text's first word)."""
     w = Words(_WORD[data], offsets)
-    return w.sums(), w.first
+    return mix(w.sums() ^ mix(w.chains() + _OTHER)), w.first
 
 
 def grams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -262,8 +263,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR)
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """``docs`` without the rows whose text holds an item of ``benchmark``, as ``find_leaks`` finds them; all columns stay."""
     ship(docs.sparkSession)
-    for items in _blocks(benchmark, similar):
-        ready = _counted(docs, items)
+    original, kept = docs, None
+    for k, items in enumerate(_blocks(benchmark, similar)):
+        ready = _counted(original, items)
+        if k:  # what is left after a block is written, so that each block aligns once
+            before, kept = kept, Kept(docs, "decontam-left")
+            docs = kept.df
+            if before:
+                before.drop()
 
         def run(batches, ready=ready):
             for batch in batches:
