@@ -124,9 +124,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, scale: int = 1
     q, c = scaled(queries, scale).distinct(), scaled(candidates, scale)
     n_q = max(1, -(-queries.count() // query_block))
     n_c = max(1, -(-candidates.count() // candidate_block))
-    block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    # Rows are numbered, so that the rows of one vec_id are dealt out as well.
+    block = lambda n: F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(n)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q = q.withColumn("qb", block(n_q)).withColumn("cb", every(n_c))
+    q = q.withColumn("qb", F.pmod(F.xxhash64("vec_id", "terms", "weights"), F.lit(n_q)).cast("int")).withColumn("cb", every(n_c))
     c = c.withColumn("cb", block(n_c)).withColumn("qb", every(n_q))
     found = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -34,6 +34,24 @@ def empty(spark):
 # ---------------------------------------------------------------- 1: top-k
 
 
+def test_top_k_splits_the_rows_of_one_vector(spark):
+    """Ten thousand rows under one vec_id make blocks like any others."""
+    from colscope.llm.topk import top_k
+
+    df = spark.createDataFrame([(0, [1.0, 0.5])] + [(7, [1.0, float(i % 50)]) for i in range(3000)] + [(8, [1.0, 49.0])], "vec_id long, embedding array<float>")
+    got = top_k(df.where("vec_id = 0"), df, k=62, candidate_block=64, query_block=4).collect()
+    one = 1024 * 1024
+    assert sorted((r.score, -r.vec_id) for r in got) == sorted([(one + 512 * 49 * 1024, -7)] * 60 + [(one + 512 * 49 * 1024, -8), (one + 512 * 48 * 1024, -7)])
+    blocks = df.select(F_block(16).alias("b")).groupBy("b").count().collect()
+    assert max(r["count"] for r in blocks) < 400
+
+
+def F_block(n):
+    from pyspark.sql import functions as F
+
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(n)), F.lit(n)).cast("int")
+
+
 def test_top_k_against_brute_force(spark):
     from colscope.llm.topk import top_k
 
@@ -543,3 +561,40 @@ def test_colliding_texts_are_not_linked(spark):
     assert {(x.doc_id, x.component_id) for x in near_duplicates(spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string"), 0.85).collect()} == {(1, 1), (2, 2)}
     tail = " ".join(f"w{i}" for i in range(12))
     assert {x.n_removed for x in remove_repeats(spark.createDataFrame([(1, f"{one} {tail}"), (2, f"{two} {tail}")], "doc_id long, text string")).collect()} == {0}
+
+
+# ---------------------------------------------------------------- words that one family of hashes takes for one
+
+
+def test_words_that_collide_in_one_family(spark):
+    """Two printable words with the same sum of mixed blocks: no passage with one is a repeat of that with the other."""
+    from colscope.llm.common import Words
+    from colscope.llm.decontam import find_leaks, words_of
+    from colscope.llm.substring import remove_repeats
+
+    pad = "k" * 144
+    one, two = "kkkkkkkk" + "w2zYl_tp" + pad + "3x0Q>K6:", "kkkkkkkk" + "00W00000" + pad + "zzSzzzzz"
+    w = Words(np.frombuffer(f"{one} {two}".encode(), np.uint8), np.array([0, len(one) + len(two) + 1]))
+    assert w.sums()[0] == w.sums()[1] and w.chains()[0] != w.chains()[1]
+    start = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"{start} {one}"), (2, f"{start} {two}"), (3, f"{start} {two}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 13}
+    low = words_of(np.frombuffer(f"{one.lower()} {two.lower()}".encode(), np.uint8), np.array([0, len(one) + len(two) + 1]))[0]
+    assert len(np.unique(low)) == len(low)
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    assert [r.doc_id for r in find_leaks(spark.createDataFrame([(1, "x alpha beta gamma")], "doc_id long, text string"), items).collect()] == [1]
+
+
+def test_leaks_of_several_blocks_of_items(spark, monkeypatch):
+    """Blocks of two items each: the same leaks as one block, and each block aligns once."""
+    from colscope.llm import decontam
+
+    r = random.Random(5)
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(12))) for i in range(7)]
+    docs = [(i, " ".join(f"d{r.randrange(99)}" for _ in range(30)) + " " + (items[i % 7][1] if i % 2 else "")) for i in range(20)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontam.find_leaks(d, b).collect()))
+    monkeypatch.setattr(decontam, "BLOCK_GRAMS", 40)
+    assert len(list(decontam._blocks(b, 0.5))) > 2
+    assert sorted(map(tuple, decontam.find_leaks(d, b).collect())) == whole
+    assert sorted(x.doc_id for x in decontam.drop_leaks(d, b).collect()) == [i for i in range(20) if i % 2 == 0]
