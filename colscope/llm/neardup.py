@@ -7,8 +7,9 @@
    A cluster of up to ``unit`` texts is one unit of work, so each of its sets is shipped once. In larger clusters the
    band buckets are the units. A bucket above ``unit`` is first dealt into blocks, each with the bucket's least text; a text
    takes part in two such buckets at most here, as that finds nearly all links, and the rest comes in step 5.
-3. In a unit, signatures rule out pairs (six standard deviations below the threshold), full sets confirm the rest (by both
-   families of hashes), and only a spanning forest of the confirmed links leaves the unit.
+3. In a unit, signatures rule out pairs (six standard deviations below the threshold); no text has moved yet. Only texts of a pair
+   that is left are fetched, past a bounded filter, to units of at most ``UNIT_BYTES`` (beyond that in pairs of blocks). Full sets
+   confirm pairs by both families of hashes, and only a spanning forest of the confirmed links leaves the unit.
 4. Connected components of the links, again by alternating large-star and small-star.
 5. A bucket above ``unit`` whose texts are not of one component yet is cut into blocks, and those pairs of blocks that hold
    more than its largest component are units of a second pass. Texts of one component need no check, so in the end every
@@ -25,13 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import _ODD, U64, Kept, Words, chunks, components, mix, release, run_chains, run_sums, ship
+from .substring import _filter, _may_hold
 
 ROWS = 5
 MISS = 1e-7
+#: Bytes of text of a unit; a single text may have more.
+UNIT_BYTES = 24_000_000
 
 
 def bands_for(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -76,38 +81,50 @@ def minima(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return best
 
 
-SIGNED = "doc_id long, h long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
+SIGNED = "doc_id long, h long, n_bytes long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
 
 
 def _signer(width: int, bands: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_bytes", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
     name = lambda x: int(mix(x).sum(dtype=U64).astype(np.int64))
 
     def run(batches):
         a, b = universal(bands * ROWS)
         for batch in batches:
-            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("h").to_pylist()
+            ids, hashes, size = (x.to_pylist() for x in (batch.column("doc_id"), batch.column("h"), pc.binary_length(batch.column("text"))))
             for first, ones, twos in shingle_sets(batch.column("text"), width):
                 out = []
                 for k, (x, y) in enumerate(zip(ones, twos, strict=True), first):
                     if not len(x):
-                        out.append((ids[k], hashes[k], 0, 0, 0, None, None))
+                        out.append((ids[k], hashes[k], size[k], 0, 0, 0, None, None))
                         continue
                     least = minima(x, a, b)
                     band = mix((least.reshape(bands, ROWS) * _ODD[:ROWS]).sum(axis=1, dtype=U64))
-                    out.append((ids[k], hashes[k], len(x), name(x), name(y), band.astype(np.int64).tolist(), (least >> U64(56)).astype(np.uint8).tobytes()))
+                    out.append((ids[k], hashes[k], size[k], len(x), name(x), name(y), band.astype(np.int64).tolist(), (least >> U64(56)).astype(np.uint8).tobytes()))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
-def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], others: list[np.ndarray], signatures: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def _partners(i: int, other: np.ndarray, root: np.ndarray, sides: np.ndarray, blocks: np.ndarray, size: np.ndarray, signatures: np.ndarray, percent: int) -> np.ndarray:
+    """Those of ``other`` that ``i`` may be linked to, by sizes and signatures, beyond what is connected already."""
+    k = signatures.shape[1]
+    floor = k * (percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / k))
+    ok = (root[other] != root[i]) & (100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i]))
+    for apart in (sides, blocks):
+        if apart[i]:
+            ok &= apart[other] != apart[i]
+    other = other[ok]
+    return other[(signatures[other] == signatures[i]).sum(axis=1) >= floor] if len(other) else other
+
+
+def confirmed_links(ids: np.ndarray, sides: np.ndarray, blocks: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], others: list[np.ndarray], signatures: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members of a unit, beyond what equal ``parts`` connect.
 
-    ``sides`` is 0 for members that are compared with all, else 1 and 2 for blocks compared with each other only. ``others`` are
-    the sets by another family of hashes, which has to agree. Pairs already connected need no check: the forest has the same
-    components.
+    ``sides`` and ``blocks`` are 0 for members that are compared with all, else 1 and 2 for those compared with each other only.
+    ``others`` are the sets by another family of hashes, which has to agree. Pairs already connected need no check: the forest has
+    the same components.
     """
     n = len(ids)
     size = np.array([len(s) for s in sets])
@@ -115,19 +132,11 @@ def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets:
     cut = np.concatenate([[0], np.cumsum(size)])
     _, flat = np.unique(flat, return_inverse=True)
     mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
-    k = signatures.shape[1]
-    floor = k * (percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / k))
     root = np.unique(parts, return_inverse=True)[1]
     enough = lambda both, i, j: 100 * both >= percent * (size[i] + size[j] - both)
     found = []
     for i in range(n - 1):
-        other = np.arange(i + 1, n)
-        ok = (root[other] != root[i]) & (100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i]))
-        if sides[i]:
-            ok &= sides[other] != sides[i]
-        other = other[ok]
-        if len(other):
-            other = other[(signatures[other] == signatures[i]).sum(axis=1) >= floor]
+        other = _partners(i, np.arange(i + 1, n), root, sides, blocks, size, signatures, percent)
         if not len(other):
             continue
         mark[flat[cut[i] : cut[i + 1]]] = True
@@ -139,6 +148,26 @@ def confirmed_links(ids: np.ndarray, sides: np.ndarray, parts: np.ndarray, sets:
     return found
 
 
+def _signatures(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+
+
+def _left_over(percent: int):
+    """The members of a unit that signatures leave a possible link."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, size, signatures = table.column("side").to_numpy(), table.column("n_shingles").to_numpy(), _signatures(table)
+        root = np.unique(table.column("part").to_numpy(), return_inverse=True)[1]
+        left, none = np.zeros(table.num_rows, bool), np.zeros(table.num_rows, np.int32)
+        for i in range(table.num_rows - 1):
+            other = _partners(i, np.arange(i + 1, table.num_rows), root, side, none, size, signatures, percent)
+            left[other] = True
+            left[i] |= len(other) > 0
+        return table.filter(pa.array(left)).select(["unit", "side", "rid", "part", "n_bytes"])
+
+    return run
+
+
 def _linker(width: int, percent: int):
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -147,13 +176,33 @@ def _linker(width: int, percent: int):
         sets, others = [None] * table.num_rows, [None] * table.num_rows
         for first, ones, twos in shingle_sets(table.column("text"), width):
             sets[first : first + len(ones)], others[first : first + len(ones)] = ones, twos
-        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        links = confirmed_links(table.column("rid").to_numpy(), table.column("side").to_numpy(), table.column("part").to_numpy(), sets, others, signatures, percent)
+        links = confirmed_links(*(table.column(c).to_numpy() for c in ("rid", "side", "block", "part")), sets, others, _signatures(table), percent)
         return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
 
+def _needed(bits):
+    """The rows whose key the filter may hold."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_may_hold(bits.value, batch.column("key").to_numpy())))
+
+    return run
+
+
+def _in_bytes(members: Kept, most: int) -> DataFrame:
+    """(unit, side, block, rid, part): units of more than ``most`` bytes in pairs of blocks, those of ``block`` 1 against 2."""
+    total = members.df.groupBy("unit").agg(F.sum("n_bytes").alias("total")).where(F.col("total") > most)
+    rows = members.df.join(total, "unit", "left")
+    small = rows.where("total is null").select("unit", "side", F.lit(0).alias("block"), "rid", "part")
+    count = F.ceil(F.col("total") / (most // 2)).cast("int")
+    large = rows.where("total is not null").withColumns({"mine": F.pmod(F.xxhash64("rid", F.lit(9)), count).cast("int"), "with": F.explode(F.sequence(F.lit(0), count - 1))})
+    block = F.when(F.col("mine") == F.col("with"), 0).when(F.col("mine") < F.col("with"), 1).otherwise(2)
+    return small.unionByName(large.select(F.xxhash64("unit", F.least("mine", "with"), F.greatest("mine", "with")).alias("unit"), "side", block.alias("block"), "rid", "part"))
+
+
 def _block_pairs(rows: DataFrame, count: str) -> DataFrame:
     """(unit, side, rid): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
     rows = rows.select("rid", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
@@ -233,14 +282,23 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
     several = full.select("doc_id", "h").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
     rid = F.xxhash64("doc_id", "h") if several else F.col("doc_id")
     firsts = classes.df.select(F.col("class_id").alias("doc_id"), F.col("class_h").alias("h"))
-    reps = Kept(full.join(firsts, ["doc_id", "h"]).select(rid.alias("rid"), "doc_id", "h", "bands", "signature").dropDuplicates(["doc_id", "h"]), "neardup-reps")
+    reps = Kept(full.join(firsts, ["doc_id", "h"]).select(rid.alias("rid"), "doc_id", "h", "n_bytes", "n_shingles", "bands", "signature").dropDuplicates(["doc_id", "h"]), "neardup-reps")
     units, wide = _units(reps.df, unit)
     release(spark)
-    texts = rows.where("doc_id is not null").groupBy("doc_id", "h").agg(F.first("text").alias("text"))
 
     def links_of(units: DataFrame) -> Kept:
-        work = units.join(reps.df.select("rid", "doc_id", "h", "signature"), "rid").join(texts, ["doc_id", "h"]).select("unit", "side", "rid", "part", "text", "signature")
+        signed = units.join(reps.df.select("rid", "n_bytes", "n_shingles", "signature"), "rid").select("unit", "side", "rid", "part", "n_bytes", "n_shingles", "signature")
+        left = Kept(signed.groupBy("unit").applyInArrow(_left_over(percent), "unit long, side int, rid long, part long, n_bytes long"), "neardup-left")
+        chosen = Kept(left.df.select("rid").distinct().join(reps.df.select("rid", "doc_id", "h", "signature"), "rid"), "neardup-chosen")
+        named = F.xxhash64("doc_id", "h").alias("key")
+        bits = _filter(chosen.df.select(named), chosen.df.count())
+        near = rows.where("doc_id is not null").select("doc_id", "h", "text", named).mapInArrow(_needed(bits), "doc_id long, h long, text string, key long")
+        texts = chosen.df.join(near.select("doc_id", "h", "text"), ["doc_id", "h"]).groupBy("rid").agg(F.first("text").alias("text"), F.first("signature").alias("signature"))
+        work = _in_bytes(left, UNIT_BYTES).join(texts, "rid").select("unit", "side", "block", "rid", "part", "text", "signature")
         found = Kept(work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long"), "neardup-linked")
+        bits.unpersist()
+        left.drop()
+        chosen.drop()
         release(spark)
         return found
 

@@ -310,7 +310,7 @@ def test_linked_secrets_against_brute_force(spark):
 # ---------------------------------------------------------------- 7: near-duplicates
 
 
-def test_near_duplicates_against_brute_force(spark):
+def test_near_duplicates_against_brute_force(spark, monkeypatch):
     from colscope.llm.neardup import near_duplicates
 
     r = random.Random(4)
@@ -340,6 +340,11 @@ def test_near_duplicates_against_brute_force(spark):
         assert len(got) == len(rows) and got[None].kept
         for d in sets:
             assert (got[d].n_shingles, got[d].component_id, got[d].kept) == (len(sets[d]), root[d], root[d] == d)
+    # Units of a few texts by their bytes: the same links.
+    monkeypatch.setattr("colscope.llm.neardup.UNIT_BYTES", 1200)
+    for unit in (512, 8):
+        got = {x.doc_id: x.component_id for x in near_duplicates(df, 0.85, unit=unit).collect()}
+        assert all(got[d] == root[d] for d in sets)
     assert near_duplicates(df.limit(0)).count() == 0
 
 
