@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, USE_RANK, ProfileConfig
+from ..storage import Stored
 from .cells import text_table
 
 _CATEGORY = {"Boolean": 2, "IntegerValue": 1, "DecimalValue": 1, "Date": 3, "Time": 3, "DateTime": 3}
@@ -50,48 +51,119 @@ def key_collisions(df: DataFrame, columns: list[str], limit: int = 10) -> DataFr
     return text_table(df).groupBy(*columns).agg(F.count("*").alias("n_rows")).where("n_rows > 1").orderBy(F.desc("n_rows"), *columns).limit(limit)
 
 
-def find_key(df: DataFrame, groups: DataFrame, config: ProfileConfig = DEFAULT, batch: int = 8) -> tuple[list[str], bool]:
+class Refinement:
+    """Which sets of columns tell rows apart, by partitions refined column by column.
+
+    A column's partition holds, of the different rows, only those whose value occurs again, each with the number of its class (the
+    least row number in it). The partition of a set is that of the set without its last column, joined with that column's by
+    row; classes of one row go. So a row leaves as soon as a set tells it apart, and each width reads what the width before it
+    has left. Rows whose cells are all '' or 0 don't count: their classes are ``blank``, and stay only to be refined.
+
+    Columns are numbered in order of ``names``. Sums come before joins, so a class of a third of all rows is no task's.
+    """
+
+    def __init__(self, text: DataFrame, names: list[str]):
+        self.names = names
+        self.rows = Stored(text.select(*names).distinct().withColumn("row", F.monotonically_increasing_id()), "keys-rows")
+        parts = F.array(*[F.struct(F.lit(i).alias("last"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(names)])
+        cells_ = self.rows.df.select("row", F.explode(parts).alias("c")).select("row", "c.*")
+        sums = cells_.groupBy("last", "value").agg(F.count("*").alias("n"), F.min("row").alias("class"))
+        facts = sums.groupBy("last").agg(F.sum("n").alias("rows"), F.count("*").alias("distinct"), F.sum(F.when(F.col("value") == "", F.col("n"))).alias("empty"), F.sum(F.when(F.col("value") == "0", F.col("n"))).alias("zero"))
+        #: Of each column: the filled cells, those that are 0, and the distinct values.
+        self.facts = {names[r["last"]]: {"filled": r["rows"] - (r["empty"] or 0), "zeros": r["zero"] or 0, "distinct": r["distinct"]} for r in facts.collect()}
+        again = sums.where("n > 1").withColumn("blank", F.col("value").isin("", "0")).drop("n")
+        self.single = Stored(cells_.join(again, ["last", "value"]).select("last", "row", "class", "blank"), "keys-classes")
+        #: Of each width the tables (set, last, row, class, blank); ``set`` lists the columns.
+        self.parts: dict[int, list[Stored]] = {}
+
+    def singles(self, new: set[int]) -> DataFrame:
+        return self.single.df.where(F.col("last").isin(*new)).select(F.array("last").alias("set"), "last", "row", "class", "blank")
+
+    def add(self, width: int, new: set[int]) -> DataFrame:
+        """(set): the sets of ``width`` columns, the last of them in ``new``, that leave rows together. Their partition is kept."""
+        if width == 1:
+            parts = self.singles(new)
+        else:
+            before = self.parts[width - 1][0].df
+            for p in self.parts[width - 1][1:]:
+                before = before.unionByName(p.df)
+            one = self.single.df.where(F.col("last").isin(*new)).select(F.col("last").alias("next"), "row", F.col("class").alias("own"), F.col("blank").alias("own_blank"))
+            both = before.join(one, "row").where("next > last").select("set", "next", "row", "class", "own", (F.col("blank") & F.col("own_blank")).alias("blank"))
+            sums = both.groupBy("set", "next", "class", "own").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1").drop("n")
+            left = both.join(sums, ["set", "next", "class", "own"])
+            parts = left.select(F.concat("set", F.array("next")).alias("set"), F.col("next").alias("last"), "row", F.col("least").alias("class"), "blank")
+        kept = Stored(parts, f"keys-width-{width}")
+        self.parts.setdefault(width, []).append(kept)
+        return kept.df.where("not blank").select("set").distinct()
+
+    def counted(self, column: str) -> bool:
+        """Whether some row of the column says more than '' or 0."""
+        own = self.facts.get(column)  # none where there is no row
+        return own is not None and own["filled"] > own["zeros"]
+
+    def drop(self) -> None:
+        for p in (self.rows, self.single, *[x for t in self.parts.values() for x in t]):
+            p.drop()
+
+
+def _trimmed(df: DataFrame, names: list[str]) -> DataFrame:
+    return text_table(df).select(*[F.trim(F.col(f"`{c}`")).alias(c) for c in names])
+
+
+def unique_sets(df: DataFrame, columns: list[str], width: int = 5) -> DataFrame:
+    """(n_columns, columns): the sets of at most ``width`` columns that tell the different rows apart and have no smaller such set
+    inside. Rows whose cells are all '' or 0 don't count for a set; a set without any other row tells nothing apart."""
+    spark = df.sparkSession
+    r = Refinement(_trimmed(df, columns), columns)
+    found: list[tuple[int, ...]] = []
+    for k in range(1, min(width, len(columns)) + 1):
+        together = {tuple(x["set"]) for x in r.add(k, set(range(len(columns)))).collect()}  # at most as many as sets of columns
+        for c in itertools.combinations(range(len(columns)), k):
+            if c not in together and any(r.counted(columns[i]) for i in c) and not any(set(f) <= set(c) for f in found):
+                found.append(c)
+    r.drop()
+    return spark.createDataFrame([(len(c), ",".join(columns[i] for i in c)) for c in found], "n_columns int, columns string")
+
+
+def find_key(df: DataFrame, groups: DataFrame, config: ProfileConfig = DEFAULT) -> tuple[list[str], bool]:
     """(columns of the key, whether ``key_candidates`` cut the search short); no column if no combination of up to ``key_width`` is unique.
 
     Columns come by level of how many cells are filled, then code before number, boolean, date and others, then by
-    position; single columns before pairs, and so on. Equal rows count once. A combination whose columns have too few
-    distinct values between them can't be unique and is passed over without a look at the rows.
+    position; single columns before pairs, and so on. Equal rows count once. All combinations of one width are tested in one
+    job on what the width before has left; their number alone reaches the driver, unless one of them is a key.
     """
     uses = {r["col_name"]: (r["ord"], r["main_use"]) for r in main_uses(groups, config).collect()}
     names = [c for c in df.columns if c in uses and uses[c][1] not in config.blocked_key_uses]
     if not names:
         return [], False
-    text = text_table(df).select(*[F.trim(F.col(f"`{c}`")).alias(c) for c in names]).distinct()
-    stats = text.agg(F.count("*").alias("n"), *[F.count_if(F.col(f"`{c}`") != "").alias(f"f{i}") for i, c in enumerate(names)], *[F.count_distinct(f"`{c}`").alias(f"d{i}") for i, c in enumerate(names)], *[F.count_if(F.col(f"`{c}`") == "0").alias(f"z{i}") for i, c in enumerate(names)]).first()
-    filled = {c: stats[f"f{i}"] for i, c in enumerate(names)}
-    zeros = {c: stats[f"z{i}"] for i, c in enumerate(names)}
-    distinct = {c: stats[f"d{i}"] for i, c in enumerate(names)}
-    names = [c for c in names if filled[c] > 0]
+    text = _trimmed(df, names)
+    counts = text.distinct().agg(*[F.count_if(F.col(f"`{c}`") != "").alias(f"f{i}") for i, c in enumerate(names)]).first()
+    filled = {c: counts[f"f{i}"] for i, c in enumerate(names)}
     category = {c: 0 if uses[c][1].endswith("Code") else _CATEGORY.get(uses[c][1], 4) for c in names}
-    tried, done = 0, None
-    waiting: list[tuple[str, ...]] = []
-
-    def first_unique() -> tuple[str, ...] | None:
-        found = {r["candidate"]: r["n_rows"] == r["n_distinct"] and r["n_rows"] > 0 for r in uniqueness(text, waiting).collect()} if waiting else {}
-        hit = next((c for c in waiting if found[",".join(c)]), None)
-        waiting.clear()
-        return hit
-
-    for level in sorted({filled[c] for c in names}, reverse=True):
-        pool = sorted((c for c in names if filled[c] >= level), key=lambda c: (category[c], uses[c][0]))
-        for width in range(1, min(config.key_width, len(pool)) + 1):
-            for c in itertools.combinations(pool, width):
-                # Combinations of fuller columns only were tested at a level before.
-                if done is not None and min(filled[x] for x in c) >= done:
-                    continue
-                tried += 1
-                if config.key_candidates is not None and tried > config.key_candidates:
-                    return list(first_unique() or ()), True
-                # Rows whose fullest column is filled count, unless all cells are '' or 0: too few combinations can't be unique.
-                if math.prod(distinct[x] for x in c) < max(filled[x] - zeros[x] for x in c):
-                    continue
-                waiting.append(c)
-                if len(waiting) >= batch and (hit := first_unique()):
-                    return list(hit), False
-        done = level
-    return list(first_unique() or ()), False
+    # By level first: the combinations that are new at a level are those with one of its columns as the last.
+    names = sorted((c for c in names if filled[c] > 0), key=lambda c: (-filled[c], category[c], uses[c][0]))
+    if not names:
+        return [], False
+    r, tried = Refinement(text, names), 0
+    try:
+        for level in sorted({filled[c] for c in names}, reverse=True):
+            pool = [c for c in names if filled[c] >= level]
+            new = {i for i, c in enumerate(pool) if filled[c] == level}
+            for width in range(1, min(config.key_width, len(pool)) + 1):
+                many = math.comb(len(pool), width) - math.comb(len(pool) - len(new), width)
+                cut = config.key_candidates is not None and tried + many > config.key_candidates
+                together = r.add(width, new)
+                n = together.count()
+                if n < many or cut:
+                    bad = {tuple(x["set"]) for x in together.collect()}
+                    ordered = itertools.combinations(sorted(pool, key=lambda c: (category[c], uses[c][0])), width)
+                    ordered = (c for c in ordered if any(filled[x] == level for x in c))
+                    for c in itertools.islice(ordered, config.key_candidates - tried) if cut else ordered:
+                        if tuple(sorted(names.index(x) for x in c)) not in bad and any(r.counted(x) for x in c):
+                            return list(c), False
+                    if cut:
+                        return [], True
+                tried += many
+        return [], False
+    finally:
+        r.drop()
