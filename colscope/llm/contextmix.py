@@ -7,8 +7,7 @@ logarithm the bits that a coder would need.
 
 1. Spark counts the words of all training texts; base scores and the trees come from these counts.
 2. Predictors: tables of counts of both bits, by the node in the tree alone, and by a hash of the node and of a context: the last
-   very common word, the word before, the two before; inside a spelled word the last two, three and five bytes.
-   Each gives a log-odds.
+   very common word, or the word before; inside a spelled word the last three or five bytes. Each gives a log-odds.
 3. Mixing: the log-odds are weighted by a gate (which tree, how deep) and summed. Every task learns on line over all its training
    texts: it predicts a run of text from the counts so far, moves the weights along the gradient, block by block, and
    only then counts that run. What the sums say and what came out is tallied by gate, which refines the probabilities adaptively.
@@ -35,9 +34,9 @@ from .tokenout import canonical, code_lengths
 
 #: Words with a code of their own, at most, and the occurrences that they need; others are spelled. Very common words.
 VOCABULARY, OFTEN, COMMON = 1 << 18, 8, 64
-#: Places of each table of counts: of nodes without a context (more than there can be), and of three hashed contexts.
+#: Places of each table of counts: of nodes without a context (more than there can be), and of two hashed contexts.
 SLOT_BITS = 21
-SLOTS = (1 << 19, 1 << SLOT_BITS, 1 << SLOT_BITS, 1 << SLOT_BITS)
+SLOTS = (1 << 19, 1 << SLOT_BITS, 1 << SLOT_BITS)
 TABLES = len(SLOTS)
 PAGE = 1 << 12
 #: Depths with a gate of their own, for each of the two trees; steps of the tally of refined probabilities, which reaches to +-REACH.
@@ -100,6 +99,7 @@ class Symbols:
     first: np.ndarray
     word_ids: np.ndarray
     words: Words
+    texts: pa.Array  # of all words
 
 
 def _before(x: np.ndarray, k: int, place: np.ndarray, start: int) -> np.ndarray:
@@ -113,7 +113,8 @@ def symbols_of(trees: Trees, data: np.ndarray, offsets: np.ndarray) -> Symbols:
     w = Words(data, offsets, lower=True)
     texts, vocabulary = len(offsets) - 1, len(trees.words)
     nbytes = w.end - w.start
-    ids = np.asarray(pc.index_in(_strings(w.data[~w.space], np.concatenate([[0], np.cumsum(nbytes)])), trees.words).fill_null(vocabulary)).astype(np.int64)
+    strings = _strings(w.data[~w.space], np.concatenate([[0], np.cumsum(nbytes)]))
+    ids = np.asarray(pc.index_in(strings, trees.words).fill_null(vocabulary)).astype(np.int64)
     # Tokens: the words of a text, and its end.
     n = len(ids) + texts
     at, end = np.arange(len(ids)) + w.doc, w.first[1:] + np.arange(texts)
@@ -122,13 +123,12 @@ def symbols_of(trees: Trees, data: np.ndarray, offsets: np.ndarray) -> Symbols:
     name[at] = w.sums().astype(np.uint32)
     first = w.first[:-1] + np.arange(texts)
     place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    one, two = (_before(name, k, place, int(_START)) for k in (1, 2))
+    one = _before(name, 1, place, int(_START))
     # The last token of a text so far that is very common: ids go by frequency.
     seen = np.where(token < COMMON, np.arange(1, n + 1), 0)
     seen = np.concatenate([[0], np.maximum.accumulate(seen)[:-1]])
     common = np.where(seen > np.repeat(first, np.diff(np.append(first, n))), token[np.maximum(seen - 1, 0)], COMMON).astype(np.uint32)
     contexts = [_hash32(common * _M1 + np.uint32(1)), _hash32(one * _M1 + np.uint32(2))]
-    contexts.append(_hash32(contexts[1] + two * _M2 + np.uint32(3)))
     # Spelled words: their bytes and a stop follow the escape.
     rare = np.flatnonzero(ids == vocabulary)
     long = nbytes[rare] + 1
@@ -152,11 +152,10 @@ def symbols_of(trees: Trees, data: np.ndarray, offsets: np.ndarray) -> Symbols:
         letter[inner] = w.data[(np.repeat(w.start[rare], long) + j)[inner]]
         code[spot], size[spot] = trees.byte_code[letter], trees.byte_size[letter]
         back = [_before((letter + 1).astype(np.uint32), k, j, 0) for k in (1, 2, 3, 4, 5)]
-        short = _hash32((back[0] * np.uint32(257) + back[1]) * _M1 + np.uint32(4))
-        context[0, spot] = short
-        context[1, spot] = _hash32(short + back[2] * _M2)
-        context[2, spot] = _hash32(context[1, spot] + (back[3] * np.uint32(257) + back[4]) * _M3)
-    return Symbols(code, size, tree, context, offset[first] if texts else first, ids, w)
+        three = _hash32(((back[0] * np.uint32(257) + back[1]) * np.uint32(257) + back[2]) * _M1 + np.uint32(3))
+        context[0, spot] = three
+        context[1, spot] = _hash32(three + (back[3] * np.uint32(257) + back[4]) * _M3)
+    return Symbols(code, size, tree, context, offset[first] if texts else first, ids, w, strings)
 
 
 def decisions(trees: Trees, s: Symbols, a: int, b: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -321,7 +320,19 @@ class Model:
         return np.add.reduceat(each, s.first) if len(s.first) else each
 
 
-SCORED = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("n_bytes", pa.int64()), ("bits", pa.float64())])
+SCORED = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("n_bytes", pa.int64()), ("bits", pa.float64()), ("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
+
+
+def _rare_words(s: Symbols, beyond: int, texts: int) -> tuple[pa.Array, pa.Array]:
+    """Of each text the different words beyond the vocabulary, and how often each occurs."""
+    at = np.flatnonzero(s.word_ids == beyond)
+    table = pa.table({"row": s.words.doc[at], "word": s.texts.take(pa.array(at)), "n": np.ones(len(at), np.int64)})
+    table = table.group_by(["row", "word"]).aggregate([("n", "sum")])
+    order = np.argsort(table.column("row").to_numpy(), kind="stable")
+    table = table.take(pa.array(order)).combine_chunks()
+    cut = pa.array(np.searchsorted(table.column("row").to_numpy(), np.arange(texts + 1)).astype(np.int32))
+    lists = (table.column("word").cast(pa.string()), table.column("n_sum"))
+    return tuple(pa.ListArray.from_arrays(cut, x.combine_chunks() if x.num_chunks != 1 else x.chunk(0)) for x in lists)
 
 
 def _scored(trees, model, ends: int):
@@ -337,27 +348,7 @@ def _scored(trees, model, ends: int):
                 known = added((s.word_ids < len(t.words)).astype(np.int64)) + (ends > 0)
                 base = added(worth[s.word_ids]) + np.log10(ends + 0.5)
                 size = added(s.words.end - s.words.start) + many  # a byte after each word: a space, or the end
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("sig").slice(a, b - a), pa.array(many + 1), pa.array(known), pa.array(base), pa.array(np.maximum(size, 1)), pa.array(m.bits(t, s))], schema=SCORED)
-
-    return run
-
-
-def _spelled(trees):
-    """(doc_id, sig, word, n) of words beyond the vocabulary."""
-
-    def run(batches):
-        t = trees.value
-        for batch in batches:
-            for a, _, data, offsets in chunks(batch.column("text"), RUN_BYTES):
-                w = Words(data, offsets, lower=True)
-                words = _strings(w.data[~w.space], np.concatenate([[0], np.cumsum(w.end - w.start)]))
-                rare = np.flatnonzero(np.asarray(pc.index_in(words, t.words).is_null()))
-                if len(rare):
-                    table = pa.table({"row": a + w.doc[rare], "word": words.take(pa.array(rare)), "n": np.ones(len(rare), np.int64)})
-                    table = table.group_by(["row", "word"]).aggregate([("n", "sum")])
-                    at = table.column("row").combine_chunks()
-                    out = pa.table([batch.column("doc_id").take(at), batch.column("sig").take(at), table.column("word").cast(pa.string()), table.column("n_sum")], names=["doc_id", "sig", "word", "n"])
-                    yield from out.to_batches()
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("sig").slice(a, b - a), pa.array(many + 1), pa.array(known), pa.array(base), pa.array(np.maximum(size, 1)), pa.array(m.bits(t, s)), *_rare_words(s, len(t.words), b - a)], schema=SCORED)
 
     return run
 
@@ -425,13 +416,14 @@ def score_texts(docs: DataFrame, learns: Column, vocabulary: int = VOCABULARY) -
     release(spark)
     model = spark.sparkContext.broadcast(Model.of(kept.df.toLocalIterator()))  # as many numbers as SLOTS says, whatever the corpus
     kept.drop()
-    scored = Kept(rows.select("doc_id", "sig", "text").mapInArrow(_scored(trees, model, int(all_of["ends"])), "doc_id long, sig long, n_tokens long, known long, base double, n_bytes long, bits double"), "lm-scored")
-    rare = rows.select("doc_id", "sig", "text").mapInArrow(_spelled(trees), "doc_id long, sig long, word string, n long").join(real.withColumnRenamed("n", "c"), "word", "left")
+    scored = Kept(rows.select("doc_id", "sig", "text").mapInArrow(_scored(trees, model, int(all_of["ends"])), "doc_id long, sig long, n_tokens long, known long, base double, n_bytes long, bits double, rare array<string>, times array<long>"), "lm-scored")
+    rare = scored.df.select("doc_id", "sig", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("doc_id", "sig", F.col("w.rare").alias("word"), F.col("w.times").alias("n"))
+    rare = rare.join(real.withColumnRenamed("n", "c"), "word", "left")
     rare = rare.select("doc_id", "sig", (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("more_known"), F.lit(0).alias("copies"))
     # Rows of one doc_id and text each add their words; so each gets its share.
     both = rare.unionByName(scored.df.select("doc_id", "sig", F.lit(0.0).alias("more"), F.lit(0).alias("more_known"), F.lit(1).alias("copies")))
     sums = both.groupBy("doc_id", "sig").agg(F.sum("more").alias("more"), F.sum("more_known").alias("more_known"), F.sum("copies").alias("copies"))
-    s = scored.df
+    s = scored.df.drop("rare", "times")
     joined = s.join(sums, s["doc_id"].eqNullSafe(sums["doc_id"]) & (s["sig"] == sums["sig"]))
     bottom = float(np.log10(all_of["tokens"] + 0.5 * (all_of["distinct"] + 1)))
     result = joined.select(
