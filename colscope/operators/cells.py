@@ -53,14 +53,32 @@ def top_values(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
     return ranked.join(total, "col_name").select("col_name", "rank", "value", (F.col("n_rows") / F.col("total")).alias("share"))
 
 
+def value_runs(df: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """(*keys, first, last): the runs of successive whole numbers of each key, a row each.
+
+    Numbers are joined within blocks of 2**16 first; runs that touch a block's border go on to blocks of 2**32, then 2**48, then to
+    their key. A block gets two runs at most from each of the 2**16 below, so no window holds more, however many numbers a key has.
+    """
+    one = df.select(*keys, F.col(number).cast("long").alias("first")).where("first is not null").distinct()
+    runs, done = one.withColumn("last", F.col("first")), None
+    for bits in (16, 32, 48, 64):
+        block = F.shiftright("first", bits) if bits < 64 else F.lit(0).cast("long")
+        order = Window.partitionBy(*keys, "block").orderBy("first")
+        split = F.coalesce(F.lag("last").over(order) + 1 < F.col("first"), F.lit(True))
+        marked = runs.withColumn("block", block).withColumn("new", split.cast("int"))
+        joined = marked.withColumn("run", F.sum("new").over(order)).groupBy(*keys, "block", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        edge = (F.shiftleft(F.shiftright("first", bits), bits) == F.col("first")) | (F.shiftright("last", bits) != F.shiftright(F.col("last") + F.when(F.col("last") < 2**63 - 1, 1).otherwise(0), bits)) if bits < 64 else F.lit(False)
+        closed = joined.where(~edge).select(*keys, "first", "last")
+        done = closed if done is None else done.unionByName(closed)
+        runs = joined.where(edge).select(*keys, "first", "last")
+    return done
+
+
 def compressed_ranges(df: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """Runs of successive whole numbers of each key as texts like 3-6, in order, joined by commas."""
-    one = df.select(*keys, F.col(number).cast("long").alias("x")).where("x is not null").distinct()
-    run = one.withColumn("g", F.col("x") - F.row_number().over(Window.partitionBy(*keys).orderBy("x")))
-    parts = run.groupBy(*keys, "g").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    text = F.when(F.col("a") == F.col("b"), F.col("a").cast("string")).otherwise(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string")))
-    ordered = F.array_sort(F.collect_list(F.struct("a", text.alias("t"))))
-    return parts.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), ",").alias("ranges"))
+    """The runs of each key as one text like 3-6,9 in order, for a report: the text is as long as the key has runs."""
+    text = F.when(F.col("first") == F.col("last"), F.col("first").cast("string")).otherwise(F.concat_ws("-", F.col("first").cast("string"), F.col("last").cast("string")))
+    ordered = F.array_sort(F.collect_list(F.struct("first", text.alias("t"))))
+    return value_runs(df, keys, number).groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), ",").alias("ranges"))
 
 
 def value_positions(df: DataFrame, row_key: list[str]) -> DataFrame:

@@ -55,27 +55,54 @@ def profile_columns(groups: DataFrame, config: ProfileConfig = DEFAULT) -> DataF
     return sums.select("ord", "col_name", "uses", "max_length", content.alias("full_content_type"), b64_hash(content, 10).alias("content_type"), kind.alias("data_type"))
 
 
-def _tokens(columns: DataFrame, kind: str, keys: list[str]) -> DataFrame:
-    """(pk, token, n) of the kinds of columns, keys apart."""
-    pk = F.col("col_name").isin(*keys) if keys else F.lit(False)
-    return columns.where(F.col(kind).isNotNull()).select(pk.alias("pk"), F.col(kind).alias("kind")).groupBy("pk", "kind").agg(F.count("*").alias("n")).select("pk", F.concat(F.when(F.col("pk"), "PK$").otherwise(""), "kind").alias("token"), "n")
+def _tokens(columns: DataFrame, kind: str, keys: Column, by: list[str]) -> DataFrame:
+    """(*by, pk, token, n) of the kinds of columns, keys apart."""
+    rows = columns.where(F.col(kind).isNotNull()).select(*by, keys.alias("pk"), F.col(kind).alias("kind"))
+    return rows.groupBy(*by, "pk", "kind").agg(F.count("*").alias("n")).select(*by, "pk", F.concat(F.when(F.col("pk"), "PK$").otherwise(""), "kind").alias("token"), "n")
 
 
-def _joined(tokens: DataFrame, lower: bool) -> DataFrame:
+def _joined(tokens: DataFrame, lower: bool, by: list[str]) -> DataFrame:
     text = F.when(F.col("n") > 1, F.concat("token", F.lit("::["), F.col("n").cast("string"), F.lit("]"))).otherwise(F.col("token"))
     order = F.struct((~F.col("pk")).alias("a"), (F.lower("token") if lower else F.col("token")).alias("b"), text.alias("t"))
-    return tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda s: s["t"]), "-").alias("tokens"))
+    return tokens.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda s: s["t"]), "-").alias("tokens"))
+
+
+def _is_key(keys: list[str] | None) -> Column:
+    return F.col("col_name").isin(*keys) if keys else F.lit(False)
 
 
 def type_structure(columns: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """(dt_struct_code): how many columns have a type, then the types, keys first, with how often each occurs."""
-    return _joined(_tokens(columns, "data_type", keys or []), True).select(F.concat(F.col("n").cast("string"), F.lit(">"), "tokens").alias("dt_struct_code"))
+    return _type_codes(_joined(_tokens(columns, "data_type", _is_key(keys), []), True, []), [])
 
 
 def content_structure(columns: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """(struct_code, b64url_code) over the content types of columns that have a real use."""
-    out = _joined(_tokens(columns.where(F.col("full_content_type") != "ND"), "full_content_type", keys or []), False)
-    return out.select(F.col("tokens").alias("struct_code"), b64_hash(F.col("tokens"), 10).alias("b64url_code"))
+    return _content_codes(_joined(_tokens(columns.where(F.col("full_content_type") != "ND"), "full_content_type", _is_key(keys), []), False, []), [])
+
+
+def type_structures(columns: DataFrame, keys: DataFrame) -> DataFrame:
+    """(table, dt_struct_code) of many tables; ``keys`` is (table, key_columns)."""
+    rows = columns.join(keys, "table", "left")
+    return _type_codes(_joined(_tokens(rows, "data_type", _in_keys(), ["table"]), True, ["table"]), ["table"])
+
+
+def content_structures(columns: DataFrame, keys: DataFrame) -> DataFrame:
+    """(table, struct_code, b64url_code) of many tables."""
+    rows = columns.where(F.col("full_content_type") != "ND").join(keys, "table", "left")
+    return _content_codes(_joined(_tokens(rows, "full_content_type", _in_keys(), ["table"]), False, ["table"]), ["table"])
+
+
+def _in_keys() -> Column:
+    return F.coalesce(F.array_contains("key_columns", F.col("col_name")), F.lit(False))
+
+
+def _type_codes(joined: DataFrame, by: list[str]) -> DataFrame:
+    return joined.select(*by, F.concat(F.col("n").cast("string"), F.lit(">"), "tokens").alias("dt_struct_code"))
+
+
+def _content_codes(joined: DataFrame, by: list[str]) -> DataFrame:
+    return joined.select(*by, F.col("tokens").alias("struct_code"), b64_hash(F.col("tokens"), 10).alias("b64url_code"))
 
 
 def abbreviated(code: Column, table: dict[str, str] = TYPE_ABBREVIATION) -> tuple[Column, Column]:

@@ -1,12 +1,12 @@
 """Correlations between values of a table: pairs of values that occur in exactly the same rows.
 
-Each value's rows are summed up as a count and two sums of row hashes, so that finding equal sets of rows is one equality join
-of distinct values, not a self-join of all cells.
+Each value's rows are summed up as a count and two sums of row hashes (``value_rows``), or held exactly as bitmaps by bucket
+(``row_sets``), so that finding equal sets of rows is one equality join of distinct values, not a self-join of all cells.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import text_table
@@ -37,6 +37,40 @@ def strict_pairs(values: DataFrame, left: list[str] | None = None, right: list[s
     return pairs.select("x_column", "x_value", "y_column", "y_value", F.col("x_n_rows").alias("n_rows"))
 
 
+#: Rows of a value in a bucket of 32768 from which they are held as a bitmap, not as a list of places.
+DENSE = 256
+
+
+def row_sets(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(ord, col_name, value, n_rows, rows): the texts that aren't empty and exactly the rows they occur in.
+
+    Rows are numbered. Of each bucket of 32768 rows a value has a bitmap, or where it is in few of them, their places; equal ones
+    of a bucket get the name of the least value that has them, and ``rows`` lists (bucket, name). So two values have
+    equal ``rows`` if and only if they occur in the same rows, however many, and nothing rests on a hash.
+    """
+    text = text_table(df.select(*[f"`{c}`" for c in columns])).withColumn("_row", F.monotonically_increasing_id())
+    parts = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(c).alias("col_name"), F.trim(F.col(f"`{c}`")).alias("value")) for i, c in enumerate(columns)])
+    places = text.select(F.bitmap_bucket_number("_row").alias("bucket"), F.bitmap_bit_position("_row").alias("place"), F.explode(parts).alias("c")).select("bucket", "place", "c.*").where("value <> ''")
+    # A bucket's rows come from one scan, in order; a list is as long as DENSE, a bitmap 4096 bytes.
+    own = ["ord", "col_name", "value", "bucket"]
+    counts = places.groupBy(*own).agg(F.count("*").alias("n"))
+    marked = places.join(counts, own)
+    few = marked.where(F.col("n") < DENSE).groupBy(*own, "n").agg(F.array_join(F.array_sort(F.collect_list("place")), ",").cast("binary").alias("bits"))
+    many = marked.where(F.col("n") >= DENSE).groupBy(*own, "n").agg(F.bitmap_construct_agg("place").alias("bits"))
+    bits = few.unionByName(many)
+    least = Window.partitionBy("bucket", "bits")  # values of one bucket with the same rows: one of each column at most
+    named = bits.select("ord", "col_name", "value", "bucket", "n", F.min(F.struct("ord", "value")).over(least).alias("name"))
+    return named.groupBy("ord", "col_name", "value").agg(F.sum("n").alias("n_rows"), F.array_sort(F.collect_list(F.struct("bucket", "name"))).alias("rows"))
+
+
+def exact_pairs(sets: DataFrame) -> DataFrame:
+    """(x_column, x_value, y_column, y_value, n_rows): values of two columns with the same rows, the column with the lesser name
+    as x, from ``row_sets``; cells are not joined."""
+    side = lambda p: sets.select(F.col("col_name").alias(f"{p}_column"), F.col("value").alias(f"{p}_value"), "n_rows", "rows")
+    pairs = side("x").join(side("y"), ["n_rows", "rows"]).where("x_column < y_column")
+    return pairs.select("x_column", "x_value", "y_column", "y_value", "n_rows")
+
+
 def contains_value(x: Column, y: Column) -> Column:
     """Whether ``y`` contains ``x``; an ``x`` of one character must stand alone."""
     alone = F.concat(F.lit("(^|[^A-Za-z0-9])"), F.regexp_replace(x, _RX, r"\\$1"), F.lit("($|[^A-Za-z0-9])"))
@@ -72,17 +106,6 @@ def column_chains(values: DataFrame) -> DataFrame:
     return correlation_chains(pairs)
 
 
-def verified_pairs(pairs: DataFrame, df: DataFrame, row_key: list[str]) -> DataFrame:
-    """The strict pairs whose values share as many rows as each of them has, counted on the rows themselves."""
-    cells_ = text_table(df)
-    key = F.struct(*[F.col(f"`{c}`") for c in row_key])
-    parts = F.array(*[F.struct(F.lit(c).alias("c"), F.trim(F.col(f"`{c}`")).alias("v")) for c in df.columns])
-    cells_ = cells_.select(key.alias("row"), F.explode(parts).alias("e")).select("row", "e.c", "e.v")
-    x = pairs.join(cells_, (F.col("x_column") == F.col("c")) & (F.col("x_value") == F.col("v"))).drop("c", "v")
-    both = x.join(cells_.withColumnRenamed("row", "other"), (F.col("y_column") == F.col("c")) & (F.col("y_value") == F.col("v")) & (F.col("row") == F.col("other")))
-    return both.groupBy(*pairs.columns).agg(F.count("*").alias("shared")).where("shared = n_rows").select(*pairs.columns)
-
-
 def nested_pairs(pairs: DataFrame) -> DataFrame:
     """(x_column, x_value, others): the pairs of each x as a sorted list of (y_column, y_value, n_rows)."""
     return pairs.groupBy("x_column", "x_value").agg(F.array_sort(F.collect_list(F.struct("y_column", "y_value", "n_rows"))).alias("others"))

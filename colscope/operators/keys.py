@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, USE_RANK, ProfileConfig
@@ -167,3 +167,79 @@ def find_key(df: DataFrame, groups: DataFrame, config: ProfileConfig = DEFAULT)
         return [], False
     finally:
         r.drop()
+
+
+def find_keys(cells_: DataFrame, uses: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
+    """(table, key_columns): ``find_key`` for many tables in the same jobs. ``cells_`` (table, row, ord, col_name, value) are those that
+    aren't empty, ``uses`` is (table, ord, col_name, main_use). Tables without a key aren't there.
+
+    One step tests, in every table that has no key yet, all combinations of one width that are new at its level of filled cells;
+    so there are as many steps as the table with the most levels asks for, however many tables.
+    """
+    spark = cells_.sparkSession
+    wanted = uses.where(~F.col("main_use").isin(*config.blocked_key_uses))
+    category = F.when(F.col("main_use").endswith("Code"), 0)
+    for use, c in _CATEGORY.items():
+        category = category.when(F.col("main_use") == use, c)
+    wanted = wanted.select("table", "ord", "col_name", category.otherwise(4).alias("category"))
+    own = cells_.join(wanted.select("table", "ord"), ["table", "ord"])
+    # Equal rows are one; a row has as many cells as its table columns at most.
+    whole = own.groupBy("table", "row").agg(F.array_sort(F.collect_list(F.struct("ord", "value"))).alias("own")).select("table", "own").distinct()
+    rows = Stored(whole.withColumn("row", F.monotonically_increasing_id()), "keys-rows")
+    filled = rows.df.select("table", F.explode("own").alias("c")).groupBy("table", F.col("c.ord").alias("ord")).agg(F.count("*").alias("filled"), F.count_if(F.col("c.value") != "0").alias("telling"))
+    by_level = Window.partitionBy("table").orderBy(F.desc("filled"))
+    facts = wanted.join(filled, ["table", "ord"])
+    facts = facts.withColumns({"last": (F.row_number().over(Window.partitionBy("table").orderBy(F.desc("filled"), "category", "ord")) - 1).cast("int"), "level": F.dense_rank().over(by_level), "place": F.row_number().over(Window.partitionBy("table").orderBy("category", "ord"))})
+    facts = Stored(facts, "keys-columns")
+    columns = facts.df.groupBy("table").agg(F.collect_list(F.struct("last", "ord", "level")).alias("columns"))
+    value = lambda c: F.coalesce(F.get(F.filter("own", lambda x: x["ord"] == c["ord"]), F.lit(0))["value"], F.lit(""))
+    every = rows.df.join(columns, "table").select("table", "row", F.explode(F.transform("columns", lambda c: F.struct(c["last"].alias("last"), c["level"].alias("level"), value(c).alias("value")))).alias("c")).select("table", "row", "c.*")
+    sums = every.groupBy("table", "last", "value").agg(F.count("*").alias("n"), F.min("row").alias("class")).where("n > 1").drop("n")
+    single = Stored(every.join(sums, ["table", "last", "value"]).select("table", "last", "level", "row", "class", F.col("value").isin("", "0").alias("blank")), "keys-classes")
+    #: Columns of each table up to each level, which say how many combinations there are.
+    sizes = {}
+    for r in facts.df.groupBy("table", "level").agg(F.count("*").alias("n")).collect():  # as many as headers have levels
+        sizes.setdefault(r["table"], {})[r["level"]] = r["n"]
+    found: dict[str, list[str]] = {}
+    parts: dict[int, list[Stored]] = {}
+    names: dict[str, list] = {}
+    for level in range(1, max((max(x) for x in sizes.values()), default=0) + 1):
+        for width in range(1, config.key_width + 1):
+            open_ = [t for t, x in sizes.items() if t not in found and level in x and sum(n for k, n in x.items() if k <= level) >= width]
+            if not open_:
+                continue
+            left = spark.createDataFrame([(t,) for t in open_], "table string")
+            new = single.df.where(F.col("level") == level).join(left, "table", "left_semi")
+            if width == 1:
+                part = new.select("table", F.array("last").alias("set"), "last", "row", "class", "blank")
+            else:
+                before = parts[width - 1][0].df
+                for p in parts[width - 1][1:]:
+                    before = before.unionByName(p.df)
+                one = new.select("table", F.col("last").alias("next"), "row", F.col("class").alias("own"), F.col("blank").alias("own_blank"))
+                both = before.join(one, ["table", "row"]).where("next > last").select("table", "set", "next", "row", "class", "own", (F.col("blank") & F.col("own_blank")).alias("blank"))
+                again = both.groupBy("table", "set", "next", "class", "own").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1").drop("n")
+                part = both.join(again, ["table", "set", "next", "class", "own"]).select("table", F.concat("set", F.array("next")).alias("set"), F.col("next").alias("last"), "row", F.col("least").alias("class"), "blank")
+            kept = Stored(part, f"keys-width-{width}")
+            parts.setdefault(width, []).append(kept)
+            together = kept.df.where("not blank").select("table", "set").distinct()
+            seen = {r["table"]: r["n"] for r in together.groupBy("table").agg(F.count("*").alias("n")).collect()}
+            many = {t: math.comb(sum(n for k, n in sizes[t].items() if k <= level), width) - math.comb(sum(n for k, n in sizes[t].items() if k < level), width) for t in open_}
+            short = [t for t in open_ if seen.get(t, 0) < many[t]]
+            if not short:
+                continue
+            some = spark.createDataFrame([(t,) for t in short], "table string")
+            bad: dict[str, set] = {}
+            for r in together.join(some, "table", "left_semi").collect():
+                bad.setdefault(r["table"], set()).add(tuple(r["set"]))
+            for r in facts.df.join(some, "table", "left_semi").where(F.col("table").isin(*[t for t in short if t not in names])).orderBy("table", "place").collect():
+                names.setdefault(r["table"], []).append(r)
+            for t in short:
+                pool = [c for c in names[t] if c["level"] <= level]
+                for c in itertools.combinations(pool, width):
+                    if any(x["level"] == level for x in c) and any(x["telling"] for x in c) and tuple(sorted(x["last"] for x in c)) not in bad.get(t, set()):
+                        found[t] = [x["col_name"] for x in c]
+                        break
+    for p in (rows, facts, single, *[x for ps in parts.values() for x in ps]):
+        p.drop()
+    return spark.createDataFrame(list(found.items()), "table string, key_columns array<string>")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
-from base64 import b64encode
+from base64 import urlsafe_b64encode
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,17 +42,18 @@ def lettered_headers(headers: list[str]) -> list[str]:
     return [f"{str(h or '').strip() or f'col_{i + 1}'}::{column_letters(i)}" for i, h in enumerate(headers)]
 
 
-def normalized_headers(headers: DataFrame) -> DataFrame:
-    """(ord, header, normalized) from (ord, header): as identifiers, with ``#n`` where several are alike, in order of the columns'
+def normalized_headers(headers: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(*by, ord, header, normalized) from (*by, ord, header), where ``by`` names a table: as identifiers, with ``#n`` where several are alike, in order of the columns'
     letters (``::AB``), those without letters last in order of appearance."""
     base = header_name_column(F.regexp_replace("header", "::[A-Za-z]+$", ""))
     base = F.when(base == "", F.concat(F.lit("col_"), (F.col("ord") + 1).cast("string"))).otherwise(base)
     rows = headers.withColumn("base", base)
-    same = Window.partitionBy("base")
+    by = by or []
+    same = Window.partitionBy(*by, "base")
     letters = F.regexp_extract("header", "::([A-Za-z]+)$", 1)
     at = F.aggregate(F.split(letters, ""), F.lit(0).cast("long"), lambda n, ch: F.when(ch == "", n).otherwise(n * 26 + F.ascii(ch) - 64))
     n = F.row_number().over(same.orderBy(letters == "", at, "ord"))
-    return rows.select("ord", "header", F.when(F.count("*").over(same) > 1, F.concat_ws("#", "base", n.cast("string"))).otherwise(F.col("base")).alias("normalized"))
+    return rows.select(*by, "ord", "header", F.when(F.count("*").over(same) > 1, F.concat_ws("#", "base", n.cast("string"))).otherwise(F.col("base")).alias("normalized"))
 
 
 def numbered_headers(headers: list[str]) -> dict[str, str]:
@@ -86,34 +88,51 @@ def short_key(name: str, letters_only: bool = True) -> str:
     return out[:6].ljust(6, "x")
 
 
-def short_key_column(name: Column) -> Column:
-    """``short_key`` for a column of names."""
+def short_key_column(name: Column, digits: bool = False) -> Column:
+    """``short_key`` for a column of names, of letters or of letters and digits."""
     words = F.filter(F.split(header_name_column(name), "_+"), lambda w: w != "")
-    letters = F.transform(words, lambda w: F.regexp_replace(w, "[^a-z]", ""))
+    letters = words if digits else F.transform(words, lambda w: F.regexp_replace(w, "[^a-z]", ""))
     k = F.size(words)
     share = F.transform(letters, lambda w, i: F.substring(w, F.lit(1), F.floor(F.lit(6) / F.greatest(k, F.lit(1))).cast("int") + F.when(i < F.lit(6) % F.greatest(k, F.lit(1)), 1).otherwise(0)))
     return F.rpad(F.substring(F.concat(F.array_join(share, ""), F.array_join(letters, "")), 1, 6), 6, "x")
 
 
 def short_keys(names: list[str], registry: dict[str, str] | None = None) -> dict[str, str]:
-    """A different key for each name. Keys in ``registry`` are taken again; a clash tries letters with digits, then stretches
-    of a hash, then other last characters."""
-    registry = registry or {}
-    out: dict[str, str] = {}
-    used: set[str] = set()
+    """A different key for each name of one document, by the rules of ``registry.unique_short_keys``. ``registry`` (alias: key) says
+    which keys are given away, and which aliases have one."""
+    normal = numbered_headers(names)
+    held = dict(registry or {})
+    used, out = set(held.values()), {}
+    parts = {n: (normal[n].split("#")[0], int((normal[n].split("#") + ["1"])[1])) for n in names}
     for name in names:
-        if name in registry and registry[name] not in used:
-            out[name] = registry[name]
-            used.add(registry[name])
+        alias = parts[name][0]
+        if alias not in held:
+            held[alias] = next(k for k in _options(alias, name) if k not in used)
+            used.add(held[alias])
     for name in names:
-        if name in out:
-            continue
-        digest = re.sub("[^a-z0-9]", "", b64encode(hashlib.sha256(name.encode()).digest()).decode().lower())
-        first = short_key(name)
-        tries = [first, short_key(name, False), *[digest[i : i + 6] for i in range(max(1, len(digest) - 5))], *[first[:5] + ch for ch in "0123456789" + _LETTERS], *[f"{first[:3]}{i:03d}" for i in range(1000)]]
-        out[name] = next(k for k in tries if len(k) == 6 and k not in used)
-        used.add(out[name])
-    return {n: out[n] for n in names}
+        (alias, nth), main = parts[name], held[parts[name][0]]
+        if nth > 1:
+            d = str(nth)
+            main = next(k for k in [main[: 6 - len(d)] + d, *[main[: 5 - len(d)] + ch + d for ch in _LETTERS]] if k not in used)
+            used.add(main)
+        out[name] = main
+    return out
+
+
+def _options(alias: str, header: str):
+    """What an alias tries, best first: see ``registry.key_options``."""
+    hashed = lambda text, n: re.sub("[^a-z0-9]", "", urlsafe_b64encode(hashlib.sha256(text.encode()).digest()).decode()[:n].lower())
+    yield short_key(alias)
+    last = short_key(alias, False)
+    yield last
+    h = hashed(header, 8)
+    for i in range(len(h) - 5):
+        last = h[i : i + 6]
+        yield last
+    for ch in _LETTERS:
+        yield last[:5] + ch
+    for k in itertools.count(len(_LETTERS) + 2 + max(0, len(h) - 5)):
+        yield hashed(f"{header}#{k}", 20)[:6].ljust(6, "x")
 
 
 def type_token(kind: str | None, table: dict[str, str] = META_TYPE_ABBREVIATION) -> str:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import itertools
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import FILE_PATTERNS
 from ..functions import dates, numbers
-from ..operators import cells, columns, correlate, discovery, groups, keys, naming
+from ..operators import cells, columns, correlate, discovery, groups, keys, naming, registry
 from ..sources.xlsx import unify_decimal
 from ..streaming import events as file_events
 from . import oracle
@@ -186,7 +188,28 @@ def key_collisions_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.key_collisions(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-CORRELATED = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+_SETS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _unique_sets_sql(width: int) -> str:
+    """Every set of up to ``width`` of the columns by brute force, and those without a smaller one inside."""
+    cells_ = ", ".join(f"trim({oracle.cell('lineitem', c)}) AS {c}" for c in _SETS)
+    each = []
+    for k in range(1, width + 1):
+        for c in itertools.combinations(range(len(_SETS)), k):
+            names = [_SETS[i] for i in c]
+            some = " OR ".join(f"{n} NOT IN ('', '0')" for n in names)
+            each.append(f"SELECT {sum(1 << i for i in c)} AS m, CAST({k} AS INTEGER) AS n_columns, '{','.join(names)}' AS columns, count(*) FILTER ({some}) AS n, count(DISTINCT ({', '.join(names)}{', 0' if k == 1 else ''})) FILTER ({some}) AS d FROM t")
+    return f"WITH t AS MATERIALIZED (SELECT DISTINCT {cells_} FROM lineitem), u AS MATERIALIZED (SELECT * FROM ({' UNION ALL '.join(each)}) WHERE n = d AND n > 0) SELECT n_columns, columns FROM u WHERE NOT EXISTS (SELECT 1 FROM u s WHERE s.m <> u.m AND s.m & u.m = s.m)"
+
+
+@query(_unique_sets_sql(5))
+def unique_sets_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest sets of up to five columns that tell all rows apart, over all eleven columns."""
+    return keys.unique_sets(table(spark, sf_dir, "lineitem"), list(_SETS), width=5)
+
+
+CORRELATED = tuple(oracle.TABLES["customer"])
 _CODED = """t AS (SELECT c_custkey AS id, unnest(['grp', 'grp_name', 'label', 'number', 'token']) AS c, unnest(['G' || c_nationkey, 'group G' || c_nationkey || ' here', 'item K' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') || ' in stock', lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 'K' || lpad(CAST(c_custkey AS VARCHAR), 6, '0')]) AS v FROM customer),
 s AS (SELECT c, v, count(*) AS n, list_sort(list(id)) AS ids FROM t GROUP BY c, v),
 p AS (SELECT a.c AS x_column, a.v AS x_value, b.c AS y_column, b.v AS y_value, a.n AS n FROM s a JOIN s b ON a.ids = b.ids AND a.c <> b.c WHERE a.c IN ('grp', 'number', 'token'))"""
@@ -204,9 +227,8 @@ def correlation_kinds_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle.correlated("customer", CORRELATED, "SELECT x_column, x_value, array_to_string(list(y_column || '=' || y_value || '/' || n_rows ORDER BY y_column, y_value), '|') AS others FROM p GROUP BY ALL"))
 def verified_correlations_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "customer").select(*CORRELATED)
-    pairs = correlate.strict_pairs(correlate.value_rows(df, list(CORRELATED), ["c_custkey"]))
-    nested = correlate.nested_pairs(correlate.verified_pairs(pairs, df, ["c_custkey"]))
+    """Exact sets of rows, by bitmaps, over all columns."""
+    nested = correlate.nested_pairs(correlate.exact_pairs(correlate.row_sets(table(spark, sf_dir, "customer"), list(CORRELATED))))
     return nested.select("x_column", "x_value", F.array_join(F.transform("others", lambda o: F.concat(o["y_column"], F.lit("="), o["y_value"], F.lit("/"), o["n_rows"].cast("string"))), "|").alias("others"))
 
 
@@ -275,6 +297,31 @@ def short_keys_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select("name", naming.short_key_column(F.col("name")).alias("short_key"))
 
 
+_REGISTERED = r"""h AS (SELECT 'P' AS code, 'types' AS tab, p_type AS header FROM part GROUP BY 1, 2, 3 UNION ALL SELECT 'P', 'under', replace(lower(p_type), ' ', '_') || '_' || p_size % 3 FROM part GROUP BY 1, 2, 3 UNION ALL SELECT 'B', 'types', p_type || ' ' || p_brand FROM part GROUP BY 1, 2, 3),
+o AS (SELECT *, lower(replace(header, ' ', '_')) AS alias, row_number() OVER (PARTITION BY code, tab ORDER BY header) AS ord FROM h),
+f AS (SELECT code, alias, min({'t': tab, 'o': ord, 'h': header}) AS p FROM o GROUP BY ALL),
+w AS (SELECT code, alias, p, regexp_replace(lower(substr(replace(replace(base64(unhex(sha256(p.h))), '+', '-'), '/', '_'), 1, 8)), '[^a-z0-9]', '', 'g') AS hash, list_filter(string_split(regexp_replace(alias, '[^a-z0-9_]', '', 'g'), '_'), lambda x: x <> '') AS ws FROM f),
+l AS (SELECT *, list_transform(ws, lambda x: regexp_replace(x, '[^a-z]', '', 'g')) AS ls, len(ws) AS k FROM w),
+s AS (SELECT code, alias, p, hash, rpad(substr(array_to_string(list_transform(range(1, k + 1), lambda i: substr(ls[i], 1, 6 // k + CASE WHEN i <= 6 % k THEN 1 ELSE 0 END)), '') || array_to_string(ls, ''), 1, 6), 6, 'x') AS one,
+  rpad(substr(array_to_string(list_transform(range(1, k + 1), lambda i: substr(ws[i], 1, 6 // k + CASE WHEN i <= 6 % k THEN 1 ELSE 0 END)), '') || array_to_string(ws, ''), 1, 6), 6, 'x') AS two FROM l),
+c AS (SELECT code, alias, list_concat([one, two], list_transform(range(1, length(hash) - 4), lambda i: substr(hash, i, 6))) AS first, row_number() OVER (PARTITION BY code ORDER BY p) AS i FROM s),
+q AS (SELECT code, alias, i, list_concat(first, list_transform(string_split('abcdefghijklmnopqrstuvwxyz', ''), lambda ch: substr(first[-1], 1, 5) || ch)) AS options FROM c),
+r AS (SELECT code, CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS alias, CAST(NULL AS VARCHAR) AS key, CAST([] AS VARCHAR[]) AS used FROM (SELECT DISTINCT code FROM q)
+  UNION ALL SELECT code, i, alias, key, list_append(used, key) FROM (SELECT q.code, q.i, q.alias, r.used, list_filter(q.options, lambda x: NOT list_contains(r.used, x))[1] AS key FROM r JOIN q ON q.code = r.code AND q.i = r.i + 1))"""
+
+
+@query(f"WITH RECURSIVE {_REGISTERED} SELECT code, alias, key FROM r WHERE alias IS NOT NULL")
+def registry_keys_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry of two codes after three tables whose columns are all types of parts, some with brands and sizes."""
+    p = table(spark, sf_dir, "part")
+    kind = F.col("p_type")
+    made = [("P", "types", kind), ("P", "under", F.concat_ws("_", F.lower(F.translate(kind, " ", "_")), (F.col("p_size") % 3).cast("string"))), ("B", "types", F.concat_ws(" ", kind, "p_brand"))]
+    parts = [p.select(F.lit(code).alias("code"), F.lit(name).alias("table"), header.alias("header")).distinct() for code, name, header in made]
+    headers = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    headers = headers.withColumn("ord", F.row_number().over(Window.partitionBy("code", "table").orderBy("header")))
+    return registry.unique_short_keys(headers)[1]
+
+
 _ATTEMPTS = """a AS (SELECT 'f' || (user_id % 50) AS path, event_id AS at_, value > 40 AS ok, CAST(event_id % 700 AS DOUBLE) AS seconds, CASE WHEN user_id % 2 = 0 THEN 30.0 ELSE 1.0 END AS size_mb FROM events),
 b AS (SELECT *, coalesce(ok AND seconds <= CASE WHEN size_mb >= 20 THEN 600 ELSE 120 END, false) AS fine FROM a),
 l AS (SELECT path, max(at_) FILTER (WHERE fine) AS last FROM b GROUP BY 1)"""
@@ -287,6 +334,15 @@ def retry_ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.retry_ledger(attempts)
 
 
+_RUNS = "t AS (SELECT DISTINCT o_orderstatus AS status, o_custkey AS x FROM orders), g AS (SELECT status, x, x - row_number() OVER (PARTITION BY status ORDER BY x) AS g FROM t)"
+
+
+@query(f"WITH {_RUNS} SELECT status, CAST(min(x) AS BIGINT) AS first, CAST(max(x) AS BIGINT) AS last FROM g GROUP BY status, g")
+def value_runs_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of customers' numbers of each status of orders, a row each."""
+    return cells.value_runs(table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "status"), ["status"], "o_custkey")
+
+
 # ---------------------------------------------------------------- windows of events
 
 _CHANGES = "e AS (SELECT user_id % 20 AS listener, ts, 'in/' || (event_id % 7) || '.xlsx' AS path FROM events WHERE ts IS NOT NULL)"

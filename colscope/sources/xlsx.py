@@ -230,6 +230,11 @@ class XlsxSource(DataSource):
 def read_workbooks(spark: SparkSession, path: str, sheet: str | None = None, hidden: bool = False, drop_blank: bool = True) -> DataFrame:
     """(path, row, cells) of all spreadsheets below a path in any store that Spark reads: cells maps the headers of the row's own
     file to its texts. A file is read by one task, its bytes in memory; files without cells give no rows."""
+    return workbook_rows(spark, path, sheet, hidden, drop_blank).where("row > 0")
+
+
+def workbook_rows(spark: SparkSession, path: str, sheet: str | None = None, hidden: bool = False, drop_blank: bool = True) -> DataFrame:
+    """``read_workbooks``, and for each file a row 0 whose cells map its headers to their positions."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", "true").load(path)
 
     def run(batches):
@@ -241,7 +246,8 @@ def read_workbooks(spark: SparkSession, path: str, sheet: str | None = None, hid
                 part = book.pick(sheet, hidden)
                 if part is None:
                     continue
-                names, rows = book.headers(part, False), []
+                names = book.headers(part, False)
+                rows = [(name, 0, [(h, str(i)) for i, h in enumerate(names)])]
                 for n, found in book.data(part, drop_blank):
                     rows.append((name, n, [(names[i], text) for i, text in found.items()]))
                     if len(rows) == 1000:
