@@ -43,7 +43,7 @@ PAGE = 1 << 12
 DEPTHS, STEPS, REACH = 16, 512, 8.0
 GATES = 2 * DEPTHS
 #: Longest code, symbols handled at once, bytes of text between two refreshes of a task's log-odds: at first, later.
-LONGEST, BLOCK, FIRST_BYTES, RUN_BYTES = 24, 1 << 16, 50_000, 2_500_000
+LONGEST, BLOCK, FIRST_BYTES, RUN_BYTES = 24, 1 << 16, 50_000, 1_000_000
 #: Counts that a place starts with, and tallies that a step of the refinement starts with.
 PRIOR, TRUST = 0.4, 32.0
 
