@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DATETIME_USES, DEFAULT, NUMERIC_USES, TYPE_ABBREVIATION, USE_ABBREVIATION, ProfileConfig
-from ..functions.text import b64_hash
+from ..functions.dates import chosen_format, chosen_order, loose_pattern, order_counts, pattern_column, with_date_marks
+from ..functions.text import b64_hash, serial_kind
 
 REAL = ("Empty", "ZerosOnly")
 
@@ -123,6 +124,33 @@ def abbreviated(code: Column, table: dict[str, str] = TYPE_ABBREVIATION) -> tupl
     return F.array_join(out, "-"), F.array_join(out, "")
 
 
+def format_annotations(vc: DataFrame, columns: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
+    """(col_name, data_type, pattern, source, annotated): how the texts of date and time columns are to be read.
+
+    The pattern is that of the known format which all distinct texts have, by the order that they imply; it is given only if every
+    text comes out of it as it went in (``try_to_timestamp``, then formatted again), or, where days, months or hours have one
+    digit, if every text is read by the looser pattern. source is excel-serial or excel-day-fraction where most texts are such
+    numbers. annotated is the type, ``::fmt[pattern]`` and ``::src[source]`` as far as there is one.
+    """
+    dated = columns.where(F.col("data_type").isin("DATE", "TIME", "DATETIME")).select("col_name", "data_type")
+    texts = vc.where("value <> ''")
+    marked = with_date_marks(texts.join(dated, "col_name", "left_semi"), config=config)
+    formed = marked.groupBy("col_name").agg(F.bit_and("mask").alias("mask"), *order_counts()).withColumn("order", chosen_order(F.lit(config.prefer_order)))
+    formed = formed.select("col_name", pattern_column(chosen_format(F.col("mask"), F.col("order"))["key"]).alias("exact")).where("exact is not null")
+    formed = formed.withColumn("loose", loose_pattern(F.col("exact")))
+    tried = texts.join(formed, "col_name").withColumns({"same": F.expr("coalesce(date_format(try_to_timestamp(value, exact), exact) = value, false)"), "fits": F.expr("try_to_timestamp(value, loose) IS NOT NULL")})
+    proof = tried.groupBy("col_name").agg(F.bool_and("same").alias("same"), F.bool_and("fits").alias("fits"), F.first("exact").alias("exact"), F.first("loose").alias("loose"))
+    proof = proof.select("col_name", F.when(F.col("same"), F.col("exact")).when(F.col("fits"), F.col("loose")).alias("pattern"))
+    kind = serial_kind(F.col("value"))
+    share = lambda k: F.avg(F.coalesce(kind == k, F.lit(False)).cast("double")) >= config.serial_hint_share
+    serial = texts.groupBy("col_name").agg(F.when(share("Date"), "excel-serial").when(share("Time"), "excel-day-fraction").alias("source"))
+    serial = serial.where("source is not null")
+    typed = columns.select("col_name", "data_type").join(serial, "col_name", "left").where(F.col("data_type").isin("DATE", "TIME", "DATETIME") | F.col("source").isNotNull())
+    out = typed.join(proof, "col_name", "left")
+    part = lambda name, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"::{name}["), F.col(c), F.lit("]"))).otherwise("")
+    return out.select("col_name", "data_type", "pattern", "source", F.concat("data_type", part("fmt", "pattern"), part("src", "source")).alias("annotated"))
+
+
 def columns_by_type(columns: DataFrame) -> DataFrame:
     """(data_type, columns): sorted names; Unknown without a type."""
     return columns.groupBy(F.coalesce("data_type", F.lit("Unknown")).alias("data_type")).agg(F.array_join(F.sort_array(F.collect_list("col_name")), ",").alias("columns"))

@@ -106,6 +106,17 @@ def column_chains(values: DataFrame) -> DataFrame:
     return correlation_chains(pairs)
 
 
+def use_chains(values: DataFrame, uses: DataFrame) -> DataFrame:
+    """``correlation_chains`` of ``correlations``, from sets of columns that have values with the same rows, not from pairs of values:
+    code columns go with standard and free ones, and with code columns of a greater name. ``uses`` is as small as the header."""
+    sets = values.groupBy("n_rows", "a", "b").agg(F.array_sort(F.collect_set("col_name")).alias("c")).where(F.size("c") > 1).select("c").distinct()
+    pairs = sets.select(F.explode("c").alias("x_column"), "c").select("x_column", F.explode("c").alias("y_column")).where("x_column <> y_column").distinct()
+    has = lambda name: F.exists("uses", lambda u: u.endswith("Code") if name == "code" else u == name)
+    side = lambda p: uses.select(F.col("col_name").alias(f"{p}_column"), has("code").alias(f"{p}_code"), (has("StandardText") | has("FreeText")).alias(f"{p}_text"))
+    both = pairs.join(side("x"), "x_column").join(side("y"), "y_column").where("x_code")
+    return correlation_chains(both.where(F.when(F.col("y_code"), F.col("x_column") < F.col("y_column")).otherwise(F.col("y_text"))))
+
+
 def nested_pairs(pairs: DataFrame) -> DataFrame:
     """(x_column, x_value, others): the pairs of each x as a sorted list of (y_column, y_value, n_rows)."""
     return pairs.groupBy("x_column", "x_value").agg(F.array_sort(F.collect_list(F.struct("y_column", "y_value", "n_rows"))).alias("others"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import header_name
 from .naming import numbered_headers, short_keys, signature
+from .slim import read_documents, slim_documents, write_documents
 
 
 def short_hash(text: str, length: int = 8) -> str:
@@ -80,11 +81,13 @@ def write_slim(spark: SparkSession, profile: dict[str, Any], base: str, folder:
     return path
 
 
-def slim_missing(spark: SparkSession, folder: str, bases: list[str]) -> list[str]:
-    """Write the slim documents of profiles ``<folder>/<base>.knfo`` that have none; where they are. ``bases`` comes from
-    ``discovery.half_done``, so it is as long as what is left to do."""
-    found = ((b, read_document(spark, f"{folder}/{b}.knfo")) for b in bases)
-    return [write_slim(spark, doc, b, folder) for b, doc in found if doc]
+def slim_missing(spark: SparkSession, folder: str, bases: DataFrame) -> list[str]:
+    """Write the slim documents of the profiles below ``folder`` that ``bases`` (base) names, such as ``discovery.half_done`` finds; where
+    they are. Profiles may differ in shape; all are read, taken apart and written by Spark together."""
+    profiles = read_documents(spark, folder, "knfo")
+    left = profiles.join(bases.select(F.col("base").alias("low")).distinct(), F.lower("table") == F.col("low"), "left_semi")
+    slim, _ = slim_documents(left)
+    return write_documents(slim, folder, "meta")
 
 
 def load_registry(spark: SparkSession, path: str, code: str) -> dict[str, str]:

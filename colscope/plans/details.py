@@ -298,7 +298,7 @@ def short_keys_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REGISTERED = r"""h AS (SELECT 'P' AS code, 'types' AS tab, p_type AS header FROM part GROUP BY 1, 2, 3 UNION ALL SELECT 'P', 'under', replace(lower(p_type), ' ', '_') || '_' || p_size % 3 FROM part GROUP BY 1, 2, 3 UNION ALL SELECT 'B', 'types', p_type || ' ' || p_brand FROM part GROUP BY 1, 2, 3),
-o AS (SELECT *, lower(replace(header, ' ', '_')) AS alias, row_number() OVER (PARTITION BY code, tab ORDER BY header) AS ord FROM h),
+o AS (SELECT *, regexp_replace(lower(replace(header, ' ', '_')), '[^a-z0-9_]', '', 'g') AS alias, row_number() OVER (PARTITION BY code, tab ORDER BY header) AS ord FROM h),
 f AS (SELECT code, alias, min({'t': tab, 'o': ord, 'h': header}) AS p FROM o GROUP BY ALL),
 w AS (SELECT code, alias, p, regexp_replace(lower(substr(replace(replace(base64(unhex(sha256(p.h))), '+', '-'), '/', '_'), 1, 8)), '[^a-z0-9]', '', 'g') AS hash, list_filter(string_split(regexp_replace(alias, '[^a-z0-9_]', '', 'g'), '_'), lambda x: x <> '') AS ws FROM f),
 l AS (SELECT *, list_transform(ws, lambda x: regexp_replace(x, '[^a-z]', '', 'g')) AS ls, len(ws) AS k FROM w),
@@ -322,6 +322,18 @@ def registry_keys_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.unique_short_keys(headers)[1]
 
 
+_BATCH = ("customer", "orders", "part")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, col_name, data_type, full_content_type, (SELECT CAST(count(*) AS BIGINT) FROM {t}) AS total_rows, CAST({len(oracle.TABLES[t])} AS BIGINT) AS total_columns FROM ({oracle.columns(t, 'SELECT col_name, data_type, full_content_type FROM d')})" for t in _BATCH))
+def batch_profile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables profiled in one pass: types of all columns, beside what is said of their tables."""
+    from . import batch
+
+    p = batch.profile_tables(batch.Tables.of({t: table(spark, sf_dir, t) for t in _BATCH}))
+    return batch.apart(p.columns).join(p.meta, "table").select(F.col("table").alias("table_name"), "col_name", "data_type", "full_content_type", "total_rows", "total_columns")
+
+
 _ATTEMPTS = """a AS (SELECT 'f' || (user_id % 50) AS path, event_id AS at_, value > 40 AS ok, CAST(event_id % 700 AS DOUBLE) AS seconds, CASE WHEN user_id % 2 = 0 THEN 30.0 ELSE 1.0 END AS size_mb FROM events),
 b AS (SELECT *, coalesce(ok AND seconds <= CASE WHEN size_mb >= 20 THEN 600 ELSE 120 END, false) AS fine FROM a),
 l AS (SELECT path, max(at_) FILTER (WHERE fine) AS last FROM b GROUP BY 1)"""
@@ -362,3 +374,42 @@ def opened_windows_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sliding_windows_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("ts", F.concat(F.lit("in/"), (F.col("event_id") % 7).cast("string"), F.lit(".xlsx")).alias("path"))
     return file_events.batched(rows, seconds=600, slide=300).select(shown("batch_start"), "path", "n_events")
+
+
+@query(f"""
+WITH {_CHANGES}, f AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 300 SECONDS THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY listener, path ORDER BY ts)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY listener, path ORDER BY ts, new DESC ROWS UNBOUNDED PRECEDING) AS g FROM f)
+SELECT CAST(listener AS BIGINT) AS listener, path, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, strftime(max(ts) + INTERVAL 300 SECONDS, '%Y-%m-%d %H:%M:%S') AS session_end, CAST(count(*) AS BIGINT) AS n_events FROM g GROUP BY listener, path, g""")
+def sessions_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each listener's paths: events less than five minutes apart."""
+    rows = table(spark, sf_dir, "events").select((F.col("user_id") % 20).alias("listener"), "ts", F.concat(F.lit("in/"), (F.col("event_id") % 7).cast("string"), F.lit(".xlsx")).alias("path"))
+    found = file_events.sessions(rows, ["listener", "path"], gap=300)
+    return found.select("listener", "path", shown("session_start"), shown("session_end"), "n_events")
+
+
+@query(f"""
+WITH {_CHANGES}, o AS (SELECT 'in/' || (event_id % 7) || '.xlsx' AS output, ts + to_seconds(event_id % 900) AS done_at FROM events WHERE ts IS NOT NULL AND event_id % 40 = 0)
+SELECT path, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(count(done_at) AS BIGINT) AS n_outputs FROM e LEFT JOIN o ON path = output AND done_at >= ts AND done_at <= ts + INTERVAL 600 SECONDS GROUP BY ALL""")
+def finished_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many outputs of its path come within ten minutes of each change."""
+    e = table(spark, sf_dir, "events")
+    path = F.concat(F.lit("in/"), (F.col("event_id") % 7).cast("string"), F.lit(".xlsx")).alias("path")
+    changes = e.where("ts is not null").select(path, "ts")
+    outputs = e.where("ts is not null and event_id % 40 = 0").select(path, (F.col("ts") + F.make_dt_interval(secs=F.col("event_id") % 900)).alias("done_at"))
+    return file_events.finished(changes, outputs, 600).groupBy("path", shown("ts")).agg(F.count("done_at").alias("n_outputs"))
+
+
+_DATED = "d AS (SELECT unnest(['dmy', 'mdy', 'ymd', 'stamp', 'short', 'serial']) AS col_name, unnest([strftime(o_orderdate, '%d/%m/%Y'), strftime(o_orderdate, '%m-%d-%Y'), strftime(o_orderdate, '%Y.%m.%d'), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), strftime(o_orderdate, '%-d/%-m/%Y'), CAST(date_diff('day', DATE '1899-12-30', CAST(o_orderdate AS DATE)) AS VARCHAR)]) AS value FROM orders)"
+
+
+@query(f"""WITH {_DATED}, p AS (SELECT col_name, CASE col_name WHEN 'dmy' THEN '%d/%m/%Y' WHEN 'mdy' THEN '%m-%d-%Y' WHEN 'ymd' THEN '%Y.%m.%d' WHEN 'stamp' THEN '%Y-%m-%d %H:%M:%S' WHEN 'short' THEN '%d/%m/%Y' END AS form, value FROM d),
+t AS (SELECT col_name, bool_and(coalesce(strftime(try_strptime(value, form), form) = value, false)) AS same, bool_and(try_strptime(value, form) IS NOT NULL) AS fits FROM p GROUP BY 1)
+SELECT col_name, CASE col_name WHEN 'stamp' THEN 'DATETIME' WHEN 'serial' THEN 'INT' ELSE 'DATE' END
+  || CASE WHEN col_name = 'serial' THEN '::src[excel-serial]' WHEN same THEN CASE col_name WHEN 'dmy' THEN '::fmt[dd/MM/yyyy]' WHEN 'mdy' THEN '::fmt[MM-dd-yyyy]' WHEN 'ymd' THEN '::fmt[yyyy.MM.dd]' WHEN 'stamp' THEN '::fmt[yyyy-MM-dd HH:mm:ss]' WHEN 'short' THEN '::fmt[dd/MM/yyyy]' END WHEN fits THEN '::fmt[d/M/yyyy]' ELSE '' END AS annotated FROM t""")
+def format_annotations_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How order dates are to be read again that were written in five ways and as a spreadsheet's numbers."""
+    d = F.col("o_orderdate")
+    ways = {"dmy": "dd/MM/yyyy", "mdy": "MM-dd-yyyy", "ymd": "yyyy.MM.dd", "stamp": "yyyy-MM-dd HH:mm:ss", "short": "d/M/yyyy"}
+    days = F.datediff(d.cast("date"), F.lit("1899-12-30").cast("date")).cast("string")
+    vc = cells.value_counts(table(spark, sf_dir, "orders").select(*[F.date_format(d, p).alias(k) for k, p in ways.items()], days.alias("serial")))
+    return columns.format_annotations(vc, columns.profile_columns(groups.profile_groups(vc))).select("col_name", "annotated")

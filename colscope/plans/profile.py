@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ProfileConfig
 from ..operators import cells, columns, correlate, discovery, documents, groups, keys, naming
+from ..storage import Stored
 
 
 @dataclass
@@ -39,16 +40,17 @@ def profile(df: DataFrame, file_name: str = "", config: ProfileConfig = DEFAULT,
     ``live`` leaves out what only the intended semantics have: StandardText, correlations and chains.
     """
     spark = df.sparkSession
-    vc = cells.value_counts(df).persist()
-    found = groups.profile_groups(vc, config, live).persist()
-    cols = columns.profile_columns(found, config).persist()
+    vc = Stored(cells.value_counts(df), "profile-counts").df
+    found = Stored(groups.profile_groups(vc, config, live), "profile-groups").df
+    cols = Stored(columns.profile_columns(found, config), "profile-columns").df
     marked = groups.marked_values(vc, config)
     ranges = groups.group_ranges(marked, found)
     top = cells.top_values(vc, config)
     key, cut = keys.find_key(df, found, config)
-    pairs = correlate.correlations(correlate.value_rows(df, df.columns, df.columns), cols.select("col_name", "uses"))
+    pairs = correlate.correlations(rows_of := correlate.value_rows(df, df.columns, df.columns), uses := cols.select("col_name", "uses"))
     pairs = pairs.limit(0) if live else pairs
-    chains = correlate.correlation_chains(pairs)
+    chains = correlate.use_chains(rows_of, uses)
+    chains = chains.limit(0) if live else chains
     rows = cells.row_counts(df).first()
     structure = columns.type_structure(cols, key)
     with_dash, no_dash = columns.abbreviated(F.col("dt_struct_code"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cells, columns, groups
+from ..storage import Stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,7 +34,8 @@ def counts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def profiled_columns(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return columns.profile_columns(groups.profile_groups(counts(spark, sf_dir, name)))
+    """Value counts are named by several steps, so they are written once."""
+    return columns.profile_columns(groups.profile_groups(Stored(counts(spark, sf_dir, name), "query-counts").df))
 
 
 def shown(column: str, form: str = "yyyy-MM-dd HH:mm:ss"):

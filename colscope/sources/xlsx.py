@@ -2,7 +2,7 @@
 
 ``spark.dataSource.register(XlsxSource)``, then ``spark.read.format("xlsx").option(...).load(path)`` reads local files of one kind.
 Options: sheet (name or number from 0; otherwise the first sheet that has cells), includeHidden, headerStyle (plain: repeats
-numbered; letter: with ``::`` and the column's letters), dropBlank, unifyDecimal. All columns are texts, and ``_row`` is the sheet's
+numbered; letter: with ``::`` and the column's letters), dropBlank, unifyDecimal, displayed (numbers as their formats show them). All columns are texts, and ``_row`` is the sheet's
 row number. One partition reads one file; rows are streamed from the sheet's XML, so memory does not grow with a sheet.
 
 Columns come from the first file: its header as wide as its widest row, where a column without a header is ``col_n``. Each file
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
+from ..functions.cellformat import BUILT_IN, shown_number
 from ..operators.naming import lettered_headers, unique_headers
 
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -39,7 +40,7 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 _DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 27, 28, 29, 30, 31, 32, 33, 34, 35, 36, 45, 46, 47, 50, 51, 52, 53, 54, 55, 56, 57, 58}
 
 
-def _local(tag: str) -> str:
+def local_name(tag: str) -> str:
     return tag.rpartition("}")[2]
 
 
@@ -61,66 +62,87 @@ def _plain(text: str) -> str:
     return str(int(x)) if x.is_integer() and abs(x) < 1e21 else repr(x)
 
 
+def cell_texts(row, dated: set[str], base: datetime.datetime, formats: dict[str, str] | None = None) -> Iterator[tuple[int, str | None, int | None]]:
+    """(column, text, number of the shared string) of a row's cells; one of the two is None. ``dated`` are the styles of dates,
+    ``formats`` the number formats of styles, where numbers are wanted as they are shown."""
+    col = -1
+    for c in row:
+        col = _letters(c.get("r")) if c.get("r") else col + 1
+        kind, text = c.get("t"), None
+        for x in c:
+            if local_name(x.tag) == "v":
+                text = x.text
+            elif local_name(x.tag) == "is":
+                text = "".join(t.text or "" for t in x.iter() if local_name(t.tag) == "t")
+        if text is None or kind == "e":
+            continue
+        if kind == "s":
+            yield col, None, int(text)
+        elif kind == "b":
+            yield col, "true" if text == "1" else "false", None
+        elif kind in (None, "n") and text.strip():
+            if c.get("s") in dated:
+                text = _iso(text, base)
+            else:
+                text = _plain(text) if formats is None else shown_number(text.strip(), formats.get(c.get("s", "0"), "General"))
+            yield col, text, None
+        elif text.strip():
+            yield col, text, None
+
+
+def _iso(text: str, base: datetime.datetime) -> str:
+    """A serial number as an ISO 8601 text."""
+    at = base + datetime.timedelta(milliseconds=round(float(text) * 86_400_000))
+    return at.isoformat(timespec="milliseconds") + "Z"
+
+
 class Workbook:
-    def __init__(self, path: str | BinaryIO):
+    """``strings`` False leaves the shared strings for ``strings()`` to read one by one; ``displayed`` gives numbers as their formats
+    show them (1,234.50 or 12%), else they are plain."""
+
+    def __init__(self, path: str | BinaryIO, strings: bool = True, displayed: bool = False):
         self.zip = zipfile.ZipFile(path)
         names = set(self.zip.namelist())
-        self.shared: list[str] = []
-        if "xl/sharedStrings.xml" in names:
-            for _, e in ElementTree.iterparse(self.zip.open("xl/sharedStrings.xml")):
-                if _local(e.tag) == "si":
-                    self.shared.append("".join(t.text or "" for t in e.iter() if _local(t.tag) == "t"))
-                    e.clear()
+        self.shared: list[str] | None = list(self.strings()) if strings else None
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.parse(self.zip.open("xl/_rels/workbook.xml.rels")).getroot()}
-        self.dated = self._date_styles() if "xl/styles.xml" in names else set()
+        codes = self._format_codes() if "xl/styles.xml" in names else {}
+        self.dated = {i for i, (n, own) in codes.items() if (_dated(own) if own is not None else n in _DATE_FORMATS)}
+        self.formats = {i: own if own is not None else BUILT_IN.get(n, "General") for i, (n, own) in codes.items()} if displayed else None
         self.sheets = []
         self.base = datetime.datetime(1899, 12, 30)
         for s in ElementTree.parse(self.zip.open("xl/workbook.xml")).getroot().iter():
-            if _local(s.tag) == "workbookPr" and s.get("date1904") in ("1", "true"):
+            if local_name(s.tag) == "workbookPr" and s.get("date1904") in ("1", "true"):
                 self.base = datetime.datetime(1904, 1, 1)
-            if _local(s.tag) == "sheet":
+            if local_name(s.tag) == "sheet":
                 target = targets[s.get(_REL)].lstrip("/")
                 self.sheets.append((s.get("name"), s.get("state", "visible") != "visible", target if target.startswith("xl/") else f"xl/{target}"))
 
-    def _date_styles(self) -> set[str]:
-        """Numbers of the cell styles that show dates or times."""
+    def _format_codes(self) -> dict[str, tuple[int, str | None]]:
+        """Of each cell style the number of its format, and the format's code if the workbook has one of its own."""
         root = ElementTree.parse(self.zip.open("xl/styles.xml")).getroot()
-        own = {x.get("numFmtId"): x.get("formatCode", "") for x in root.iter() if _local(x.tag) == "numFmt"}
-        styles = [x for parent in root if _local(parent.tag) == "cellXfs" for x in parent]
-        used = [x.get("numFmtId", "0") for x in styles]
-        return {str(i) for i, n in enumerate(used) if (_dated(own[n]) if n in own else int(n) in _DATE_FORMATS)}
+        own = {x.get("numFmtId"): x.get("formatCode", "") for x in root.iter() if local_name(x.tag) == "numFmt"}
+        styles = [x for parent in root if local_name(parent.tag) == "cellXfs" for x in parent]
+        return {str(i): (int(x.get("numFmtId", "0")), own.get(x.get("numFmtId", "0"))) for i, x in enumerate(styles)}
 
-    def _iso(self, text: str) -> str:
-        """A serial number as an ISO 8601 text."""
-        at = self.base + datetime.timedelta(milliseconds=round(float(text) * 86_400_000))
-        return at.isoformat(timespec="milliseconds") + "Z"
+    def strings(self) -> Iterator[str]:
+        """The shared strings, in order."""
+        if "xl/sharedStrings.xml" in set(self.zip.namelist()):
+            for _, e in ElementTree.iterparse(self.zip.open("xl/sharedStrings.xml")):
+                if local_name(e.tag) == "si":
+                    yield "".join(t.text or "" for t in e.iter() if local_name(t.tag) == "t")
+                    e.clear()
 
     def rows(self, part: str) -> Iterator[tuple[int, dict[int, str]]]:
         """(row number, texts by column) of the rows that have cells."""
         at = 0
         for _, e in ElementTree.iterparse(self.zip.open(part)):
-            if _local(e.tag) != "row":
+            if local_name(e.tag) != "row":
                 continue
             at = int(e.get("r") or at + 1)
-            found, col = {}, -1
-            for c in e:
-                col = _letters(c.get("r")) if c.get("r") else col + 1
-                kind, text = c.get("t"), None
-                for x in c:
-                    if _local(x.tag) == "v":
-                        text = x.text
-                    elif _local(x.tag) == "is":
-                        text = "".join(t.text or "" for t in x.iter() if _local(t.tag) == "t")
-                if text is None:
-                    continue
-                if kind == "s":
-                    text = self.shared[int(text)]
-                elif kind == "b":
-                    text = "true" if text == "1" else "false"
-                elif kind == "e":
-                    text = ""
-                elif kind in (None, "n") and text.strip():
-                    text = self._iso(text) if c.get("s") in self.dated else _plain(text)
+            found = {}
+            for col, text, shared in cell_texts(e, self.dated, self.base, self.formats):
+                # Without the strings themselves, a mark is enough to tell whether a sheet has cells.
+                text = text if shared is None else self.shared[shared] if self.shared is not None else "?"
                 if text.strip():
                     found[col] = text.strip()
             e.clear()
@@ -134,7 +156,6 @@ class Workbook:
             return named[0][2] if named else None
         return next((s[2] for s in shown if next(self.rows(s[2]), None)), None)
 
-
     def headers(self, part: str, lettered: bool) -> list[str]:
         """Names of all columns up to the widest row; the first row with cells has them."""
         first, width = None, 0
@@ -176,7 +197,7 @@ class XlsxReader(DataSourceReader):
         return [_File(p) for p in self.source.files()]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        book = Workbook(partition.path)
+        book = Workbook(partition.path, displayed=self.source.flag("displayed"))
         part = book.pick(self.source.option("sheet"), self.source.flag("includeHidden"))
         if part is None:
             return
@@ -227,13 +248,13 @@ class XlsxSource(DataSource):
         return XlsxReader(self)
 
 
-def read_workbooks(spark: SparkSession, path: str, sheet: str | None = None, hidden: bool = False, drop_blank: bool = True) -> DataFrame:
+def read_workbooks(spark: SparkSession, path: str, sheet: str | None = None, hidden: bool = False, drop_blank: bool = True, displayed: bool = False) -> DataFrame:
     """(path, row, cells) of all spreadsheets below a path in any store that Spark reads: cells maps the headers of the row's own
     file to its texts. A file is read by one task, its bytes in memory; files without cells give no rows."""
-    return workbook_rows(spark, path, sheet, hidden, drop_blank).where("row > 0")
+    return workbook_rows(spark, path, sheet, hidden, drop_blank, displayed).where("row > 0")
 
 
-def workbook_rows(spark: SparkSession, path: str, sheet: str | None = None, hidden: bool = False, drop_blank: bool = True) -> DataFrame:
+def workbook_rows(spark: SparkSession, path: str, sheet: str | None = None, hidden: bool = False, drop_blank: bool = True, displayed: bool = False) -> DataFrame:
     """``read_workbooks``, and for each file a row 0 whose cells map its headers to their positions."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", "true").load(path)
 
@@ -242,7 +263,7 @@ def workbook_rows(spark: SparkSession, path: str, sheet: str | None = None, hidd
 
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                book = Workbook(io.BytesIO(content))
+                book = Workbook(io.BytesIO(content), displayed=displayed)
                 part = book.pick(sheet, hidden)
                 if part is None:
                     continue

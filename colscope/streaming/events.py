@@ -73,8 +73,9 @@ def debounced(events: DataFrame, keys: list[str], time: str = "ts", seconds: flo
 
 
 def debounced_stream(events: DataFrame, key: str, time: str = "ts", seconds: float = 5, late: str = "1 minute") -> DataFrame:
-    """(key, batch_start, paths) of a stream: a window is given out when the watermark has passed its end. Its state is its
-    start and its different paths. Events later than ``late`` are left out."""
+    """(key, batch_start, paths) of a stream by the events' own times: a window is given out when the watermark has passed its end.
+    State holds the events of open windows, as earlier ones may still come; ``debounced_triggers`` goes by the clock and holds paths
+    only. Events later than ``late`` are left out."""
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -104,6 +105,84 @@ def debounced_stream(events: DataFrame, key: str, time: str = "ts", seconds: flo
     return rows.applyInPandasWithState(run, f"`{key}` {kind}, batch_start timestamp, paths array<string>", "times array<timestamp>, paths array<string>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+class _Debouncer:
+    """For each listener: the window's start, and how often each different path came since. State is as large as those paths."""
+
+    def __init__(self, milliseconds: int):
+        self.milliseconds = milliseconds
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.opened = handle.getValueState("opened", "at timestamp")
+        self.paths = handle.getMapState("paths", "path string", "n long")
+
+    def _given_out(self, key: tuple):
+        import pandas as pd
+
+        if not self.opened.exists():
+            return
+        found = sorted((p[0], n[0]) for p, n in self.paths.iterator())
+        yield pd.DataFrame({"listener": [key[0]], "batch_start": [self.opened.get()[0]], "paths": [[p for p, _ in found]], "n_events": [sum(n for _, n in found)]})
+        self.opened.clear()
+        self.paths.clear()
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+
+    def handleInputRows(self, key, rows, timerValues):  # Spark calls these by the names of their arguments
+        import pandas as pd
+
+        stop = False
+        for frame in rows:
+            stop |= bool((frame["action"] == "stop").any())
+            for path, n in frame.loc[frame["action"] != "stop", "path"].dropna().value_counts().items():
+                before = self.paths.getValue((path,))[0] if self.paths.containsKey((path,)) else 0
+                self.paths.updateValue((path,), (int(before + n),))
+                if not self.opened.exists():
+                    now = timerValues.getCurrentProcessingTimeInMs()
+                    self.opened.update((pd.Timestamp(now, unit="ms").to_pydatetime(),))
+                    self.handle.registerTimer(now + self.milliseconds)
+        if stop:
+            yield from self._given_out(key)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._given_out(key)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        pass
+
+    def close(self) -> None:
+        pass
+
+
+def debounced_triggers(events: DataFrame, key: str, seconds: float = 5) -> DataFrame:
+    """(listener, batch_start, paths, n_events) of a stream with ``key``, action and path: a listener's first event opens a window of
+    some seconds of the clock, and its end gives out the different paths that came; an event with the action ``stop`` gives
+    out what waits at once. Needs the session's state store to be RocksDB's (spark.sql.streaming.stateStore.providerClass)."""
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    processor = type("Debouncer", (_Debouncer, StatefulProcessor), {})(round(seconds * 1000))
+    kind = events.schema[key].dataType.simpleString()
+    return events.select(key, "action", "path").groupBy(key).transformWithStateInPandas(processor, f"listener {kind}, batch_start timestamp, paths array<string>, n_events long", "append", "processingTime")
+
+
+def sessions(events: DataFrame, keys: list[str], time: str = "ts", gap: int = 300, late: str = "1 minute") -> DataFrame:
+    """(*keys, session_start, session_end, n_events): runs of events less than ``gap`` seconds apart; a session ends ``gap`` seconds
+    after its last event. On a stream a session is given out when the watermark has passed its end."""
+    rows = events.withWatermark(time, late) if events.isStreaming else events.where(F.col(time).isNotNull())
+    found = rows.groupBy(F.session_window(time, f"{gap} seconds").alias("w"), *keys).agg(F.count("*").alias("n_events"))
+    return found.select(*keys, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events")
+
+
+def finished(events: DataFrame, outputs: DataFrame, seconds: int = 600, late: str = "1 minute") -> DataFrame:
+    """(path, ts, done_at): each event (path, ts) with the outputs (path, done_at) that came within so many seconds after it, or a
+    null. Two streams are joined between their watermarks: an event without an output is given out when none can come any more."""
+    left, right = events.select("path", "ts"), outputs.select(F.col("path").alias("output"), "done_at")
+    if events.isStreaming:
+        left, right = left.withWatermark("ts", late), right.withWatermark("done_at", late)
+    within = (F.col("path") == F.col("output")) & (F.col("done_at") >= F.col("ts")) & (F.col("done_at") <= F.col("ts") + F.expr(f"interval {int(seconds)} seconds"))
+    return left.join(right, within, "left").select("path", "ts", "done_at")
+
+
 class Statistics(StreamingQueryListener):
     """What a listener has done: batches with rows, rows, failures, and when the last batch was."""
 
