@@ -37,6 +37,8 @@ ROWS = 5
 MISS = 1e-7
 #: Bytes of text of a unit; a single text may have more.
 UNIT_BYTES = 24_000_000
+#: Names of texts to fetch (some 300 bytes each, signatures included) up to which they are sent to all; more go past a filter.
+SENT_ROWS = 50_000
 
 
 def bands_for(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -290,13 +292,19 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
         signed = units.join(reps.df.select("rid", "n_bytes", "n_shingles", "signature"), "rid").select("unit", "side", "rid", "part", "n_bytes", "n_shingles", "signature")
         left = Kept(signed.groupBy("unit").applyInArrow(_left_over(percent), "unit long, side int, rid long, part long, n_bytes long"), "neardup-left")
         chosen = Kept(left.df.select("rid").distinct().join(reps.df.select("rid", "doc_id", "h", "signature"), "rid"), "neardup-chosen")
-        named = F.xxhash64("doc_id", "h").alias("key")
-        bits = _filter(chosen.df.select(named), chosen.df.count())
-        near = rows.where("doc_id is not null").select("doc_id", "h", "text", named).mapInArrow(_needed(bits), "doc_id long, h long, text string, key long")
-        texts = chosen.df.join(near.select("doc_id", "h", "text"), ["doc_id", "h"]).groupBy("rid").agg(F.first("text").alias("text"), F.first("signature").alias("signature"))
+        n, bits, there = chosen.df.count(), None, rows.where("doc_id is not null").select("doc_id", "h", "text")
+        if n <= SENT_ROWS:
+            near = there.join(F.broadcast(chosen.df), ["doc_id", "h"])
+        else:
+            named = F.xxhash64("doc_id", "h").alias("key")
+            bits = _filter(chosen.df.select(named), n)
+            near = there.withColumn("key", F.xxhash64("doc_id", "h")).mapInArrow(_needed(bits), "doc_id long, h long, text string, key long").select("doc_id", "h", "text")
+            near = chosen.df.join(near, ["doc_id", "h"])
+        texts = near.groupBy("rid").agg(F.first("text").alias("text"), F.first("signature").alias("signature"))
         work = _in_bytes(left, UNIT_BYTES).join(texts, "rid").select("unit", "side", "block", "rid", "part", "text", "signature")
         found = Kept(work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long"), "neardup-linked")
-        bits.unpersist()
+        if bits is not None:
+            bits.unpersist()
         left.drop()
         chosen.drop()
         release(spark)
