@@ -110,6 +110,8 @@ class Memory:
         kept = np.ndarray(len(self.names.data) - 7, "<u8", self.names.data, strides=(1,))
         same = self.name_size.data[number[known]] == size[first[known]]
         known, clash = known[same], known[~same]
+        # The hash of up to eight bytes is one-to-one for spans of one size: only longer ones are compared.
+        known = known[size[first[known]] > 8]
         same = same_spans(blocks, start[first[known]], kept, self.name_at.data[number[known]], size[first[known]])
         number[clash] = number[known[~same]] = -2
         fresh = np.flatnonzero(number == -1)
@@ -124,8 +126,8 @@ class Memory:
         out = number[of]
         rows = np.flatnonzero((start != start[first[of]]) & (out >= 0))
         same = size[rows] == size[first[of[rows]]]
-        out[rows[~same]] = -2
-        rows = rows[same]
+        out[rows[~same]] = -2  # as above, equal sizes are enough up to eight bytes
+        rows = rows[same & (size[rows] > 8)]
         out[rows[~same_spans(blocks, start[rows], blocks, start[first[of[rows]]], size[rows])]] = -2
         alone = np.flatnonzero(out == -2)
         if len(alone):
