@@ -26,7 +26,7 @@ def slim_documents(profiles: DataFrame, registry: DataFrame | None = None) -> tu
     each = v.select("table", F.explode(get("v", "$.columns", "map<string,variant>")).alias("header", "c"))
     each = each.select("table", "header", "c", get("c", "$.ord", "int").alias("ord"), get("c", "$.data_type", "string").alias("data_type")).where("data_type is not null")
     each = Stored(each.join(head.select("table", "tcode", "keys"), "table").withColumn("pk", F.array_contains("keys", F.col("header"))), "slim-columns").df
-    headers = each.select(F.col("tcode").alias("code"), "table", F.coalesce("ord", F.lit(0)).alias("ord"), "header")
+    headers = each.select(F.col("tcode").alias("code"), "table", F.row_number().over(Window.partitionBy("table").orderBy(F.col("ord").asc_nulls_last(), "header")).alias("ord"), "header")
     short, after = unique_short_keys(headers, registry)
     named = each.join(short.select(F.col("code").alias("tcode"), "table", "header", "normalized", "key"), ["tcode", "table", "header"])
     place = F.when(F.col("pk"), F.array_position("keys", F.col("header"))).otherwise(F.lit(2**31))

@@ -192,15 +192,17 @@ _SETS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "
 
 
 def _unique_sets_sql(width: int) -> str:
-    """Every set of up to ``width`` of the columns by brute force, and those without a smaller one inside."""
+    """Every set of up to ``width`` of the columns by brute force, and those without a smaller one inside. Texts are numbered by column,
+    and a set's numbers make one number (25 bits each)."""
     cells_ = ", ".join(f"trim({oracle.cell('lineitem', c)}) AS {c}" for c in _SETS)
+    numbers_ = ", ".join(f"CAST(dense_rank() OVER (ORDER BY {c}) AS HUGEINT) AS n{i}, {c} NOT IN ('', '0') AS s{i}" for i, c in enumerate(_SETS))
     each = []
     for k in range(1, width + 1):
         for c in itertools.combinations(range(len(_SETS)), k):
-            names = [_SETS[i] for i in c]
-            some = " OR ".join(f"{n} NOT IN ('', '0')" for n in names)
-            each.append(f"SELECT {sum(1 << i for i in c)} AS m, CAST({k} AS INTEGER) AS n_columns, '{','.join(names)}' AS columns, count(*) FILTER ({some}) AS n, count(DISTINCT ({', '.join(names)}{', 0' if k == 1 else ''})) FILTER ({some}) AS d FROM t")
-    return f"WITH t AS MATERIALIZED (SELECT DISTINCT {cells_} FROM lineitem), u AS MATERIALIZED (SELECT * FROM ({' UNION ALL '.join(each)}) WHERE n = d AND n > 0) SELECT n_columns, columns FROM u WHERE NOT EXISTS (SELECT 1 FROM u s WHERE s.m <> u.m AND s.m & u.m = s.m)"
+            some = " OR ".join(f"s{i}" for i in c)
+            whole = " + ".join(f"n{i} * {1 << 25 * at}::HUGEINT" for at, i in enumerate(c))
+            each.append(f"SELECT {sum(1 << i for i in c)} AS m, CAST({k} AS INTEGER) AS n_columns, '{','.join(_SETS[i] for i in c)}' AS columns, count(*) FILTER ({some}) AS n, count(DISTINCT {whole}) FILTER ({some}) AS d FROM t")
+    return f"WITH r AS (SELECT DISTINCT {cells_} FROM lineitem), t AS MATERIALIZED (SELECT {numbers_} FROM r), u AS MATERIALIZED (SELECT * FROM ({' UNION ALL '.join(each)}) WHERE n = d AND n > 0) SELECT n_columns, columns FROM u WHERE NOT EXISTS (SELECT 1 FROM u s WHERE s.m <> u.m AND s.m & u.m = s.m)"
 
 
 @query(_unique_sets_sql(5))
@@ -402,10 +404,15 @@ def finished_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DATED = "d AS (SELECT unnest(['dmy', 'mdy', 'ymd', 'stamp', 'short', 'serial']) AS col_name, unnest([strftime(o_orderdate, '%d/%m/%Y'), strftime(o_orderdate, '%m-%d-%Y'), strftime(o_orderdate, '%Y.%m.%d'), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), strftime(o_orderdate, '%-d/%-m/%Y'), CAST(date_diff('day', DATE '1899-12-30', CAST(o_orderdate AS DATE)) AS VARCHAR)]) AS value FROM orders)"
 
 
-@query(f"""WITH {_DATED}, p AS (SELECT col_name, CASE col_name WHEN 'dmy' THEN '%d/%m/%Y' WHEN 'mdy' THEN '%m-%d-%Y' WHEN 'ymd' THEN '%Y.%m.%d' WHEN 'stamp' THEN '%Y-%m-%d %H:%M:%S' WHEN 'short' THEN '%d/%m/%Y' END AS form, value FROM d),
-t AS (SELECT col_name, bool_and(coalesce(strftime(try_strptime(value, form), form) = value, false)) AS same, bool_and(try_strptime(value, form) IS NOT NULL) AS fits FROM p GROUP BY 1)
+_FORMS = {"dmy": ("%d/%m/%Y", "dd/MM/yyyy"), "mdy": ("%m-%d-%Y", "MM-dd-yyyy"), "ymd": ("%Y.%m.%d", "yyyy.MM.dd"), "stamp": ("%Y-%m-%d %H:%M:%S", "yyyy-MM-dd HH:mm:ss"), "short": ("%d/%m/%Y", "dd/MM/yyyy")}
+_READ = "CASE col_name {} END".format(" ".join(f"WHEN '{k}' THEN try_strptime(value, '{f}')" for k, (f, _) in _FORMS.items()))
+_WRITTEN = "CASE col_name {} END".format(" ".join(f"WHEN '{k}' THEN strftime(try_strptime(value, '{f}'), '{f}')" for k, (f, _) in _FORMS.items()))
+_NAMED = "CASE col_name {} END".format(" ".join(f"WHEN '{k}' THEN '::fmt[{p}]'" for k, (_, p) in _FORMS.items()))
+
+
+@query(f"""WITH {_DATED}, t AS (SELECT col_name, bool_and(coalesce({_WRITTEN} = value, false)) AS same, bool_and({_READ} IS NOT NULL) AS fits FROM d GROUP BY 1)
 SELECT col_name, CASE col_name WHEN 'stamp' THEN 'DATETIME' WHEN 'serial' THEN 'INT' ELSE 'DATE' END
-  || CASE WHEN col_name = 'serial' THEN '::src[excel-serial]' WHEN same THEN CASE col_name WHEN 'dmy' THEN '::fmt[dd/MM/yyyy]' WHEN 'mdy' THEN '::fmt[MM-dd-yyyy]' WHEN 'ymd' THEN '::fmt[yyyy.MM.dd]' WHEN 'stamp' THEN '::fmt[yyyy-MM-dd HH:mm:ss]' WHEN 'short' THEN '::fmt[dd/MM/yyyy]' END WHEN fits THEN '::fmt[d/M/yyyy]' ELSE '' END AS annotated FROM t""")
+  || CASE WHEN col_name = 'serial' THEN '::src[excel-serial]' WHEN same THEN {_NAMED} WHEN fits THEN '::fmt[d/M/yyyy]' ELSE '' END AS annotated FROM t""")
 def format_annotations_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How order dates are to be read again that were written in five ways and as a spreadsheet's numbers."""
     d = F.col("o_orderdate")
