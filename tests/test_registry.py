@@ -94,3 +94,13 @@ def test_runs_of_numbers_by_levels(spark):
     got = cells.value_runs(df, ["k"], "v").collect()
     assert len(got) == len(want) and set(map(tuple, got)) == want
     assert {x.k for x in cells.compressed_ranges(df, ["k"], "v").collect()} == {"hot", "few"}
+
+
+def test_chains_from_sets_of_columns(spark):
+    """The chains of all correlated pairs of values, without making the pairs."""
+    rows = [(f"C{i % 7}", f"N{i % 7:03d}", f"name of {i % 7}", f"free text {i % 5} here", f"D{i % 5}", str(i)) for i in range(70)]
+    df = spark.createDataFrame(rows, "code string, other string, label string, note string, tag string, id string")
+    uses = spark.createDataFrame([("code", ["TextCode"]), ("other", ["AlphaNumericCode"]), ("label", ["StandardText"]), ("note", ["FreeText"]), ("tag", ["TextCode", "FreeText"]), ("id", ["NumericCode"])], "col_name string, uses array<string>")
+    values = correlate.value_rows(df, df.columns, ["id"])
+    want = {tuple(r) for r in correlate.correlation_chains(correlate.correlations(values, uses)).collect()}
+    assert {tuple(r) for r in correlate.use_chains(values, uses).collect()} == want and ("code", "label>other") in want
