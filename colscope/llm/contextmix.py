@@ -43,7 +43,7 @@ PAGE = 1 << 12
 DEPTHS, STEPS, REACH = 16, 512, 8.0
 GATES = 2 * DEPTHS
 #: Longest code, symbols handled at once, bytes of text between two refreshes of a task's log-odds: at first, later.
-LONGEST, BLOCK, FIRST_BYTES, RUN_BYTES = 24, 1 << 16, 50_000, 1_000_000
+LONGEST, BLOCK, FIRST_BYTES, RUN_BYTES = 24, 1 << 16, 50_000, 2_000_000
 #: Counts that a place starts with, and tallies that a step of the refinement starts with.
 PRIOR, TRUST = 0.4, 32.0
 
@@ -193,7 +193,9 @@ def blocks(s: Symbols) -> Iterator[tuple[int, int]]:
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
     """Of pairs (zeros, ones)."""
-    return np.log((counts[..., 1] + np.float32(PRIOR)) / (counts[..., 0] + np.float32(PRIOR))).astype(np.float32)
+    ones, zeros = (counts[..., k].astype(np.float32) + np.float32(PRIOR) for k in (1, 0))
+    ones /= zeros
+    return np.log(ones, out=ones)
 
 
 def _step(mixed: np.ndarray) -> np.ndarray:
