@@ -6,7 +6,7 @@ import itertools
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -173,14 +173,49 @@ def sessions(events: DataFrame, keys: list[str], time: str = "ts", gap: int = 30
     return found.select(*keys, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events")
 
 
+def _period(time: str, seconds: int):
+    """The start of the period of so many seconds in which a time lies; rows without a time go."""
+    return F.window(time, f"{seconds} seconds")["start"]
+
+
 def finished(events: DataFrame, outputs: DataFrame, seconds: int = 600, late: str = "1 minute") -> DataFrame:
     """(path, ts, done_at): each event (path, ts) with the outputs (path, done_at) that came within so many seconds after it, or a
-    null. Two streams are joined between their watermarks: an event without an output is given out when none can come any more."""
+    null. Two streams are joined between their watermarks: an event without an output is given out when none can come any more.
+
+    Tables are joined by path and period as well: an output is dealt to its own period and the one before, so no path is one task's.
+    There are as many rows as pairs; ``outputs_within`` counts without pairing.
+    """
     left, right = events.select("path", "ts"), outputs.select(F.col("path").alias("output"), "done_at")
+    span = F.expr(f"interval {int(seconds)} seconds")
+    within = (F.col("path") == F.col("output")) & (F.col("done_at") >= F.col("ts")) & (F.col("done_at") <= F.col("ts") + span)
     if events.isStreaming:
-        left, right = left.withWatermark("ts", late), right.withWatermark("done_at", late)
-    within = (F.col("path") == F.col("output")) & (F.col("done_at") >= F.col("ts")) & (F.col("done_at") <= F.col("ts") + F.expr(f"interval {int(seconds)} seconds"))
-    return left.join(right, within, "left").select("path", "ts", "done_at")
+        return left.withWatermark("ts", late).join(right.withWatermark("done_at", late), within, "left").select("path", "ts", "done_at")
+    width = max(int(seconds), 1)
+    dealt = right.withColumn("p", _period("done_at", width)).withColumn("period", F.explode(F.array("p", F.col("p") - F.expr(f"interval {width} seconds"))))
+    found = left.withColumn("own", _period("ts", width)).join(dealt, within & (F.col("own") == F.col("period")), "left").select("path", "ts", "done_at")
+    return found.unionByName(left.where("ts is null").withColumn("done_at", F.lit(None).cast(right.schema["done_at"].dataType)))
+
+
+def outputs_within(events: DataFrame, outputs: DataFrame, seconds: int = 600) -> DataFrame:
+    """(path, ts, n_events, n_outputs): for each different (path, ts) of the events how often it is there, and how many outputs (path,
+    done_at) came within so many seconds (1 at least) after it.
+
+    Nothing is paired. The outputs that count are those of the event's period from its time on and those of the next period up to
+    the time ``seconds`` later: differences of running sums over the sorted times of one path and period.
+    """
+    span = F.expr(f"interval {int(seconds)} seconds")
+    own = events.groupBy("path", "ts").agg(F.count("*").alias("n_events"))
+    came = outputs.where("path is not null").groupBy("path", "done_at").agg(F.count("*").alias("n"))
+    came = came.withColumn("period", _period("done_at", seconds)).select("path", "period", F.col("done_at").alias("at"), F.lit(1).alias("turn"), "n", F.lit(None).cast(own.schema["ts"].dataType).alias("ts"), F.lit(0).alias("sign"))
+    # A look at the sum before its time (turn 0), or after it (turn 2).
+    look = lambda period, at, turn, sign: F.struct(period.alias("period"), at.alias("at"), F.lit(turn).alias("turn"), F.lit(0).cast("long").alias("n"), F.col("ts"), F.lit(sign).alias("sign"))
+    period, ts = F.col("period"), F.col("ts")
+    looks = F.array(look(period, ts, 0, -1), look(period, period + span, 2, 1), look(period + span, ts + span, 2, 1))
+    asked = own.where("path is not null").withColumn("period", _period("ts", seconds)).select("path", F.explode(looks).alias("x")).select("path", "x.*")
+    so_far = F.sum("n").over(Window.partitionBy("path", "period").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = came.unionByName(asked).withColumn("n", so_far).where("sign <> 0").select("path", "ts", F.lit(0).cast("long").alias("n_events"), (F.col("sign") * F.col("n")).alias("n_outputs"))
+    both = own.withColumn("n_outputs", F.lit(0).cast("long")).unionByName(seen)
+    return both.groupBy("path", "ts").agg(F.sum("n_events").alias("n_events"), F.sum("n_outputs").alias("n_outputs"))
 
 
 class Statistics(StreamingQueryListener):
