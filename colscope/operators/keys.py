@@ -110,18 +110,80 @@ def _trimmed(df: DataFrame, names: list[str]) -> DataFrame:
     return text_table(df).select(*[F.trim(F.col(f"`{c}`")).alias(c) for c in names])
 
 
+#: Rows of the first part in which rows that agree are looked for; each next part is so many times as large.
+_FIRST_PART, _LARGER = 100_000, 16
+
+
+class _Agreement:
+    """Which sets of columns some different rows agree on, by pairs of rows as proof.
+
+    Parts of the rows are looked through first: all rows of some values of a set's most distinct column, or rows at random where it
+    has few values. A pair found in a part is one of the whole; sets without any go on to larger parts and at last to all rows. Sets
+    that are left then are proven by all rows. Pairs are found by hashes and compared by their texts, on the driver: one pair a set.
+    """
+
+    def __init__(self, text: DataFrame, names: list[str]):
+        self.names, self.own = names, [F.col(f"`{c}`") for c in names]
+        self.rows = Stored(text.select(*names).distinct().withColumn("row", F.monotonically_increasing_id()), "sets-rows")
+        facts = self.rows.df.agg(F.count("*").alias("n"), *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(self.own)], *[F.count_if(~c.isin("", "0")).alias(f"s{i}") for i, c in enumerate(self.own)]).first()
+        self.n = facts["n"]
+        self.distinct = [facts[f"d{i}"] for i in range(len(names))]
+        self.says = [facts[f"s{i}"] > 0 for i in range(len(names))]  # whether some row says more than '' or 0
+        self.pairs: set[tuple[int, int]] = set()  # bits of the columns in which two rows agree, and of those that say something
+        self.counted: set[tuple[int, ...]] = set()  # sets whose texts were counted
+
+    def known(self, c: tuple[int, ...]) -> bool:
+        bits = sum(1 << i for i in c)
+        return c in self.counted or any(bits & same == bits and bits & full for same, full in self.pairs)
+
+    def look(self, sets: list[tuple[int, ...]], share: int) -> None:
+        """Look for pairs in one of ``share`` parts of the rows, or in all if that is 1."""
+        spark = self.rows.df.sparkSession
+        lead = [max(c, key=lambda i: self.distinct[i]) for c in sets]
+        lead = [i if self.distinct[i] >= 64 * share else -1 for i in lead] if share > 1 else [-1] * len(sets)
+        asked = spark.createDataFrame([(at, i, list(c)) for at, (i, c) in enumerate(zip(lead, sets, strict=True))], "at int, lead int, cols array<int>")
+        rows = self.rows.df.select("row", *[F.xxhash64(c).alias(f"h{i}") for i, c in enumerate(self.own)], F.array(*[~c.isin("", "0") for c in self.own]).alias("says"))
+        mine = lambda i: F.when(F.pmod(F.xxhash64(F.col("row" if i < 0 else f"h{i}")), F.lit(share)) == 0, F.lit(i))
+        rows = rows.withColumn("leads", F.array_compact(F.array(*map(mine, sorted(set(lead)))))).where(F.size("leads") > 0)
+        rows = rows.select("row", F.array(*[f"h{i}" for i in range(len(self.own))]).alias("h"), "says", F.explode("leads").alias("lead"))
+        both = rows.join(F.broadcast(asked), "lead").where(F.exists("cols", lambda i: F.get("says", i)))
+        keyed = both.select("at", F.xxhash64(F.transform("cols", lambda i: F.get("h", i))).alias("key"), "row")
+        again = keyed.groupBy("at", "key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b")
+        found = {r["at"]: (r["p"]["a"], r["p"]["b"]) for r in again.groupBy("at").agg(F.min(F.struct("a", "b")).alias("p")).collect()}  # a pair a set
+        if not found:
+            return
+        wanted = self.rows.df.where(F.col("row").isin(*{x for p in found.values() for x in p}))
+        texts = {r["row"]: r for r in wanted.collect()}
+        for at, (a, b) in found.items():
+            same = [i for i, c in enumerate(self.names) if texts[a][c] == texts[b][c]]
+            if set(sets[at]) <= set(same):
+                self.pairs.add((sum(1 << i for i in same), sum(1 << i for i in same if texts[a][self.names[i]] not in ("", "0"))))
+            elif share == 1:  # two texts of one hash: count the texts themselves
+                own = [self.own[i] for i in sets[at]]
+                if self.rows.df.where(_has_key([self.names[i] for i in sets[at]])).groupBy(*own).count().where("count > 1").limit(1).count():
+                    self.counted.add(sets[at])
+
+    def unknown(self, sets: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+        """Those of ``sets`` that tell all rows apart which say something in them."""
+        share = max(self.n // _FIRST_PART, 1)
+        while left := [c for c in sets if not self.known(c)]:
+            self.look(left, share)
+            if share == 1:
+                break
+            share = share // _LARGER if share >= 2 * _LARGER else 1
+        return [c for c in left if not self.known(c)]
+
+
 def unique_sets(df: DataFrame, columns: list[str], width: int = 5) -> DataFrame:
     """(n_columns, columns): the sets of at most ``width`` columns that tell the different rows apart and have no smaller such set
     inside. Rows whose cells are all '' or 0 don't count for a set; a set without any other row tells nothing apart."""
     spark = df.sparkSession
-    r = Refinement(_trimmed(df, columns), columns)
+    seen = _Agreement(_trimmed(df, columns), columns)
     found: list[tuple[int, ...]] = []
     for k in range(1, min(width, len(columns)) + 1):
-        together = {tuple(x["set"]) for x in r.add(k, set(range(len(columns)))).collect()}  # at most as many as sets of columns
-        for c in itertools.combinations(range(len(columns)), k):
-            if c not in together and any(r.counted(columns[i]) for i in c) and not any(set(f) <= set(c) for f in found):
-                found.append(c)
-    r.drop()
+        sets = [c for c in itertools.combinations(range(len(columns)), k) if any(seen.says[i] for i in c) and not any(set(f) <= set(c) for f in found)]
+        found += seen.unknown(sets)
+    seen.rows.drop()
     return spark.createDataFrame([(len(c), ",".join(columns[i] for i in c)) for c in found], "n_columns int, columns string")
 
 
