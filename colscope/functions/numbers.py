@@ -81,14 +81,16 @@ def with_numbers(rows: DataFrame, value: str = "value") -> DataFrame:
     """``rows`` (with mode, decimal, thousands: a column's plan) and norm_dec, norm_int: the text as plain digits with a point, and
     with the fraction cut off; null where it isn't a number.
 
-    A last group of digits that is cut short is filled up, if its separator occurs twice or more.
+    A last group of digits that is cut short is filled up, if its separator occurs twice or more. Texts of digits alone are their own
+    number by any plan and aren't taken apart.
     """
     count = lambda s, symbol: f"(length({s}) - length(replace({s}, '{symbol}', '')))"
     tail = lambda s, symbol: f"length(regexp_extract(substring_index({s}, '{symbol}', -1), '^([0-9]*)', 1))"
     padded = lambda s, symbol: f"CASE WHEN contains(thousands, '{symbol}') AND {count(s, symbol)} >= 2 AND {tail(s, symbol)} BETWEEN 1 AND 2 THEN rpad({s}, length({s}) + 3 - {tail(s, symbol)}, '0') ELSE {s} END"
     digits = lambda s: f"regexp_replace({s}, '[.,]', '')"
     finished = lambda n: f"CASE WHEN {n} RLIKE '^[0-9]+([.][0-9]+)?$' THEN CASE WHEN _negative AND {n} NOT IN ('0', '0.0') THEN concat('-', {n}) ELSE {n} END END"
-    rows = rows.withColumn("_kept", sanitized(F.col(f"`{value}`")))
+    rows = rows.withColumn("_plain", F.coalesce(F.col(f"`{value}`").rlike("^[0-9]+$"), F.lit(False)))
+    rows = rows.withColumn("_kept", F.when(~F.col("_plain"), sanitized(F.col(f"`{value}`"))))
     rows = rows.withColumns({"_negative": is_negative(F.col("_kept")), "_u": unsigned(F.col("_kept"))})
     rows = rows.withColumns({"_both": F.expr("contains(_u, '.') AND contains(_u, ',')"), "_full": F.expr(padded("_u", "."))})
     rows = rows.withColumns({"_full": F.expr(padded("_full", ",")), "_point": F.expr("CASE WHEN mode = 'decimal_present' THEN decimal WHEN instr(reverse(_u), '.') < instr(reverse(_u), ',') THEN '.' ELSE ',' END")})
@@ -97,8 +99,9 @@ def with_numbers(rows: DataFrame, value: str = "value") -> DataFrame:
     split = f"concat(CASE WHEN _head = '' THEN '0' ELSE _head END, CASE WHEN {digits('_tail')} <> '' THEN concat('.', {digits('_tail')}) ELSE '' END)"
     rows = rows.withColumn("_number", F.expr(f"CASE WHEN mode = 'thousands_only' AND NOT _both THEN {digits('_full')} ELSE {split} END"))
     rows = rows.withColumn("_whole", F.expr("regexp_replace(_number, '[.].*$', '')"))
-    out = rows.withColumns({"norm_dec": F.expr(finished("_number")), "norm_int": F.expr(finished("_whole"))})
-    return out.drop("_kept", "_negative", "_u", "_both", "_full", "_point", "_tail", "_head", "_number", "_whole")
+    own = lambda n: F.when(F.col("_plain"), F.col(f"`{value}`")).otherwise(F.expr(finished(n)))
+    out = rows.withColumns({"norm_dec": own("_number"), "norm_int": own("_whole")})
+    return out.drop("_plain", "_kept", "_negative", "_u", "_both", "_full", "_point", "_tail", "_head", "_number", "_whole")
 
 
 def single_numbers(values: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT, ProfileConfig
 from ..functions.text import cell_text, trimmed
@@ -14,10 +15,16 @@ def text_table(df: DataFrame) -> DataFrame:
     return df.select(*[cell_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+def trimmed_cell(field: T.StructField) -> Column:
+    """A cell's text in ``text_table``, trimmed; texts of numbers, dates and truth values have nothing to trim."""
+    bare = isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType))
+    return F.col(f"`{field.name}`") if bare else trimmed(F.col(f"`{field.name}`"))
+
+
 def cells(df: DataFrame) -> DataFrame:
     """(ord, col_name, value): a row for each cell, value trimmed; ord is the column's position. No null."""
     text = text_table(df)
-    parts = [F.struct(F.lit(i).alias("ord"), F.lit(c).alias("col_name"), trimmed(F.col(f"`{c}`")).alias("value")) for i, c in enumerate(df.columns)]
+    parts = [F.struct(F.lit(i).alias("ord"), F.lit(c).alias("col_name"), trimmed_cell(f).alias("value")) for i, (c, f) in enumerate(zip(df.columns, df.schema.fields, strict=True))]
     return text.select(F.explode(F.array(*parts)).alias("c")).select("c.*") if parts else df.sparkSession.createDataFrame([], "ord int, col_name string, value string")
 
 

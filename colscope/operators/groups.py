@@ -9,6 +9,7 @@ from ..config import BOOLEAN_PAIRS, DATETIME_USES, DEFAULT, NUMERIC_USES, Profil
 from ..functions.dates import ORDERS, chosen_format, chosen_order, order_confidence, order_counts, parse_date_strict, parse_datetime_strict, parse_time_strict, with_date_marks
 from ..functions.numbers import number_like, number_plans, with_numbers
 from ..functions.text import char_class
+from ..storage import Stored
 
 GROUP = ("col_name", "length", "class")
 
@@ -35,13 +36,19 @@ def plans_of(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
 
 def marked_values(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
     """``vc`` with length, class, norm_dec, norm_int, date_order and the marks of dates. A column has one plan and one order, so both
-    tables are as small as the header."""
-    dated = with_date_marks(vc, config=config)
-    plans = F.broadcast(plans_of(vc, config))
+    tables are as small as the header.
+
+    Plans, orders and several later steps read these rows, so both the marks of dates and the result are written: values are counted
+    once and taken apart once."""
+    stored = Stored(with_date_marks(vc, config=config).withColumns({"length": F.length("value").cast("long"), "class": char_class(F.col("value"))}), "groups-dated")
+    dated = stored.df
+    plans = F.broadcast(plans_of(dated, config))
     orders = F.broadcast(_orders(dated, config))
     rows = dated.join(plans, "col_name", "left").join(orders, "col_name", "left")
     rows = with_numbers(rows.withColumns({"mode": F.coalesce("mode", F.lit("thousands_only")), "thousands": F.coalesce("thousands", F.lit(".,"))}))
-    return rows.select("ord", "col_name", "value", "n_rows", "mode", "date_order", *MARKS, F.length("value").cast("long").alias("length"), char_class(F.col("value")).alias("class"), "norm_dec", "norm_int")
+    out = Stored(rows.select("ord", "col_name", "value", "n_rows", "mode", "date_order", *MARKS, "length", "class", "norm_dec", "norm_int"), "groups-marked")
+    stored.drop()
+    return out.df
 
 
 def length_groups(vc: DataFrame) -> DataFrame:
@@ -138,14 +145,15 @@ def numeric_evidence(marked: DataFrame, config: ProfileConfig = DEFAULT) -> Data
     )
 
 
-def profile_groups(vc: DataFrame, config: ProfileConfig = DEFAULT, live: bool = False) -> DataFrame:
+def profile_groups(vc: DataFrame, config: ProfileConfig = DEFAULT, live: bool = False, marked: DataFrame | None = None) -> DataFrame:
     """(ord, col_name, length, class, n_values, n_rows, unit, numeric_only, from_sign, use, first_use): the groups and their uses.
 
     ``unit`` groups have one value. Their use becomes a code if all larger groups of the column are codes. Numeric groups of a
     column whose rows are numbers throughout become decimal or integer values. first_use is the use before those steps.
+    ``marked`` is ``marked_values`` of ``vc``, where there is one already.
     """
-    marked = marked_values(vc, config)
-    groups = with_use(group_flags(marked, config), config, live)
+    marked = marked_values(vc, config) if marked is None else marked
+    groups = Stored(with_use(group_flags(marked, config), config, live), "groups-flags").df
     column = Window.partitionBy("col_name")
     real = ~F.col("first_use").isin("Empty", "ZerosOnly")
     large = real & ~F.col("unit")
@@ -164,7 +172,8 @@ def profile_groups(vc: DataFrame, config: ProfileConfig = DEFAULT, live: bool =
 def group_ranges(marked: DataFrame, groups: DataFrame) -> DataFrame:
     """(col_name, length, class, use, min_number, max_number, min_time, max_time) of numeric and date groups with several values."""
     wanted = groups.where(~F.col("unit") & F.col("use").isin(*NUMERIC_USES, *DATETIME_USES)).select(*GROUP, "use")
-    rows = marked.join(wanted, list(GROUP))
+    # Groups are as few as a header has lengths and classes; a group may hold most of all values, so rows stay where they are.
+    rows = marked.join(F.broadcast(wanted), list(GROUP))
     number = F.when(F.col("use") == "DecimalValue", F.col("norm_dec")).when(F.col("use").isin(*NUMERIC_USES), F.coalesce("norm_int", F.when(~F.col("norm_dec").contains("."), F.col("norm_dec")))).try_cast("decimal(38,10)")
     order = F.coalesce("date_order", F.lit("DMY"))
     time = F.lit(None).cast("timestamp_ntz")

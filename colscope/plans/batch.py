@@ -37,7 +37,7 @@ class Tables:
         parts, sizes = [], []
         for name, df in frames.items():
             text = cells.text_table(df).withColumn("_row", F.monotonically_increasing_id())
-            own = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(c).alias("col_name"), trimmed(F.col(f"`{c}`")).alias("value")) for i, c in enumerate(df.columns)])
+            own = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(c).alias("col_name"), cells.trimmed_cell(f).alias("value")) for i, (c, f) in enumerate(zip(df.columns, df.schema.fields, strict=True))])
             parts.append(text.select(F.lit(name).alias("table"), F.col("_row").alias("row"), F.explode(own).alias("c")).select("table", "row", "c.*").where("value <> ''"))
             sizes.append(df.agg(F.count("*").alias("total_rows")).select(F.lit(name).alias("table"), "total_rows"))
         header = spark.createDataFrame([(t, i, c) for t, df in frames.items() for i, c in enumerate(df.columns)], "table string, ord int, col_name string")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
 from ..operators import cells, columns, correlate, discovery, groups, keys
+from ..storage import Stored
 from ..streaming import events as file_events
 from . import details, oracle
 from .registry import ORACLE, QUERIES, counts, query, table
@@ -224,7 +225,7 @@ def column_uses_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle.uses("lineitem", "SELECT v.col_name, v.length, v.class, min(CAST(norm AS DECIMAL(38,10))) AS min_number, max(CAST(norm AS DECIMAL(38,10))) AS max_number FROM v JOIN u ON v.col_name = u.col_name AND v.length = u.length AND v.class = u.class WHERE u.n_values > 1 AND u.first_use IN ('DecimalValue', 'IntegerValue', 'NumericCode') GROUP BY ALL"))
 def group_minmax_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = groups.marked_values(counts(spark, sf_dir, "lineitem"))
-    found = groups.with_use(groups.group_flags(marked)).withColumn("use", F.col("first_use"))
+    found = Stored(groups.with_use(groups.group_flags(marked)).withColumn("use", F.col("first_use")), "query-groups").df
     return groups.group_ranges(marked, found).where("min_number is not null").select("col_name", "length", "class", "min_number", "max_number")
 
 
@@ -233,7 +234,7 @@ def outlier_groups_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..config import ProfileConfig
 
     marked = groups.marked_values(counts(spark, sf_dir, "orders"))
-    found = groups.with_use(groups.group_flags(marked)).withColumn("use", F.col("first_use"))
+    found = Stored(groups.with_use(groups.group_flags(marked)).withColumn("use", F.col("first_use")), "query-groups").df
     return groups.outlier_groups(groups.group_ranges(marked, found), ProfileConfig(outlier_range=10_000))
 
 

@@ -41,9 +41,9 @@ def profile(df: DataFrame, file_name: str = "", config: ProfileConfig = DEFAULT,
     """
     spark = df.sparkSession
     vc = Stored(cells.value_counts(df), "profile-counts").df
-    found = Stored(groups.profile_groups(vc, config, live), "profile-groups").df
-    cols = Stored(columns.profile_columns(found, config), "profile-columns").df
     marked = groups.marked_values(vc, config)
+    found = Stored(groups.profile_groups(vc, config, live, marked), "profile-groups").df
+    cols = Stored(columns.profile_columns(found, config), "profile-columns").df
     ranges = groups.group_ranges(marked, found)
     top = cells.top_values(vc, config)
     key, cut = keys.find_key(df, found, config)
