@@ -31,13 +31,15 @@ def _has_key(columns: list[str]) -> Column:
 
 def uniqueness(text: DataFrame, candidates: list[tuple[str, ...]]) -> DataFrame:
     """(candidate, n_rows, n_distinct) of combinations of columns, all in one aggregation; rows without a key don't count."""
-    sums = []
-    for i, c in enumerate(candidates):
-        whole = F.struct(*[F.col(f"`{x}`") for x in c])
-        sums += [F.count_if(_has_key(list(c))).alias(f"r{i}"), F.count_distinct(F.when(_has_key(list(c)), whole)).alias(f"d{i}")]
-    wide = text.agg(*sums)
-    rows = F.array(*[F.struct(F.lit(",".join(c)).alias("candidate"), F.col(f"r{i}").alias("n_rows"), F.col(f"d{i}").alias("n_distinct")) for i, c in enumerate(candidates)])
-    return wide.select(F.explode(rows).alias("x")).select("x.*")
+    # One text for a combination, each cell but the last behind its length, so that no two combinations give the same.
+    cell = lambda x: F.concat(F.length(f"`{x}`").cast("string"), F.lit(":"), F.col(f"`{x}`"))
+    whole = lambda c: F.when(_has_key(list(c)), F.concat(*map(cell, c[:-1]), F.col(f"`{c[-1]}`")))
+    keys = F.array(*[F.struct(F.lit(i).alias("i"), whole(c).alias("key")) for i, c in enumerate(candidates)])
+    each = text.select(F.explode(keys).alias("x")).select("x.*").where("key is not null").groupBy("i", "key").agg(F.count("*").alias("n"))
+    found = each.groupBy("i").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_distinct"))
+    names = text.sparkSession.createDataFrame([(i, ",".join(c)) for i, c in enumerate(candidates)], "i int, candidate string")
+    zero = F.lit(0).cast("long")
+    return names.join(F.broadcast(found), "i", "left").select("candidate", F.coalesce("n_rows", zero).alias("n_rows"), F.coalesce("n_distinct", zero).alias("n_distinct"))
 
 
 def repeated_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
