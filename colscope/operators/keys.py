@@ -53,6 +53,20 @@ def key_collisions(df: DataFrame, columns: list[str], limit: int = 10) -> DataFr
     return text_table(df).groupBy(*columns).agg(F.count("*").alias("n_rows")).where("n_rows > 1").orderBy(F.desc("n_rows"), *columns).limit(limit)
 
 
+#: Rows of a class from which on its rows are dealt to many tasks, and to how many.
+_HOT, _DEALS = 200_000, 64
+
+
+def _with_classes(rows: DataFrame, sums: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` (with row) that are in a class of ``sums`` (by, n and others), with what it says of the class. The rows of a large class
+    are dealt to many tasks; there are at most as many such classes as rows by ``_HOT``, so their names are broadcast."""
+    large = F.col("n") > _HOT
+    hot = F.broadcast(sums.where(large).select(*by, F.lit(True).alias("hot")))
+    dealt = rows.join(hot, by, "left").withColumn("deal", F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(_DEALS)).cast("int")).otherwise(0)).drop("hot")
+    each = sums.withColumn("deal", F.explode(F.when(large, F.sequence(F.lit(0), F.lit(_DEALS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+    return dealt.join(each, [*by, "deal"]).drop("deal")
+
+
 class Refinement:
     """Which sets of columns tell rows apart, by partitions refined column by column.
 
@@ -73,8 +87,8 @@ class Refinement:
         facts = sums.groupBy("last").agg(F.sum("n").alias("rows"), F.count("*").alias("distinct"), F.sum(F.when(F.col("value") == "", F.col("n"))).alias("empty"), F.sum(F.when(F.col("value") == "0", F.col("n"))).alias("zero"))
         #: Of each column: the filled cells, those that are 0, and the distinct values.
         self.facts = {names[r["last"]]: {"filled": r["rows"] - (r["empty"] or 0), "zeros": r["zero"] or 0, "distinct": r["distinct"]} for r in facts.collect()}
-        again = sums.where("n > 1").withColumn("blank", F.col("value").isin("", "0")).drop("n")
-        self.single = Stored(cells_.join(again, ["last", "value"]).select("last", "row", "class", "blank"), "keys-classes")
+        again = sums.where("n > 1").withColumn("blank", F.col("value").isin("", "0"))
+        self.single = Stored(_with_classes(cells_, again, ["last", "value"]).select("last", "row", "class", "blank"), "keys-classes")
         #: Of each width the tables (set, last, row, class, blank); ``set`` lists the columns.
         self.parts: dict[int, list[Stored]] = {}
 
@@ -91,8 +105,8 @@ class Refinement:
                 before = before.unionByName(p.df)
             one = self.single.df.where(F.col("last").isin(*new)).select(F.col("last").alias("next"), "row", F.col("class").alias("own"), F.col("blank").alias("own_blank"))
             both = before.join(one, "row").where("next > last").select("set", "next", "row", "class", "own", (F.col("blank") & F.col("own_blank")).alias("blank"))
-            sums = both.groupBy("set", "next", "class", "own").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1").drop("n")
-            left = both.join(sums, ["set", "next", "class", "own"])
+            sums = both.groupBy("set", "next", "class", "own").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1")
+            left = _with_classes(both, sums, ["set", "next", "class", "own"])
             parts = left.select(F.concat("set", F.array("next")).alias("set"), F.col("next").alias("last"), "row", F.col("least").alias("class"), "blank")
         kept = Stored(parts, f"keys-width-{width}")
         self.parts.setdefault(width, []).append(kept)
@@ -258,8 +272,8 @@ def find_keys(cells_: DataFrame, uses: DataFrame, config: ProfileConfig = DEFAUL
     columns = facts.df.groupBy("table").agg(F.collect_list(F.struct("last", "ord", "level")).alias("columns"))
     value = lambda c: F.coalesce(F.get(F.filter("own", lambda x: x["ord"] == c["ord"]), F.lit(0))["value"], F.lit(""))
     every = rows.df.join(columns, "table").select("table", "row", F.explode(F.transform("columns", lambda c: F.struct(c["last"].alias("last"), c["level"].alias("level"), value(c).alias("value")))).alias("c")).select("table", "row", "c.*")
-    sums = every.groupBy("table", "last", "value").agg(F.count("*").alias("n"), F.min("row").alias("class")).where("n > 1").drop("n")
-    single = Stored(every.join(sums, ["table", "last", "value"]).select("table", "last", "level", "row", "class", F.col("value").isin("", "0").alias("blank")), "keys-classes")
+    sums = every.groupBy("table", "last", "value").agg(F.count("*").alias("n"), F.min("row").alias("class")).where("n > 1")
+    single = Stored(_with_classes(every, sums, ["table", "last", "value"]).select("table", "last", "level", "row", "class", F.col("value").isin("", "0").alias("blank")), "keys-classes")
     #: Columns of each table up to each level, which say how many combinations there are.
     sizes = {}
     for r in facts.df.groupBy("table", "level").agg(F.count("*").alias("n")).collect():  # as many as headers have levels
@@ -282,8 +296,8 @@ def find_keys(cells_: DataFrame, uses: DataFrame, config: ProfileConfig = DEFAUL
                     before = before.unionByName(p.df)
                 one = new.select("table", F.col("last").alias("next"), "row", F.col("class").alias("own"), F.col("blank").alias("own_blank"))
                 both = before.join(one, ["table", "row"]).where("next > last").select("table", "set", "next", "row", "class", "own", (F.col("blank") & F.col("own_blank")).alias("blank"))
-                again = both.groupBy("table", "set", "next", "class", "own").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1").drop("n")
-                part = both.join(again, ["table", "set", "next", "class", "own"]).select("table", F.concat("set", F.array("next")).alias("set"), F.col("next").alias("last"), "row", F.col("least").alias("class"), "blank")
+                again = both.groupBy("table", "set", "next", "class", "own").agg(F.count("*").alias("n"), F.min("row").alias("least")).where("n > 1")
+                part = _with_classes(both, again, ["table", "set", "next", "class", "own"]).select("table", F.concat("set", F.array("next")).alias("set"), F.col("next").alias("last"), "row", F.col("least").alias("class"), "blank")
             kept = Stored(part, f"keys-width-{width}")
             parts.setdefault(width, []).append(kept)
             together = kept.df.where("not blank").select("table", "set").distinct()
