@@ -49,13 +49,14 @@ def number_samples(cells: DataFrame, config: ProfileConfig = DEFAULT) -> DataFra
 def number_plans(samples: DataFrame) -> DataFrame:
     """(col_name, mode, decimal, thousands, reason): how the numbers of each column are written.
 
-    thousands holds the symbols that group digits. A column without any sample with a separator has ``thousands_only``.
+    thousands holds the symbols that group digits; a sample counts n_values times where there is such a column. A column without any sample with a separator has ``thousands_only``.
     """
     s = unsigned(sanitized(F.col("value")))
-    rows = samples.select("col_name", s.alias("s"))
+    weight = F.col("n_values") if "n_values" in samples.columns else F.lit(1).cast("long")
+    rows = samples.select("col_name", s.alias("s"), weight.alias("w"))
     dots, commas = _count(F.col("s"), "."), _count(F.col("s"), ",")
-    rows = rows.select("col_name", dots.alias("d"), commas.alias("c"), _tail(F.col("s"), ".").alias("dt"), _tail(F.col("s"), ",").alias("ct"), (F.instr(F.reverse("s"), ".") < F.instr(F.reverse("s"), ",")).alias("dot_last"))
-    n = lambda cond: F.count_if(cond)
+    rows = rows.select("col_name", "w", dots.alias("d"), commas.alias("c"), _tail(F.col("s"), ".").alias("dt"), _tail(F.col("s"), ",").alias("ct"), (F.instr(F.reverse("s"), ".") < F.instr(F.reverse("s"), ",")).alias("dot_last"))
+    n = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("w"))), F.lit(0))
     d, c = F.col("d") > 0, F.col("c") > 0
     stats = rows.groupBy("col_name").agg(
         n(d | c).alias("any"), n(d).alias("dot"), n(c).alias("com"), n(F.col("d") > 1).alias("dot2"), n(F.col("c") > 1).alias("com2"),

@@ -28,6 +28,15 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+# What ``_BLANK`` takes.
+BLANKS = (" ", "\t", "\n", "\x0b", "\f", "\r", "\u00a0", "\ufeff")
+
+
+def blank_edged(c: Column) -> Column:
+    """Whether ``trimmed`` changes a text."""
+    return F.substring(c, 1, 1).isin(*BLANKS) | F.substring(c, -1, 1).isin(*BLANKS)
+
+
 def trimmed(c: Column) -> Column:
     """Without white space of any kind at either end, the no-break space and byte order mark included."""
     return F.regexp_replace(c, rf"^{_BLANK}|{_BLANK}$", "")
@@ -35,7 +44,7 @@ def trimmed(c: Column) -> Column:
 
 def plain_number(c: Column) -> Column:
     """A double as text without an exponent or trailing zeros; '' for NaN and infinities."""
-    fixed = F.regexp_replace(c.cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
+    fixed = F.rtrim(F.rtrim(c.cast("decimal(38,10)").cast("string"), F.lit("0")), F.lit("."))
     return F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit("")).otherwise(fixed)
 
 
@@ -52,7 +61,8 @@ def cell_text(c: Column, kind: T.DataType) -> Column:
     else:
         text = c.cast("string")
     text = F.coalesce(text, F.lit(""))
-    return F.when(trimmed(text).rlike(NULLISH), F.lit("")).otherwise(text) if isinstance(kind, T.StringType) else text
+    may_say = F.lower(text).contains("null") | F.lower(text).contains("n/a")
+    return F.when(may_say & trimmed(text).rlike(NULLISH), F.lit("")).otherwise(text) if isinstance(kind, T.StringType) else text
 
 
 def char_class(c: Column) -> Column:

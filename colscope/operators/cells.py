@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, ProfileConfig
-from ..functions.text import cell_text, trimmed
+from ..functions.text import blank_edged, cell_text, trimmed
 
 
 def text_table(df: DataFrame) -> DataFrame:
@@ -18,7 +18,8 @@ def text_table(df: DataFrame) -> DataFrame:
 def trimmed_cell(field: T.StructField) -> Column:
     """A cell's text in ``text_table``, trimmed; texts of numbers, dates and truth values have nothing to trim."""
     bare = isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType))
-    return F.col(f"`{field.name}`") if bare else trimmed(F.col(f"`{field.name}`"))
+    c = F.col(f"`{field.name}`")
+    return c if bare else F.when(blank_edged(c), trimmed(c)).otherwise(c)
 
 
 def cells(df: DataFrame) -> DataFrame:

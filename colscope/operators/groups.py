@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BOOLEAN_PAIRS, DATETIME_USES, DEFAULT, NUMERIC_USES, ProfileConfig
-from ..functions.dates import ORDERS, chosen_format, chosen_order, order_confidence, order_counts, parse_date_strict, parse_datetime_strict, parse_time_strict, with_date_marks
+from ..functions.dates import MAY_BE_DATED, ORDERS, chosen_format, chosen_order, order_confidence, order_counts, parse_date_strict, parse_datetime_strict, parse_time_strict, with_date_marks
 from ..functions.numbers import number_like, number_plans, with_numbers
 from ..functions.text import char_class
 from ..storage import Stored
@@ -31,7 +31,42 @@ def date_orders(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
 
 def plans_of(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
     """The number plan of each column, from all its distinct values that look like numbers."""
-    return number_plans(number_like(vc.select("col_name", "value")))
+    return number_plans(number_like(vc.select("col_name", "value", *[c for c in vc.columns if c == "n_values"])))
+
+
+#: Texts up to this length share a kind; their digits are a long.
+KIND_LENGTH = 18
+
+
+def kinds(vc: DataFrame) -> DataFrame:
+    """(ord, col_name, value, n_values, n_rows, repeated, low, high): ``vc`` with the values that differ in the digits 1 to 9 only as one
+    row, whose ``value`` has a 9 for each of these digits; low and high are the least and largest number that their digits make.
+
+    What groups and plans ask of a text is whether its characters are digits and whether those are zeros, so ``value`` answers for all
+    its kind. Others keep a row each, without low and high: texts that may be dates or times (eight digits alone never parse as a
+    date), numbers with an exponent, those of one character, and long ones."""
+    v = F.col("value")
+    dated = F.trim(v).rlike(MAY_BE_DATED) & ~F.trim(v).rlike("^[0-9]{8}$")
+    shared = F.length(v).between(2, KIND_LENGTH) & ~dated & ~(v.rlike("[eE]") & v.rlike("^[0-9.eE+-]+$"))
+    rows = vc.select("ord", "col_name", "n_rows", "value", shared.alias("shared"))
+    digits = F.when(v.rlike("^[0-9]+$"), v).otherwise(F.regexp_replace(v, "[^0-9]+", "")).try_cast("long")
+    rows = rows.select("ord", "col_name", "n_rows", F.when(F.col("shared"), F.translate(v, "12345678", "99999999")).otherwise(v).alias("value"), F.when(F.col("shared"), digits).alias("x"))
+    repeated = F.bool_or(F.col("n_rows") > 1)
+    return rows.groupBy("ord", "col_name", "value").agg(F.count("*").alias("n_values"), F.sum("n_rows").alias("n_rows"), repeated.alias("repeated"), F.min("x").alias("low"), F.max("x").alias("high"))
+
+
+def _of_kind(number: str) -> Column:
+    """The text of the kind ``value`` whose digits make ``number``; ``value`` itself where that is null."""
+    before = lambda end: f"length(regexp_replace({end}, '[^0-9]', ''))"
+    digits = f"lpad(CAST({number} AS STRING), {before('value')}, '0')"
+    one = f"CASE WHEN substring(value, i, 1) RLIKE '[0-9]' THEN substring({digits}, {before('substring(value, 1, i)')}, 1) ELSE substring(value, i, 1) END"
+    return F.expr(f"CASE WHEN {number} IS NULL THEN value ELSE array_join(transform(sequence(1, length(value)), i -> {one}), '') END")
+
+
+def marked_kinds(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
+    """``marked_values`` of the kinds of ``vc``: all that ``profile_groups`` and ``group_ranges`` need. norm_dec and norm_int are
+    those of a kind's ``value``."""
+    return _marked(kinds(vc), config, "n_values", "repeated", "low", "high", "decimal", "thousands")
 
 
 def marked_values(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
@@ -40,13 +75,17 @@ def marked_values(vc: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
 
     Plans, orders and several later steps read these rows, so both the marks of dates and the result are written: values are counted
     once and taken apart once."""
+    return _marked(vc, config)
+
+
+def _marked(vc: DataFrame, config: ProfileConfig, *more: str) -> DataFrame:
     stored = Stored(with_date_marks(vc, config=config).withColumns({"length": F.length("value").cast("long"), "class": char_class(F.col("value"))}), "groups-dated")
     dated = stored.df
     plans = F.broadcast(plans_of(dated, config))
     orders = F.broadcast(_orders(dated, config))
     rows = dated.join(plans, "col_name", "left").join(orders, "col_name", "left")
     rows = with_numbers(rows.withColumns({"mode": F.coalesce("mode", F.lit("thousands_only")), "thousands": F.coalesce("thousands", F.lit(".,"))}))
-    out = Stored(rows.select("ord", "col_name", "value", "n_rows", "mode", "date_order", *MARKS, "length", "class", "norm_dec", "norm_int"), "groups-marked")
+    out = Stored(rows.select("ord", "col_name", "value", "n_rows", "mode", "date_order", *MARKS, "length", "class", "norm_dec", "norm_int", *more), "groups-marked")
     stored.drop()
     return out.df
 
@@ -64,7 +103,10 @@ def _fraction(d: Column) -> Column:
 
 
 def group_flags(marked: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame:
-    """A row for each group with all that the choice of its use needs."""
+    """A row for each group with all that the choice of its use needs, from ``marked_values`` or ``marked_kinds``."""
+    if "n_values" not in marked.columns:
+        marked = marked.withColumns({"n_values": F.lit(1).cast("long"), "repeated": F.col("n_rows") > 1})
+    count = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n_values"))), F.lit(0))
     v, dec, whole = F.col("value"), F.col("norm_dec"), F.col("norm_int")
     words = sorted({w for pair in BOOLEAN_PAIRS for w in pair})
     low = F.lower("value")
@@ -73,19 +115,19 @@ def group_flags(marked: DataFrame, config: ProfileConfig = DEFAULT) -> DataFrame
     no_fraction = dec.isNotNull() & ~_fraction(dec)
     fits = [f"{k}_{o}" for k in ("date", "datetime") for o in ORDERS]
     aggregates = [
-        F.count("*").alias("n_values"), F.sum("n_rows").alias("n_rows"), F.first("ord").alias("ord"), F.first("date_order").alias("column_order"),
+        F.sum("n_values").alias("n_values"), F.sum("n_rows").alias("n_rows"), F.first("ord").alias("ord"), F.first("date_order").alias("column_order"),
         F.bool_and(v.rlike("^-?[0-9]+$")).alias("numeric_only"), F.bool_or(v.startswith("-")).alias("some_sign"),
         F.bool_and(F.coalesce(v.try_cast("double") == 0, F.lit(False)) & v.rlike("^[0-9.eE+-]+$")).alias("zeros"),
         F.bool_and(low.isin(*words)).alias("boolean_words"), F.sort_array(F.collect_set(F.when(low.isin(*words), low))).alias("words"),
         F.bool_and(v.rlike(r"^[^\s@]+@[^\s@]+\.[^\s@]+$")).alias("emails"),
         F.bool_and(v.rlike(r"^[A-Za-z0-9_.-]+$")).alias("code"), F.bool_and(v.rlike(r"^[A-Za-z._-]+$")).alias("all_letters"), F.bool_and(v.rlike("^[0-9]+$")).alias("all_digits"),
         F.bool_or(letters).alias("some_letter"), F.bool_or(v.rlike("[0-9]")).alias("some_digit"),
-        F.count_if(full).alias("full"), F.count_if(full & dec.isNotNull()).alias("decimals"), F.bool_or(F.coalesce(full & _fraction(dec), F.lit(False))).alias("fraction"),
-        F.count_if(full & (no_fraction | whole.isNotNull())).alias("integers"),
+        count(full).alias("full"), count(full & dec.isNotNull()).alias("decimals"), F.bool_or(F.coalesce(full & _fraction(dec), F.lit(False))).alias("fraction"),
+        count(full & (no_fraction | whole.isNotNull())).alias("integers"),
         F.bool_or(full & (F.coalesce(no_fraction & (dec.try_cast("double") < 0), F.lit(False)) | F.coalesce(whole.try_cast("double") < 0, F.lit(False)))).alias("negative"),
-        F.bool_or(F.col("n_rows") > 1).alias("repeated"),
+        F.bool_or("repeated").alias("repeated"),
         F.bit_and("mask").alias("mask"), *[F.bool_and(k).alias(k) for k in ("time_ok", *fits)],
-        *order_counts(),
+        F.sum("n_values").alias("seen"), *order_counts()[1:],
     ]
     return marked.groupBy(*GROUP).agg(*aggregates)
 
@@ -150,9 +192,9 @@ def profile_groups(vc: DataFrame, config: ProfileConfig = DEFAULT, live: bool =
 
     ``unit`` groups have one value. Their use becomes a code if all larger groups of the column are codes. Numeric groups of a
     column whose rows are numbers throughout become decimal or integer values. first_use is the use before those steps.
-    ``marked`` is ``marked_values`` of ``vc``, where there is one already.
+    ``marked`` is ``marked_values`` or ``marked_kinds`` of ``vc``, where there is one already.
     """
-    marked = marked_values(vc, config) if marked is None else marked
+    marked = marked_kinds(vc, config) if marked is None else marked
     groups = Stored(with_use(group_flags(marked, config), config, live), "groups-flags").df
     column = Window.partitionBy("col_name")
     real = ~F.col("first_use").isin("Empty", "ZerosOnly")
@@ -170,10 +212,15 @@ def profile_groups(vc: DataFrame, config: ProfileConfig = DEFAULT, live: bool =
 
 
 def group_ranges(marked: DataFrame, groups: DataFrame) -> DataFrame:
-    """(col_name, length, class, use, min_number, max_number, min_time, max_time) of numeric and date groups with several values."""
+    """(col_name, length, class, use, min_number, max_number, min_time, max_time) of numeric and date groups with several values.
+
+    Of a kind only its ends are read: its texts have their digits in the same places, so numbers follow them."""
     wanted = groups.where(~F.col("unit") & F.col("use").isin(*NUMERIC_USES, *DATETIME_USES)).select(*GROUP, "use")
     # Groups are as few as a header has lengths and classes; a group may hold most of all values, so rows stay where they are.
     rows = marked.join(F.broadcast(wanted), list(GROUP))
+    if "low" in marked.columns:
+        ends = F.array_distinct(F.array(_of_kind("low"), _of_kind("high")))
+        rows = with_numbers(rows.select(*GROUP, "use", "date_order", "mode", "decimal", "thousands", F.explode(ends).alias("value")))
     number = F.when(F.col("use") == "DecimalValue", F.col("norm_dec")).when(F.col("use").isin(*NUMERIC_USES), F.coalesce("norm_int", F.when(~F.col("norm_dec").contains("."), F.col("norm_dec")))).try_cast("decimal(38,10)")
     order = F.coalesce("date_order", F.lit("DMY"))
     time = F.lit(None).cast("timestamp_ntz")

@@ -208,7 +208,7 @@ def serial_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle.uses("orders", "SELECT col_name, length, class, zeros, code, all_letters, all_digits, decimals, fraction, negative FROM f"))
 def use_flags_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = groups.group_flags(groups.marked_values(counts(spark, sf_dir, "orders")))
+    flags = groups.group_flags(groups.marked_kinds(counts(spark, sf_dir, "orders")))
     return flags.select("col_name", "length", "class", "zeros", "code", "all_letters", "all_digits", "decimals", "fraction", "negative")
 
 
@@ -224,7 +224,7 @@ def column_uses_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle.uses("lineitem", "SELECT v.col_name, v.length, v.class, min(CAST(norm AS DECIMAL(38,10))) AS min_number, max(CAST(norm AS DECIMAL(38,10))) AS max_number FROM v JOIN u ON v.col_name = u.col_name AND v.length = u.length AND v.class = u.class WHERE u.n_values > 1 AND u.first_use IN ('DecimalValue', 'IntegerValue', 'NumericCode') GROUP BY ALL"))
 def group_minmax_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = groups.marked_values(counts(spark, sf_dir, "lineitem"))
+    marked = groups.marked_kinds(counts(spark, sf_dir, "lineitem"))
     found = Stored(groups.with_use(groups.group_flags(marked)).withColumn("use", F.col("first_use")), "query-groups").df
     return groups.group_ranges(marked, found).where("min_number is not null").select("col_name", "length", "class", "min_number", "max_number")
 
@@ -233,7 +233,7 @@ def group_minmax_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def outlier_groups_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..config import ProfileConfig
 
-    marked = groups.marked_values(counts(spark, sf_dir, "orders"))
+    marked = groups.marked_kinds(counts(spark, sf_dir, "orders"))
     found = Stored(groups.with_use(groups.group_flags(marked)).withColumn("use", F.col("first_use")), "query-groups").df
     return groups.outlier_groups(groups.group_ranges(marked, found), ProfileConfig(outlier_range=10_000))
 

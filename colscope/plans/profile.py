@@ -41,7 +41,7 @@ def profile(df: DataFrame, file_name: str = "", config: ProfileConfig = DEFAULT,
     """
     spark = df.sparkSession
     vc = Stored(cells.value_counts(df), "profile-counts").df
-    marked = groups.marked_values(vc, config)
+    marked = groups.marked_kinds(vc, config)
     found = Stored(groups.profile_groups(vc, config, live, marked), "profile-groups").df
     cols = Stored(columns.profile_columns(found, config), "profile-columns").df
     ranges = groups.group_ranges(marked, found)
