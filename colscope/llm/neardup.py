@@ -12,8 +12,9 @@
    confirm pairs by both families of hashes, and only a spanning forest of the confirmed links leaves the unit.
 4. Connected components of the links, again by alternating large-star and small-star.
 5. A bucket above ``unit`` whose texts are not of one component yet is cut into blocks, and those pairs of blocks that hold
-   more than its largest component are units of a second pass. Texts of one component need no check, so in the end every
-   pair of every bucket is compared or known to be connected.
+   more than its largest component are units of a second pass. Where the bands of a cluster gather much the same texts, its buckets
+   are taken as one, so that a pair is compared once and not in each band; each cluster goes the way that ships fewer rows. Texts of
+   one component need no check, so in the end every pair of every bucket is compared or known to be connected.
 
 A pair at the threshold is missed by all bands with a probability below 1e-7; the number of bands follows from the
 threshold.
@@ -206,9 +207,9 @@ def _in_bytes(members: Kept, most: int) -> DataFrame:
 
 
 def _block_pairs(rows: DataFrame, count: str) -> DataFrame:
-    """(unit, side, rid): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
-    rows = rows.select("rid", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
-    return rows.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "rid")
+    """(unit, side, rid, part): rows of a key, each in its ``block``, for each pair of blocks; ``count`` blocks stand against each."""
+    rows = rows.select("rid", "part", "key", "block", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("with"))
+    return rows.select(F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("unit"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"), "rid", "part")
 
 
 def _one_of_each(members: DataFrame) -> DataFrame:
@@ -218,7 +219,7 @@ def _one_of_each(members: DataFrame) -> DataFrame:
 
 
 def _units(reps: DataFrame, unit: int) -> tuple[Kept, Kept]:
-    """(unit, side, rid, part): what is compared together, and (key, rid): the buckets above ``unit`` of large clusters, of which
+    """(unit, side, rid, part): what is compared together, and (key, rid, cluster): the buckets above ``unit`` of large clusters, of which
     some pairs are left for the second pass. See the module's docstring, steps 2 and 5."""
     keyed = reps.select("rid", F.posexplode("bands").alias("band", "value")).select("rid", F.xxhash64("band", "value").alias("key"))
     sizes = Kept(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("low")).where("n > 1"), "neardup-sizes")
@@ -229,7 +230,7 @@ def _units(reps: DataFrame, unit: int) -> tuple[Kept, Kept]:
     whole = cluster.df.join(large, "component", "left_anti").select(F.xxhash64(F.lit("c"), "component").alias("unit"), F.col("node").alias("rid"))
     heavy = cluster.df.join(large, "component", "left_semi").select(F.col("node").alias("rid"))
     pieces = inside.df.join(heavy, "rid", "left_semi")
-    wide = Kept(pieces.where(F.col("n") > unit), "neardup-wide")
+    wide = Kept(pieces.where(F.col("n") > unit).join(cluster.df.select(F.col("node").alias("low"), F.col("component").alias("cluster")), "low"), "neardup-wide")
     # Two buckets of a text, the same ones as far as it shares them with others.
     two = wide.df.groupBy("rid").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("key").alias("order"), "key", "n", "low"))), 1, 2).alias("two"))
     two = two.select("rid", F.explode("two").alias("b")).select("rid", "b.low", F.xxhash64("b.key", F.pmod(F.xxhash64("rid", F.lit(5)), F.ceil(F.col("b.n") / (unit // 2)))).alias("key"))
@@ -242,20 +243,30 @@ def _units(reps: DataFrame, unit: int) -> tuple[Kept, Kept]:
     return units, wide
 
 
-def _left_units(wide: DataFrame, reached: DataFrame, unit: int) -> DataFrame:
-    """(unit, side, rid, part): what large buckets still have to compare. See the module's docstring, step 5.
-
-    A bucket's largest component is cut into blocks of its own, which are compared with those of the rest only.
-    """
-    members = wide.select("key", "rid").join(reached, F.col("rid") == F.col("node"), "left").select("key", "rid", F.coalesce("component", "rid").alias("part"))
+def _in_blocks(members: DataFrame, unit: int) -> DataFrame:
+    """(cluster, key, rid, part, block, against): the members of keys of several components, dealt to blocks. A key's largest component
+    has blocks of its own, which are compared with those of the rest only."""
     sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     most = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")).where("n > n_main")
-    members = members.join(most, "key")
     blocks = lambda n: F.ceil(n / (unit // 2)).cast("int")
-    members = members.join(_one_of_each(members), "key", "left_semi").withColumns({"rest": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "hash": F.xxhash64("rid", F.lit(5))})
+    members = members.join(most, "key").withColumns({"rest": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main")), "hash": F.xxhash64("rid", F.lit(5))})
     inner = F.col("part") == F.col("main")
-    members = members.withColumns({"block": F.when(inner, F.col("rest") + F.pmod("hash", "mains")).otherwise(F.pmod("hash", "rest")).cast("int"), "against": F.when(inner, F.col("rest")).otherwise(F.col("rest") + F.col("mains"))})
-    return _block_pairs(members, "against").join(members.select("rid", "part").distinct(), "rid")
+    block = F.when(inner, F.col("rest") + F.pmod("hash", "mains")).otherwise(F.pmod("hash", "rest")).cast("int")
+    return members.select("cluster", "key", "rid", "part", block.alias("block"), F.when(inner, F.col("rest")).otherwise(F.col("rest") + F.col("mains")).alias("against"))
+
+
+def _left_units(wide: DataFrame, reached: DataFrame, unit: int) -> Kept:
+    """(unit, side, rid, part): what large buckets still have to compare. See the module's docstring, step 5."""
+    members = Kept(wide.select("cluster", "key", "rid").join(reached, F.col("rid") == F.col("node"), "left").select("cluster", "key", "rid", F.coalesce("component", "rid").alias("part")), "neardup-left-members")
+    whole = members.df.select("cluster", F.xxhash64(F.lit("w"), "cluster").alias("key"), "rid", "part").distinct()
+    ways = [Kept(_in_blocks(x, unit), "neardup-left-blocks") for x in (members.df.join(_one_of_each(members.df), "key", "left_semi"), whole)]
+    cost = [x.df.groupBy("cluster").agg(F.sum(F.col("against").cast("long")).alias(name)) for x, name in zip(ways, ("apart", "together"), strict=True)]
+    fewer = F.broadcast(cost[0].join(cost[1], "cluster").where("together < apart").select("cluster"))
+    rows = ways[0].df.join(fewer, "cluster", "left_anti").unionByName(ways[1].df.join(fewer, "cluster", "left_semi"))
+    left = Kept(_block_pairs(rows, "against"), "neardup-left-units")
+    for x in (members, *ways):
+        x.drop()
+    return left
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, unit: int = 512) -> DataFrame:
@@ -313,7 +324,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
     links = [links_of(units.df)]
     reached = components(links[0].df, "neardup-links")
     if wide.df.limit(1).count():
-        left = Kept(_left_units(wide.df, reached.df, unit), "neardup-left-units")
+        left = _left_units(wide.df, reached.df, unit)
         if left.df.limit(1).count():
             links.append(links_of(left.df))
             reached.drop()

@@ -604,3 +604,23 @@ def test_leaks_of_several_blocks_of_items(spark, monkeypatch):
     assert len(list(decontam._blocks(b, 0.5))) > 2
     assert sorted(map(tuple, decontam.find_leaks(d, b).collect())) == whole
     assert sorted(x.doc_id for x in decontam.drop_leaks(d, b).collect()) == [i for i in range(20) if i % 2 == 0]
+
+
+def test_alike_buckets_are_compared_once(spark):
+    """op7 and the pipeline, round 3: texts that share many large buckets meet once, not in each, and no pair of a bucket is missed."""
+    from itertools import combinations
+
+    from colscope.llm.neardup import _left_units
+
+    keys = {k: [r for r in range(40) if r != k] for k in range(12)} | {100: list(range(100, 120)), 101: list(range(118, 140))}
+    wide = spark.createDataFrame([(k, int(k >= 100), r) for k, rs in keys.items() for r in rs], "key long, cluster long, rid long")
+    reached = spark.createDataFrame([(r, 0) for r in range(5)] + [(r, 130) for r in (130, 131)], "node long, component long")
+    left = _left_units(wide, reached, 8)
+    units = {}
+    for r in getattr(left, "df", left).collect():
+        units.setdefault(r.unit, []).append((r.rid, r.side, r.part))
+    met = {frozenset((a[0], b[0])) for rows in units.values() for a, b in combinations(rows, 2) if not a[1] or a[1] != b[1]}
+    part = {r.node: r.component for r in reached.collect()}
+    assert all(frozenset(p) in met for rs in keys.values() for p in combinations(rs, 2) if part.get(p[0], p[0]) != part.get(p[1], p[1]))
+    assert sum(len(rows) for rows in units.values() if rows[0][0] < 100) <= 40 * 12
+    assert max(map(len, units.values())) <= 24
