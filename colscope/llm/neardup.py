@@ -38,7 +38,7 @@ ROWS = 5
 MISS = 1e-7
 #: Bytes of text of a unit; a single text may have more.
 UNIT_BYTES = 24_000_000
-#: Names of texts to fetch (some 300 bytes each, signatures included) up to which they are sent to all; more go past a filter.
+#: Names of texts to fetch up to which they are sent to all; more go past a filter.
 SENT_ROWS = 50_000
 
 
@@ -303,16 +303,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
         signed = units.join(reps.df.select("rid", "n_bytes", "n_shingles", "signature"), "rid").select("unit", "side", "rid", "part", "n_bytes", "n_shingles", "signature")
         left = Kept(signed.groupBy("unit").applyInArrow(_left_over(percent), "unit long, side int, rid long, part long, n_bytes long"), "neardup-left")
         chosen = Kept(left.df.select("rid").distinct().join(reps.df.select("rid", "doc_id", "h", "signature"), "rid"), "neardup-chosen")
-        n, bits, there = chosen.df.count(), None, rows.where("doc_id is not null").select("doc_id", "h", "text")
+        n, bits, there, text = chosen.df.count(), None, rows.where("doc_id is not null").select("doc_id", "h", "text"), ["doc_id", "h"]
+        # Past either sieve a text moves to its name, where the names of its units meet it, and from there to its units.
         if n <= SENT_ROWS:
-            near = there.join(F.broadcast(chosen.df), ["doc_id", "h"])
+            near = there.join(F.broadcast(chosen.df.select(*text)), text)
         else:
-            named = F.xxhash64("doc_id", "h").alias("key")
-            bits = _filter(chosen.df.select(named), n)
-            near = there.withColumn("key", F.xxhash64("doc_id", "h")).mapInArrow(_needed(bits), "doc_id long, h long, text string, key long").select("doc_id", "h", "text")
-            near = chosen.df.join(near, ["doc_id", "h"])
-        texts = near.groupBy("rid").agg(F.first("text").alias("text"), F.first("signature").alias("signature"))
-        work = _in_bytes(left, UNIT_BYTES).join(texts, "rid").select("unit", "side", "block", "rid", "part", "text", "signature")
+            key = F.xxhash64(*text).alias("key")
+            bits = _filter(chosen.df.select(key), n)
+            near = there.withColumn("key", key).mapInArrow(_needed(bits), "doc_id long, h long, text string, key long")
+        near = near.groupBy(*text).agg(F.first("text").alias("text"))
+        work = _in_bytes(left, UNIT_BYTES).join(chosen.df, "rid").join(near, text).select("unit", "side", "block", "rid", "part", "text", "signature")
         found = Kept(work.groupBy("unit").applyInArrow(_linker(width, percent), "u long, v long"), "neardup-linked")
         if bits is not None:
             bits.unpersist()
@@ -347,3 +347,18 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, uni
         x.drop()
     release(spark)
     return result.df
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id isn't in ``gone`` (doc_id long, distinct). Rows without a doc_id stay.
+
+    Few ids are sent to all. Past more of them a filter passes most rows where they are, and only those it may hold are joined, so
+    texts that stay don't move.
+    """
+    n = gone.count()
+    if n <= SENT_ROWS:
+        return docs.join(F.broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
+    key = lambda: F.xxhash64(F.col("doc_id").cast("long"))
+    bits = _filter(gone.select(key().alias("key")), n)
+    held = F.arrow_udf(lambda keys: pa.array(_may_hold(bits.value, keys.to_numpy())), "boolean")
+    return docs.where(~held(key())).unionByName(docs.where(held(key())).join(gone, "doc_id", "left_anti").select(*docs.columns))

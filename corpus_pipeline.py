@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from colscope.llm.common import Kept, release
 from colscope.llm.decontam import drop_leaks
 from colscope.llm.langid import UNDETERMINED, identify_languages, train
-from colscope.llm.neardup import near_duplicates
+from colscope.llm.neardup import near_duplicates, without
 from colscope.llm.packing import pack_documents
 from colscope.llm.secretscan import redact_secrets
 
@@ -32,8 +32,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-duplicates: of each group the document with the least doc_id stays; rows of one doc_id stay together."""
-    gone = near_duplicates(docs, threshold=SIMILAR, width=SHINGLE).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, near_duplicates(docs, threshold=SIMILAR, width=SHINGLE).where(~F.col("kept")).select("doc_id").distinct())
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

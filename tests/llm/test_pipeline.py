@@ -60,3 +60,23 @@ def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
         assert now.columns == df.columns
     assert sorted((x.doc_id or 0, x.h, x.lang_pred) for x in now.collect()) == [(0, 1, "zz"), (1, 1, "zz"), (1, 1, "zz"), (5, 1, "zz")]
     assert {x.doc_id for x in cp.STAGES[-1][1](spark, now, str(tmp_path)).collect()} == {None, 1, 5}
+
+
+def test_texts_that_near_dedup_keeps_do_not_move(spark, monkeypatch):
+    import corpus_pipeline as cp
+
+    same = "a text of several words that comes more than once in here"
+    rows = [(i, " ".join(f"w{i * 7 + k}x{i}" for k in range(9)), "en") for i in range(40)] + [(50, same, "en"), (51, same, "en"), (51, same, "fr"), (52, same, None), (53, "", "en"), (None, same, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if too many went to be sent by Spark's own choice
+    try:
+        for sent in (50_000, 0):
+            monkeypatch.setattr("colscope.llm.neardup.SENT_ROWS", sent)
+            left = cp.near_dedup_stage(spark, docs, "")
+            plan = left._jdf.queryExecution().executedPlan().toString() if sent else left._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+            assert ("SortMergeJoin" if sent else "LeftAnti") not in plan
+            assert left.columns == docs.columns
+            assert sorted((x.doc_id if x.doc_id is not None else -1, x.text) for x in left.collect()) == sorted([(d if d is not None else -1, t) for d, t, _ in rows if d not in (51, 52)])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
