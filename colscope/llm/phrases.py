@@ -33,6 +33,8 @@ _ENDS[[*b".,;:!?", 10, 11, 12, 13]] = True
 NAMED_BYTES = 6_000_000
 #: Rows of sums that a task holds back to add them up.
 HELD_ROWS = 2_500_000
+#: Bytes of grams whose places are named at once (eight bytes for each, three times), and rows of a batch that leaves a task.
+SPAN_BYTES, SENT_ROWS = 1_000_000, 100_000
 #: Memory of one bucket's counts before DuckDB spills.
 BUCKET_MEMORY = "256MB"
 
@@ -44,8 +46,20 @@ def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+def _spans(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The spans of ``size`` bytes from ``start`` on as strings, gathered a block at a time."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    text, i = np.empty(ends[-1], np.uint8), 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + SPAN_BYTES, side="right")) - 1)
+        text[ends[i] : ends[j]] = data[np.arange(ends[i], ends[j]) + np.repeat(start[i:j] - ends[i:j], size[i:j])]
+        i = j
+    return _strings(text, ends)
+
+
 def _summed(table: pa.Table, by: list[str], schema: pa.Schema) -> pa.Table:
-    return table.group_by(by).aggregate([("n", "sum")]).rename_columns([*by, "n"]).select(schema.names).cast(schema)
+    # By one thread: each has a table of its own otherwise.
+    return table.group_by(by, use_threads=False).aggregate([("n", "sum")]).rename_columns([*by, "n"]).select(schema.names).cast(schema)
 
 
 def split_pieces(column) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
@@ -120,11 +134,11 @@ def _grams(orders: tuple[int, ...], known: int, bits):
             if rows > HELD_ROWS:
                 held = [_summed(pa.concat_tables(held), ["lang", "gram"], GRAMS)]
                 if held[0].num_rows > HELD_ROWS // 2:
-                    yield from held[0].to_batches()
+                    yield from held[0].to_batches(SENT_ROWS)
                     held = []
                 rows = sum(t.num_rows for t in held)
         if held:
-            yield from (_summed(pa.concat_tables(held), ["lang", "gram"], GRAMS) if len(held) > 1 else held[0]).to_batches(100_000)
+            yield from (_summed(pa.concat_tables(held), ["lang", "gram"], GRAMS) if len(held) > 1 else held[0]).to_batches(SENT_ROWS)
 
     return run
 
@@ -172,11 +186,8 @@ def _chunk_grams(orders: tuple[int, ...], known: int, bits):
                     at = at[flagged[at]]
                 if order in orders:
                     count = np.bincount(names, weights=many[at].astype(float)).astype(np.int64)
-                    begin, length = w.start[seen], w.end[seen + order - 1] - w.start[seen]
-                    ends = np.concatenate([[0], np.cumsum(length)])
-                    text = data[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], length)]
-                    out = pa.table({"lang": langs.take(pa.array(lang_of[w.doc[seen]])), "gram": _strings(text, ends), "n": count})
-                    yield out.cast(GRAMS)
+                    grams = _spans(data, w.start[seen], w.end[seen + order - 1] - w.start[seen])
+                    yield pa.table({"lang": langs.take(pa.array(lang_of[w.doc[seen]])), "gram": grams, "n": count}).cast(GRAMS)
 
     return run
 

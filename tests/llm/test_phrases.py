@@ -71,3 +71,22 @@ def test_scores_beyond_64_bits(spark):
     totals = spark.createDataFrame([("en", 91 * big)], "lang string, n long")
     got = _scored(grams, totals).select(F.col("score")).first()[0]
     assert got == 1000 * (big + 7) * 91 * big // ((3 * big + 1) * (2 * big + 3))
+
+
+def test_grams_are_named_in_little_memory():
+    """All places of a chunk's grams at once took 24 bytes for each byte of them."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from colscope.llm.phrases import GRAMS, PIECES, _grams
+
+    words = [f"w{k:029d}" for k in range(190_000)]
+    pieces = pa.table({"lang": ["en"] * 1_900, "piece": [" ".join(words[k : k + 100]) for k in range(0, len(words), 100)], "n": np.full(1_900, 3)}, schema=PIECES)
+    tracemalloc.start()
+    got = pa.Table.from_batches(_grams((1,), 0, None)(pieces.to_batches()), GRAMS)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.column("gram").to_pylist() == words and set(got.column("n").to_pylist()) == {3}
+    assert most < 80e6
