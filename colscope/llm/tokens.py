@@ -20,10 +20,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .common import Words, _blocks, chunks, same_spans, span_sums
+from .common import _SPACE, Words, _blocks, chunks, same_spans, span_sums
 
 #: Segments that a task remembers, and bytes of their names; beyond either, it starts anew.
 REMEMBERED, NAMES = 1_000_000, 16_000_000
+#: Segments that the tokenizer gets as one text, and bytes of the longest of them.
+JOINED, LONGEST = 16, 64
 
 
 @functools.cache
@@ -51,6 +53,50 @@ def cut_of(path: str) -> str:
     return "whole"
 
 
+@functools.cache
+def byte_lengths(path: str) -> np.ndarray | None:
+    """Bytes that each id stands for, if the tokenizer is byte-level: its vocabulary writes each byte as one character."""
+    if cut_of(path) != "space":
+        return None
+    vocabulary = tokenizer(path).get_vocab()
+    found = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+    found[list(vocabulary.values())] = list(map(len, vocabulary))
+    return found
+
+
+def _flat(texts: list[str], tok) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, and how many each has."""
+    ids = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum())), size
+
+
+def _ids_of(raw: bytes, span: np.ndarray, tok, lengths: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of segments that lie side by side in ``raw``, and how many each has.
+
+    Words with the space before them are cut from each other by a byte-level tokenizer, so several are encoded as one text. Where
+    the ids of each begin follows from the bytes they stand for; should an id reach over a border, each segment is encoded alone.
+    """
+    ends = np.cumsum(span)
+    offsets = np.concatenate([[0], ends])
+    alone = lambda: _flat([raw[a:b].decode() for a, b in itertools.pairwise(offsets.tolist())], tok)
+    if lengths is None or not len(span):
+        return alone()
+    data = np.frombuffer(raw, np.uint8)
+    first = offsets[:-1]
+    joins = (span > 1) & (span <= LONGEST) & (data[first] == 32) & ~_SPACE[data[np.minimum(first + 1, len(data) - 1)]] & ~_SPACE[data[ends - 1]] & ~_other_spaces(data, offsets)
+    new = ~joins
+    new[1:] |= ~joins[:-1]
+    new[::JOINED] = True
+    borders = np.append(first[new], len(data))
+    ids, _ = _flat([raw[a:b].decode() for a, b in itertools.pairwise(borders.tolist())], tok)
+    place = np.cumsum(lengths[ids])
+    last = np.searchsorted(place, ends)
+    if last[-1] != len(place) - 1 or (place[last] != ends).any():
+        return alone()
+    return ids, np.diff(last, prepend=-1)
+
+
 class _Pool:
     """A growing array."""
 
@@ -86,21 +132,20 @@ class Memory:
             found = np.where(known[k] == hashes, number[k], found)
         return found
 
-    def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, tok) -> np.ndarray:
+    def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, tok, lengths: np.ndarray | None) -> np.ndarray:
         """Numbers of segments after encoding them."""
         base, raw = self.at.used, data.tobytes()
         for i in range(0, len(start), 2_000):
-            segments = [raw[a:b] for a, b in zip(start[i : i + 2_000].tolist(), end[i : i + 2_000].tolist(), strict=True)]
-            ids = [e.ids for e in tok.encode_batch_fast([x.decode() for x in segments], add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.at.add(self.ids.add(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))) + np.cumsum(size) - size)
+            names = b"".join(raw[a:b] for a, b in zip(start[i : i + 2_000].tolist(), end[i : i + 2_000].tolist(), strict=True))
+            span = end[i : i + 2_000] - start[i : i + 2_000]
+            ids, size = _ids_of(names, span, tok, lengths)
+            self.at.add(self.ids.add(ids) + np.cumsum(size) - size)
             self.size.add(size)
-            size = end[i : i + 2_000] - start[i : i + 2_000]
-            self.name_at.add(self.names.add(np.frombuffer(b"".join(segments), np.uint8)) + np.cumsum(size) - size)
-            self.name_size.add(size)
+            self.name_at.add(self.names.add(np.frombuffer(names, np.uint8)) + np.cumsum(span) - span)
+            self.name_size.add(span)
         return np.arange(base, self.at.used)
 
-    def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, tok) -> np.ndarray:
+    def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, tok, lengths: np.ndarray | None = None) -> np.ndarray:
         """The number of each segment; new ones are encoded."""
         name, first, of = np.unique(span_sums(data, start, end), return_index=True, return_inverse=True)
         of = of.ravel()
@@ -116,7 +161,7 @@ class Memory:
         number[clash] = number[known[~same]] = -2
         fresh = np.flatnonzero(number == -1)
         if len(fresh):
-            number[fresh] = self._encode(data, start[first[fresh]], end[first[fresh]], tok)
+            number[fresh] = self._encode(data, start[first[fresh]], end[first[fresh]], tok, lengths)
             part = name[fresh], number[fresh]
             while self.parts and len(self.parts[-1][0]) < 4 * len(part[0]):
                 other = self.parts.pop()
@@ -131,7 +176,7 @@ class Memory:
         out[rows[~same_spans(blocks, start[rows], blocks, start[first[of[rows]]], size[rows])]] = -2
         alone = np.flatnonzero(out == -2)
         if len(alone):
-            out[alone] = self._encode(data, start[alone], end[alone], tok)
+            out[alone] = self._encode(data, start[alone], end[alone], tok, lengths)
         return out
 
 
@@ -189,7 +234,7 @@ def encoded(column: pa.Array | pa.ChunkedArray, path: str, end_id: int) -> Itera
                 start, end, doc = np.concatenate([start[keep], offsets[:-1][whole]]), np.concatenate([end[keep], offsets[1:][whole]]), np.concatenate([doc[keep], whole])
                 order = np.argsort(start, kind="stable")
                 start, end, doc = start[order], end[order], doc[order]
-        number = memory.numbers(data, start, end, tok)
+        number = memory.numbers(data, start, end, tok, byte_lengths(path))
         size = memory.size.data[number]
         counts = np.bincount(doc, size, b - a).astype(np.int64)
         offs = np.concatenate([[0], np.cumsum(counts + 1)])
