@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,79 +130,198 @@ def _trimmed(df: DataFrame, names: list[str]) -> DataFrame:
 
 #: Rows of the first part in which rows that agree are looked for; each next part is so many times as large.
 _FIRST_PART, _LARGER = 100_000, 16
+#: Pairs of rows with the same lead, for each row of the table, that are compared one by one; and rows of a task that pairs them.
+_PAIRS, _TASK_ROWS = 64, 500_000
+#: Columns whose bits are in one number.
+_WORD = 62
+
+
+def _at(bits: int) -> list[int]:
+    """The columns of a set, which is a number with a bit for each."""
+    return [i for i in range(bits.bit_length()) if bits >> i & 1]
+
+
+def _agree(sets: list[int], equal: Callable[[int], Column]) -> Column:
+    """Whether all columns of any of the sets are equal; the columns that many sets have come first."""
+    if 0 in sets or not sets:
+        return F.lit(bool(sets))
+    first = max(_at(functools.reduce(int.__or__, sets)), key=lambda i: sum(c >> i & 1 for c in sets))
+    found = equal(first) & _agree([c & ~(1 << first) for c in sets if c >> first & 1], equal)
+    rest = [c for c in sets if not c >> first & 1]
+    return found | _agree(rest, equal) if rest else found
 
 
 class _Agreement:
     """Which sets of columns some different rows agree on, by pairs of rows as proof.
 
-    Parts of the rows are looked through first: all rows of some values of a set's most distinct column, or rows at random where it
-    has few values. A pair found in a part is one of the whole; sets without any go on to larger parts and at last to all rows. Sets
-    that are left then are proven by all rows. Pairs are found by hashes and compared by their texts, on the driver: one pair a set.
+    A first part of the rows is looked through: all rows of some values of the columns with many values, and rows at random. There each
+    set is hashed for itself. Sets without a pair there go on to a larger part and at last to all rows, where not sets but pairs are
+    made: sets share a lead, columns with few pairs of rows that agree on them. Rows are dealt by lead once, whatever the number of
+    sets; rows of one lead are compared in pairs, and only which columns agree leaves the task, with a pair of each kind. So all
+    sets around a lead are settled at once. Pairs are found by hashes and compared by their texts, on the driver: one pair a set or kind.
     """
 
     def __init__(self, text: DataFrame, names: list[str]):
         self.names, self.own = names, [F.col(f"`{c}`") for c in names]
-        self.rows = Stored(text.select(*names).distinct().withColumn("row", F.monotonically_increasing_id()), "sets-rows")
+        numbered = lambda df: Stored(df.withColumn("row", F.monotonically_increasing_id()), "sets-rows")
+        self.rows = numbered(text.select(*names))
+        # Whole rows are only moved if two of them may be equal.
+        each = self.rows.df.groupBy(F.xxhash64(*self.own).alias("h")).agg(F.count("*").alias("n"))
+        if each.agg(F.coalesce(F.sum("n"), F.lit(0)) > F.count("*")).first()[0]:
+            every, self.rows = self.rows, numbered(self.rows.df.select(*names).distinct())
+            every.drop()
         facts = self.rows.df.agg(F.count("*").alias("n"), *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(self.own)], *[F.count_if(~c.isin("", "0")).alias(f"s{i}") for i, c in enumerate(self.own)]).first()
         self.n = facts["n"]
         self.distinct = [facts[f"d{i}"] for i in range(len(names))]
-        self.says = [facts[f"s{i}"] > 0 for i in range(len(names))]  # whether some row says more than '' or 0
-        self.pairs: set[tuple[int, int]] = set()  # bits of the columns in which two rows agree, and of those that say something
-        self.counted: set[tuple[int, ...]] = set()  # sets whose texts were counted
-
-    def known(self, c: tuple[int, ...]) -> bool:
-        bits = sum(1 << i for i in c)
-        return c in self.counted or any(bits & same == bits and bits & full for same, full in self.pairs)
-
-    def look(self, sets: list[tuple[int, ...]], share: int) -> None:
-        """Look for pairs in one of ``share`` parts of the rows, or in all if that is 1."""
-        spark = self.rows.df.sparkSession
-        lead = [max(c, key=lambda i: self.distinct[i]) for c in sets]
-        lead = [i if self.distinct[i] >= 64 * share else -1 for i in lead] if share > 1 else [-1] * len(sets)
-        asked = spark.createDataFrame([(at, i, list(c)) for at, (i, c) in enumerate(zip(lead, sets, strict=True))], "at int, lead int, cols array<int>")
-        rows = self.rows.df.select("row", *[F.xxhash64(c).alias(f"h{i}") for i, c in enumerate(self.own)], F.array(*[~c.isin("", "0") for c in self.own]).alias("says"))
-        mine = lambda i: F.when(F.pmod(F.xxhash64(F.col("row" if i < 0 else f"h{i}")), F.lit(share)) == 0, F.lit(i))
-        rows = rows.withColumn("leads", F.array_compact(F.array(*map(mine, sorted(set(lead)))))).where(F.size("leads") > 0)
-        rows = rows.select("row", F.array(*[f"h{i}" for i in range(len(self.own))]).alias("h"), "says", F.explode("leads").alias("lead"))
-        both = rows.join(F.broadcast(asked), "lead").where(F.exists("cols", lambda i: F.get("says", i)))
-        keyed = both.select("at", F.xxhash64(F.transform("cols", lambda i: F.get("h", i))).alias("key"), "row")
-        again = keyed.groupBy("at", "key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b")
-        found = {r["at"]: (r["p"]["a"], r["p"]["b"]) for r in again.groupBy("at").agg(F.min(F.struct("a", "b")).alias("p")).collect()}  # a pair a set
-        if not found:
-            return
-        wanted = self.rows.df.where(F.col("row").isin(*{x for p in found.values() for x in p}))
-        texts = {r["row"]: r for r in wanted.collect()}
-        for at, (a, b) in found.items():
-            same = [i for i, c in enumerate(self.names) if texts[a][c] == texts[b][c]]
-            if set(sets[at]) <= set(same):
-                self.pairs.add((sum(1 << i for i in same), sum(1 << i for i in same if texts[a][self.names[i]] not in ("", "0"))))
-            elif share == 1:  # two texts of one hash: count the texts themselves
-                own = [self.own[i] for i in sets[at]]
-                if self.rows.df.where(_has_key([self.names[i] for i in sets[at]])).groupBy(*own).count().where("count > 1").limit(1).count():
-                    self.counted.add(sets[at])
-
-    def unknown(self, sets: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
-        """Those of ``sets`` that tell all rows apart which say something in them."""
-        share = max(self.n // _FIRST_PART, 1)
-        while left := [c for c in sets if not self.known(c)]:
-            self.look(left, share)
-            if share == 1:
-                break
-            share = share // _LARGER if share >= 2 * _LARGER else 1
-        return [c for c in left if not self.known(c)]
+        self.says = sum(1 << i for i in range(len(names)) if facts[f"s{i}"] > 0)  # columns in which some row says more than '' or 0
+        self.pairs: set[tuple[int, int]] = set()  # columns in which two rows agree, and those of them that say something
+        self.counted: dict[int, bool] = {}  # sets whose texts were counted, and whether rows agree on them
+        self.doubtful: list[int] = []  # columns in which hashes of two rows agree and texts don't
+        # The first part, and what share of the rows it is.
+        self.share = max(self.n // _FIRST_PART, 1)
+        self.leads = [i for i, d in enumerate(self.distinct) if d >= 64 * self.share] if self.share > 1 else []
+        mine = {i: self._in_part(i, self.share) for i in (-1, *self.leads)}
+        self.part = self.rows.df.where(functools.reduce(Column.__or__, mine.values())).withColumn("leads", F.array_compact(F.array(*[F.when(x, F.lit(i)) for i, x in mine.items()]))).persist()
+        self.pairs_of: dict[int, float] = {}  # estimated pairs of rows that agree on a lead
+
+    def drop(self) -> None:
+        self.part.unpersist()
+        self.rows.drop()
+
+    def _in_part(self, i: int, share: int) -> Column:
+        """Whether a row is in one of ``share`` parts, by its value in a column, or at random."""
+        return F.pmod(F.xxhash64(F.col("row") if i < 0 else F.xxhash64(self.own[i])), F.lit(share)) == 0
+
+    def known(self, c: int) -> bool:
+        return self.counted.get(c, False) or any(c & same == c and c & full for same, full in self.pairs)
+
+    def candidates(self, width: int) -> list[int]:
+        """The sets of at most ``width`` columns that no known rows agree on, without those that have a smaller one inside."""
+        found: list[int] = []
+        for k in range(1, min(width, len(self.names)) + 1):
+            sets = [sum(1 << i for i in c) for c in itertools.combinations(range(len(self.names)), k)]
+            found += [c for c in sets if c & self.says and not any(f & c == f for f in found) and not self.known(c)]
+        return found
+
+    def minimal(self, width: int) -> list[int]:
+        """The sets that tell all rows apart which say something in them, without those that have a smaller one inside."""
+        share = self.share
+        while share:
+            #: (set, columns, whether all sets of these columns that contain it are settled too)
+            settled: list[tuple[int, int, bool]] = []
+            while left := [c for c in self.candidates(width) if not any(c == s or (more and s & c == s and c & cols == c) for s, cols, more in settled)]:
+                if share == self.share:
+                    self.look(left)
+                    settled += [(c, c, False) for c in left]
+                else:
+                    settled += self.compare(left, share)
+                if share == 1:
+                    self._count_doubtful(width)
+            share = share // _LARGER if share >= 2 * _LARGER else int(share > 1)
+        return self.candidates(width)
+
+    def _count_doubtful(self, width: int) -> None:
+        """Count the texts of the sets in which two rows have the same hashes and other texts."""
+        while left := [c for c in self.candidates(width) if c not in self.counted and any(c & m == c for m in self.doubtful)]:
+            for c in left:
+                own = [self.own[i] for i in _at(c)]
+                self.counted[c] = self.rows.df.where(_has_key([self.names[i] for i in _at(c)])).groupBy(*own).count().where("count > 1").limit(1).count() > 0
+
+    def _verify(self, found: list[tuple[int, int, int]], rows: DataFrame, whole: bool) -> None:
+        """Compare the texts of pairs (columns whose hashes agree, a row, another row)."""
+        wanted = rows.sparkSession.createDataFrame([(x,) for x in sorted({x for _, *p in found for x in p})], "row long")
+        texts = {r["row"]: r for r in rows.join(F.broadcast(wanted), "row").select("row", *self.own).collect()}
+        for hashed, a, b in found:
+            same = sum(1 << i for i, c in enumerate(self.names) if texts[a][c] == texts[b][c])
+            if hashed & same != hashed and whole:
+                self.doubtful.append(hashed)
+            self.pairs.add((same, sum(1 << i for i in _at(same) if texts[a][self.names[i]] not in ("", "0"))))
+
+    def _keyed(self, rows: DataFrame, sets: list[int], lead: dict[int, int]) -> DataFrame:
+        """(at, key, row): the hash of each row for each set, among the rows of the set's lead."""
+        asked = rows.sparkSession.createDataFrame([(at, lead.get(c, -1), _at(c)) for at, c in enumerate(sets)], "at int, lead int, cols array<int>")
+        rows = rows.select("row", F.array(*[F.xxhash64(c) for c in self.own]).alias("h"), F.array(*[~c.isin("", "0") for c in self.own]).alias("says"), F.explode("leads").alias("lead"))
+        both = rows.join(F.broadcast(asked), "lead")
+        return both.select("at", F.xxhash64(F.transform("cols", lambda i: F.get("h", i))).alias("key"), "row", F.exists("cols", lambda i: F.get("says", i)).alias("says"))
+
+    def look(self, sets: list[int]) -> None:
+        """Look for a pair of each set in the first part."""
+        lead = {c: max(own, key=lambda i: self.distinct[i]) for c in sets if (own := [i for i in _at(c) if i in self.leads])}
+        again = self._keyed(self.part, sets, lead).where("says").groupBy("at", "key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b")
+        found = [(sets[r["at"]], r["p"]["a"], r["p"]["b"]) for r in again.groupBy("at").agg(F.min(F.struct("a", "b")).alias("p")).collect()]  # a pair a set
+        if found:
+            self._verify(found, self.part, self.share == 1)
+
+    def _leads(self, sets: list[int]) -> list[tuple[int, bool, list[int]]]:
+        """(lead, whether rows that say nothing in it count, sets): the fewest of a set's most distinct columns that few pairs agree on, by
+        the rows at random of the first part. A set whose rows agree often where it says nothing leads itself."""
+        dealt: dict[tuple[int, bool], list[int]] = {}
+        order = {c: sorted(_at(c), key=lambda i: (-self.distinct[i], i)) for c in sets}
+        left, k = sets, 1
+        while left:
+            first = {c: sum(1 << i for i in order[c][:k]) for c in left}
+            new = sorted({f for c, f in first.items() if f != c} - set(self.pairs_of))
+            if new:
+                each = self._keyed(self.part.withColumn("leads", F.filter("leads", lambda i: i < 0)), new, {}).groupBy("at", "key").agg(F.count("*").alias("n"))
+                pairs = {r["at"]: r["pairs"] for r in each.groupBy("at").agg(F.sum(F.expr("n * (n - 1) / 2")).alias("pairs")).collect()}
+                self.pairs_of |= {f: pairs.get(at, 0) * self.share**2 for at, f in enumerate(new)}
+            for c, f in first.items():
+                if f == c or self.pairs_of[f] <= _PAIRS * self.n:
+                    dealt.setdefault((f, f != c), []).append(c)
+            done = {c for own in dealt.values() for c in own}
+            left, k = [c for c in left if c not in done], k + 1
+        # All sets of a lead may share more columns than those.
+        return [(functools.reduce(int.__and__, own), more, own) for (_, more), own in dealt.items()]
+
+    def compare(self, sets: list[int], share: int) -> list[tuple[int, int, bool]]:
+        """Find all kinds of pairs for ``sets`` in one of ``share`` parts of the rows, or in all if that is 1. What is settled with that:
+        (set, columns, whether all sets of these columns that contain it are settled too)."""
+        settled, found = [], {}
+        for lead, more, own in self._leads(sets):
+            cols = _at(functools.reduce(int.__or__, own))
+            settled += [(c, sum(1 << i for i in cols), more) for c in own]
+            words = [cols[i : i + _WORD] for i in range(0, len(cols), _WORD)]
+            says = [sum((F.when(self.own[i].isin("", "0"), 0).otherwise(1 << j) for j, i in enumerate(w)), F.lit(0).cast("long")).alias(f"says{at}") for at, w in enumerate(words)]
+            rows = self.rows.df
+            if share > 1:
+                top = max(_at(lead), key=lambda i: self.distinct[i])
+                rows = rows.where(self._in_part(top if self.distinct[top] >= 64 * share else -1, share))
+            if not more:
+                rows = rows.where(_has_key([self.names[i] for i in _at(lead)]))
+            rows = rows.select("row", *[F.xxhash64(self.own[i]).alias(f"h{i}") for i in cols], *says)
+            # The two sides read the same columns, so rows are moved once.
+            tasks = max(rows.sparkSession.sparkContext.defaultParallelism, self.n // share // _TASK_ROWS)
+            rows = rows.repartition(tasks, *[f"h{i}" for i in _at(lead)])
+            a, b = rows.alias("a"), rows.alias("b")
+            equal = lambda i: F.col(f"a.h{i}") == F.col(f"b.h{i}")
+            # Pairs that agree on no set are left out by the join; what is left is little.
+            pairs = a.join(b, [*map(equal, _at(lead)), F.col("a.row") < F.col("b.row"), _agree([c & ~lead for c in own], equal)])
+            same = [sum((F.when(equal(i), 1 << j).otherwise(0) for j, i in enumerate(w)), F.lit(0).cast("long")).alias(f"same{at}") for at, w in enumerate(words)]
+            both = [F.col(f"a.says{at}").bitwiseAND(F.col(f"b.says{at}")).alias(f"says{at}") for at in range(len(words))]
+            pairs = pairs.select(*same, *both, F.struct("a.row", F.col("b.row").alias("other")).alias("pair"))
+            for r in pairs.groupBy(*[f"{x}{at}" for x in ("same", "says") for at in range(len(words))]).agg(F.min("pair").alias("pair")).collect():
+                kind = [sum(1 << i for at, w in enumerate(words) for j, i in enumerate(w) if r[f"{x}{at}"] >> j & 1) for x in ("same", "says")]
+                if full := kind[0] & kind[1]:
+                    found[kind[0], full] = (r["pair"]["row"], r["pair"]["other"])
+        # A kind inside another says nothing new.
+        best: list[tuple[int, int]] = []
+        for kind in sorted(found, key=lambda x: (-x[0].bit_count(), -x[1].bit_count())):
+            if not any(kind[0] & s == kind[0] and kind[1] & f == kind[1] for s, f in (*self.pairs, *best)):
+                best.append(kind)
+        if best:
+            self._verify([(kind[0], *found[kind]) for kind in best], self.rows.df, share == 1)
+        return settled
 
 
 def unique_sets(df: DataFrame, columns: list[str], width: int = 5) -> DataFrame:
     """(n_columns, columns): the sets of at most ``width`` columns that tell the different rows apart and have no smaller such set
     inside. Rows whose cells are all '' or 0 don't count for a set; a set without any other row tells nothing apart."""
-    spark = df.sparkSession
     seen = _Agreement(_trimmed(df, columns), columns)
-    found: list[tuple[int, ...]] = []
-    for k in range(1, min(width, len(columns)) + 1):
-        sets = [c for c in itertools.combinations(range(len(columns)), k) if any(seen.says[i] for i in c) and not any(set(f) <= set(c) for f in found)]
-        found += seen.unknown(sets)
-    seen.rows.drop()
-    return spark.createDataFrame([(len(c), ",".join(columns[i] for i in c)) for c in found], "n_columns int, columns string")
+    try:
+        found = [_at(c) for c in seen.minimal(width)]
+    finally:
+        seen.drop()
+    return df.sparkSession.createDataFrame([(len(c), ",".join(columns[i] for i in c)) for c in found], "n_columns int, columns string")
 
 
 def find_key(df: DataFrame, groups: DataFrame, config: ProfileConfig = DEFAULT) -> tuple[list[str], bool]:
