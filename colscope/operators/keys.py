@@ -181,7 +181,8 @@ class _Agreement:
         self.share = max(self.n // _FIRST_PART, 1)
         self.leads = [i for i, d in enumerate(self.distinct) if d >= 64 * self.share] if self.share > 1 else []
         mine = {i: self._in_part(i, self.share) for i in (-1, *self.leads)}
-        self.part = self.rows.df.where(functools.reduce(Column.__or__, mine.values())).withColumn("leads", F.array_compact(F.array(*[F.when(x, F.lit(i)) for i, x in mine.items()]))).persist()
+        part = self.rows.df.where(functools.reduce(Column.__or__, mine.values())).withColumn("leads", F.array_compact(F.array(*[F.when(x, F.lit(i)) for i, x in mine.items()])))
+        self.part = part.repartition(part.sparkSession.sparkContext.defaultParallelism).persist()  # a row of it is hashed for many sets
         self.pairs_of: dict[int, float] = {}  # estimated pairs of rows that agree on a lead
 
     def drop(self) -> None:
